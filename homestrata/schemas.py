@@ -5,24 +5,39 @@ Absent and zero are the same thing in the stored tables, so absent is NULL.
 
 from pyspark.sql import types as T
 
-PRICE_POINT = T.StructType([T.StructField("date", T.DateType()), T.StructField("price", T.LongType())])
+_SIMPLE = {
+    "string": T.StringType(),
+    "bigint": T.LongType(),
+    "int": T.IntegerType(),
+    "double": T.DoubleType(),
+    "boolean": T.BooleanType(),
+    "date": T.DateType(),
+    "timestamp": T.TimestampType(),
+    "array<string>": T.ArrayType(T.StringType()),
+    "map<string,string>": T.MapType(T.StringType(), T.StringType()),
+}
 
 
-def _fields(spec: str) -> T.StructType:
-    return T._parse_datatype_string(spec)
+def struct(spec: str, **nested: T.DataType) -> T.StructType:
+    """Schema from ``name type, ...``; nested types are given by name. Needs no session."""
+    fields = []
+    for part in spec.split(", "):
+        name, kind = part.split(" ")
+        fields.append(T.StructField(name, nested[name] if kind == "nested" else _SIMPLE[kind]))
+    return T.StructType(fields)
 
 
-OBSERVATIONS = _fields(
+OBSERVATIONS = struct(
     "crawl_id string, page_no bigint, pos int, url string, price bigint, city string, state string, "
     "address string, property_id string, source string"
 )
 
-TRACKED_URLS = _fields("url string, processed boolean, city string, price bigint")
+TRACKED_URLS = struct("url string, processed boolean, city string, price bigint")
 
-PAGES = _fields("crawl_id string, page_no bigint, url string, html string, error string")
+PAGES = struct("crawl_id string, page_no bigint, url string, html string, error string")
 
 # The saved part of a listing, in storage order.
-LISTING_SAVED = _fields(
+LISTING_SAVED = struct(
     "property_id string, sort_key string, listing_url string, listing_status string, "
     "analysis_date date, first_seen_date timestamp, price bigint, price_per_sqft double, size_sqft int, "
     "beds int, baths double, lot_size_sqft int, lot_size_acres double, year_built int, "
@@ -33,29 +48,31 @@ LISTING_SAVED = _fields(
     "image_urls array<string>, extraction_timestamp timestamp"
 )
 
-LISTING_ANALYSIS = _fields(
+LISTING_ANALYSIS = struct(
     "price_per_acre double, city_median_price_per_sqft double, city_discount_pct double, "
     "city_property_count bigint, last_analyzed timestamp, analysis_date date"
 )
 
-LISTING_PRICE_TRACKING = _fields(
+LISTING_PRICE_TRACKING = struct(
     "original_price bigint, previous_price bigint, last_price_change bigint, "
     "last_price_change_pct double, total_price_change bigint, total_price_change_pct double, "
     "price_update_count bigint, last_price_update timestamp"
 )
 
-PRICE_HISTORY = _fields(
+PRICE_HISTORY = struct(
     "property_id string, change_no bigint, ts timestamp, price bigint, previous_price bigint, "
     "price_change_amount bigint, price_drop_pct double, listing_status string, expires_at timestamp"
 )
 
-PREFERENCES = _fields(
+PREFERENCES = struct(
     "user_id bigint, property_id string, preference_type string, created_at timestamp, "
-    "property_summary struct<price:bigint, city:string, state:string, address:string, size_sqft:int, "
-    "beds:int, baths:double, property_type:string, image_url:string, listing_url:string>, "
-    "analysis_status string, analysis_requested_at timestamp, analysis_completed_at timestamp, "
-    "analysis_result struct<analysis_markdown:string, verdict:string, analysis_text:string>, "
-    "last_error string, retry_count bigint"
+    "property_summary nested, analysis_status string, analysis_requested_at timestamp, "
+    "analysis_completed_at timestamp, analysis_result nested, last_error string, retry_count bigint",
+    property_summary=struct(
+        "price bigint, city string, state string, address string, size_sqft int, beds int, "
+        "baths double, property_type string, image_url string, listing_url string"
+    ),
+    analysis_result=struct("analysis_markdown string, verdict string, analysis_text string"),
 )
 
 # Columns a search returns.

@@ -17,10 +17,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-CANDIDATES = T._parse_datatype_string(
-    "text string, metas map<string,string>, ld_json array<string>, "
-    "images array<struct<kind:string, url:string>>, "
-    "links array<struct<pos:int, href:string, price_text:string, dollar_text:string>>"
+from homestrata.schemas import struct
+
+CANDIDATES = struct(
+    "text string, metas map<string,string>, ld_json array<string>, images nested, links nested",
+    images=T.ArrayType(struct("kind string, url string")),
+    links=T.ArrayType(struct("pos int, href string, price_text string, dollar_text string")),
 )
 
 _VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())

@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from homestrata.functions.ids import listing_id, raw_listing_id
+from homestrata.schemas import struct
 from homestrata.operators.ordered import latest_by
 
-DUMP_SCHEMA = T._parse_datatype_string("url string, price bigint, price_text string, duplicate string")
+DUMP_SCHEMA = struct("url string, price bigint, price_text string, duplicate string")
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
