@@ -88,7 +88,11 @@ def _strings(text: Column) -> Column:
 
 
 def ld_items(scripts: Column | str = "ld_json") -> Column:
-    """Structured-data items of all scripts that are valid JSON, in page order."""
+    """Listing fields of every structured-data item that describes a listing, in page order.
+
+    Scripts that are not valid JSON are left out. Each JSON text is parsed once: every
+    step below reads the structs the step before has made.
+    """
     valid = F.filter(as_col(scripts), lambda s: F.try_parse_json(s).isNotNull())
     texts = F.flatten(
         F.transform(
@@ -96,15 +100,64 @@ def ld_items(scripts: Column | str = "ld_json") -> Column:
             lambda s: F.when(F.ltrim(s).startswith("["), _strings(s)).otherwise(F.array(s)),
         )
     )
-    items = F.transform(texts, lambda t: _object(t, _ITEM))
     wanted = F.array(*[F.lit(t) for t in LISTING_ITEM_TYPES])
 
     def is_listing(item: Column) -> Column:
         kind = item["@type"]
         kinds = F.when(F.ltrim(kind).startswith("["), _strings(kind)).otherwise(F.array(kind))
-        return F.arrays_overlap(kinds, wanted)
+        return F.coalesce(F.arrays_overlap(kinds, wanted), F.lit(False))
+
+    def open_nested(item: Column) -> Column:
+        return F.struct(
+            item.alias("top"),
+            _object(item["address"], _ADDRESS).alias("address"),
+            _object(item["mainEntity"], _ENTITY).alias("entity"),
+        )
+
+    def present_names(names: Column) -> Column:
+        kept = F.filter(names, lambda n: non_blank(n).isNotNull())
+        return F.when(F.size(kept) > 0, kept)
+
+    def fields(item: Column) -> Column:
+        top, address, entity = item["top"], item["address"], item["entity"]
+        amenities = F.transform(
+            _strings(entity["amenityFeature"]), lambda e: F.get_json_object(e, "$.name")
+        )
+        images = F.transform(
+            _strings(entity["image"]),
+            lambda e: F.when(F.ltrim(e).startswith("{"), F.get_json_object(e, "$.url")).otherwise(e),
+        )
 
-    return F.filter(items, lambda item: F.coalesce(is_listing(item), F.lit(False)))
+        def degrees(name: str) -> Column:
+            return F.nullif(F.get_json_object(entity["geo"], f"$.{name}").try_cast("double"), F.lit(0.0))
+
+        values = {
+            "price": parse_price(F.get_json_object(top["offers"], "$.price")),
+            "address": non_blank(address["streetAddress"]),
+            "city": non_blank(address["addressLocality"]),
+            "state": non_blank(address["addressRegion"]),
+            "zip_code": non_blank(address["postalCode"]),
+            "description": non_blank(top["description"]),
+            "title": non_blank(top["name"]),
+            "date_listed": non_blank(top["datePosted"]),
+            "date_updated": non_blank(top["lastReviewed"]),
+            "year_built": F.nullif(entity["yearBuilt"].try_cast("double").try_cast("int"), F.lit(0)),
+            "property_type": non_blank(entity["accommodationCategory"]),
+            "latitude": degrees("latitude"),
+            "longitude": degrees("longitude"),
+            "amenities": present_names(amenities),
+            "image_urls": present_names(images),
+        }
+        return F.struct(*[c.alias(n) for n, c in values.items()])
+
+    listed = F.filter(F.transform(texts, lambda t: _object(t, _ITEM)), is_listing)
+    return F.transform(F.transform(listed, open_nested), fields)
+
+
+_LAST_WINS = (
+    "price", "address", "city", "state", "zip_code", "description", "title", "date_listed",
+    "date_updated", "year_built", "property_type", "latitude", "longitude", "amenities",
+)
 
 
 def ld_fields(items: Column | str = "ld_items") -> dict[str, Column]:
@@ -115,54 +168,16 @@ def ld_fields(items: Column | str = "ld_items") -> dict[str, Column]:
         values = F.filter(F.transform(items, read), lambda v: v.isNotNull())
         return F.try_element_at(values, F.lit(-1))
 
-    def entity(item: Column) -> Column:
-        return _object(item["mainEntity"], _ENTITY)
-
-    def address(name: str):
-        return lambda item: non_blank(_object(item["address"], _ADDRESS)[name])
-
-    def point(name: str):
-        return lambda item: F.nullif(
-            F.get_json_object(entity(item)["geo"], f"$.{name}").try_cast("double"), F.lit(0.0)
-        )
-
-    def amenity_names(item: Column) -> Column:
-        names = F.transform(
-            _strings(entity(item)["amenityFeature"]), lambda e: F.get_json_object(e, "$.name")
-        )
-        kept = F.filter(names, lambda n: non_blank(n).isNotNull())
-        return F.when(F.size(kept) > 0, kept)
-
-    def image_urls(item: Column) -> Column:
-        urls = F.transform(
-            _strings(entity(item)["image"]),
-            lambda e: F.when(F.ltrim(e).startswith("{"), F.get_json_object(e, "$.url")).otherwise(e),
-        )
-        kept = F.filter(urls, lambda u: non_blank(u).isNotNull())
-        return F.when(F.size(kept) > 0, kept)
-
     def parking(item: Column) -> Column:
-        named = F.filter(amenity_names(item), lambda n: F.lower(n).rlike("parking|garage"))
+        named = F.filter(item["amenities"], lambda n: F.lower(n).rlike("parking|garage"))
         return F.try_element_at(named, F.lit(-1))
 
-    images = last(image_urls)
+    def field(name: str) -> Column:
+        return last(lambda item: item[name])
+
+    images = field("image_urls")
     return {
-        "price": last(lambda i: parse_price(F.get_json_object(i["offers"], "$.price"))),
-        "address": last(address("streetAddress")),
-        "city": last(address("addressLocality")),
-        "state": last(address("addressRegion")),
-        "zip_code": last(address("postalCode")),
-        "description": last(lambda i: non_blank(i["description"])),
-        "title": last(lambda i: non_blank(i["name"])),
-        "date_listed": last(lambda i: non_blank(i["datePosted"])),
-        "date_updated": last(lambda i: non_blank(i["lastReviewed"])),
-        "year_built": last(
-            lambda i: F.nullif(entity(i)["yearBuilt"].try_cast("double").cast("int"), F.lit(0))
-        ),
-        "property_type": last(lambda i: non_blank(entity(i)["accommodationCategory"])),
-        "latitude": last(point("latitude")),
-        "longitude": last(point("longitude")),
-        "amenities": last(amenity_names),
+        **{name: field(name) for name in _LAST_WINS},
         "parking": last(parking),
         "image_urls": F.slice(images, 1, ITEM_IMAGES_KEPT),
         "image_count": F.size(images),

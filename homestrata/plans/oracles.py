@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from homestrata.operators.compare import DEFAULT_COMPARISON_REQUEST, DEFAULT_REQUEST
 from homestrata.plans.standins import sql
 
 ORACLES: dict[str, str] = {}
@@ -69,9 +70,95 @@ _add(
     "observations",
 )
 
+# --- pages -------------------------------------------------------------------------
+
+_add("q_pages_scan", "SELECT page_id, url, CAST(length(html) AS INTEGER) AS n_chars FROM pages")
+_SPACE = r"[\s\x{a0}]+"
+_add(
+    "q_page_text",
+    rf"""SELECT page_id, array_to_string(list_filter(list_transform(string_split(
+        regexp_replace(regexp_replace(html, '(?s)<script.*?</script>|<style.*?</style>|<!--.*?-->', chr(1), 'g'),
+          '<[^>]*>', chr(1), 'g'), chr(1)),
+        lambda x: replace(replace(replace(replace(replace(replace(regexp_replace(x, '^{_SPACE}|{_SPACE}$', '', 'g'),
+          '&lt;', '<'), '&gt;', '>'), '&quot;', chr(34)), '&copy;', chr(169)), '&middot;', chr(183)), '&amp;', '&')),
+        lambda x: x <> ''), ' ') AS text
+    FROM pages""",
+)
+_add(
+    "q_page_links",
+    r"""SELECT page_id, CAST(unnest(range(len(links))) AS INTEGER) AS pos, unnest(links) AS href
+    FROM (SELECT page_id, regexp_extract_all(html, '<a href="([^"]*)"', 1) AS links FROM pages)""",
+)
+_PATH = "'/' || b.state || '/' || trim(b.city) || '/' || b.mls_number || '-Main-St/home/' || b.mls_number"
+_add(
+    "q_listing_links",
+    f"""SELECT mls_number AS crawl_id, trim(city) AS city, state, 'redfin' AS source, l.*
+    FROM (SELECT *, price AS asked FROM listings) b, LATERAL (
+      SELECT 0 AS pos, 'https://www.redfin.com' || {_PATH} AS url,
+        CASE WHEN b.asked >= 10000 THEN b.asked ELSE 0 END AS price,
+        b.mls_number || ' Main St' AS address, b.mls_number AS property_id
+      UNION ALL SELECT 2, 'https://www.redfin.com' || {_PATH} || '/unit-1/home/7' || b.mls_number,
+        CASE WHEN b.hoa_fee * 1000 >= 10000 THEN b.hoa_fee * 1000 ELSE 0 END,
+        b.mls_number || ' Main St', b.mls_number
+      UNION ALL SELECT 3, 'https://www.redfin.com' || {_PATH} || '-b/home/77', 0, b.mls_number || ' Main St',
+        b.mls_number
+      ) l""",
+    "listings",
+)
+_HAS_META = "property_type IN ('1-URGENT', '2-HIGH')"
+_HAS_DATA = "property_type IN ('2-HIGH', '3-MEDIUM', '5-LOW')"
+_add(
+    "q_page_meta",
+    f"""SELECT listing_url AS url, CASE WHEN {_HAS_META} THEN price END AS price,
+      CASE WHEN {_HAS_META} THEN beds END AS beds, CASE WHEN {_HAS_META} THEN baths END AS baths,
+      CASE WHEN {_HAS_META} THEN size_sqft END AS size_sqft, CAST(NULL AS VARCHAR) AS address,
+      CASE WHEN {_HAS_META} THEN trim(city) END AS city, CAST(NULL AS VARCHAR) AS state,
+      CAST(NULL AS VARCHAR) AS zip_code, CASE WHEN {_HAS_META} THEN 'Nice &amp; big' END AS description,
+      CAST(NULL AS VARCHAR) AS listing_source, CASE WHEN {_HAS_META} THEN CAST(12.5 AS DOUBLE) END AS latitude,
+      CASE WHEN {_HAS_META} THEN -CAST(mls_number AS DOUBLE) + 0.0 END AS longitude
+    FROM listings""",
+    "listings",
+)
+_add(
+    "q_extract_listings",
+    f"""SELECT *, CASE WHEN price <> 0 AND size_sqft > 0 THEN R2(price / size_sqft) END AS price_per_sqft FROM (
+      SELECT 'PROP#20020101_' || mls_number AS property_id, mls_number AS site_id, listing_url,
+        CASE WHEN {_HAS_META} THEN price WHEN {_HAS_DATA} AND price >= 10000 THEN price END AS price,
+        CASE WHEN {_HAS_META} THEN beds END AS beds, CASE WHEN {_HAS_META} THEN baths END AS baths,
+        CASE WHEN {_HAS_META} THEN size_sqft END AS size_sqft,
+        CASE WHEN {_HAS_DATA} THEN address END AS address,
+        CASE WHEN {_HAS_META} THEN trim(city) WHEN {_HAS_DATA} THEN 'LD City' END AS city,
+        CAST(NULL AS VARCHAR) AS state, CASE WHEN {_HAS_DATA} THEN '99' END AS zip_code,
+        CASE WHEN {_HAS_META} THEN 'Nice & big' END AS description,
+        CASE WHEN {_HAS_META} THEN CAST(12.5 AS DOUBLE) WHEN {_HAS_DATA} THEN 1.5 END AS latitude,
+        CASE WHEN {_HAS_META} AND mls_number <> '0' THEN -CAST(mls_number AS DOUBLE) WHEN {_HAS_DATA} THEN -2.5 END
+          AS longitude,
+        CASE WHEN {_HAS_DATA} THEN 'T ' || mls_number END AS title, CAST(NULL AS VARCHAR) AS date_listed,
+        CAST(NULL AS VARCHAR) AS date_updated, CASE WHEN {_HAS_DATA} THEN 1980 ELSE 1950 END AS year_built,
+        CASE WHEN {_HAS_DATA} THEN 'Cabin' ELSE 'Townhouse' END AS property_type,
+        CASE WHEN {_HAS_DATA} THEN '2 Car Garage' END AS parking,
+        CASE WHEN {_HAS_DATA} THEN 'Pool 2 Car Garage' END AS amenities,
+        CASE WHEN property_type = '1-URGENT' THEN 'https://ssl.cdn-redfin.com/photo/1/bigphoto/' || mls_number ||
+            '.jpg https://ssl.cdn-redfin.com/photo/1/genMid.' || mls_number || '.jpg'
+          WHEN {_HAS_DATA} THEN 'https://a/1.jpg https://a/2.jpg' END AS image_urls,
+        CASE WHEN {_HAS_DATA} OR property_type = '1-URGENT' THEN 2 END AS image_count,
+        CAST(NULL AS DOUBLE) AS lot_size_acres, lot_size_sqft, 120 AS hoa_fee, mls_number, 15 AS days_on_market
+      FROM listings)""",
+    "listings",
+)
+_add(
+    "q_json_props",
+    """SELECT event_id, CAST(CASE WHEN event_type IN ('view', 'click') THEN 2 ELSE 0 END AS INTEGER) AS n_items,
+      CASE WHEN event_type IN ('view', 'click') AND value * 1000 >= 10000
+        THEN CAST(trunc(value * 1000) AS BIGINT) END AS price,
+      CASE WHEN event_type IN ('view', 'click')
+        THEN CAST('19' || json_extract_string(props, '$.k') AS INTEGER) END AS year_built
+    FROM events""",
+)
+
 # --- search ------------------------------------------------------------------------
 
-_MATCH = """state = 'REGION_1' AND price >= 50000 AND price <= 400000 AND beds >= 2 AND beds <= 6
+_MATCH = """state = 'AMERICA' AND price >= 50000 AND price <= 400000 AND beds >= 2 AND beds <= 6
     AND baths >= 1.5 AND size_sqft >= 300 AND size_sqft <= 2500"""
 _add(
     "q_search",
@@ -146,7 +233,7 @@ _PRICE = """SELECT doc_id, CASE WHEN amount >= 10000 AND NOT regexp_matches(lowe
       SELECT *, CASE WHEN contains(num, '.') THEN TRY_CAST(trunc(TRY_CAST(num AS DOUBLE)) AS BIGINT)
         ELSE TRY_CAST(num AS BIGINT) END AS amount
       FROM (SELECT *, regexp_replace({c}, '[^0-9.]', '', 'g') AS num FROM texts))"""
-_add("q_parse_price", _PRICE.format(c="head"), "texts")
+_add("q_parse_price", _PRICE.format(c="price_text"), "texts")
 _add("q_parse_price_whole_text", _PRICE.format(c="text"), "texts")
 _add(
     "q_listing_id",
@@ -539,19 +626,21 @@ _add(
 )
 _add(
     "q_analysis_view",
-    f"""SELECT s.user_id, s.property_id, p.user_id IS NOT NULL AS found,
+    f"""SELECT k.user_id, k.property_id, p.user_id IS NOT NULL AS found,
       CASE WHEN p.user_id IS NOT NULL THEN coalesce(s.analysis_status, 'pending') END AS analysis_status,
       CASE WHEN p.user_id IS NOT NULL THEN coalesce(array_to_string(l.image_urls[:5], ' '), '') END AS images,
       CASE WHEN p.user_id IS NOT NULL AND s.analysis_completed_at IS NOT NULL THEN 'BUY' END AS verdict
-    FROM {_STATUS} s LEFT JOIN preferences p ON s.user_id = p.user_id AND s.property_id = p.property_id
-      LEFT JOIN listings l ON s.property_id = l.property_id""",
+    FROM (SELECT user_id, property_id FROM status_events UNION SELECT user_id, property_id FROM pref_events) k
+      LEFT JOIN {_STATUS} s ON s.user_id = k.user_id AND s.property_id = k.property_id
+      LEFT JOIN preferences p ON k.user_id = p.user_id AND k.property_id = p.property_id
+      LEFT JOIN listings l ON k.property_id = l.property_id""",
     "status_events",
     "preferences",
     "listings",
 )
 _REQUESTS = """(SELECT event_id AS request_id, user_id, ts,
       CASE WHEN event_type = 'view' THEN ['PROP#' || json_extract_string(props, '$.k')]
-        ELSE ['PROP#' || json_extract_string(props, '$.k'), 'PROP#' || user_id] END AS property_ids FROM events)"""
+        ELSE ['PROP#' || json_extract_string(props, '$.k'), CASE event_type WHEN 'purchase' THEN 'PROP#sold' ELSE 'PROP#' || user_id END] END AS property_ids FROM events)"""
 _ITEMS = f"""(SELECT r.request_id, r.user_id, r.pos, r.property_id,
       CASE WHEN l.property_id IS NULL THEN 'listing missing'
         WHEN p.user_id IS NULL OR s.analysis_completed_at IS NULL THEN 'analysis missing' END AS problem
@@ -579,6 +668,52 @@ _add(
     QUALIFY row_number() OVER (PARTITION BY user_id, strftime(ts, '%Y-%m-%d_%H-%M-%S') ORDER BY ts DESC) = 1""",
 )
 
+_FLOAT = "CASE WHEN {c} IS NULL THEN '0.0' ELSE CAST(CAST({c} AS DOUBLE) AS VARCHAR) END"
+_COMMA = "format('{{:,}}', CAST(coalesce({c}, 0) AS BIGINT)) || '.0'"
+_FACTS = {n: _FLOAT.format(c=n) for n in ("beds", "baths", "hoa_fee", "days_on_market")}
+_BIG = {n: _COMMA.format(c=n) for n in ("price", "size_sqft", "lot_size_sqft")}
+_YEAR = "coalesce(CAST(CAST(year_built AS DOUBLE) AS VARCHAR), 'Unknown')"
+_POSITION = """CASE WHEN pct < -10 THEN format('{:.1f}', abs(pct)) || '% BELOW city median (good value)'
+        WHEN pct > 10 THEN format('{:.1f}', pct) || '% ABOVE city median (premium priced)'
+        ELSE 'Near city median (' || format('{:+.1f}', R1(pct)) || '%)' END"""
+_add(
+    "q_prompt_text",
+    f"""SELECT property_id, array_to_string([
+      'Property in ' || city || ', ' || state, 'PROPERTY DETAILS:', '- Address: ' || address,
+      '- City/State/Zip: ' || city || ', ' || state || ' ' || zip_code, '- MLS ID: ' || mls_number,
+      '- Price: $' || {_BIG["price"]},
+      '- Size: ' || {_BIG["size_sqft"]} || ' sq ft = $' || format('{{:.0f}}', psf) || '/sq ft',
+      '- Bedrooms: ' || {_FACTS["beds"]}, '- Bathrooms: ' || {_FACTS["baths"]},
+      '- Property Type: ' || property_type, '- Year Built: ' || {_YEAR},
+      '- Lot Size: ' || {_BIG["lot_size_sqft"]} || ' sq ft (' || format('{{:.2f}}', coalesce(lot_size_acres, 0)) ||
+        ' acres)',
+      '- HOA Fee: $' || {_FACTS["hoa_fee"]} || '/month', 'MARKET CONTEXT:',
+      '- Days on Market: ' || {_FACTS["days_on_market"]},
+      '- City Median: $' || format('{{:.0f}}', med) || '/sq ft', '- Market Position: ' || {_POSITION},
+      '- Listing URL: ' || listing_url, '{DEFAULT_REQUEST}'], chr(10)) AS prompt
+    FROM {_ENRICHED}""",
+    "listings",
+    "city_stats",
+)
+_add(
+    "q_compare_prompt",
+    f"""SELECT i.request_id, i.user_id, CAST(count(*) AS INTEGER) AS property_count,
+      string_agg(array_to_string(['=== PROPERTY ' || (pos + 1) || ' ===', 'Address: ' || address,
+        'City: ' || city || ', ' || state, 'Price: $' || {_BIG["price"]},
+        'Size: ' || {_BIG["size_sqft"]} || ' sq ft (' || {_FACTS["beds"]} || ' bed / ' || {_FACTS["baths"]} || ' bath)',
+        'Price/SqFt: $' || format('{{:.0f}}', psf), 'Year Built: ' || {_YEAR},
+        'Days on Market: ' || {_FACTS["days_on_market"]}, 'City Discount: ' || format('{{:.1f}}', pct) || '%',
+        'PREVIOUS ANALYSIS:', 'Verdict: buy ' || i.property_id], chr(10)), chr(10) || chr(10) ORDER BY pos)
+        || chr(10) || chr(10) || '{DEFAULT_COMPARISON_REQUEST}' AS prompt
+    FROM {_ITEMS} i JOIN {_ENRICHED} e ON i.property_id = e.property_id
+    GROUP BY i.request_id, i.user_id HAVING count(problem) = 0
+      AND count(*) = (SELECT count(*) FROM {_ITEMS} j WHERE j.request_id = i.request_id)""",
+    "listings",
+    "city_stats",
+    "preferences",
+    "status_events",
+)
+
 # --- table changes -----------------------------------------------------------------
 
 _STORED = "(SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders WHERE o_orderpriority <> '1-URGENT')"

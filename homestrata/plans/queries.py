@@ -13,6 +13,7 @@ from homestrata.functions.common import non_blank
 from homestrata.operators import (
     collect,
     compare,
+    extract,
     mutate,
     ordered,
     preferences,
@@ -23,7 +24,7 @@ from homestrata.operators import (
     stats,
 )
 from homestrata.plans import standins as s
-from homestrata.sources import tables
+from homestrata.sources import html, tables
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -95,10 +96,70 @@ def q_listing_dump(t):
     return profile.flag_duplicates(rows, ["price"]).select("url", "price", "price_text", "duplicate")
 
 
+# --- pages -------------------------------------------------------------------------
+
+
+@query
+def q_pages_scan(t):
+    return t.pages.select("page_id", "url", F.length("html").alias("n_chars"))
+
+
+@query
+def q_page_text(t):
+    """Visible text of every given page."""
+    return html.read_pages(t.pages.select("page_id", "html"), ["text"])
+
+
+@query
+def q_page_links(t):
+    """Every link of every given page."""
+    found = html.read_pages(t.pages.select("page_id", "html"), ["links"])
+    return found.select("page_id", F.inline("links")).select("page_id", "pos", "href")
+
+
+@query
+def q_listing_links(t):
+    links = collect.listing_links(s.result_pages(t), "city", "state")
+    return collect.first_seen(links).drop("page_no")
+
+
+@query
+def q_page_meta(t):
+    read = html.read_pages(s.detail_pages(t).select("url", "html"), ["metas"])
+    return read.select("url", *[c.alias(n) for n, c in extract.meta_fields("metas").items()])
+
+
+@query
+def q_extract_listings(t):
+    """Full records of detail pages: tags, structured data, text and photos merged."""
+    rows = extract.extract_listings(s.detail_pages(t), s.AS_OF)
+    return rows.drop("error", "extraction_timestamp", "listing_source").withColumns(
+        {n: F.array_join(n, " ") for n in ("image_urls", "amenities")}
+    )
+
+
+@query
+def q_json_props(t):
+    """Structured-data rules on items built from events."""
+    k = F.get_json_object("props", "$.k")
+    kind = F.when(F.col("event_type") == "view", '"House"').when(
+        F.col("event_type") == "click", '["Thing", "Residence"]'
+    )
+    item = F.concat(
+        F.lit('{"@type": '), F.coalesce(kind, F.lit('"Event"')), F.lit(', "offers": {"price": '),
+        (F.col("value") * 1000).cast("string"), F.lit('}, "mainEntity": {"yearBuilt": "19'), k, F.lit('"}}'),
+    )
+    scripts = F.array(F.lit("{not json"), item, F.concat(F.lit("["), item, F.lit("]")))
+    rows = t.events.select("event_id", extract.ld_items(scripts).alias("ld_items"))
+    fields = extract.ld_fields("ld_items")
+    return rows.select("event_id", F.size("ld_items").alias("n_items"), fields["price"].alias("price"),
+                       fields["year_built"].alias("year_built"))
+
+
 # --- search ------------------------------------------------------------------------
 
 _SEARCH = {
-    "state": "REGION_1", "min_price": 50000, "max_price": 400000, "min_beds": 2, "max_beds": 6,
+    "state": "AMERICA", "min_price": 50000, "max_price": 400000, "min_beds": 2, "max_beds": 6,
     "min_baths": 1.5, "min_sqft": 300, "max_sqft": 2500, "property_type": "", "city": None,
 }
 
@@ -169,7 +230,7 @@ def q_user_prefs(t):
 
 @query
 def q_parse_price(t):
-    return s.texts(t).select("doc_id", prices.parse_price("head").alias("price"))
+    return s.texts(t).select("doc_id", prices.parse_price("price_text").alias("price"))
 
 
 @query
@@ -635,8 +696,13 @@ def _analyzed(t):
 
 @query
 def q_analysis_view(t):
-    """Details of every pair that ever had a status, whether or not it is a preference."""
-    requested = s.status_events(t).select(*preferences.KEY).distinct()
+    """Details of every pair that ever had an event, whether or not it is a preference."""
+    requested = (
+        s.status_events(t)
+        .select(*preferences.KEY)
+        .unionByName(s.preference_events(t).select(*preferences.KEY))
+        .distinct()
+    )
     view = preferences.analysis_view(requested, _analyzed(t), s.listings(t))
     return view.select(
         *preferences.KEY,
@@ -649,7 +715,9 @@ def q_analysis_view(t):
 
 def _comparisons(t):
     """A comparison per event: the event's listing against another named by its user."""
-    other = F.concat(F.lit("PROP#"), F.col("user_id").cast("string"))
+    other = F.when(F.col("event_type") == "purchase", "PROP#sold").otherwise(
+        F.concat(F.lit("PROP#"), F.col("user_id").cast("string"))
+    )
     own = F.concat(F.lit("PROP#"), F.get_json_object("props", "$.k"))
     ids_asked = F.when(F.col("event_type") == "view", F.array(own)).otherwise(F.array(own, other))
     return t.events.select(F.col("event_id").alias("request_id"), "user_id", ids_asked.alias("property_ids"))

@@ -185,21 +185,117 @@ def texts(t: Tables) -> DataFrame:
     """Documents opened by a phrase built from the document's own numbers."""
     n, d = F.col("n_chars").cast("string"), F.col("doc_id").cast("string")
     year = (1700 + F.col("n_chars") / 10).cast("int").cast("string")
-    phrase = (
+    lang = F.col("lang")
+    price_text = (
+        F.when(lang == "en", F.concat(F.lit("Asking $"), n, F.lit("00.50")))
+        .when(lang == "fr", F.concat(F.lit("Call for price "), n, F.lit("000")))
+        .when(lang == "de", F.concat(F.lit("$1.2."), n))
+        .otherwise(F.concat(F.lit("USD "), n, F.lit("9")))
+    )
+    facts = (
         F.when(
-            F.col("lang") == "en",
-            F.concat(F.lit("Asking $"), n, F.lit("00.50. Year Built: "), year, F.lit(". Lot 0."), d,
-                     F.lit(" acres, HOA $"), n, F.lit("/month. MLS# "), d, F.lit(". 12 days on Redfin. ")),
-        )
-        .when(
-            F.col("lang") == "fr",
-            F.concat(F.lit("Call for price. Lot size: "), n, F.lit(" sq ft, built "), year,
-                     F.lit(", 1 day on redfin, duplex. ")),
+            lang == "en",
+            F.concat(F.lit(". Year Built: "), year, F.lit(". Lot "), n, F.lit(".5 acre, HOA $"), n,
+                     F.lit("/month. MLS# "), d, F.lit(". 12 days on Redfin. ")),
         )
-        .when(F.col("lang") == "de", F.concat(F.lit("$1.2.3 Mobile home, 9"), n, F.lit(",000 ac, hoa: "), d, F.lit(". ")))
-        .otherwise(F.concat(F.lit("USD "), n, F.lit("9 single-family condo, mls "), d, F.lit(". ")))
+        .when(lang == "fr", F.concat(F.lit(". Lot size: "), n, F.lit(" sq ft, built "), year,
+                                     F.lit(", 1 day on redfin, duplex. ")))
+        .when(lang == "de", F.concat(F.lit(" Mobile home, 9"), n, F.lit(",000 ac, hoa: "), d, F.lit(". ")))
+        .otherwise(F.concat(F.lit(" single-family condo, 0."), n, F.lit(" acres, mls "), d, F.lit(". ")))
+    )
+    return t.documents.select(
+        "doc_id", "lang", price_text.alias("price_text"), F.concat(price_text, facts, "text").alias("text")
+    )
+
+
+def _or_blank(c: Column | str) -> Column:
+    c = F.col(c) if isinstance(c, str) else c
+    return F.coalesce(c.cast("string"), F.lit(""))
+
+
+def _spread(t: Tables, rows: DataFrame) -> DataFrame:
+    """All cores for the page stage: few bytes per row, but each becomes a page to parse.
+
+    Stored pages need no such thing, they are read in splits.
+    """
+    cores = t.spark.sparkContext.defaultParallelism
+    return rows.repartition(max(cores, int(t.spark.conf.get("spark.sql.shuffle.partitions"))))
+
+
+def result_pages(t: Tables) -> DataFrame:
+    """A search-result page per listing: cards, a repeated link and links that do not count."""
+    path = F.regexp_replace("listing_url", "^https://[^/]*", "")
+    html = F.concat(
+        F.lit("<html><head><title>Results</title><script>var a='<a href=\"/x/home/1\">';</script></head><body>"),
+        F.lit('<div class="bp-HomeCard"><a class="link" href="'), path, F.lit('"><b>'), "address",
+        F.lit('</b></a><span class="homecardV2Price">$'), F.format_number("price", 0),
+        F.lit('</span><a href="'), path, F.lit('">again</a></div>'),
+        F.lit('<article class="listing"><p>unit</p><a href="https://www.redfin.com'), path,
+        F.lit("/unit-1/home/7"), "mls_number", F.lit('">unit</a><p>From $'), _or_blank("hoa_fee"),
+        F.lit(',000 now</p></article><p><a href="'), path, F.lit('-b/home/77">no card</a></p>'),
+        F.lit('<a href="/about/home/9">about</a><a href="/'), "state", F.lit('/x/home/">none</a></body></html>'),
     )
-    return t.documents.select("doc_id", "lang", phrase.alias("head"), F.concat(phrase, "text").alias("text"))
+    return _spread(t, listings(t)).select(
+        F.col("mls_number").alias("crawl_id"),
+        F.lit(1).cast("bigint").alias("page_no"),
+        F.trim("city").alias("city"),
+        "state",
+        html.alias("html"),
+    )
+
+
+def detail_pages(t: Tables) -> DataFrame:
+    """A detail page per listing; which sources it has depends on the kind of listing."""
+    kind = F.col("property_type")
+
+    def meta(name: str, content: Column) -> Column:
+        return F.concat(F.lit(f'<meta name="{name}" content="'), _or_blank(content), F.lit('">'))
+
+    text_tag = "twitter:text:"
+    metas = F.concat(
+        meta(text_tag + "price", F.concat(F.lit("$"), F.format_number("price", 0))),
+        meta(text_tag + "beds", F.col("beds")),
+        meta(text_tag + "baths", F.col("baths")),
+        meta(text_tag + "sqft", F.concat(F.col("size_sqft").cast("string"), F.lit(" sq ft"))),
+        meta(text_tag + "city", F.trim("city")),
+        meta(text_tag + "description_simple", F.lit("Nice &amp;amp; big")),
+        meta("ICBM", F.concat(F.lit("12.5, -"), "mls_number")),
+    )
+    data = F.concat(
+        F.lit('<script type="application/ld+json">[{"@type":"Organization","name":"x"},{"@type":["House","Thing"],'),
+        F.lit('"name":"T '), "mls_number", F.lit('","offers":{"price":"$'), F.col("price").cast("string"),
+        F.lit('.75"},"address":{"streetAddress":"'), "address",
+        F.lit('","addressLocality":"LD City","addressRegion":"","postalCode":"99"},"mainEntity":{"yearBuilt":1980,'),
+        F.lit('"accommodationCategory":"Cabin","geo":{"latitude":1.5,"longitude":-2.5},"amenityFeature":'),
+        F.lit('[{"name":"Pool"},{"name":"2 Car Garage"},"x"],"image":["https://a/1.jpg",{"url":"https://a/2.jpg"}]}}]'),
+        F.lit('</script><script type="application/ld+json">{broken</script>'),
+    )
+    photo = F.lit("https://ssl.cdn-redfin.com/photo/1/")
+    images = F.concat(
+        F.lit('<meta property="og:image" content="'), photo, F.lit("bigphoto/"), "mls_number", F.lit('.jpg">'),
+        F.lit('<img src="'), photo, F.lit("genMid."), "mls_number", F.lit('.jpg"><img data-src="'), photo,
+        F.lit('thumb.jpg"><img src="https://other.example/bigphoto.jpg"><img src="'), photo, F.lit("bigphoto/"),
+        "mls_number", F.lit('.jpg">'),
+    )
+    body = F.concat(
+        F.lit("<style>p{}</style><p>Year&nbsp;built: 1950</p><p>Lot size: "), _or_blank("lot_size_sqft"),
+        F.lit(" sq ft</p><div>HOA&nbsp;$120/month <b>15 days</b> on Redfin</div><p>MLS# "), "mls_number",
+        F.lit(" Townhouse</p>"),
+    )
+    html = F.concat(
+        F.lit("<!DOCTYPE html><html><head><title>Home</title>"),
+        F.when(kind.isin("1-URGENT", "2-HIGH"), metas).otherwise(""),
+        F.when(kind == "1-URGENT", images).otherwise(""),
+        F.when(kind.isin("2-HIGH", "3-MEDIUM", "5-LOW"), data).otherwise(""),
+        F.lit("</head><body>"),
+        body,
+        F.lit("</body></html>"),
+    )
+    return _spread(t, listings(t)).select(
+        F.col("listing_url").alias("url"),
+        html.alias("html"),
+        F.lit(None).cast("string").alias("error"),
+    )
 
 
 # The same views for DuckDB. R2/R1 mark rounding to 2/1 decimals.
@@ -268,15 +364,17 @@ VIEWS = {
           CASE WHEN event_type = 'error' THEN 'error ' || value END AS error, ts, event_id AS seq
         FROM events WHERE event_type IN ('signup', 'purchase', 'error')""",
     "texts": """
-        SELECT doc_id, lang, head, head || text AS text FROM (
-          SELECT *, CASE lang
-            WHEN 'en' THEN 'Asking $' || n_chars || '00.50. Year Built: ' || yr || '. Lot 0.' || doc_id ||
-              ' acres, HOA $' || n_chars || '/month. MLS# ' || doc_id || '. 12 days on Redfin. '
-            WHEN 'fr' THEN 'Call for price. Lot size: ' || n_chars || ' sq ft, built ' || yr ||
-              ', 1 day on redfin, duplex. '
-            WHEN 'de' THEN '$1.2.3 Mobile home, 9' || n_chars || ',000 ac, hoa: ' || doc_id || '. '
-            ELSE 'USD ' || n_chars || '9 single-family condo, mls ' || doc_id || '. ' END AS head
-          FROM (SELECT *, CAST(trunc(1700 + n_chars / 10) AS INTEGER) AS yr FROM documents))""",
+        SELECT doc_id, lang, price_text, price_text || CASE lang
+            WHEN 'en' THEN '. Year Built: ' || yr || '. Lot ' || n_chars || '.5 acre, HOA $' || n_chars ||
+              '/month. MLS# ' || doc_id || '. 12 days on Redfin. '
+            WHEN 'fr' THEN '. Lot size: ' || n_chars || ' sq ft, built ' || yr || ', 1 day on redfin, duplex. '
+            WHEN 'de' THEN ' Mobile home, 9' || n_chars || ',000 ac, hoa: ' || doc_id || '. '
+            ELSE ' single-family condo, 0.' || n_chars || ' acres, mls ' || doc_id || '. ' END || text AS text
+        FROM (
+          SELECT *, CAST(trunc(1700 + n_chars / 10) AS INTEGER) AS yr, CASE lang
+            WHEN 'en' THEN 'Asking $' || n_chars || '00.50' WHEN 'fr' THEN 'Call for price ' || n_chars || '000'
+            WHEN 'de' THEN '$1.2.' || n_chars ELSE 'USD ' || n_chars || '9' END AS price_text
+          FROM documents)""",
     "city_stats": """
         SELECT trim(city) AS city, median(price_per_sqft) AS med, count(*) AS n
         FROM listings WHERE trim(city) <> '' AND price_per_sqft > 0 GROUP BY trim(city)""",
