@@ -9,10 +9,16 @@ from homestrata.functions.common import as_col
 from homestrata.functions.text import cut, truncate_report, verdict
 from homestrata.operators.mutate import insert_if_absent
 from homestrata.operators.ordered import first_by, latest_by
+from homestrata.schemas import struct
 
 KEY = ["user_id", "property_id"]
 IMAGES_SHOWN = 5
 
+STATE_SCHEMA = struct(
+    "user_id bigint, property_id string, preference_type string, created_at timestamp, "
+    "created_seq bigint"
+)
+
 # Columns copied into a preference, with what an unknown listing shows.
 _SUMMARY = {
     "price": 0, "city": "", "state": "", "address": "", "size_sqft": 0, "beds": 0, "baths": 0.0,

@@ -8,12 +8,23 @@ from pyspark.sql import functions as F
 from homestrata.functions.prices import pct_change
 from homestrata.operators.mutate import update_existing
 from homestrata.operators.ordered import latest_by, with_segments
+from homestrata.schemas import struct
 
 TRACKING_COLUMNS = [
     "price", "original_price", "previous_price", "last_price_change", "last_price_change_pct",
     "total_price_change", "total_price_change_pct", "price_update_count", "last_price_update",
 ]
 
+TRACKING_TYPES = [
+    "bigint", "bigint", "bigint", "bigint", "double", "bigint", "double", "bigint", "timestamp",
+]
+
+CHANGES_SCHEMA = struct(
+    "property_id string, change_no bigint, ts timestamp, price bigint, previous_price bigint, "
+    "last_price_change bigint, last_price_change_pct double, original_price bigint, "
+    "total_price_change bigint, total_price_change_pct double"
+)
+
 HISTORY_CHUNK = 1000
 
 
@@ -109,10 +120,8 @@ def apply_changes(listings: DataFrame, changes: DataFrame, now: Column) -> DataF
     Only existing listings are updated. The original price is set once, to the first
     old price. Stored tracking columns may be missing on a table never tracked.
     """
-    for name in TRACKING_COLUMNS:
+    for name, kind in zip(TRACKING_COLUMNS, TRACKING_TYPES):
         if name not in listings.columns:
-            kind = "double" if name.endswith("_pct") else "bigint"
-            kind = "timestamp" if name == "last_price_update" else kind
             listings = listings.withColumn(name, F.lit(None).cast(kind))
     stored = listings.select("property_id", "original_price", "price_update_count")
     old, new = F.col("old_price"), F.col("new_price")
@@ -163,3 +172,68 @@ def history_lists(changes: DataFrame, key: str = "property_id", chunk: int = HIS
     )
     points = F.transform("_entries", lambda e: F.struct(e["date"].alias("date"), e["price"].alias("price")))
     return lists.select(key, "chunk_no", points.alias("price_history"))
+
+
+STATE_SCHEMA = struct(
+    "property_id string, price bigint, original_price bigint, price_update_count bigint, "
+    "last_price_update timestamp"
+)
+
+
+def fold_observations(
+    state: DataFrame, batch: DataFrame, ties: list[str], target_rows: int = 5_000_000
+) -> tuple[DataFrame, DataFrame]:
+    """Price changes a batch of observations causes, and the state rows it touches.
+
+    ``state`` holds one row per listing (``STATE_SCHEMA``). The stored price takes part
+    in the replay as the listing's earliest observation, so a batch is replayed by the
+    same job as a whole log, large listings included.
+    """
+    positive = batch.select("property_id", "ts", *ties, "price").where(F.col("price") > 0)
+    at = F.struct("ts", *ties)
+    touched = positive.groupBy("property_id").agg(F.max_by("price", at).alias("_now"))
+    before = state.join(touched.select("property_id"), "property_id", "left_semi")
+    kinds = dict(positive.dtypes)
+    as_first = before.select(
+        "property_id",
+        F.lit("0001-01-01").cast("timestamp").alias("ts"),
+        *[F.lit(None).cast(kinds[t]).alias(t) for t in ties],
+        "price",
+    )
+    found = replay_changes(positive.unionByName(as_first), ties, target_rows=target_rows)
+    stored = state.select(
+        "property_id",
+        F.col("original_price").alias("_original"),
+        F.col("price_update_count").alias("_count"),
+    )
+    price = F.col("price")
+    original = F.coalesce("_original", "original_price")
+    changes = found.join(stored, "property_id", "left").select(
+        "property_id",
+        (F.col("change_no") + F.coalesce("_count", F.lit(0))).alias("change_no"),
+        "ts",
+        "price",
+        "previous_price",
+        "last_price_change",
+        "last_price_change_pct",
+        original.alias("original_price"),
+        (price - original).alias("total_price_change"),
+        pct_change(price, original).alias("total_price_change_pct"),
+    )
+    last = tracked_state(changes).select(
+        "property_id", "original_price", "price_update_count", "last_price_update"
+    )
+    unchanged = before.select(
+        "property_id",
+        F.col("original_price").alias("_original"),
+        F.col("price_update_count").alias("_count"),
+        F.col("last_price_update").alias("_updated"),
+    )
+    rows = touched.join(last, "property_id", "left").join(unchanged, "property_id", "left").select(
+        "property_id",
+        F.col("_now").alias("price"),
+        F.coalesce("original_price", "_original").alias("original_price"),
+        F.coalesce("price_update_count", "_count", F.lit(0)).cast("bigint").alias("price_update_count"),
+        F.coalesce("last_price_update", "_updated").alias("last_price_update"),
+    )
+    return changes, rows

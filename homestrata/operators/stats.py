@@ -140,8 +140,9 @@ def analysis_summary(listings: DataFrame, stats: DataFrame) -> DataFrame:
         F.count_if(has_key).alias("properties_analyzed"), F.count_if(~has_key).alias("errors")
     )
     cities = stats.agg(F.count("*").alias("cities_analyzed"))
-    # two one-row tables
-    return counted.join(F.broadcast(cities), F.lit(True), "left")
+    return counted.unionByName(cities, allowMissingColumns=True).agg(
+        *[F.max(c).alias(c) for c in ("properties_analyzed", "errors", "cities_analyzed")]
+    )
 
 
 def comparables(listings: DataFrame, per_ward: int = 200) -> DataFrame:

@@ -753,3 +753,18 @@ _add(
     "tracked",
     "observations",
 )
+
+# --- streams -----------------------------------------------------------------------
+
+ORACLES["q_stream_url_dedup"] = "SELECT DISTINCT '/home/' || l_partkey AS url FROM lineitem"
+ORACLES["q_stream_status"] = ORACLES["q_status_replay"]
+ORACLES["q_stream_price_tracking"] = ORACLES["q_price_tracking"]
+ORACLES["q_stream_pref_state"] = ORACLES["q_pref_state"]
+_add(
+    "q_stream_crawl",
+    """SELECT count(*) AS total_urls_found, count(*) FILTER (fresh) AS new_urls_tracked,
+      count(*) FILTER (NOT fresh AND NOT changed) AS existing_listings,
+      count(*) FILTER (NOT fresh AND changed) AS price_changed_listings
+    FROM (SELECT o_orderdate >= TIMESTAMP '1998-01-01' AS fresh,
+        o_orderstatus <> 'F' AND o_totalprice >= 1 AND o_orderpriority <> '3-MEDIUM' AS changed FROM orders)""",
+)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,7 +25,11 @@ from homestrata.operators import (
     stats,
 )
 from homestrata.plans import standins as s
+from homestrata.schemas import TRACKED_URLS, struct
 from homestrata.sources import html, tables
+from homestrata.sources.staging import staging_root
+from homestrata.sources.versioned import VersionedTable
+from homestrata.streaming import dedup, incremental, status
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -804,3 +809,80 @@ def q_unmatched_keys(t):
 def q_mark_processed(t):
     done = s.observations(t).where(non_blank("city").isNotNull() & (F.col("price") > 250000))
     return mutate.mark_processed(s.tracked(t), done)
+
+
+# --- streams -----------------------------------------------------------------------
+
+
+def _stream(t) -> tuple[s.StreamTables, str]:
+    """The same tables as streams, and a new folder for one stream's state and output."""
+    return s.StreamTables(t.spark, t.dir), f"{staging_root(t.spark)}/stream-{uuid.uuid4().hex}"
+
+
+@query
+def q_stream_url_dedup(t):
+    """URLs of all lines as they stream by, each once."""
+    source, folder = _stream(t)
+    seen = source.lineitem.select(
+        F.concat(F.lit("/home/"), F.col("l_partkey").cast("string")).alias("url"),
+        F.col("l_shipdate").alias("ts"),
+    )
+    schema = struct("url string, ts timestamp")
+    table = VersionedTable(t.spark, f"{folder}/urls", schema, ["url"])
+    stream = dedup.first_seen_stream(seen, within="3650 days")
+    incremental.run_available(stream, incremental.write_versions(table), f"{folder}/checkpoint")
+    return table.read().select("url")
+
+
+@query
+def q_stream_status(t):
+    source, folder = _stream(t)
+    table = VersionedTable(t.spark, f"{folder}/status", status.OUTPUT, preferences.KEY)
+    stream = status.status_stream(s.status_events(source))
+    incremental.run_available(stream, incremental.write_versions(table), f"{folder}/checkpoint", "update")
+    return table.read()
+
+
+@query
+def q_stream_price_tracking(t):
+    source, folder = _stream(t)
+    state = VersionedTable(t.spark, f"{folder}/state", pricing.STATE_SCHEMA, ["property_id"])
+    changes = VersionedTable(
+        t.spark, f"{folder}/changes", pricing.CHANGES_SCHEMA, ["property_id", "change_no"]
+    )
+    handle = incremental.track_prices(state, changes, s.PRICE_TIES)
+    incremental.run_available(s.price_observations(source), handle, f"{folder}/checkpoint")
+    return pricing.tracked_state(changes.read())
+
+
+@query
+def q_stream_pref_state(t):
+    source, folder = _stream(t)
+    table = VersionedTable(t.spark, f"{folder}/preferences", preferences.STATE_SCHEMA, preferences.KEY)
+    handle = incremental.track_preferences(table)
+    incremental.run_available(s.preference_events(source), handle, f"{folder}/checkpoint")
+    return table.read().drop("created_seq")
+
+
+@query
+def q_stream_crawl(t):
+    """Summary of collector runs over a stream of result-page observations."""
+    source, folder = _stream(t)
+    known = s.known(t).select("property_id", "sort_key", "listing_url", "price", "analysis_date")
+    for name, kind in zip(pricing.TRACKING_COLUMNS[1:], pricing.TRACKING_TYPES[1:]):
+        known = known.withColumn(name, F.lit(None).cast(kind))
+    listings = VersionedTable(t.spark, f"{folder}/listings", known.schema, ["property_id"])
+    listings.write(known, 0)
+    tracked = VersionedTable(t.spark, f"{folder}/tracked", TRACKED_URLS, ["url"])
+    before = s.order_observations(t).where(F.col("ts") < F.lit(s.TRACKED_UNTIL))
+    tracked.write(collect.tracking_rows(before), 0)
+    runs = struct(
+        "total_urls_found bigint, new_urls_tracked bigint, existing_listings bigint, "
+        "price_changed_listings bigint, run bigint"
+    )
+    summaries = VersionedTable(t.spark, f"{folder}/runs", runs, ["run"])
+    pipeline = incremental.crawl_pipeline(tracked, listings, summaries)
+    incremental.run_available(
+        s.order_observations(source), lambda batch, epoch: pipeline(batch, epoch + 1), f"{folder}/checkpoint"
+    )
+    return summaries.read().drop("run")

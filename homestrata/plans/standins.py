@@ -33,6 +33,17 @@ class Tables:
         return self.spark.read.parquet(f"{self.dir}/{name}.parquet")
 
 
+class StreamTables(Tables):
+    """The same tables read as streams of files; every view works on either."""
+
+    def __getattr__(self, name: str) -> DataFrame:
+        if name.startswith("_"):
+            raise AttributeError(name)
+        schema = super().__getattr__(name).schema
+        files = self.spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet")
+        return files.parquet(self.dir)
+
+
 def _utc(c: str) -> Column:
     return F.col(c).cast("timestamp")
 
@@ -117,6 +128,24 @@ def observations(t: Tables) -> DataFrame:
     )
 
 
+def order_observations(t: Tables) -> DataFrame:
+    """Observations from orders alone, without the joins a stream could not make.
+
+    Orders of a status other than 'F' show a price 1000 above the stored one.
+    """
+    key = F.col("o_orderkey").cast("string")
+    price = F.floor("o_totalprice")
+    return t.orders.select(
+        F.lit("crawl").alias("crawl_id"),
+        F.col("o_orderkey").alias("page_no"),
+        F.lit(0).alias("pos"),
+        F.concat(F.lit("https://www.redfin.com/x/home/"), key).alias("url"),
+        F.when(F.col("o_orderstatus") == "F", price).otherwise(price + 1000).alias("price"),
+        F.lit(None).cast("string").alias("city"),
+        _utc("o_orderdate").alias("ts"),
+    )
+
+
 def crawl_pages(t: Tables) -> DataFrame:
     """One result page per order; a crawl is a customer's orders."""
     timed_out = (F.col("o_orderstatus") == "P") & (F.col("o_orderpriority") == "5-LOW")

@@ -9,16 +9,21 @@ from __future__ import annotations
 
 import html
 import re
+import sys
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from homestrata.schemas import struct
 
+# The stage travels to the workers by value: they need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 CANDIDATES = struct(
     "text string, metas map<string,string>, ld_json array<string>, images nested, links nested",
     images=T.ArrayType(struct("kind string, url string")),

@@ -1,0 +1,57 @@
+"""Tables that grow by versions of changed rows.
+
+Parquet files cannot be updated in place, so every change writes its rows under a new
+version and reading takes the newest row per key. A version is written by exactly one
+batch and overwritten when that batch is retried, so a lost executor or driver repeats
+work but never adds rows twice.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from homestrata.operators.ordered import latest_by
+
+_FIRST = -1
+
+
+class VersionedTable:
+    """Rows by key under ``path/version=<n>``; ``_deleted`` rows end a key."""
+
+    def __init__(self, spark: SparkSession, path: str, schema: T.StructType, keys: list[str]) -> None:
+        self.spark, self.path, self.keys = spark, path.rstrip("/"), keys
+        self.schema = schema
+        self._stored = T.StructType([*schema.fields, T.StructField("_deleted", T.BooleanType())])
+        empty = spark.createDataFrame([], self._stored)
+        empty.write.mode("ignore").parquet(self._dir(_FIRST))
+
+    def _dir(self, version: int) -> str:
+        return f"{self.path}/version={version}"
+
+    def versions(self, before: int | None = None) -> DataFrame:
+        """All stored rows with their version; older versions only are read when asked."""
+        schema = T.StructType([*self._stored.fields, T.StructField("version", T.LongType())])
+        rows = self.spark.read.schema(schema).option("basePath", self.path).parquet(self.path)
+        return rows if before is None else rows.where(F.col("version") < before)
+
+    def read(self, before: int | None = None) -> DataFrame:
+        """Newest row per key, deleted keys left out."""
+        newest = latest_by(self.versions(before), self.keys, ["version"])
+        alive = newest.where(~F.coalesce("_deleted", F.lit(False)))
+        return alive.select(*self.schema.fieldNames())
+
+    def write(self, rows: DataFrame, version: int, deleted: DataFrame | None = None) -> None:
+        """Store changed rows, and the keys to end, as one version."""
+        out = rows.select(*self.schema.fieldNames()).withColumn("_deleted", F.lit(False))
+        if deleted is not None:
+            gone = deleted.select(*self.keys).distinct().withColumn("_deleted", F.lit(True))
+            out = out.unionByName(gone, allowMissingColumns=True)
+        out.write.mode("overwrite").parquet(self._dir(version))
+
+    def compact_to(self, path: str) -> VersionedTable:
+        """The current rows as the only version of a new table."""
+        rows = self.read().withColumn("_deleted", F.lit(False))
+        rows.write.mode("errorifexists").parquet(f"{path.rstrip('/')}/version={_FIRST}")
+        return VersionedTable(self.spark, path, self.schema, self.keys)

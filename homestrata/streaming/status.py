@@ -1,0 +1,82 @@
+"""Analysis status over a stream of status events, as a stateful operator."""
+
+from __future__ import annotations
+
+import sys
+from collections.abc import Iterator
+
+import pandas as pd
+from pyspark import cloudpickle
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+
+from homestrata.schemas import struct
+
+# The state function travels to the workers by value: they need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+ERROR_KEPT = 500
+
+OUTPUT = struct(
+    "user_id bigint, property_id string, analysis_status string, status_at timestamp, "
+    "analysis_completed_at timestamp, retry_count bigint, last_error string"
+)
+_STATE = struct(
+    "status string, at bigint, seq bigint, completed bigint, failures bigint, error string, "
+    "error_at bigint, error_seq bigint"
+)
+
+
+def _fold(key: tuple, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    """Merge the events of one pair into its state.
+
+    Every part of the state is a maximum or a count, so chunks may come in any order
+    and only one is held at a time, however many events a pair has.
+    """
+    if state.exists:
+        status, at, seq, completed, failures, error, error_at, error_seq = state.get
+    else:
+        status, at, seq, completed, failures, error, error_at, error_seq = (
+            None, -(2**62), -1, None, 0, None, -(2**62), -1,
+        )
+    for chunk in chunks:
+        ordered = chunk.sort_values(["at", "seq"])
+        last = ordered.iloc[-1]
+        if (last["at"], last["seq"]) > (at, seq):
+            status, at, seq = last["status"], int(last["at"]), int(last["seq"])
+        done = ordered.loc[ordered["status"] == "completed", "at"]
+        if len(done):
+            completed = max(int(done.iloc[-1]), -(2**62) if completed is None else completed)
+        failed = ordered[ordered["status"] == "failed"]
+        failures += len(failed)
+        if len(failed):
+            worst = failed.iloc[-1]
+            if (worst["at"], worst["seq"]) > (error_at, error_seq):
+                error, error_at, error_seq = worst["error"], int(worst["at"]), int(worst["seq"])
+    state.update((status, at, seq, completed, failures, error, error_at, error_seq))
+
+    def moment(micros):
+        return pd.NaT if micros is None else pd.Timestamp(micros, unit="us")
+
+    yield pd.DataFrame(
+        {
+            "user_id": [key[0]],
+            "property_id": [key[1]],
+            "analysis_status": [status],
+            "status_at": [moment(at)],
+            "analysis_completed_at": [moment(completed)],
+            "retry_count": [failures],
+            "last_error": [None if error is None else error[:ERROR_KEPT]],
+        }
+    )
+
+
+def status_stream(events: DataFrame) -> DataFrame:
+    """Current status per pair, updated as (user_id, property_id, status, error, ts, seq) arrive."""
+    rows = events.select(
+        "user_id", "property_id", "status", "error", F.unix_micros("ts").alias("at"), "seq"
+    )
+    return rows.groupBy("user_id", "property_id").applyInPandasWithState(
+        _fold, OUTPUT, _STATE, "update", GroupStateTimeout.NoTimeout
+    )
