@@ -8,10 +8,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from homestrata.functions.prices import discount_pct, price_per_acre
+from homestrata.schemas import LISTING_ANALYSIS
 from homestrata.sources.staging import stage
 
 _BINS_PER_OCTAVE = 64
 
+# Columns an analysis sets.
+ENRICHMENT = LISTING_ANALYSIS.fieldNames()
+
 
 def _bin(value: Column) -> Column:
     """Order-preserving bin of a number, about one percent wide at any magnitude."""
@@ -105,7 +109,7 @@ def enrich(listings: DataFrame, stats: DataFrame, as_of: dt.datetime) -> DataFra
     """
     psf = F.coalesce(F.col("price_per_sqft"), F.lit(0.0))
     median = F.coalesce(F.col("median_price_per_sqft"), psf)
-    base = [c for c in listings.columns if c != "analysis_date"]
+    base = [c for c in listings.columns if c not in ENRICHMENT]
     joined = listings.withColumn("_city", F.trim("city")).join(
         stats.withColumnRenamed("city", "_city"), "_city", "left"
     )

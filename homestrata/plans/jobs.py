@@ -16,11 +16,6 @@ from homestrata.site import DEFAULT_SITE, SiteRules
 from homestrata.sources.staging import stage
 from homestrata.sources.tables import current_listings, unprocessed_batch, unprocessed_urls, write_summary
 
-ENRICHMENT = [
-    "price_per_acre", "city_median_price_per_sqft", "city_discount_pct", "city_property_count",
-    "last_analyzed", "analysis_date",
-]
-
 
 def _write(df: DataFrame, path: str) -> None:
     df.write.mode("errorifexists").parquet(path)
@@ -95,7 +90,7 @@ def analyze_job(listings: DataFrame, out: str, as_of: dt.datetime, max_propertie
     enriched = stats.enrich(chosen, medians, as_of)
     if max_properties > 0:
         result = mutate.upsert_partial(
-            listings, enriched.select("property_id", *ENRICHMENT), ["property_id"], ENRICHMENT
+            listings, enriched.select("property_id", *stats.ENRICHMENT), ["property_id"], stats.ENRICHMENT
         )
     else:
         others = listings.where(~F.col("sort_key").eqNullSafe("META"))
