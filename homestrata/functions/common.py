@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_SPLITTER = 134217729.0  # 2**27 + 1, splits a double into two 26-bit halves
-
 
 def as_col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -41,21 +39,9 @@ def round_exact(x: Column | str, digits: int = 2) -> Column:
     """Round the exact binary value of a double, ties to even.
 
     ``F.round`` rounds the shortest decimal rendering instead (1.005 -> 1.01), so it is
-    off by a cent now and then. Here the rounding error of ``x * 10**digits`` is
-    recovered exactly by splitting ``x`` (Dekker's product) and only used where the
-    product sits on a tie. Plain double arithmetic, so it stays in codegen.
+    off by a cent now and then. Number formatting works on the exact value; the text is
+    read back as the nearest double. 0.0 is added so that no -0.0 comes out.
     """
-    x = as_col(x).cast("double")
-    scale = float(10**digits)
-    size = F.abs(x)
-    product = size * scale
-    shifted = size * _SPLITTER
-    high = shifted - (shifted - size)
-    error = (high * scale - product) + (size - high) * scale
-    whole = F.floor(product)
-    fraction = product - whole
-    odd = whole % 2 == 1
-    up = (fraction > 0.5) | ((fraction == 0.5) & ((error > 0) | ((error == 0) & odd)))
-    rounded = (whole + F.when(up, 1).otherwise(0)).cast("double") / scale
-    # 0.0 is added so that a small negative does not come out as -0.0
-    return F.when(size < 2.0**52 / scale, F.signum(x) * rounded + 0.0).otherwise(x)
+    pattern = "0." + "0" * digits if digits else "0"
+    shown = F.call_function("format_number", as_col(x).cast("double"), F.lit(pattern))
+    return shown.cast("double") + 0.0

@@ -1 +1,4 @@
-"""Table-level operators; all are DataFrame -> DataFrame and run nothing themselves."""
+"""Table-level operators, DataFrame -> DataFrame.
+
+They build plans; the few that stage a small intermediate result first say so.
+"""

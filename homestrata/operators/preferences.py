@@ -12,6 +12,11 @@ from homestrata.operators.ordered import first_by, latest_by
 from homestrata.schemas import struct
 
 KEY = ["user_id", "property_id"]
+
+STATUS_STATE = struct(
+    "user_id bigint, property_id string, status string, ts timestamp, seq bigint, "
+    "completed_at timestamp, failures bigint, error string, error_ts timestamp, error_seq bigint"
+)
 IMAGES_SHOWN = 5
 
 STATE_SCHEMA = struct(
@@ -51,22 +56,61 @@ def replay_preferences(events: DataFrame) -> DataFrame:
     )
 
 
-def status_totals(events: DataFrame) -> DataFrame:
-    """Per pair, what its status log (status, error, ts, seq) adds up to; mergeable."""
-    at = F.struct("ts", "seq")
+def status_parts(events: DataFrame) -> DataFrame:
+    """Each status event (status, error, ts, seq) as the state it alone would leave."""
     failed = F.col("status") == "failed"
-    return events.groupBy(*KEY).agg(
-        F.max_by("status", at).alias("analysis_status"),
-        F.max("ts").alias("status_at"),
-        F.max(F.when(F.col("status") == "completed", F.col("ts"))).alias("analysis_completed_at"),
-        F.count_if(failed).alias("retry_count"),
-        F.max_by("error", F.when(failed, at)).alias("last_error"),
+    return events.select(
+        *KEY,
+        "status",
+        "ts",
+        "seq",
+        F.when(F.col("status") == "completed", F.col("ts")).alias("completed_at"),
+        F.when(failed, 1).otherwise(0).cast("bigint").alias("failures"),
+        F.when(failed, cut("error")).alias("error"),
+        F.when(failed, F.col("ts")).alias("error_ts"),
+        F.when(failed, F.col("seq")).alias("error_seq"),
+    )
+
+
+def merge_status(parts: DataFrame) -> DataFrame:
+    """State per pair from the states of any split of its events, in any order."""
+    at = F.struct("ts", "seq")
+    error_at = F.when(F.col("error_ts").isNotNull(), F.struct("error_ts", "error_seq"))
+    merged = parts.groupBy(*KEY).agg(
+        F.max_by("status", at).alias("status"),
+        F.max(at).alias("_at"),
+        F.max("completed_at").alias("completed_at"),
+        F.sum("failures").alias("failures"),
+        F.max_by("error", error_at).alias("error"),
+        F.max(error_at).alias("_error_at"),
+    )
+    return merged.select(
+        *KEY,
+        "status",
+        "_at.ts",
+        "_at.seq",
+        "completed_at",
+        "failures",
+        "error",
+        "_error_at.error_ts",
+        "_error_at.error_seq",
+    )
+
+
+def status_view(state: DataFrame) -> DataFrame:
+    return state.select(
+        *KEY,
+        F.col("status").alias("analysis_status"),
+        F.col("ts").alias("status_at"),
+        F.col("completed_at").alias("analysis_completed_at"),
+        F.col("failures").alias("retry_count"),
+        F.col("error").alias("last_error"),
     )
 
 
 def replay_status(events: DataFrame) -> DataFrame:
     """Latest analysis status per pair, with the number of failures and the last one."""
-    return status_totals(events).withColumn("last_error", cut("last_error"))
+    return status_view(merge_status(status_parts(events)))
 
 
 def listing_summary(alias: str = "") -> Column:

@@ -27,30 +27,30 @@ def exact_medians(rows: DataFrame, group: str, value: str) -> DataFrame:
     """Exact middle values per group: (group, lower, upper, n).
 
     ``lower`` and ``upper`` are the sorted values at (n-1)//2 and n//2. One group may
-    hold a large share of all rows, so no task ever sees a whole group:
+    hold a large share of all rows, so rows are neither collected nor shuffled by group:
 
-    * equal values are counted first, spread by (group, value);
-    * counts per bin (a few thousand per group at most) locate the bins holding the
-      two middle ranks;
-    * only the values of those bins are ranked.
+    * a first pass counts rows per bin, combined before the exchange to a few thousand
+      counts per group at most, and finds the bins holding the two middle ranks;
+    * a second pass keeps only the rows in those bins (about one in a hundred), counts
+      equal values, and ranks what is left.
+
+    The bins found are staged, so the second pass filters by a broadcast while they are
+    few, and joins by (group, bin) when there are too many groups for that.
     """
-    counted = (
-        rows.groupBy(group, F.col(value).cast("double").alias("_v"))
-        .agg(F.count("*").alias("_c"))
-        .withColumn("_bin", _bin(F.col("_v")))
-    )
-    whole = Window.partitionBy(group)
-    up_to = whole.orderBy("_bin").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    binned = rows.select(group, F.col(value).cast("double").alias("_v")).withColumn("_bin", _bin(F.col("_v")))
     low, high = F.floor((F.col("_n") - 1) / 2), F.floor(F.col("_n") / 2)
     start, end = F.col("_start"), F.col("_end")
 
     def holds(rank: Column) -> Column:
         return (start <= rank) & (rank < end)
 
+    whole = Window.partitionBy(group).orderBy("_bin")
+    up_to = whole.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    total = whole.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     bins = (
-        counted.groupBy(group, "_bin")
-        .agg(F.sum("_c").alias("_c"))
-        .withColumn("_n", F.sum("_c").over(whole))
+        binned.groupBy(group, "_bin")
+        .agg(F.count("*").alias("_c"))
+        .withColumn("_n", F.sum("_c").over(total))
         .withColumn("_end", F.sum("_c").over(up_to))
         .withColumn("_start", end - F.col("_c"))
         .where(holds(low) | holds(high))
@@ -62,7 +62,9 @@ def exact_medians(rows: DataFrame, group: str, value: str) -> DataFrame:
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     return (
-        counted.join(bins, [group, "_bin"])
+        binned.join(stage(bins, "median-bins"), [group, "_bin"])
+        .groupBy(group, "_bin", "_v", "_n", "_before")
+        .agg(F.count("*").alias("_c"))
         .withColumn("_end", F.col("_before") + F.sum("_c").over(in_bin))
         .withColumn("_start", end - F.col("_c"))
         .groupBy(group)

@@ -758,6 +758,7 @@ _add(
 
 ORACLES["q_stream_url_dedup"] = "SELECT DISTINCT '/home/' || l_partkey AS url FROM lineitem"
 ORACLES["q_stream_status"] = ORACLES["q_status_replay"]
+ORACLES["q_stream_status_keyed"] = ORACLES["q_status_replay"]
 ORACLES["q_stream_price_tracking"] = ORACLES["q_price_tracking"]
 ORACLES["q_stream_pref_state"] = ORACLES["q_pref_state"]
 _add(

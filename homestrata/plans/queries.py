@@ -27,7 +27,7 @@ from homestrata.operators import (
 from homestrata.plans import standins as s
 from homestrata.schemas import TRACKED_URLS, struct
 from homestrata.sources import html, tables
-from homestrata.sources.staging import staging_root
+from homestrata.sources.staging import stage, staging_root
 from homestrata.sources.versioned import VersionedTable
 from homestrata.streaming import dedup, incremental, status
 
@@ -40,6 +40,11 @@ def query(fn: Callable[[s.Tables], DataFrame]) -> Callable[[s.Tables], DataFrame
     return fn
 
 
+def _listing_table(t: s.Tables) -> DataFrame:
+    """The listing view as a stored table, for jobs that read listings more than once."""
+    return stage(s.listings(t), "listings")
+
+
 # --- scans, lookups, sinks ---------------------------------------------------------
 
 
@@ -323,7 +328,7 @@ def q_price_per_acre(t):
 
 @query
 def q_market_position(t):
-    enriched = stats.analyze(s.listings(t), s.AS_OF)
+    enriched = stats.analyze(_listing_table(t), s.AS_OF)
     return enriched.select(
         "property_id",
         prices.discount_bucket("city_discount_pct").alias("bucket"),
@@ -334,7 +339,7 @@ def q_market_position(t):
 
 @query
 def q_discount_class(t):
-    enriched = stats.analyze(s.listings(t), s.AS_OF)
+    enriched = stats.analyze(_listing_table(t), s.AS_OF)
     return enriched.select("property_id", prices.discount_class("city_discount_pct").alias("discount_class"))
 
 
@@ -571,24 +576,25 @@ def q_zero_price(t):
 
 @query
 def q_city_stats(t):
-    return stats.city_stats(s.listings(t))
+    return stats.city_stats(_listing_table(t))
 
 
 @query
 def q_enrich(t):
     """Flagship: every listing with unit prices and its discount to the city median."""
-    return stats.analyze(s.listings(t), s.AS_OF).drop("image_urls", "last_analyzed")
+    return stats.analyze(_listing_table(t), s.AS_OF).drop("image_urls", "last_analyzed")
 
 
 @query
 def q_analyze_limit(t):
-    enriched = stats.analyze(s.listings(t), s.AS_OF, max_properties=500)
+    enriched = stats.analyze(_listing_table(t), s.AS_OF, max_properties=500)
     return enriched.select("property_id", "city_median_price_per_sqft", "city_property_count")
 
 
 @query
 def q_analysis_summary(t):
-    return stats.analysis_summary(s.listings(t), stats.city_stats(s.listings(t)))
+    listed = _listing_table(t)
+    return stats.analysis_summary(listed, stats.city_stats(listed))
 
 
 def _wards(t):
@@ -733,12 +739,13 @@ def _comparison_items(t):
 
 
 def _enriched_listings(t):
-    return stats.analyze(s.listings(t), s.AS_OF)
+    return stats.analyze(_listing_table(t), s.AS_OF)
 
 
 @query
 def q_compare_valid(t):
-    return compare.comparison_gate(_comparison_items(t))
+    items = compare.comparison_items(_comparisons(t), s.listings(t), _analyzed(t))
+    return compare.comparison_gate(items)
 
 
 @query
@@ -836,6 +843,15 @@ def q_stream_url_dedup(t):
 
 @query
 def q_stream_status(t):
+    source, folder = _stream(t)
+    table = VersionedTable(t.spark, f"{folder}/status", preferences.STATUS_STATE, preferences.KEY)
+    handle = incremental.track_status(table)
+    incremental.run_available(s.status_events(source), handle, f"{folder}/checkpoint")
+    return preferences.status_view(table.read())
+
+
+@query
+def q_stream_status_keyed(t):
     source, folder = _stream(t)
     table = VersionedTable(t.spark, f"{folder}/status", status.OUTPUT, preferences.KEY)
     stream = status.status_stream(s.status_events(source))

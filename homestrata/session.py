@@ -39,6 +39,8 @@ def build_session(app_name: str = "homestrata", cores: int | str = "*", **conf:
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", os.environ.get("HOMESTRATA_DRIVER_MEMORY", "12g"))
         .config("spark.sql.shuffle.partitions", "8")
+        # small local tables: keep all cores busy after a shuffle
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "128k")
     )
     for key, value in {**RUNTIME_CONF, **conf}.items():
         builder = builder.config(key, value)

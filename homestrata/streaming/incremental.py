@@ -15,7 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from homestrata.operators import collect, pricing
 from homestrata.operators.ordered import first_by
-from homestrata.operators.preferences import KEY, replay_preferences
+from homestrata.operators.preferences import KEY, merge_status, replay_preferences, status_parts
 from homestrata.sources.staging import stage
 from homestrata.sources.versioned import VersionedTable
 
@@ -92,6 +92,17 @@ def track_preferences(preferences: VersionedTable) -> Callable[[DataFrame, int],
     return handle
 
 
+def track_status(state: VersionedTable) -> Callable[[DataFrame, int], None]:
+    """Fold status events into the stored state; all of it combines on the map side."""
+
+    def handle(batch: DataFrame, epoch: int) -> None:
+        parts = status_parts(batch)
+        stored = state.read(before=epoch).join(parts.select(*KEY).distinct(), KEY, "left_semi")
+        state.write(merge_status(parts.unionByName(stored)), epoch)
+
+    return handle
+
+
 def crawl_pipeline(
     tracked: VersionedTable, listings: VersionedTable, summaries: VersionedTable
 ) -> Callable[[DataFrame, int], None]:

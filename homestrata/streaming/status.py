@@ -1,10 +1,15 @@
-"""Analysis status over a stream of status events, as a stateful operator."""
+"""Analysis status over a stream of status events, as a keyed stateful operator.
+
+For results that must be there as events arrive. It calls Python once per pair and
+batch, so ``incremental.track_status`` is the one to use for throughput.
+"""
 
 from __future__ import annotations
 
 import sys
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
@@ -41,19 +46,21 @@ def _fold(key: tuple, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iter
             None, -(2**62), -1, None, 0, None, -(2**62), -1,
         )
     for chunk in chunks:
-        ordered = chunk.sort_values(["at", "seq"])
-        last = ordered.iloc[-1]
-        if (last["at"], last["seq"]) > (at, seq):
-            status, at, seq = last["status"], int(last["at"]), int(last["seq"])
-        done = ordered.loc[ordered["status"] == "completed", "at"]
+        kinds, errors = chunk["status"].to_numpy(), chunk["error"].to_numpy()
+        times, seqs = chunk["at"].to_numpy(), chunk["seq"].to_numpy()
+        order = np.lexsort((seqs, times))
+        last = order[-1]
+        if (times[last], seqs[last]) > (at, seq):
+            status, at, seq = kinds[last], int(times[last]), int(seqs[last])
+        done = times[kinds == "completed"]
         if len(done):
-            completed = max(int(done.iloc[-1]), -(2**62) if completed is None else completed)
-        failed = ordered[ordered["status"] == "failed"]
+            completed = int(done.max()) if completed is None else max(int(done.max()), completed)
+        failed = order[kinds[order] == "failed"]
         failures += len(failed)
         if len(failed):
-            worst = failed.iloc[-1]
-            if (worst["at"], worst["seq"]) > (error_at, error_seq):
-                error, error_at, error_seq = worst["error"], int(worst["at"]), int(worst["seq"])
+            worst = failed[-1]
+            if (times[worst], seqs[worst]) > (error_at, error_seq):
+                error, error_at, error_seq = errors[worst], int(times[worst]), int(seqs[worst])
     state.update((status, at, seq, completed, failures, error, error_at, error_seq))
 
     def moment(micros):

@@ -82,6 +82,10 @@ def test_status_stream_equals_batch(spark, tmp_path, as_stream):
     stream = as_stream(df, 3, [F.hash("seq")])
     incremental.run_available(status.status_stream(stream), incremental.write_versions(table), str(tmp_path / "cp"), "update")
     same(table.read(), preferences.replay_status(df))
+    state = VersionedTable(spark, str(tmp_path / "s"), preferences.STATUS_STATE, preferences.KEY)
+    folded = as_stream(df, 3, [F.hash("seq")], name="again")
+    incremental.run_available(folded, incremental.track_status(state), str(tmp_path / "cp2"))
+    same(preferences.status_view(state.read()), preferences.replay_status(df))
 
 
 def test_dedup_stream(spark, tmp_path, as_stream):
