@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from homestrata.sources.staging import stage
+
 
 def _pick(rows: DataFrame, keys: list[str], order: list[Column | str], pick) -> DataFrame:
     values = [c for c in rows.columns if c not in keys]
@@ -28,39 +30,36 @@ def latest_by(rows: DataFrame, keys: list[str], order: list[Column | str]) -> Da
     return _pick(rows, keys, order, F.max_by)
 
 
-def with_segments(
+def large_key_segments(
     rows: DataFrame, key: str, ts: str, target_rows: int = 5_000_000, grain: str = "day"
-) -> DataFrame:
-    """Add ``segment``: 0 for ordinary keys, increasing over time within a large key.
+) -> DataFrame | None:
+    """Where to cut keys of more than ``target_rows`` rows: (key, unit, segment).
 
-    Keys over ``target_rows`` are cut at ``grain`` boundaries into segments of about
-    that size, so that a window over (key, segment) has bounded groups. Exact counts,
-    hence the same segments on every run and every retry.
+    ``unit`` is ``ts`` truncated to ``grain``, the finest cut there is; ``segment``
+    increases over time and holds about ``target_rows`` rows. None when no key is that
+    large, which is the rule, so that callers can plan without cuts.
 
-    The cut table holds one row per large key and one date per cut: at most
-    ``rows / target_rows`` keys and twice as many dates (200,000 keys for a trillion
-    rows), which bounds what is broadcast.
+    Counts are exact and staged: every use sees the same cuts, on retries as well.
     """
-    large = (
-        rows.groupBy(key).agg(F.count("*").alias("_n")).where(F.col("_n") > target_rows).select(key)
-    )
-    by_time = Window.partitionBy(key).orderBy("_t")
+    totals = rows.groupBy(key).agg(F.count("*").alias("_n"))
+    large = stage(totals.where(F.col("_n") > target_rows).select(key), "large-keys")
+    if large.isEmpty():
+        return None
+    by_time = Window.partitionBy(key).orderBy("unit")
     cuts = (
-        rows.join(F.broadcast(large), key, "left_semi")
-        .groupBy(key, F.date_trunc(grain, ts).alias("_t"))
+        rows.join(large, key, "left_semi")
+        .groupBy(key, F.date_trunc(grain, ts).alias("unit"))
         .agg(F.count("*").alias("_n"))
         .withColumn("_before", F.sum("_n").over(by_time) - F.col("_n"))
-        .withColumn("_part", F.floor(F.col("_before") / target_rows))
-        .groupBy(key, "_part")
-        .agg(F.min("_t").alias("_start"))
-        .where(F.col("_part") > 0)
-        .groupBy(key)
-        .agg(F.collect_list("_start").alias("_starts"))
-    )
-    starts_passed = F.size(F.filter("_starts", lambda s: s <= F.date_trunc(grain, F.col(ts))))
-    return (
-        rows.join(F.broadcast(cuts), key, "left")
-        .withColumn("segment", F.when(F.col("_starts").isNull(), 0).otherwise(starts_passed))
-        .withColumn("segmented", F.col("_starts").isNotNull())
-        .drop("_starts")
+        .select(key, "unit", F.floor(F.col("_before") / target_rows).alias("segment"))
     )
+    return stage(cuts, "segments")
+
+
+def with_segments(rows: DataFrame, segments: DataFrame, key: str, ts: str, grain: str = "day") -> DataFrame:
+    """Add ``segment``: NULL for ordinary keys, increasing over time within a large one.
+
+    Joined by key and time unit, so a large key is spread over its units.
+    """
+    units = segments.withColumnRenamed("unit", "_unit")
+    return rows.withColumn("_unit", F.date_trunc(grain, ts)).join(units, [key, "_unit"], "left").drop("_unit")

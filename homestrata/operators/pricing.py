@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from homestrata.functions.prices import pct_change
 from homestrata.operators.mutate import update_existing
-from homestrata.operators.ordered import latest_by, with_segments
+from homestrata.operators.ordered import large_key_segments, latest_by, with_segments
 from homestrata.schemas import struct
 
 TRACKING_COLUMNS = [
@@ -46,21 +46,16 @@ def replay_changes(
     no task replays such a listing alone.
     """
     positive = observations.select(key, ts, *ties, "price").where(F.col("price") > 0)
-    cut = with_segments(positive, key, ts, target_rows)
-    ordered = Window.partitionBy(key, "segment").orderBy(ts, *ties)
-    so_far = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-
-    # runs of equal prices collapse to their first observation
-    runs = (
-        cut.withColumn("_prev", F.lag("price").over(ordered))
-        .where(F.col("_prev").isNull() | (F.col("_prev") != F.col("price")))
-        .withColumn("_run", F.row_number().over(ordered) - 1)
-        .withColumn("_first", F.first("price").over(so_far))
-    )
+    segments = large_key_segments(positive, key, ts, target_rows)
+    if segments is None:
+        runs = _price_runs(positive, [key], [ts, *ties])
+        return _changes_of(runs, key, ts, F.col("_prev"), F.col("_run"), F.col("_first"))
+    cut = with_segments(positive, segments, key, ts)
+    runs = _price_runs(cut, [key, "segment"], [ts, *ties])
 
     # what each later segment of a large listing needs to know about the ones before
     per_segment = (
-        runs.where("segmented")
+        runs.where(F.col("segment").isNotNull())
         .groupBy(key, "segment")
         .agg(
             F.min_by("price", "_run").alias("_head"),
@@ -78,13 +73,27 @@ def replay_changes(
         .where(F.col("_left").isNotNull())
         .select(key, "segment", "_left", "_step", "_done", "_origin")
     )
-
     joined = runs.join(carried, [key, "segment"], "left")
     previous = F.coalesce("_prev", "_left")
     number = F.col("_run") + F.coalesce(F.col("_done") + F.col("_step"), F.lit(0))
-    original = F.coalesce("_origin", "_first")
+    return _changes_of(joined, key, ts, previous, number, F.coalesce("_origin", "_first"))
+
+
+def _price_runs(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """First observation of every run of equal prices, numbered from 0, in one window."""
+    ordered = Window.partitionBy(*keys).orderBy(*order)
+    so_far = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return (
+        rows.withColumn("_prev", F.lag("price").over(ordered))
+        .where(F.col("_prev").isNull() | (F.col("_prev") != F.col("price")))
+        .withColumn("_run", F.row_number().over(ordered) - 1)
+        .withColumn("_first", F.first("price").over(so_far))
+    )
+
+
+def _changes_of(runs: DataFrame, key: str, ts: str, previous: Column, number: Column, original: Column) -> DataFrame:
     price = F.col("price")
-    return joined.where(previous != price).select(
+    return runs.where(previous != price).select(
         key,
         number.cast("bigint").alias("change_no"),
         F.col(ts).alias("ts"),
@@ -124,6 +133,9 @@ def apply_changes(listings: DataFrame, changes: DataFrame, now: Column) -> DataF
         if name not in listings.columns:
             listings = listings.withColumn(name, F.lit(None).cast(kind))
     stored = listings.select("property_id", "original_price", "price_update_count")
+    # one listing may be advertised under several URLs in one round; one change is made
+    by = ["url", "new_price"] if "url" in changes.columns else ["new_price"]
+    changes = latest_by(changes, ["property_id"], by)
     old, new = F.col("old_price"), F.col("new_price")
     original = F.coalesce("original_price", old)
     updates = changes.join(stored, "property_id").select(

@@ -12,18 +12,57 @@ from homestrata.schemas import LISTING_ANALYSIS
 from homestrata.sources.staging import stage
 
 _BINS_PER_OCTAVE = 64
+_REFINE = 4096
+_FINEST = _BINS_PER_OCTAVE * _REFINE**2
 
 # Columns an analysis sets.
 ENRICHMENT = LISTING_ANALYSIS.fieldNames()
 
 
-def _bin(value: Column) -> Column:
-    """Order-preserving bin of a number, about one percent wide at any magnitude."""
-    octave = F.floor(F.log2(F.abs(value)) * _BINS_PER_OCTAVE)
-    return F.when(value > 0, octave).when(value == 0, -100_000).otherwise(-200_000 - octave)
+def _bin(value: Column, per_octave: int) -> Column:
+    """Order-preserving bin of a number; ``per_octave`` bins for each factor of two."""
+    octave = F.floor(F.log2(F.abs(value)) * per_octave)
+    return F.when(value > 0, octave).when(value == 0, -(2**42)).otherwise(-(2**43) - octave)
 
 
-def exact_medians(rows: DataFrame, group: str, value: str) -> DataFrame:
+def _holds(rank: Column) -> Column:
+    return (F.col("_start") <= rank) & (rank < F.col("_end"))
+
+
+def _middle_bins(rows: DataFrame, group: str, per_octave: int, within: DataFrame | None) -> DataFrame:
+    """Bins holding the two middle ranks: (group, _bin, _n, _before, _c).
+
+    ``_before`` counts the rows of the group in lower bins. With ``within``, bins of the
+    coarser level before, only rows in those are looked at.
+    """
+    if within is None:
+        counts = rows.groupBy(group, _bin(F.col("_v"), per_octave).alias("_bin")).agg(F.count("*").alias("_c"))
+        ordered = Window.partitionBy(group).orderBy("_bin")
+        total = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+        counts = counts.withColumn("_n", F.sum("_c").over(total)).withColumn("_before", F.lit(0))
+    else:
+        inside = _rows_in(rows, group, per_octave // _REFINE, within)
+        counts = inside.groupBy(
+            group, F.col("_bin").alias("_outer"), "_n", "_before", _bin(F.col("_v"), per_octave).alias("_bin")
+        ).agg(F.count("*").alias("_c"))
+        ordered = Window.partitionBy(group, "_outer").orderBy("_bin")
+    up_to = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    low, high = F.floor((F.col("_n") - 1) / 2), F.floor(F.col("_n") / 2)
+    return (
+        counts.withColumn("_end", F.col("_before") + F.sum("_c").over(up_to))
+        .withColumn("_start", F.col("_end") - F.col("_c"))
+        .where(_holds(low) | _holds(high))
+        .select(group, "_bin", "_n", F.col("_start").alias("_before"), "_c")
+    )
+
+
+def _rows_in(rows: DataFrame, group: str, per_octave: int, bins: DataFrame) -> DataFrame:
+    """Rows that lie in the given bins."""
+    binned = rows.withColumn("_bin", _bin(F.col("_v"), per_octave))
+    return binned.join(bins.drop("_c"), [group, "_bin"])
+
+
+def exact_medians(rows: DataFrame, group: str, value: str, bin_rows: int = 50_000_000) -> DataFrame:
     """Exact middle values per group: (group, lower, upper, n).
 
     ``lower`` and ``upper`` are the sorted values at (n-1)//2 and n//2. One group may
@@ -31,46 +70,36 @@ def exact_medians(rows: DataFrame, group: str, value: str) -> DataFrame:
 
     * a first pass counts rows per bin, combined before the exchange to a few thousand
       counts per group at most, and finds the bins holding the two middle ranks;
-    * a second pass keeps only the rows in those bins (about one in a hundred), counts
-      equal values, and ranks what is left.
+    * while such a bin holds more than ``bin_rows`` rows, another pass cuts it into up
+      to 4096 finer ones;
+    * the last pass keeps only the rows in those bins (about one in a hundred or fewer),
+      counts equal values, and ranks what is left.
 
-    The bins found are staged, so the second pass filters by a broadcast while they are
-    few, and joins by (group, bin) when there are too many groups for that.
+    The bins found are staged: later passes filter by a broadcast while they are few,
+    and join by (group, bin) when there are too many groups for that.
     """
-    binned = rows.select(group, F.col(value).cast("double").alias("_v")).withColumn("_bin", _bin(F.col("_v")))
-    low, high = F.floor((F.col("_n") - 1) / 2), F.floor(F.col("_n") / 2)
-    start, end = F.col("_start"), F.col("_end")
-
-    def holds(rank: Column) -> Column:
-        return (start <= rank) & (rank < end)
-
-    whole = Window.partitionBy(group).orderBy("_bin")
-    up_to = whole.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    total = whole.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    bins = (
-        binned.groupBy(group, "_bin")
-        .agg(F.count("*").alias("_c"))
-        .withColumn("_n", F.sum("_c").over(total))
-        .withColumn("_end", F.sum("_c").over(up_to))
-        .withColumn("_start", end - F.col("_c"))
-        .where(holds(low) | holds(high))
-        .select(group, "_bin", "_n", start.alias("_before"))
-    )
+    values = rows.select(group, F.col(value).cast("double").alias("_v"))
+    per_octave = _BINS_PER_OCTAVE
+    bins = stage(_middle_bins(values, group, per_octave, None), "median-bins")
+    while per_octave < _FINEST and (bins.agg(F.max("_c")).first()[0] or 0) > bin_rows:
+        per_octave *= _REFINE
+        bins = stage(_middle_bins(values, group, per_octave, bins), "median-bins")
     in_bin = (
         Window.partitionBy(group, "_bin")
         .orderBy("_v")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
+    low, high = F.floor((F.col("_n") - 1) / 2), F.floor(F.col("_n") / 2)
     return (
-        binned.join(stage(bins, "median-bins"), [group, "_bin"])
+        _rows_in(values, group, per_octave, bins)
         .groupBy(group, "_bin", "_v", "_n", "_before")
         .agg(F.count("*").alias("_c"))
         .withColumn("_end", F.col("_before") + F.sum("_c").over(in_bin))
-        .withColumn("_start", end - F.col("_c"))
+        .withColumn("_start", F.col("_end") - F.col("_c"))
         .groupBy(group)
         .agg(
-            F.max(F.when(holds(low), F.col("_v"))).alias("lower"),
-            F.max(F.when(holds(high), F.col("_v"))).alias("upper"),
+            F.max(F.when(_holds(low), F.col("_v"))).alias("lower"),
+            F.max(F.when(_holds(high), F.col("_v"))).alias("upper"),
             F.max("_n").alias("n"),
         )
     )

@@ -16,6 +16,9 @@ from homestrata.site import DEFAULT_SITE, SiteRules
 from homestrata.sources.staging import stage
 from homestrata.sources.tables import current_listings, unprocessed_batch, unprocessed_urls, write_summary
 
+# URLs that are broadcast at most; some ten megabytes.
+BROADCAST_URLS = 100_000
+
 
 def _write(df: DataFrame, path: str) -> None:
     df.write.mode("errorifexists").parquet(path)
@@ -61,10 +64,18 @@ def process_job(
 
     ``batch_size`` takes that many URLs, all of them by default. Writes ``listings``,
     ``tracked_urls``, ``summary`` and ``errors``; returns one row per processed URL.
+
+    Page HTML is never shuffled: a batch is small enough to broadcast, and otherwise
+    pages are read where they are and the records, a small part of their size, joined.
     """
-    due = unprocessed_urls(tracked) if batch_size is None else unprocessed_batch(tracked, batch_size)
-    wanted = pages.join(due.select("url"), "url", "left_semi")
-    extracted = extract.extract_listings(wanted, as_of, site)
+    if batch_size is not None and batch_size <= BROADCAST_URLS:
+        due = unprocessed_batch(tracked, batch_size).select("url")
+        wanted = pages.join(F.broadcast(due), "url", "left_semi")
+        extracted = extract.extract_listings(wanted, as_of, site)
+    else:
+        due = unprocessed_urls(tracked) if batch_size is None else unprocessed_batch(tracked, batch_size)
+        due = due.select(F.col("url").alias("listing_url"))
+        extracted = extract.extract_listings(pages, as_of, site).join(due, "listing_url", "left_semi")
     extracted = stage(save.fill_city(extracted, tracked), "extracted")
     records = save.listing_records(extracted, as_of)
     _write(save.save_listings(listings, records), f"{out}/listings")

@@ -51,6 +51,11 @@ def test_collect_process_analyze(spark, tmp_path):
     tracked = spark.read.parquet(two + "/tracked_urls")
     assert tracked.where("processed").count() == 2
 
+    # a bounded batch takes the first URLs in order
+    batch = str(tmp_path / "batch")
+    jobs.process_job(details, spark.read.parquet(one + "/tracked_urls"), spark.createDataFrame([], LISTING_SAVED), batch, AS_OF, batch_size=1)
+    assert [r.site_id for r in spark.read.parquet(batch + "/listings").collect()] == ["1"]
+
     # analysis
     three = str(tmp_path / "three")
     jobs.analyze_job(listings, three, AS_OF)

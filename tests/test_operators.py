@@ -22,8 +22,12 @@ def test_medians_match_python(spark):
     for city, v in rows:
         if city and city.strip() and v:
             groups.setdefault(city.strip(), []).append(v)
-    got = {r[0]: (r[1], r[2]) for r in stats.city_stats(df).collect()}
-    assert got == {c: (statistics.median(v), len(v)) for c, v in groups.items()}
+    want = {c: (statistics.median(v), len(v)) for c, v in groups.items()}
+    assert {r[0]: (r[1], r[2]) for r in stats.city_stats(df).collect()} == want
+    # bins over the limit are refined, as far as it goes
+    usable = df.select(F.trim("city").alias("city"), "price_per_sqft").where("city != '' and price_per_sqft > 0")
+    refined = stats.exact_medians(usable, "city", "price_per_sqft", bin_rows=3)
+    assert {r[0]: ((r[1] + r[2]) / 2, r[3]) for r in refined.collect()} == want
 
 
 def test_upper_median(spark):
@@ -78,7 +82,9 @@ def test_price_replay_equals_loop(spark, target_rows):
     changes = pricing.replay_changes(df, ["tie"], target_rows=target_rows)
     assert sorted(map(tuple, changes.collect())) == loop_replay(rows)
     if target_rows < 10_000:
-        cut = ordered.with_segments(df.where("price > 0"), "property_id", "ts", target_rows)
+        positive = df.where("price > 0")
+        segments = ordered.large_key_segments(positive, "property_id", "ts", target_rows)
+        cut = ordered.with_segments(positive, segments, "property_id", "ts")
         counts = cut.groupBy("property_id", "segment").count().collect()
         hot = [r[2] for r in counts if r[0] == "hot"]
         # whole days are kept together, so a segment may run over by one day
@@ -117,6 +123,8 @@ def test_apply_changes_twice(spark):
     assert (a.total_price_change, a.total_price_change_pct, a.price_update_count) == (-12, -12.0, 2)
     assert (two["b"].price, two["b"].price_update_count) == (50, None)
     assert pricing.apply_changes(listings, change(1, 2, "zz"), F.lit(AS_OF)).count() == 2
+    twice = change(110, 100).unionByName(change(120, 100))
+    assert sorted(r.price for r in pricing.apply_changes(listings, twice, F.lit(AS_OF)).collect()) == [50, 120]
 
 
 def test_classify(spark):
