@@ -138,15 +138,18 @@ def split_by_known_id(urls: DataFrame, known: DataFrame, url_id=listing_id) -> D
     return joined.withColumn("is_new", F.col("_known").isNull()).drop("_raw_id", "_known")
 
 
-def tracking_rows(urls: DataFrame, default_city: str | None = None) -> DataFrame:
-    """New rows of the tracked-URL table: unprocessed, price 0 when unknown."""
+def tracking_rows(urls: DataFrame, default_city: str | None = None, place: str = "city") -> DataFrame:
+    """New rows of the tracked-URL table: unprocessed, price 0 when unknown.
+
+    ``default_city`` is for URLs without a place; older tables call the place ``ward``.
+    """
     columns = urls.columns
     price = F.col("price") if "price" in columns else F.lit(None)
-    city = F.col("city") if "city" in columns else F.lit(None)
+    city = F.col(place) if place in columns else F.lit(None)
     return urls.select(
         "url",
         F.lit(False).alias("processed"),
-        F.nullif(F.coalesce(city.cast("string"), F.lit(default_city)), F.lit("")).alias("city"),
+        F.nullif(F.coalesce(city.cast("string"), F.lit(default_city)), F.lit("")).alias(place),
         F.coalesce(price, F.lit(0)).cast("bigint").alias("price"),
     )
 

@@ -171,13 +171,25 @@ def analysis_view(requested: DataFrame, preferences: DataFrame, listings: DataFr
     )
 
 
+def _record_size(report: Column) -> Column:
+    """Bytes of the printed record: the text twice, plus some eighty characters around it.
+
+    Line breaks, tabs and backslashes print as two characters, and the widest character
+    of the text sets the width of all of them: 4 bytes with emoji, 2 with other symbols
+    beyond Latin-1, else 1.
+    """
+    doubled = F.length(F.regexp_replace(report, r"[^\n\r\t\\]", ""))
+    width = (
+        F.when(report.rlike(r"[\x{10000}-\x{10FFFF}]"), 4).when(report.rlike(r"[\x{100}-\x{FFFF}]"), 2).otherwise(1)
+    )
+    return (2 * (F.length(report) + doubled) + 80) * width
+
+
 def analysis_result(report: Column | str) -> Column:
     """Stored result of a finished analysis; over-long records keep a short report."""
     report = as_col(report)
-    # the record holds the text twice, plus its keys and the verdict
-    size = F.octet_length(report) * 2 + 200
     return F.struct(
-        truncate_report(report, size).alias("analysis_markdown"),
+        truncate_report(report, _record_size(report)).alias("analysis_markdown"),
         verdict(report).alias("verdict"),
         report.alias("analysis_text"),
     )

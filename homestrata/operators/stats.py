@@ -180,6 +180,13 @@ def analysis_summary(listings: DataFrame, stats: DataFrame) -> DataFrame:
     )
 
 
+def _as_comparables(rows: DataFrame) -> DataFrame:
+    """Rows that can serve as comparables; unknown texts are blank."""
+    usable = rows.where((F.col("price_per_sqm") != 0) & (F.col("size_sqm") != 0))
+    blank = sorted({"district", "building_name", "layout_type"} & set(rows.columns))
+    return usable.fillna("", subset=blank) if blank else usable
+
+
 def comparables(listings: DataFrame, per_ward: int = 200) -> DataFrame:
     """Newest listings of every ward that can serve as comparables.
 
@@ -191,9 +198,12 @@ def comparables(listings: DataFrame, per_ward: int = 200) -> DataFrame:
         F.col("analysis_date").desc_nulls_last(), F.col("property_id")
     )
     ranked = listings.withColumn("_rank", F.row_number().over(newest))
-    usable = (F.col("price_per_sqm") != 0) & (F.col("size_sqm") != 0)
-    kept = ranked.where(F.col("_rank") <= per_ward).where(usable)
-    blank = {"district", "building_name", "layout_type"} & set(listings.columns)
-    return kept.drop("_rank").fillna("", subset=sorted(blank)) if blank else kept.drop("_rank")
+    return _as_comparables(ranked.where(F.col("_rank") <= per_ward).drop("_rank"))
 
 
+def ward_comparables(listings: DataFrame, ward: str | None = None, limit: int = 200) -> DataFrame:
+    """Comparables of one ward; of any ward when it is unknown. Newest first."""
+    known = bool(ward) and ward != "unknown"
+    rows = listings.where(F.col("ward") == ward) if known else listings
+    newest = rows.orderBy(F.col("analysis_date").desc_nulls_last(), "property_id").limit(limit)
+    return _as_comparables(newest)

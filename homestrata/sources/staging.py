@@ -10,12 +10,17 @@ from pyspark.sql import DataFrame, SparkSession
 from homestrata.session import shared_dir
 
 
+_local_roots: dict[str, str] = {}
+
+
 def staging_root(spark: SparkSession) -> str:
     """The cluster's shared folder; a local session without one gets a temporary folder."""
-    fallback = None
-    if spark.sparkContext.master.startswith("local"):
-        fallback = tempfile.mkdtemp(prefix="homestrata-")
-    return shared_dir(spark, fallback)
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
+        return shared_dir(spark)
+    if context.applicationId not in _local_roots:
+        _local_roots[context.applicationId] = tempfile.mkdtemp(prefix="homestrata-")
+    return shared_dir(spark, _local_roots[context.applicationId])
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:

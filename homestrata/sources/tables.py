@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from homestrata.functions.ids import listing_id, raw_listing_id
+from homestrata.functions.ids import listing_id, parse_key
 from homestrata.schemas import struct
 from homestrata.operators.ordered import latest_by
 
@@ -19,8 +19,12 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | None = Non
 
 
 def write_listings(listings: DataFrame, path: str) -> None:
-    """Listings laid out by city, which is what they are looked up by."""
-    listings.write.mode("errorifexists").partitionBy("city").parquet(path)
+    """Listings laid out by city, which is what they are looked up by.
+
+    Ranges of (city, id) give every task few cities, and a large city several tasks.
+    """
+    ranged = listings.repartitionByRange("city", "property_id")
+    ranged.write.mode("errorifexists").partitionBy("city").parquet(path)
 
 
 def current_listings(listings: DataFrame) -> DataFrame:
@@ -28,10 +32,17 @@ def current_listings(listings: DataFrame) -> DataFrame:
     return listings.where(F.col("sort_key") == "META")
 
 
-def known_listings(listings: DataFrame, url_id=listing_id) -> DataFrame:
-    """Current listings by raw id; of several keys for one id the latest wins."""
+def known_listings(listings: DataFrame, url_id=listing_id, second_token_only: bool = False) -> DataFrame:
+    """Current listings by raw id; of several keys for one id the latest wins.
+
+    A key without an id falls back on the URL, unless ``url_id`` is None. Older keys
+    were read up to their second token only.
+    """
+    raw_id = parse_key("property_id", second_token_only)
+    if url_id is not None:
+        raw_id = F.coalesce(raw_id, url_id("listing_url"))
     rows = current_listings(listings).select(
-        raw_listing_id("property_id", "listing_url", url_id).alias("raw_id"),
+        raw_id.alias("raw_id"),
         "property_id",
         F.coalesce("price", F.lit(0)).cast("bigint").alias("price"),
         F.coalesce("listing_url", F.lit("")).alias("listing_url"),
@@ -61,16 +72,17 @@ def is_unprocessed() -> Column:
     return ~F.coalesce(F.col("processed"), F.lit(False))
 
 
-def unprocessed_urls(tracked: DataFrame, with_details: bool = False) -> DataFrame:
+def unprocessed_urls(tracked: DataFrame, with_details: bool = False, place: str = "city") -> DataFrame:
+    """URLs still to process; older tables name the place of a URL ``ward``."""
     rows = tracked.where(is_unprocessed() & (F.col("url") != ""))
     if not with_details:
         return rows.select("url")
-    return rows.select("url", "city", F.coalesce("price", F.lit(0)).cast("bigint").alias("price"))
+    return rows.select("url", place, F.coalesce("price", F.lit(0)).cast("bigint").alias("price"))
 
 
-def unprocessed_batch(tracked: DataFrame, batch_size: int = 100) -> DataFrame:
+def unprocessed_batch(tracked: DataFrame, batch_size: int = 100, place: str = "city") -> DataFrame:
     """The next ``batch_size`` unprocessed URLs, always the same ones for the same table."""
-    return unprocessed_urls(tracked, with_details=True).orderBy("url").limit(batch_size)
+    return unprocessed_urls(tracked, True, place).orderBy("url").limit(batch_size)
 
 
 def lookup(table: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:

@@ -8,7 +8,7 @@ work but never adds rows twice.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -50,8 +50,12 @@ class VersionedTable:
             out = out.unionByName(gone, allowMissingColumns=True)
         out.write.mode("overwrite").parquet(self._dir(version))
 
-    def compact_to(self, path: str) -> VersionedTable:
-        """The current rows as the only version of a new table."""
-        rows = self.read().withColumn("_deleted", F.lit(False))
+    def compact_to(self, path: str, keep: Column | None = None) -> VersionedTable:
+        """The current rows as the only version of a new table.
+
+        ``keep`` leaves out what has expired, such as history past its last day.
+        """
+        rows = self.read() if keep is None else self.read().where(keep)
+        rows = rows.withColumn("_deleted", F.lit(False))
         rows.write.mode("errorifexists").parquet(f"{path.rstrip('/')}/version={_FIRST}")
         return VersionedTable(self.spark, path, self.schema, self.keys)

@@ -155,6 +155,9 @@ def test_tracked_sources(spark):
     assert urls(tables.tracked_urls(df, exclude_city="X")) == ["b", "c"]
     assert urls(tables.unprocessed_urls(df)) == ["a", "b"]
     assert [tuple(r) for r in tables.unprocessed_batch(df, 1).collect()] == [("a", "X", 1)]
+    older = df.withColumnRenamed("city", "ward")
+    assert [tuple(r) for r in tables.unprocessed_batch(older, 1, place="ward").collect()] == [("a", "X", 1)]
+    assert collect.tracking_rows(older, "W", place="ward").where("url = 'c'").first().ward == "W"
     fresh = spark.createDataFrame([("c", 9), ("d", None)], "url string, price bigint")
     after = {r.url: (r.processed, r.city, r.price) for r in collect.track_urls(df, fresh, "Z").collect()}
     assert after["c"] == (False, "Z", 9) and after["d"] == (False, "Z", 0) and after["b"] == (False, "Y", None)
@@ -162,6 +165,17 @@ def test_tracked_sources(spark):
     assert {r.url for r in done.where("processed").collect()} == {"a", "c", "q"}
 
 
+def test_known_listings_by_older_keys(spark, tmp_path):
+    rows = [("PROP#20240101_7_8", "META", 1, "/x/home/5", None, "A"), ("odd", "META", None, "/x/home/6", None, "B")]
+    df = spark.createDataFrame(rows, "property_id string, sort_key string, price bigint, listing_url string, analysis_date date, city string")
+    ids = lambda d: sorted((r.raw_id, r.price) for r in d.collect())
+    assert ids(tables.known_listings(df)) == [("6", 0), ("7_8", 1)]
+    assert ids(tables.known_listings(df, url_id=None, second_token_only=True)) == [("7", 1)]
+    tables.write_listings(df, str(tmp_path / "by_city"))
+    back = tables.read_table(spark, str(tmp_path / "by_city"), df.schema)
+    assert [r.property_id for r in back.where("city = 'B'").collect()] == ["odd"]
+
+
 def test_dump_and_summary_files(spark, tmp_path):
     rows = spark.createDataFrame([("u1", 4499, "4,499"), ("u2", 0, None), ("u1", 4499, "4,499 万円")], "url string, price bigint, price_text string")
     flagged = profile.flag_duplicates(rows, ["url"])
@@ -236,6 +250,16 @@ def test_preference_views(spark):
     assert (len(result.analysis_markdown), len(result.analysis_text), result.verdict) == (10000 + 17, 400013, "BUY")
 
 
+def test_report_size_depends_on_widest_character(spark):
+    def shortened(text):
+        row = spark.createDataFrame([(text,)], "t string").select(preferences.analysis_result("t").alias("r")).first().r
+        return len(row.analysis_markdown) < len(text)
+
+    plain = "x" * 40000
+    assert not shortened(plain) and not shortened("é" + plain) and not shortened("–" + plain)
+    assert shortened("🏆" + plain) and shortened("x" * 150000) and shortened("\n" * 75000 + "x")
+
+
 def test_comparisons(spark):
     listings = stats.analyze(spark.createDataFrame(
         [(f"P{i}", "X", "CO", i * 100000, 100.0 * i, 2, 1.5, None, None, 1990, None, None, None, 1000, "z", "Land", f"{i} St", "u") for i in (1, 2, 3)],
@@ -321,5 +345,7 @@ def test_comparables(spark):
     plan = stats.comparables(df, 3)
     assert sorted(r.property_id for r in plan.collect()) == ["p007", "p008", "q"]
     assert "WindowGroupLimit" in plan._jdf.queryExecution().toString()
+    of_ward = lambda w: [r.property_id for r in stats.ward_comparables(df, w, 3).collect()]
+    assert (of_ward("w"), of_ward("v"), of_ward("unknown")) == (["p008", "p007"], ["q"], ["p008", "p007"])
 
 

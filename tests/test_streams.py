@@ -62,6 +62,8 @@ def test_retried_batch_is_idempotent(spark, tmp_path):
     same(changes.read(), pricing.replay_changes(df, ["tie"]))
     compact = state.compact_to(str(tmp_path / "s2"))
     same(compact.read(), state.read())
+    recent = F.col("last_price_update") >= F.lit(middle)
+    same(state.compact_to(str(tmp_path / "s3"), keep=recent).read(), state.read().where(recent))
 
 
 def test_preference_stream_equals_batch(spark, tmp_path, as_stream):
