@@ -49,14 +49,7 @@ def build_session(app_name: str = "homestrata", cores: int | str = "*", **conf:
     return spark
 
 
-def shared_dir(spark: SparkSession, fallback: str | None = None) -> str:
-    """Folder every executor can reach, as named by the cluster.
-
-    ``fallback`` is used only where the cluster names none, as in tests.
-    """
+def shared_dir(spark: SparkSession) -> str | None:
+    """Folder every executor can reach, as named by the cluster; None if it names none."""
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    if fallback is None:
-        raise ValueError("spark.checkpoint.dir is not set and no folder was given")
-    return fallback.rstrip("/")
+    return named.rstrip("/") if named else None

@@ -14,13 +14,16 @@ _local_roots: dict[str, str] = {}
 
 
 def staging_root(spark: SparkSession) -> str:
-    """The cluster's shared folder; a local session without one gets a temporary folder."""
+    """The cluster's shared folder; only a local session without one gets a temporary one."""
+    named = shared_dir(spark)
+    if named:
+        return named
     context = spark.sparkContext
     if not context.master.startswith("local"):
-        return shared_dir(spark)
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     if context.applicationId not in _local_roots:
         _local_roots[context.applicationId] = tempfile.mkdtemp(prefix="homestrata-")
-    return shared_dir(spark, _local_roots[context.applicationId])
+    return _local_roots[context.applicationId]
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
