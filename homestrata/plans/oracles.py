@@ -79,8 +79,9 @@ _add(
     rf"""SELECT page_id, array_to_string(list_filter(list_transform(string_split(
         regexp_replace(regexp_replace(html, '(?s)<script.*?</script>|<style.*?</style>|<!--.*?-->', chr(1), 'g'),
           '<[^>]*>', chr(1), 'g'), chr(1)),
-        lambda x: replace(replace(replace(replace(replace(replace(regexp_replace(x, '^{_SPACE}|{_SPACE}$', '', 'g'),
-          '&lt;', '<'), '&gt;', '>'), '&quot;', chr(34)), '&copy;', chr(169)), '&middot;', chr(183)), '&amp;', '&')),
+        lambda x: regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(
+          regexp_replace(x, '^{_SPACE}|{_SPACE}$', '', 'g'), '&lt;?', '<', 'g'), '&gt;?', '>', 'g'),
+          '&quot;?', chr(34), 'g'), '&copy;?', chr(169), 'g'), '&middot;?', chr(183), 'g'), '&amp;?', '&', 'g')),
         lambda x: x <> ''), ' ') AS text
     FROM pages""",
 )

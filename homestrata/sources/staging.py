@@ -16,9 +16,10 @@ _local_roots: dict[str, str] = {}
 def staging_root(spark: SparkSession) -> str:
     """The cluster's shared folder; only a local session without one gets a temporary one."""
     named = shared_dir(spark)
-    if named:
-        return named
     context = spark.sparkContext
+    if named:
+        # one folder per application, to be removed when it is done
+        return f"{named}/homestrata-{context.applicationId}"
     if not context.master.startswith("local"):
         raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     if context.applicationId not in _local_roots:
