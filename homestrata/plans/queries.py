@@ -897,8 +897,8 @@ def q_stream_crawl(t):
         "price_changed_listings bigint, run bigint"
     )
     summaries = VersionedTable(t.spark, f"{folder}/runs", runs, ["run"])
-    pipeline = incremental.crawl_pipeline(tracked, listings, summaries)
+    handle = incremental.crawl_runs(tracked, listings, summaries)
     incremental.run_available(
-        s.order_observations(source), lambda batch, epoch: pipeline(batch, epoch + 1), f"{folder}/checkpoint"
+        s.order_observations(source), lambda batch, epoch: handle(batch, epoch + 1), f"{folder}/checkpoint"
     )
     return summaries.read().drop("run")

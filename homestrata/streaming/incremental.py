@@ -103,7 +103,7 @@ def track_status(state: VersionedTable) -> Callable[[DataFrame, int], None]:
     return handle
 
 
-def crawl_pipeline(
+def crawl_runs(
     tracked: VersionedTable, listings: VersionedTable, summaries: VersionedTable
 ) -> Callable[[DataFrame, int], None]:
     """One collector run per batch of observations (crawl_id, page_no, pos, url, price, city, ts).

@@ -101,7 +101,7 @@ def test_dedup_stream(spark, tmp_path, as_stream):
     assert sorted(r.url for r in table.read().collect()) == sorted({r[0] for r in rows})
 
 
-def test_crawl_pipeline(spark, tmp_path, as_stream):
+def test_crawl_stream(spark, tmp_path, as_stream):
     kinds = ["bigint", "bigint", "bigint", "double", "bigint", "double", "bigint", "timestamp"]
     known = spark.createDataFrame([("PROP#1", "META", "", 100, None), ("PROP#2", "META", "", 200, None)],
         "property_id string, sort_key string, listing_url string, price bigint, analysis_date date")
@@ -117,9 +117,9 @@ def test_crawl_pipeline(spark, tmp_path, as_stream):
     rows += [("c", 1, 1, "/x/home/1", 110, None, day(2)), ("c", 2, 1, "/x/home/1", 999, None, day(2))]
     rows += [("c", 1, 1, "/x/home/1", 121, None, day(3)), ("c", 1, 2, "/x/home/3", 5, "Y", day(3))]
     df = spark.createDataFrame(rows, "crawl_id string, page_no bigint, pos int, url string, price bigint, city string, ts timestamp")
-    pipeline = incremental.crawl_pipeline(tracked, listings, summaries)
+    runs_of = incremental.crawl_runs(tracked, listings, summaries)
     stream = as_stream(df, 3, ["ts", "page_no", "pos"])
-    incremental.run_available(stream, lambda b, e: pipeline(b, e + 1), str(tmp_path / "cp"))
+    incremental.run_available(stream, lambda b, e: runs_of(b, e + 1), str(tmp_path / "cp"))
     got = [tuple(r)[:4] for r in summaries.read().orderBy("run").collect()]
     assert got == [(2, 2, 0, 0), (1, 0, 0, 1), (2, 1, 0, 1)]
     one = listings.read().where("property_id = 'PROP#1'").first()
