@@ -40,9 +40,10 @@ def query(fn: Callable[[s.Tables], DataFrame]) -> Callable[[s.Tables], DataFrame
     return fn
 
 
-def _listing_table(t: s.Tables) -> DataFrame:
+def _listing_table(t: s.Tables, *columns: str) -> DataFrame:
     """The listing view as a stored table, for jobs that read listings more than once."""
-    return stage(s.listings(t), "listings")
+    listed = s.listings(t)
+    return stage(listed.select(*columns) if columns else listed.drop("image_urls"), "listings")
 
 
 # --- scans, lookups, sinks ---------------------------------------------------------
@@ -576,13 +577,13 @@ def q_zero_price(t):
 
 @query
 def q_city_stats(t):
-    return stats.city_stats(_listing_table(t))
+    return stats.city_stats(_listing_table(t, "city", "price_per_sqft"))
 
 
 @query
 def q_enrich(t):
     """Flagship: every listing with unit prices and its discount to the city median."""
-    return stats.analyze(_listing_table(t), s.AS_OF).drop("image_urls", "last_analyzed")
+    return stats.analyze(_listing_table(t), s.AS_OF).drop("last_analyzed")
 
 
 @query
@@ -593,7 +594,7 @@ def q_analyze_limit(t):
 
 @query
 def q_analysis_summary(t):
-    listed = _listing_table(t)
+    listed = _listing_table(t, "property_id", "city", "price_per_sqft")
     return stats.analysis_summary(listed, stats.city_stats(listed))
 
 

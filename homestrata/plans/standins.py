@@ -58,8 +58,9 @@ def listings(t: Tables) -> DataFrame:
     # nation and region are fixed code tables of 25 and 5 rows
     places = t.nation.join(F.broadcast(t.region), F.col("n_regionkey") == F.col("r_regionkey"))
     owners = t.customer.join(F.broadcast(places), F.col("c_nationkey") == F.col("n_nationkey"))
+    # both sides are as large as the data: joined by key at any size, on all cores
     rows = t.orders.join(owners, F.col("o_custkey") == F.col("c_custkey")).join(
-        rooms, F.col("o_orderkey") == F.col("l_orderkey"), "left"
+        rooms.hint("merge"), F.col("o_orderkey") == F.col("l_orderkey"), "left"
     )
     key = F.col("o_orderkey").cast("string")
     status = F.col("o_orderstatus")
