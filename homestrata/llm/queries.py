@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from homestrata.llm import bpe, line_dedup, token_store
+from homestrata.llm import bpe, language_id, line_dedup, maxscore, page_content, secrets_scan, token_store
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -33,6 +33,64 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_query
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 4 == 2
+    model = language_id.fit(docs.where(~held_out), "text", "lang")
+    found = docs.select("doc_id", held_out.alias("held_out"), language_id.predict(model, F.col("text")).alias("p"))
+    return found.select("doc_id", "held_out", F.col("p.lang").alias("lang_pred"), "p.score", "p.rejected")
+
+
+@_query
+def op4_maxscore(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = maxscore.integer_vectors(_table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
+    found = maxscore.top_k(vectors.where("id % 20 = 0"), vectors, 20)
+    return found.withColumnRenamed("id", "vec_id")
+
+
+ORACLES["op4_maxscore"] = """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS e
+           FROM embeddings
+           WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score
+      FROM v AS q JOIN v AS c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0),
+r AS (SELECT query_id, vec_id, score,
+             CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
+"""
+
+
+@_query
+def op6_page_content(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = page_content.extract(_table(spark, sf_dir, "pages"), ["page_id", "url"])
+    return found.withColumn("n_chars", F.length("text").cast("bigint"))
+
+
+@_query
+def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets_scan.scan(_table(spark, sf_dir, "documents"))
+    line = F.array_join(
+        F.transform("spans", lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))),
+        ",",
+    )
+    base = F.filter("spans", lambda s: s["kind"] != "guess")
+    base_line = F.array_join(
+        F.transform(base, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ","
+    )
+    counts = [
+        F.size(F.filter("spans", lambda s, k=kind: s["kind"] == k)).cast("bigint").alias(f"n_{kind}")
+        for kind in ("assign", "access", "hex")
+    ]
+    return found.select(
+        "doc_id",
+        *counts,
+        F.sha2(base_line.cast("binary"), 256).alias("base_sha256"),
+        line.alias("spans"),
+    )
+
+
 @_query
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_dedup(_table(spark, sf_dir, "documents"))
