@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from homestrata.llm import bpe, language_id, line_dedup, maxscore, page_content, secrets_scan, token_store
@@ -68,26 +68,24 @@ def op6_page_content(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("n_chars", F.length("text").cast("bigint"))
 
 
+def _span_line(spans: Column) -> Column:
+    """kind:start:end of every span, comma-joined."""
+    one = lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))
+    return F.array_join(F.transform(spans, one), ",")
+
+
+def _of_kind(kind: str) -> Column:
+    return F.filter("spans", lambda s: s["kind"] == kind)
+
+
 @_query
 def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets_scan.scan(_table(spark, sf_dir, "documents"))
-    line = F.array_join(
-        F.transform("spans", lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))),
-        ",",
-    )
-    base = F.filter("spans", lambda s: s["kind"] != "guess")
-    base_line = F.array_join(
-        F.transform(base, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ","
-    )
-    counts = [
-        F.size(F.filter("spans", lambda s, k=kind: s["kind"] == k)).cast("bigint").alias(f"n_{kind}")
-        for kind in ("assign", "access", "hex")
-    ]
     return found.select(
         "doc_id",
-        *counts,
-        F.sha2(base_line.cast("binary"), 256).alias("base_sha256"),
-        line.alias("spans"),
+        *[F.size(_of_kind(kind)).cast("bigint").alias(f"n_{kind}") for kind in ("assign", "access", "hex")],
+        F.sha2(_span_line(F.filter("spans", lambda s: s["kind"] != "guess")).cast("binary"), 256).alias("base_sha256"),
+        _span_line(F.col("spans")).alias("spans"),
     )
 
 
