@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from homestrata.llm import bpe, language_id, line_dedup, maxscore, page_content, secrets_scan, token_store
+from homestrata.llm import bpe, decontaminate, language_id, line_dedup, maxscore, page_content, secrets_scan, token_store
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -62,6 +62,11 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
 """
 
 
+@_query
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 @_query
 def op6_page_content(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = page_content.extract(_table(spark, sf_dir, "pages"), ["page_id", "url"])

@@ -104,17 +104,20 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
+_NO_WORD = np.array([not (b >= 128 or chr(b).isalnum()) for b in range(256)])
 
 
-def shingles(data: np.ndarray, starts: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all runs of ``words`` words, and the text each belongs to.
+def word_hashes(
+    data: np.ndarray, starts: np.ndarray, gaps: np.ndarray = _NO_WORD
+) -> tuple[np.ndarray, np.ndarray]:
+    """Hash of every word, A-Z lower-cased, and the text it is in.
 
-    Words are maximal runs without ASCII white space, A-Z lower-cased. A text with fewer
-    words gives its whole sequence as one shingle, a text without words none.
+    Words are maximal runs of bytes that are no gap; by default letters, digits and
+    whatever is not ASCII.
     """
     if not len(data):
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    word = ~_SPACE[data]
+    word = ~gaps[data]
     begins = word.copy()
     begins[1:] &= ~word[:-1]
     edges = starts[:-1][starts[:-1] < len(data)]
@@ -124,8 +127,16 @@ def shingles(data: np.ndarray, starts: np.ndarray, words: int) -> tuple[np.ndarr
     cuts = starts[1:][starts[1:] > 0] - 1
     ends[cuts] = word[cuts]
     s, e = np.flatnonzero(begins), np.flatnonzero(ends) + 1
-    hashes = Prefix(_LOWER[data]).span(s, e)
-    text = np.searchsorted(starts, s, side="right") - 1
+    return Prefix(_LOWER[data]).span(s, e), np.searchsorted(starts, s, side="right") - 1
+
+
+def shingles(data: np.ndarray, starts: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all runs of ``words`` words, and the text each belongs to.
+
+    Words are maximal runs without ASCII white space, A-Z lower-cased. A text with fewer
+    words gives its whole sequence as one shingle, a text without words none.
+    """
+    hashes, text = word_hashes(data, starts, _SPACE)
     # a sum over the words of a run, each times a power of its place, tells order
     up, _ = _power_table(words + 1)
     if len(hashes) >= words:
