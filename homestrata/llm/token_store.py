@@ -25,6 +25,8 @@ an empty store that reads back as an empty table; other columns are not read.
 from __future__ import annotations
 
 import hashlib
+import re
+import struct
 import uuid
 from collections.abc import Iterator
 from functools import lru_cache
@@ -45,6 +47,13 @@ DICTIONARY_SIZE = 65536
 CHUNK_BYTES = 4 << 20
 CACHE_WORDS = 300_000
 LEVEL = 3
+_LONG = 64
+_MARKS = frozenset(".,;:!?")
+# letters whose lower case and composition do not depend on what stands around them
+_LATIN = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017e]+[.,;:!?]?").fullmatch
+# the letters that byte-level vocabularies write for bytes beyond ASCII
+_SHOWN = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255]
+_BYTE_CHARS = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _SHOWN)}
 
 INDEX = np.dtype([("null", "u1"), ("id", "<i8"), ("offset", "<u8"), ("size", "<u4"), ("tokens", "<u4")])
 
@@ -59,42 +68,59 @@ class WordEncoder:
     """The library's ids, word by word: text between blanks, a bounded number of them kept.
 
     The tokenizer drops white space and splits at it, so a text's ids are those of its
-    words one after the other.
+    words one after the other. It lower-cases and splits letters from marks, so a word of
+    Latin letters with one mark behind it has the ids of the lower-case word, then the
+    mark's, and both go to the library's model without its normalizers and splitters.
     """
 
     def __init__(self, path: str, cache_words: int = CACHE_WORDS) -> None:
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
+        self._model = self._tokenizer.model
         self._young: dict[str, bytes] = {}
         self._old: dict[str, bytes] = {}
         self._limit = cache_words
 
     def encode(self, texts: list[str]) -> list[bytes]:
         split = [t.replace("\n", " ").split(" ") for t in texts]
-        found: dict[str, bytes] = {}
-        missing: dict[str, None] = {}
-        for words in split:
-            for word in set(words):
-                if word not in found:
-                    ids = self._young.get(word)
-                    if ids is None:
-                        ids = self._old.get(word)
-                        if ids is None:
-                            missing[word] = None
-                            continue
-                    found[word] = ids
-        words = list(missing)
+        young, old = self._young, self._old
+        missing = set().union(*split) - young.keys()
+        known = missing & old.keys()
+        young.update({w: old[w] for w in known})
+        missing -= known
+        plain = []
+        for word in missing:
+            if _LATIN(word):
+                low = word.lower()
+                core = low[:-1] if low[-1] in _MARKS else low
+                young[word] = self._core(core) + (self._core(low[-1]) if core is not low else b"")
+            else:
+                plain.append(word)
+        self._fill(plain)
+        out = [b"".join(map(young.__getitem__, words)) for words in split]
+        for word in [w for w in missing if len(w) > _LONG]:
+            del young[word]
+        if len(young) > self._limit:
+            self._old, self._young = young, {}
+        return out
+
+    def _core(self, word: str) -> bytes:
+        got = self._young.get(word)
+        if got is None:
+            seen = word if word.isascii() else word.encode().decode("latin-1").translate(_BYTE_CHARS)
+            ids = [token.id for token in self._model.tokenize(seen)]
+            got = struct.pack(f"<{len(ids)}I", *ids)
+            if len(word) <= _LONG:
+                self._young[word] = got
+        return got
+
+    def _fill(self, words: list[str]) -> None:
         for i in range(0, len(words), 4096):
             part = words[i : i + 4096]
             for word, got in zip(part, self._tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                found[word] = np.array(got.ids, "<u4").tobytes()
-        for word, ids in found.items():
-            if len(word) <= 64:
-                self._young[word] = ids
-        if len(self._young) > self._limit:
-            self._old, self._young = self._young, {}
-        return [b"".join(map(found.__getitem__, words)) for words in split]
+                ids = got.ids
+                self._young[word] = struct.pack(f"<{len(ids)}I", *ids)
 
 
 @lru_cache(maxsize=1)
