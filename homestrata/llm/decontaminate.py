@@ -27,11 +27,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from homestrata.llm.rolling import blocks, word_hashes
+from homestrata.llm.sums import sum_over
 
 DIMENSIONS = 512
 RANK = 64
@@ -43,7 +43,6 @@ COSINE = 0.45
 COPY_SHARE = 0.8  # share of an item's words in one common subsequence that makes a copy
 PARAPHRASE_SHARE = 0.55
 ANSWER_SHARE = 0.6
-_FAN_IN = 16
 
 
 @dataclass
@@ -90,35 +89,6 @@ def _text_passages(texts: list, stride: int) -> Iterator[tuple[np.ndarray, np.nd
             yield _dimension(hashes), start, end
 
 
-def _sum_over(texts: DataFrame, shape: tuple[int, ...], add) -> np.ndarray:
-    """Sum of ``add(texts)`` over all batches: per task, then in a tree of tasks."""
-
-    def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(shape, np.float64)
-        for batch in batches:
-            add(total, batch.column(0).to_pylist())
-        if total.any():
-            yield pa.record_batch([pa.array([total.tobytes()], pa.binary())], names=["sums"])
-
-    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(shape, np.float64)
-        for batch in batches:
-            for raw in batch.column(0):
-                total += np.frombuffer(raw.as_py(), np.float64).reshape(shape)
-        if total.any():
-            yield pa.record_batch([pa.array([total.tobytes()], pa.binary())], names=["sums"])
-
-    parts = texts.mapInArrow(part, "sums binary")
-    n = texts.rdd.getNumPartitions()
-    while n > _FAN_IN:
-        n = math.ceil(n / _FAN_IN)
-        parts = parts.repartition(n).mapInArrow(merge, "sums binary")
-    total = np.zeros(shape, np.float64)
-    for row in parts.toLocalIterator():
-        total += np.frombuffer(row.sums, np.float64).reshape(shape)
-    return total
-
-
 def fit_space(docs: DataFrame, text_col: str, seed: int = 5) -> Space:
     """Document frequencies, then the randomised SVD, over all passages of all texts."""
     texts = docs.select(F.col(text_col).cast("string"))
@@ -130,7 +100,7 @@ def fit_space(docs: DataFrame, text_col: str, seed: int = 5) -> Space:
             total[:-1] += _matrix(dims, start, end, present).sum(0, dtype=np.int64)
             total[-1] += len(start)
 
-    seen = _sum_over(texts, (DIMENSIONS + 1,), count)
+    seen = sum_over(texts, (DIMENSIONS + 1,), np.float64, count)
     weights = (np.log((1 + seen[-1]) / (1 + seen[:-1])) + 0.01).astype(np.float32)
     omega = np.random.default_rng(seed).standard_normal((DIMENSIONS, RANK + OVERSAMPLE)).astype(np.float32)
 
@@ -139,7 +109,7 @@ def fit_space(docs: DataFrame, text_col: str, seed: int = 5) -> Space:
             a = _matrix(dims, start, end, weights)
             total += a.T @ (a @ omega / np.maximum(np.einsum("ij,ij->i", a, a), 1e-12)[:, None])
 
-    z = _sum_over(texts, omega.shape, sketch)
+    z = sum_over(texts, omega.shape, np.float64, sketch)
     # A'A is close to z (omega'z)^-1 z'; its leading eigenvectors are the basis
     middle = omega.T.astype(np.float64) @ z
     values, vectors = np.linalg.eigh((middle + middle.T) / 2)

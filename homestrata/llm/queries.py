@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from homestrata.llm import bpe, decontaminate, language_id, line_dedup, maxscore, page_content, secrets_scan, token_store
+from homestrata.llm import bpe, decontaminate, language_id, line_dedup, maxscore, ngram_join, page_content, secrets_scan, token_store
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -116,6 +116,11 @@ FROM d LEFT JOIN k ON k.doc_id = d.doc_id
 """
 
 
+@_query
+def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join(_table(spark, sf_dir, "documents")).withColumnRenamed("component", "component_id")
+
+
 @_query
 def op10_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = token_store.write_store(_table(spark, sf_dir, "documents"))
