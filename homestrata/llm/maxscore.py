@@ -147,7 +147,7 @@ def top_k(queries: DataFrame, candidates: DataFrame, k: int, shard_rows: int = S
         F.col("ids").alias("q_ids"),
         F.col("matrix").alias("q_matrix"),
     )
-    pairs = packed.join(asked, "shard").select("ids", "dims", "matrix", "q_ids", "q_dims", "q_matrix")
+    pairs = packed.join(asked.hint("merge"), "shard").select("ids", "dims", "matrix", "q_ids", "q_dims", "q_matrix")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from homestrata.llm import bpe, decontaminate, language_id, line_dedup, maxscore, ngram_join, page_content, secrets_scan, token_store
+from homestrata.llm import bpe, decontaminate, language_id, line_dedup, maxscore, ngram_join, page_content, repeats, secrets_scan, token_store
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -33,6 +33,18 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_query
+def op2_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = repeats.remove_repeats(_table(spark, sf_dir, "documents"))
+    return left.select(
+        "doc_id",
+        "n_bytes",
+        (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
+        F.size("starts").cast("bigint").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 @_query
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
