@@ -1,30 +1,73 @@
 """From raw documents to token ids: stages, each written as Parquet and read again by the next.
 
 Every stage takes (spark, docs, sf_dir) and works on all that the one before it kept; all
-but the last return the columns of ``documents``.
+but the last return the columns of ``documents``, further columns included.
+
+Defined cases: null and empty texts are no language and leave at the first stage; rows
+with a null id are kept by the stages that compare documents; rows that repeat an id and
+text are one document and stay or go together; empty tables pass through.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from homestrata.llm import bpe, line_dedup
+from homestrata.llm import bpe, decontaminate, language_id, line_dedup, ngram_join
 from homestrata.sources.staging import stage
 
+NEAR_WORDS, NEAR_SHARE = 5, (80, 100)
+
+
+def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents stay unless they are far from every language that is learned from them."""
+    model = language_id.fit(docs, "text", "lang")
+    return docs.where(~language_id.predict(model, F.col("text"))["rejected"])
+
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Later occurrences of repeated three-line windows leave the texts."""
-    return line_dedup.drop_repeated_lines(docs, "doc_id", "text").select(*docs.columns)
+    """Later occurrences of repeated three-line windows leave the texts; ``n_chars`` follows."""
+    left = line_dedup.drop_repeated_lines(docs, "doc_id", "text")
+    return left.withColumn("n_chars", F.length("text").cast("bigint")) if "n_chars" in docs.columns else left
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents linked by similar shingle sets the one with the smallest id stays."""
+    groups = ngram_join.join(docs, words=NEAR_WORDS, share=NEAR_SHARE)
+    copies = stage(groups.where("component <> doc_id").select("doc_id").distinct(), "near-copies")
+    return docs.join(copies, "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
+def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold an item of the benchmark go."""
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    space = decontaminate.fit_space(docs, "text")
+    for items in decontaminate.item_blocks(benchmark, "item_id", "text"):
+        docs = docs.where(F.size(decontaminate.leaks_column(space, items, F.col("text"))) == 0)
+    return docs
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Byte-level BPE ids of every text."""
-    return bpe.encode(docs)
+    """Byte-level BPE ids of every text, as packed little-endian unsigned 32-bit integers,
+    decoded again to prove that nothing is lost."""
+    coded = bpe.decode(bpe.encode(docs))
+    return coded.select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"),
+        "ids",
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
 
 
-STAGES = [("line dedup", drop_lines), ("byte-level BPE", tokenize)]
+STAGES = [
+    ("language ID", known_language),
+    ("line dedup", drop_lines),
+    ("n-gram Jaccard join", drop_near_copies),
+    ("benchmark decontamination", drop_leaks),
+    ("byte-level BPE", tokenize),
+]
 
-# Trained models and hashes of shingles have no SQL form.
+# Trained models and tokenizers have no SQL form; tests hold run() against brute force.
 ORACLE_SQL = None
 
 

@@ -84,37 +84,41 @@ def _kept(lines: Column, stretches: Column) -> Column:
     return F.flatten(F.transform(F.sequence(F.lit(0), count), between))
 
 
-def drop_repeated_lines(docs: DataFrame, id_col: str, text_col: str, window: int = WINDOW) -> DataFrame:
-    """``docs`` with all its columns, ``text_col`` without later occurrences, plus a struct
-    column ``_line_dedup`` (n_lines, n_removed)."""
+def drop_repeated_lines(
+    docs: DataFrame, id_col: str, text_col: str, window: int = WINDOW, report: str | None = None
+) -> DataFrame:
+    """``docs`` with all its columns, ``text_col`` without later occurrences; ``report`` names a
+    further struct column (n_lines, n_removed)."""
+    own = "_cover"  # names of its own beside whatever columns there are
+    while any(c.lower().startswith(own) for c in docs.columns):
+        own += "_"
     covered = (
         repeated_stretches(docs, id_col, text_col, window)
         .groupBy("id", "th")
-        .agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("_stretches"))
+        .agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias(f"{own}_lines"))
+        .withColumnsRenamed({"id": f"{own}_id", "th": f"{own}_th"})
     )
-    covered = covered.select(F.col("id").alias("_cov_id"), F.col("th").alias("_cov_th"), "_stretches")
-    text = F.col(text_col)
+    text, stretches = F.col(f"`{text_col}`"), F.col(f"{own}_lines")
     joined = docs.join(
-        covered, (docs[id_col] == covered["_cov_id"]) & (F.xxhash64(docs[text_col]) == covered["_cov_th"]), "left"
+        covered,
+        (F.col(f"`{id_col}`") == F.col(f"{own}_id")) & (F.xxhash64(text) == F.col(f"{own}_th")),
+        "left",
     )
     lines = _lines(text)
-    removed = F.aggregate("_stretches", F.lit(0), lambda n, s: n + s["end"] - s["start"])
-    report = F.struct(
-        F.coalesce(F.when(text.isNotNull(), F.size(lines)), F.lit(0)).cast("bigint").alias("n_lines"),
-        F.coalesce(removed, F.lit(0)).cast("bigint").alias("n_removed"),
-    )
-    kept = F.when(F.col("_stretches").isNull(), text).otherwise(F.array_join(_kept(lines, F.col("_stretches")), "\n"))
-    return joined.select(
-        *[kept.alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns], report.alias("_line_dedup")
-    )
+    kept = F.when(stretches.isNull(), text).otherwise(F.array_join(_kept(lines, stretches), "\n"))
+    columns = [kept.alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns]
+    if report:
+        removed = F.aggregate(stretches, F.lit(0), lambda n, s: n + s["end"] - s["start"])
+        columns.append(
+            F.struct(
+                F.coalesce(F.when(text.isNotNull(), F.size(lines)), F.lit(0)).cast("bigint").alias("n_lines"),
+                F.coalesce(removed, F.lit(0)).cast("bigint").alias("n_removed"),
+            ).alias(report)
+        )
+    return joined.select(*columns)
 
 
 def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW) -> DataFrame:
     """Per row: id, n_lines, n_removed and the text that is left."""
-    out = drop_repeated_lines(docs.select(id_col, text_col), id_col, text_col, window)
-    return out.select(
-        F.col(id_col),
-        F.col("_line_dedup.n_lines").alias("n_lines"),
-        F.col("_line_dedup.n_removed").alias("n_removed"),
-        F.col(text_col),
-    )
+    out = drop_repeated_lines(docs.select(id_col, text_col), id_col, text_col, window, report="report")
+    return out.select(id_col, "report.n_lines", "report.n_removed", text_col)
