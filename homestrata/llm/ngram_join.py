@@ -42,7 +42,7 @@ from homestrata.llm.sums import sum_over
 from homestrata.sources.staging import stage
 
 BUCKET_BITS = 20
-GROUP = 64
+GROUP = 256
 QUESTIONS = 256
 _SALT = np.uint64(0x5851F42D4C957F2D)
 
@@ -199,7 +199,8 @@ def _pieces(needed: DataFrame, asked: DataFrame, texts: DataFrame) -> DataFrame:
     salt = F.pmod(F.xxhash64("id"), F.col("cuts").cast("bigint")).cast("int")
     asking = asked.join(cuts, "piece_of").select("piece_of", "id", "kind", salt.alias("cut"), F.lit(True).alias("asks"))
     rows = stage(members.unionByName(asking), "questions")
-    return rows.join(texts, "id").select(
+    # always by sort and merge: neither side's size is bounded, whatever it is estimated to be
+    return rows.join(texts.hint("merge"), "id").select(
         F.xxhash64("piece_of", "cut").alias("piece"), "asks", "id", "kind", "packed"
     )
 
@@ -227,33 +228,37 @@ def join(
     hubs = kinds.select("hub").distinct().select(F.col("hub").alias("piece_of"), F.col("hub").alias("id"), F.col("hub").alias("kind"))
     links = stage(_compare(_pieces(hubs, asked, _packed(texts)), words, share, parts), "hub-links")
     near = links.select(F.col("a").alias("id"), F.col("b").alias("star")).distinct()
-    starred = reps.join(near.groupBy("id").agg(F.min("star").alias("star")), "id", "left")
-    starred = starred.select("id", "n", "prefix", F.coalesce("star", "id").alias("kind"))
+    starred = reps.join(near.groupBy("id").agg(F.min("star").alias("star")), "id", "left").join(kinds, "like", "left")
+    starred = starred.select("id", "n", "prefix", F.coalesce("star", "id").alias("kind"), "hub")
 
     # 2: tokens that reach across kinds, and the groups that hold them
-    tokens = starred.select("id", "n", "kind", F.explode("prefix").alias("token"))
+    tokens = starred.select("id", "n", "kind", "hub", F.explode("prefix").alias("token"))
     open_tokens = tokens.groupBy("token").agg(F.min("kind").alias("k0"), F.max("kind").alias("k1")).where("k0 <> k1")
     open_tokens = stage(open_tokens.select("token"), "open-tokens")
-    rows = stage(tokens.join(open_tokens, "token"), "open-rows")
-    sizes = rows.groupBy("id", "n", "kind").agg(F.min("token").alias("token"))
-    crowd = sizes.groupBy("kind").agg(F.count("*").alias("held")).where("held > 1").select("kind", "held")
-    placed = sizes.join(crowd, "kind", "left")
-    key = F.when(F.col("held").isNotNull(), F.xxhash64(F.lit(1), "kind")).otherwise(F.xxhash64(F.lit(2), "token", _band(share)))
-    placed = stage(placed.select("id", "n", "kind", key.alias("key"), "held"), "placed")
-    per_key = placed.groupBy("key").agg(F.ceil(F.count("*") / F.lit(GROUP)).cast("bigint").alias("chunks"))
-    placed = placed.join(per_key, "key").select(
-        "id", "n", "kind", "held", F.xxhash64("key", F.pmod(F.xxhash64("id"), F.col("chunks"))).alias("piece_of")
+    rows = stage(tokens.join(open_tokens.hint("merge"), "token"), "open-rows")
+    lone = F.xxhash64(F.lit(2), F.min("token"), _band(share))
+    keyed = rows.groupBy("id", "n", "kind", "hub").agg(
+        F.when(F.col("hub").isNotNull(), F.xxhash64(F.lit(1), "hub")).otherwise(lone).alias("key")
+    )
+    keyed = stage(keyed.select("id", "n", "kind", "key"), "keyed")
+    per_key = keyed.groupBy("key").agg(F.ceil(F.count("*") / F.lit(GROUP)).cast("bigint").alias("chunks"))
+    placed = stage(
+        keyed.join(per_key, "key").select(
+            "id", "n", "kind", F.xxhash64("key", F.pmod(F.xxhash64("id"), F.col("chunks"))).alias("piece_of")
+        ),
+        "groups",
     )
-    placed = stage(placed, "groups")
     ranges = placed.groupBy("piece_of").agg(
         F.min("n").alias("least"), F.max("n").alias("most"), F.min("kind").alias("k0"), F.max("kind").alias("k1")
     )
-    matrix = rows.select("id", "token").join(placed.select("id", "piece_of"), "id").select("token", "piece_of").distinct()
+    in_group = rows.select("id", "n", "kind", "token").join(placed.select("id", F.col("piece_of").alias("own")), "id")
+    matrix = in_group.select("token", F.col("own").alias("piece_of")).distinct()
     matrix = stage(matrix.join(ranges, "piece_of"), "token-groups")
     num, den = share
     fits = (F.col("n") * num <= F.col("most") * den) & (F.col("least") * num <= F.col("n") * den)
-    turn = (F.col("k0") != F.col("k1")) | (F.col("kind") < F.col("k0"))  # of two single-kind groups one asks
-    asked = rows.join(matrix, "token").where(fits & turn).select("piece_of", "id", "kind").distinct()
+    # of two groups one asks the other; a group of one kind is not asked by its own
+    turn = (F.col("own") <= F.col("piece_of")) & ((F.col("k0") != F.col("k1")) | (F.col("kind") != F.col("k0")))
+    asked = in_group.join(matrix, "token").where(fits & turn).select("piece_of", "id", "kind").distinct()
     asked = stage(asked, "group-questions")
     members = placed.select("piece_of", "id", "kind")
     links = links.unionByName(_compare(_pieces(members, asked, _packed(texts)), words, share, parts))
