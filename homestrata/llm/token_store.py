@@ -85,27 +85,31 @@ class WordEncoder:
     def encode(self, texts: list[str]) -> list[bytes]:
         split = [t.replace("\n", " ").split(" ") for t in texts]
         young, old = self._young, self._old
-        missing = set().union(*split) - young.keys()
-        known = missing & old.keys()
-        young.update({w: old[w] for w in known})
-        missing -= known
-        plain = []
-        for word in missing:
-            if _LATIN(word):
-                low = word.lower()
-                core = low[:-1] if low[-1] in _MARKS else low
-                young[word] = self._core(core) + (self._core(low[-1]) if core is not low else b"")
-            else:
-                plain.append(word)
-        self._fill(plain)
-        out = [b"".join(map(young.__getitem__, words)) for words in split]
-        for word in [w for w in missing if len(w) > _LONG]:
-            del young[word]
+        found: dict[str, bytes] = {}  # small enough to stay in the processor's caches
+        for word in set().union(*split):
+            ids = young.get(word)
+            if ids is None:
+                ids = old.get(word)
+                if ids is None:
+                    ids = self._new(word)
+                if len(word) <= _LONG:
+                    young[word] = ids
+            found[word] = ids
         if len(young) > self._limit:
             self._old, self._young = young, {}
-        return out
+        return [b"".join(map(found.__getitem__, words)) for words in split]
+
+    def _new(self, word: str) -> bytes:
+        if not _LATIN(word):
+            ids = self._tokenizer.encode(word, add_special_tokens=False).ids
+            return struct.pack(f"<{len(ids)}I", *ids)
+        low = word.lower()
+        if low[-1] in _MARKS:
+            return self._core(low[:-1]) + self._core(low[-1])
+        return self._core(low)
 
     def _core(self, word: str) -> bytes:
+        """Ids of one lower-case word or mark."""
         got = self._young.get(word)
         if got is None:
             seen = word if word.isascii() else word.encode().decode("latin-1").translate(_BYTE_CHARS)
@@ -115,13 +119,6 @@ class WordEncoder:
                 self._young[word] = got
         return got
 
-    def _fill(self, words: list[str]) -> None:
-        for i in range(0, len(words), 4096):
-            part = words[i : i + 4096]
-            for word, got in zip(part, self._tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                ids = got.ids
-                self._young[word] = struct.pack(f"<{len(ids)}I", *ids)
-
 
 @lru_cache(maxsize=1)
 def _encoder(path: str) -> WordEncoder:
@@ -131,7 +128,7 @@ def _encoder(path: str) -> WordEncoder:
     return WordEncoder(path)
 
 
-def _arrays(texts: list[str | None], path: str, block: int = 1 << 20) -> Iterator[list[bytes]]:
+def _arrays(texts: list[str | None], path: str, block: int = 1 << 18) -> Iterator[list[bytes]]:
     """Serialized id arrays with the end id, by blocks of texts."""
     end = np.array([END_ID], "<u4").tobytes()
     held, total = [], 0
