@@ -354,9 +354,7 @@ def _suffixes(batches: Iterator[pa.RecordBatch], bits: int, buckets: int) -> Ite
         if not len(suffixes):
             return _blobs([])
         # of equal surroundings only the smallest document's go on, the others are covered by it
-        flat = np.ascontiguousarray(suffixes["bytes"]).reshape(-1)
-        at = np.arange(len(suffixes)) * _CONTEXT
-        same = Prefix(flat).span(at, at + _CONTEXT) ^ mix(suffixes["left"].astype(np.uint64) << np.uint64(8) | suffixes["right"])
+        same = _surroundings(suffixes)
         order = np.lexsort((suffixes["id"], same))
         first = np.append(True, same[order][1:] != same[order][:-1])
         least = np.empty(len(suffixes), np.int64)
@@ -394,6 +392,17 @@ def _suffixes(batches: Iterator[pa.RecordBatch], bits: int, buckets: int) -> Ite
         yield close()
 
 
+def _surroundings(suffixes: np.ndarray) -> np.ndarray:
+    """Hash of the bytes around each anchor and of how many there are, some rows at a time."""
+    out = mix(suffixes["left"].astype(np.uint64) << np.uint64(8) | suffixes["right"])
+    step = BLOCK_BYTES // (2 * _CONTEXT)
+    for at in range(0, len(suffixes), step):
+        part = np.ascontiguousarray(suffixes["bytes"][at : at + step])
+        begin = np.arange(len(part)) * _CONTEXT
+        out[at : at + step] ^= Prefix(part.reshape(-1)).span(begin, begin + _CONTEXT)
+    return out
+
+
 def _by_column(rows: np.ndarray) -> bytes:
     return b"".join(np.ascontiguousarray(rows[name]).tobytes() for name in rows.dtype.names)
 
