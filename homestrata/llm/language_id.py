@@ -38,7 +38,7 @@ UNKNOWN = "und"
 
 # A centroid's radius: this many times the largest cosine distance that all but one in
 # a hundred of its training texts keep, between the two bounds.
-RADIUS_FACTOR, RADIUS_LEAST, RADIUS_MOST = 1.5, 0.85, 0.97
+RADIUS_FACTOR, RADIUS_LEAST, RADIUS_MOST = 1.5, 0.93, 0.98
 
 _BLOCK = 256
 _LETTERS = bytes(b if chr(b).isalpha() and b < 128 or b >= 128 else 32 for b in range(256))
