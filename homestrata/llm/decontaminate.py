@@ -118,8 +118,10 @@ def fit_space(docs: DataFrame, text_col: str, seed: int = 5) -> Space:
     if not keep.any():
         return Space(weights, np.zeros((DIMENSIONS, 1), np.float32))
     left, singular, _ = np.linalg.svd(half, full_matrices=False)
-    # coordinates of equal variance, or the words that all passages share would decide every cosine
-    return Space(weights, (left / singular)[:, :RANK].astype(np.float32))
+    # coordinates of nearly equal variance, or the words that all passages share would decide
+    # every cosine; the mean keeps directions that are hardly there from doing so instead
+    power = singular[:RANK] ** 2
+    return Space(weights, (left[:, :RANK] / np.sqrt(power + power.mean())).astype(np.float32))
 
 
 def latent(space: Space, dims: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:

@@ -144,7 +144,7 @@ def fit(labelled: DataFrame, text_col: str, label_col: str, sample: int = SAMPLE
     )
     seen = {r.gram: r.docs for r in document_frequencies(rows, "text").collect()}
     total = seen.pop(-1, 0)
-    weights = np.zeros(DIMENSIONS, np.float32)
+    weights = np.full(DIMENSIONS, np.log(1 + total) + 0.05, np.float32)  # what no text has counts most
     for gram, docs in seen.items():
         weights[gram] = np.log((1 + total) / (1 + docs)) + 0.05
     sizes = {r.label: r.n for r in rows.groupBy("label").agg(F.count("*").alias("n")).collect()}
