@@ -8,8 +8,8 @@ class and only the class's first document goes on.
 2. Two linked documents share one of their first tokens in a global order, rare ones first
    (prefix filter). Tokens that lie within one linked group only are done. Documents that
    hold others are partitioned into groups of similar ones, at most about ``GROUP`` each.
-   A group stores the union of its members' tokens and, over it, the matrix of which member
-   has which; a document asks the groups with which it shares a token. The overlap with the
+   A group stores the union of its members' tokens and, over it, the sparse matrix of which
+   member has which; a document asks the groups with which it shares a token. The overlap with the
    union bounds that with any member, and only groups where the bound suffices are opened:
    their matrix gives all members' exact overlaps at once.
 3. The links join classes into components.
@@ -41,9 +41,9 @@ from homestrata.llm.rolling import blocks, mix, shingles
 from homestrata.llm.sums import sum_over
 from homestrata.sources.staging import stage
 
-BUCKET_BITS = 20
-GROUP = 256
-QUESTIONS = 256
+BUCKET_BITS = 19
+GROUP = 512
+QUESTIONS = 1024
 _SALT = np.uint64(0x5851F42D4C957F2D)
 
 
@@ -122,16 +122,17 @@ def _linked(overlap: np.ndarray, n: int, sizes: np.ndarray, share: tuple[int, in
 
 
 class Group:
-    """Members' sets as a matrix over the union of their tokens."""
+    """Members' tokens as a sparse matrix over their union: per token the members that have it."""
 
     def __init__(self, members: list[tuple[int, int, np.ndarray]]) -> None:
         self.ids = np.array([m[0] for m in members], np.int64)
         self.kinds = np.array([m[1] for m in members], np.int64)
         self.sizes = np.array([len(m[2]) for m in members], np.int64)
-        self.union = np.unique(np.concatenate([m[2] for m in members]))
-        self.matrix = np.zeros((len(self.union), len(members)), np.uint8)
-        for k, (_, _, tokens) in enumerate(members):
-            self.matrix[np.searchsorted(self.union, tokens), k] = 1
+        tokens = np.concatenate([m[2] for m in members])
+        holder = np.repeat(np.arange(len(members)), self.sizes)
+        order = np.argsort(tokens, kind="stable")
+        self.union, first = np.unique(tokens[order], return_index=True)
+        self.holders, self.first = holder[order].astype(np.int32), np.append(first, len(tokens))
 
     def ask(self, tokens: np.ndarray, share: tuple[int, int]) -> np.ndarray:
         """Indices of the members that ``tokens`` links with."""
@@ -141,7 +142,9 @@ class Group:
         shared = at[self.union[at] == tokens]
         if share[1] * len(shared) < share[0] * len(tokens):  # no member can overlap enough
             return np.zeros(0, np.int64)
-        overlap = self.matrix[shared].sum(0, dtype=np.int64)
+        start, count = self.first[shared], self.first[shared + 1] - self.first[shared]
+        rows = np.repeat(start - (np.cumsum(count) - count), count) + np.arange(count.sum())
+        overlap = np.bincount(self.holders[rows], minlength=len(self.ids))
         return np.flatnonzero(_linked(overlap, len(tokens), self.sizes, share))
 
 
