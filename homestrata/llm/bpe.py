@@ -18,7 +18,7 @@ from __future__ import annotations
 
 import base64
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +26,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-CACHE_PIECES = 300_000
+CACHE_PIECES = 150_000
 BLOCK_CHARS = 1 << 20
 _SIDE_BY_SIDE = 64
 _NONE = np.int64(1) << np.int64(62)
@@ -58,9 +58,15 @@ class Vocabulary:
                 left, right = self.ranks.get(token[:cut]), self.ranks.get(token[cut:])
                 if left is not None and right is not None:
                     pairs[(left << 32) | right] = rank
-        self.pairs = pairs
-        self._keys = np.array(sorted(pairs), np.int64)
-        self._merged = np.array([pairs[k] for k in self._keys.tolist()], np.int64)
+        self._keys = np.fromiter(pairs, np.int64, len(pairs))
+        self._merged = np.fromiter(pairs.values(), np.int64, len(pairs))
+        order = np.argsort(self._keys)
+        self._keys, self._merged = self._keys[order], self._merged[order]
+
+    @cached_property
+    def pairs(self) -> dict[int, int]:
+        """The same as a table, for pieces that are merged alone; few texts have any."""
+        return dict(zip(self._keys.tolist(), self._merged.tolist()))
 
     def rank_of(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Rank of each adjacent pair, ``_NONE`` where the two do not merge."""

@@ -40,7 +40,7 @@ UNKNOWN = "und"
 # a hundred of its training texts keep, between the two bounds.
 RADIUS_FACTOR, RADIUS_LEAST, RADIUS_MOST = 1.5, 0.93, 0.98
 
-_BLOCK = 256
+_BLOCK = 64
 _LETTERS = bytes(b if chr(b).isalpha() and b < 128 or b >= 128 else 32 for b in range(256))
 
 
@@ -96,7 +96,7 @@ def _blocks(texts: list[str]) -> Iterator[tuple[int, list[str]]]:
     for i, text in enumerate(texts):
         held.append(text)
         total += len(text)
-        if len(held) == _BLOCK or total > 1 << 20:
+        if len(held) == _BLOCK or total > 1 << 18:
             yield at, held
             at, held, total = i + 1, [], 0
     if held:
