@@ -7,7 +7,8 @@ class and only the class's first document goes on.
    compared with the first of its kind: most near copies are linked by that one comparison.
 2. Two linked documents share one of their first tokens in a global order, rare ones first
    (prefix filter). Tokens that lie within one linked group only are done. Documents that
-   hold others are partitioned into groups of similar ones, at most about ``GROUP`` each.
+   hold others are partitioned into groups of similar ones, of about ``GROUP`` documents and
+   ``GROUP_TOKENS`` tokens at most.
    A group stores the union of its members' tokens and, over it, the sparse matrix of which
    member has which; a document asks the groups with which it shares a token. The overlap with the
    union bounds that with any member, and only groups where the bound suffices are opened:
@@ -16,7 +17,7 @@ class and only the class's first document goes on.
 
 No pair is formed inside a linked group, however large it is. Groups, and questions to one
 group, are cut into pieces by counts, so no task holds an unbounded group; the order of
-tokens comes from counts in ``BUCKETS`` buckets, of fixed size. Texts are shuffled
+tokens comes from counts in 2**``BUCKET_BITS`` buckets, of fixed size. Texts are shuffled
 compressed, twice to meet their questions and twice to meet their groups.
 
 Defined cases: texts that are null or without words have the empty set and no links; with
@@ -43,6 +44,7 @@ from homestrata.sources.staging import stage
 
 BUCKET_BITS = 19
 GROUP = 512
+GROUP_TOKENS = 300_000
 QUESTIONS = 1024
 _SALT = np.uint64(0x5851F42D4C957F2D)
 
@@ -244,7 +246,8 @@ def join(
         F.when(F.col("hub").isNotNull(), F.xxhash64(F.lit(1), "hub")).otherwise(lone).alias("key")
     )
     keyed = stage(keyed.select("id", "n", "kind", "key"), "keyed")
-    per_key = keyed.groupBy("key").agg(F.ceil(F.count("*") / F.lit(GROUP)).cast("bigint").alias("chunks"))
+    chunks = F.greatest(F.count("*") / F.lit(GROUP), F.sum("n") / F.lit(GROUP_TOKENS))
+    per_key = keyed.groupBy("key").agg(F.ceil(chunks).cast("bigint").alias("chunks"))
     placed = stage(
         keyed.join(per_key, "key").select(
             "id", "n", "kind", F.xxhash64("key", F.pmod(F.xxhash64("id"), F.col("chunks"))).alias("piece_of")

@@ -154,10 +154,8 @@ def shingles(data: np.ndarray, starts: np.ndarray, words: int) -> tuple[np.ndarr
         first = np.searchsorted(text, short)
         more = np.zeros(len(short), np.uint64)
         for i, (at, n) in enumerate(zip(first, counts[short])):
-            total = np.uint64(n)
-            for k in range(n):
-                total = total + mix(hashes[at + k : at + k + 1] + np.uint64(k))[0] * up[k + 1]
-            more[i] = total
+            places = np.arange(n)
+            more[i] = (mix(hashes[at : at + n] + places.astype(np.uint64)) * up[places + 1]).sum() ^ np.uint64(n)
         full = np.concatenate([full, mix(more)])
         owner = np.concatenate([owner, short])
     return full, owner
