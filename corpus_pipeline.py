@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from homestrata.llm import bpe, decontaminate, language_id, line_dedup, ngram_join
+from homestrata.llm.batches import bounded_batches
 from homestrata.sources.staging import stage
 
 NEAR_WORDS, NEAR_SHARE = 5, (80, 100)
@@ -21,6 +22,7 @@ NEAR_WORDS, NEAR_SHARE = 5, (80, 100)
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents stay unless they are far from every language that is learned from them."""
+    bounded_batches(spark)
     model = language_id.fit(docs, "text", "lang")
     return docs.where(~language_id.predict(model, F.col("text"))["rejected"])
 
@@ -33,6 +35,7 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents linked by similar shingle sets the one with the smallest id stays."""
+    bounded_batches(spark)
     groups = ngram_join.join(docs, words=NEAR_WORDS, share=NEAR_SHARE)
     copies = stage(groups.where("component <> doc_id").select("doc_id").distinct(), "near-copies")
     return docs.join(copies, "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
@@ -40,6 +43,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold an item of the benchmark go."""
+    bounded_batches(spark)
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     space = decontaminate.fit_space(docs, "text")
     for items in decontaminate.item_blocks(benchmark, "item_id", "text"):
@@ -50,6 +54,7 @@ def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Byte-level BPE ids of every text, as packed little-endian unsigned 32-bit integers,
     decoded again to prove that nothing is lost."""
+    bounded_batches(spark)
     coded = bpe.decode(bpe.encode(docs))
     return coded.select(
         "doc_id",

@@ -222,6 +222,10 @@ class Encoder:
                 part = group[i : i + 8192]
                 yield from zip((p for p, _ in part), _merge_rows(self.vocabulary, [r for _, r in part], width))
 
+    def forget(self) -> None:
+        """Let go of all pieces, so that an idle worker holds little."""
+        self._young, self._old = {}, {}
+
     def _keep(self, found: dict[str, bytes]) -> None:
         for piece, ids in found.items():
             if len(piece) <= _SIDE_BY_SIDE:
@@ -265,6 +269,8 @@ def encode(
                 ids = pa.array(encoder.encode(block), pa.binary())
                 yield pa.record_batch([batch.column(0).slice(at, len(block)), ids], names=[id_col, "ids"])
                 at += len(block)
+        encoder.forget()
+        pa.default_memory_pool().release_unused()
 
     rows = docs.select(F.col(id_col), F.col(text_col).cast("string"))
     return rows.mapInArrow(run, f"`{id_col}` {docs.schema[id_col].dataType.simpleString()}, ids binary")

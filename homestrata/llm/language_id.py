@@ -203,5 +203,6 @@ def predict(model: Model, text: Column) -> Column:
                 score[place] = np.clip(cosine.max(1), 0, 1)
                 rejected[place] = 1 - cosine.max(1) > model.radii[best[place]]
             yield pd.DataFrame({"lang": labels[best], "score": score, "rejected": rejected})
+        pa.default_memory_pool().release_unused()
 
     return run(text.cast("string"))

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from homestrata.llm import bpe, decontaminate, language_id, line_dedup, maxscore, ngram_join, page_content, repeats, secrets_scan, token_store
+from homestrata.llm.batches import bounded_batches
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -19,6 +20,7 @@ def _query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bounded_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
