@@ -1,6 +1,8 @@
 """Texts handed to an analyst: one listing, or several to compare.
 
 The request to a model is not made here; these are the columns it would be made from.
+A listing is shown as its facts, one a line under the name of its column; what is not
+known is left out.
 """
 
 from __future__ import annotations
@@ -9,129 +11,80 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from homestrata.functions.common import round_exact
-from homestrata.functions.prices import market_position
 
-DEFAULT_REQUEST = (
-    "Assess this property for a buyer. Start with an overall verdict "
-    "(STRONG BUY / BUY / CONSIDER / PASS), then give value, strengths, concerns and advice "
-    "in Markdown."
-)
-DEFAULT_COMPARISON_REQUEST = (
-    "Compare the properties above: name the best choice, rank all of them and state the "
-    "tradeoffs in Markdown."
-)
-
-
-def _number(name: str) -> Column:
-    return F.coalesce(F.col(name).cast("double"), F.lit(0.0))
-
-
-def _plain(name: str) -> Column:
-    """A stored number: whole numbers get one decimal ('3' shows as '3.0')."""
-    value = _number(name)
-    return F.when(
-        (value == F.floor(value)) & (F.abs(value) < 1e15),
-        F.concat(F.floor(value).cast("string"), F.lit(".0")),
-    ).otherwise(value.cast("string"))
-
-
-def _grouped(name: str) -> Column:
-    """As ``_plain``, with thousands separators: '450,000.0'."""
-    whole = F.format_number(F.floor(_number(name)), 0)
-    return F.concat(whole, F.lit("."), F.substring_index(_plain(name), ".", -1))
-
-
-def _fixed(name: str, digits: int) -> Column:
-    return F.format_string(f"%.{digits}f", round_exact(_number(name), digits))
-
-
-def _text(name: str, default: str = "") -> Column:
-    return F.coalesce(F.col(name).cast("string"), F.lit(default))
-
-
-def _year() -> Column:
-    return F.when(F.col("year_built").isNull(), "Unknown").otherwise(_plain("year_built"))
-
-
-def _lines(*lines: Column) -> Column:
+DEFAULT_REQUEST = "Is this listing worth its price? Give a verdict, the reasons for it and what to check."
+DEFAULT_COMPARISON_REQUEST = "Which of these listings is the best choice, and what speaks for the others?"
+
+# What an analyst is told, in order.
+LISTING_FACTS = (
+    "property_id", "property_type", "year_built", "beds", "baths", "size_sqft", "lot_size_sqft", "lot_size_acres",
+    "price", "price_per_sqft", "hoa_fee", "city_median_price_per_sqft", "city_discount_pct", "days_on_market",
+    "address", "zip_code", "city", "state", "mls_number", "listing_url",
+)
+COMPARED_FACTS = (
+    "property_id", "year_built", "beds", "baths", "size_sqft", "price", "price_per_sqft", "city_discount_pct",
+    "days_on_market", "city", "state",
+)
+FRACTIONS = frozenset("baths lot_size_acres price_per_sqft city_median_price_per_sqft city_discount_pct".split())
+
+
+def facts(names: tuple[str, ...]) -> Column:
+    """``name: value`` lines of the columns that have a value; fractions with two decimals."""
+    lines = []
+    for name in names:
+        value = F.format_string("%.2f", round_exact(name)) if name in FRACTIONS else F.col(name).cast("string")
+        lines.append(F.when(F.col(name).isNotNull(), F.concat(F.lit(f"{name}: "), value)))
     return F.concat_ws("\n", *lines)
 
 
-def _line(label: str, *parts: Column | str) -> Column:
-    return F.concat(F.lit(label), *[F.lit(p) if isinstance(p, str) else p for p in parts])
-
-
 def analysis_prompt(request: str = DEFAULT_REQUEST) -> Column:
-    """Facts about one enriched listing, followed by what is asked for."""
-    place = F.concat(_text("city", "Unknown"), F.lit(", "), _text("state"))
-    return _lines(
-        _line("Property in ", place),
-        F.lit("PROPERTY DETAILS:"),
-        _line("- Address: ", _text("address", "Not provided")),
-        _line("- City/State/Zip: ", place, " ", _text("zip_code")),
-        _line("- MLS ID: ", _text("mls_number")),
-        _line("- Price: $", _grouped("price")),
-        _line("- Size: ", _grouped("size_sqft"), " sq ft = $", _fixed("price_per_sqft", 0), "/sq ft"),
-        _line("- Bedrooms: ", _plain("beds")),
-        _line("- Bathrooms: ", _plain("baths")),
-        _line("- Property Type: ", _text("property_type", "Unknown")),
-        _line("- Year Built: ", _year()),
-        _line("- Lot Size: ", _grouped("lot_size_sqft"), " sq ft (", _fixed("lot_size_acres", 2), " acres)"),
-        _line("- HOA Fee: $", _plain("hoa_fee"), "/month"),
-        F.lit("MARKET CONTEXT:"),
-        _line("- Days on Market: ", _plain("days_on_market")),
-        _line("- City Median: $", _fixed("city_median_price_per_sqft", 0), "/sq ft"),
-        _line("- Market Position: ", market_position("city_discount_pct")),
-        _line("- Listing URL: ", _text("listing_url", "N/A")),
-        F.lit(request),
-    )
+    """What is asked, then the facts of one enriched listing."""
+    return F.concat_ws("\n\n", F.lit(request), facts(LISTING_FACTS))
 
 
 def comparison_items(requests: DataFrame, listings: DataFrame, preferences: DataFrame) -> DataFrame:
     """Requested listings in order, with what is missing about each.
 
     Requests are (request_id, user_id, property_ids). ``problem`` names the first thing
-    that is wrong: no such listing, or no finished analysis of it by this user.
+    that is wrong: fewer than two listings asked for, no such listing, or no finished
+    analysis of it by this user. A request for none is one row without a listing.
     """
-    asked = requests.where(F.size("property_ids") >= 2).select(
-        "request_id", "user_id", F.posexplode("property_ids").alias("pos", "property_id")
+    few = F.coalesce(F.size("property_ids"), F.lit(0)) < 2
+    asked = requests.select(
+        "request_id", "user_id", few.alias("_few"), F.posexplode_outer("property_ids").alias("pos", "property_id")
     )
     known = listings.withColumn("_listed", F.lit(True))
     done = preferences.where(F.col("analysis_result").isNotNull()).select(
         "user_id", "property_id", F.lit(True).alias("_analyzed"), "analysis_result"
     )
     joined = asked.join(known, "property_id", "left").join(done, ["user_id", "property_id"], "left")
-    problem = F.when(F.col("_listed").isNull(), "listing missing").when(
-        F.col("_analyzed").isNull(), "analysis missing"
+    problem = (
+        F.when(F.col("_few"), "fewer than two listings")
+        .when(F.col("_listed").isNull(), "listing missing")
+        .when(F.col("_analyzed").isNull(), "analysis missing")
     )
-    return joined.withColumn("problem", problem).drop("_listed", "_analyzed")
+    return joined.withColumn("problem", problem).drop("_few", "_listed", "_analyzed")
 
 
 def comparison_gate(items: DataFrame) -> DataFrame:
     """Per request whether it can be answered; if not, the first listing that fails it."""
     bad = F.col("problem").isNotNull()
     return items.groupBy("request_id").agg(
-        F.count("*").alias("property_count"),
+        F.count("pos").alias("property_count"),
         (F.count_if(bad) == 0).alias("valid"),
-        F.min_by("property_id", F.when(bad, F.col("pos"))).alias("first_missing_id"),
-        F.min_by("problem", F.when(bad, F.col("pos"))).alias("first_problem"),
+        F.min_by("property_id", F.when(bad, F.coalesce("pos", F.lit(0)))).alias("first_missing_id"),
+        F.min_by("problem", F.when(bad, F.coalesce("pos", F.lit(0)))).alias("first_problem"),
     )
 
 
 def comparison_section() -> Column:
-    """One listing's part of a comparison, numbered from 1."""
-    return _lines(
-        F.format_string("=== PROPERTY %d ===", F.col("pos") + 1),
-        _line("Address: ", _text("address", "N/A")),
-        _line("City: ", _text("city"), ", ", _text("state")),
-        _line("Price: $", _grouped("price")),
-        _line("Size: ", _grouped("size_sqft"), " sq ft (", _plain("beds"), " bed / ", _plain("baths"), " bath)"),
-        _line("Price/SqFt: $", _fixed("price_per_sqft", 0)),
-        _line("Year Built: ", _year()),
-        _line("Days on Market: ", _plain("days_on_market")),
-        _line("City Discount: ", _fixed("city_discount_pct", 1), "%"),
-        F.lit("PREVIOUS ANALYSIS:"),
-        F.coalesce("analysis_result.analysis_markdown", F.lit("No previous analysis")),
+    """One listing's part of a comparison: its place, its facts, what was found before."""
+    found = F.coalesce("analysis_result.analysis_markdown", F.lit("none"))
+    return F.concat_ws(
+        "\n",
+        F.concat(F.lit("option: "), (F.col("pos") + 1).cast("string")),
+        facts(COMPARED_FACTS),
+        F.concat(F.lit("analysis: "), found),
     )
 
 
@@ -153,5 +106,5 @@ def comparison_prompts(items: DataFrame, request: str = DEFAULT_COMPARISON_REQUE
         "request_id",
         "user_id",
         F.size("_parts").alias("property_count"),
-        F.concat_ws("\n\n", sections, F.lit(request)).alias("prompt"),
+        F.concat_ws("\n\n", F.lit(request), sections).alias("prompt"),
     )

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from homestrata.operators.compare import DEFAULT_COMPARISON_REQUEST, DEFAULT_REQUEST
 from homestrata.plans.standins import sql
 
 ORACLES: dict[str, str] = {}
@@ -187,18 +186,20 @@ for _name, _column in {
     for _direction in ("asc", "desc"):
         _add(
             f"q_sort_{_name}_{_direction}",
-            f"""SELECT property_id FROM listings
-            ORDER BY coalesce({_column}, 0) {_direction}, property_id LIMIT 300""",
+            f"""SELECT property_id, row_number() OVER (ORDER BY coalesce({_column}, 0) {_direction}, property_id) AS rank
+            FROM listings QUALIFY rank <= 1000""",
             "listings",
         )
 _add(
     "q_sort_date_asc",
-    "SELECT property_id FROM listings ORDER BY analysis_date ASC NULLS FIRST, property_id LIMIT 300",
+    """SELECT property_id, row_number() OVER (ORDER BY analysis_date ASC NULLS FIRST, property_id) AS rank FROM listings
+    QUALIFY rank <= 1000""",
     "listings",
 )
 _add(
     "q_sort_date_desc",
-    "SELECT property_id FROM listings ORDER BY analysis_date DESC NULLS LAST, property_id LIMIT 300",
+    """SELECT property_id, row_number() OVER (ORDER BY analysis_date DESC NULLS LAST, property_id) AS rank FROM listings
+    QUALIFY rank <= 1000""",
     "listings",
 )
 _add(
@@ -207,10 +208,11 @@ _add(
     ORDER BY coalesce(price_per_sqft, 0), property_id LIMIT 25""",
     "listings",
 )
-_add("q_page_sort", "SELECT property_id, beds FROM listings ORDER BY property_id LIMIT 100", "listings")
+_add("q_page_sort", """SELECT property_id, beds, row_number() OVER (ORDER BY coalesce(beds, 0) DESC, property_id) AS rank
+    FROM (SELECT * FROM listings ORDER BY property_id LIMIT 100)""", "listings")
 _add(
     "q_keyset_page",
-    "SELECT property_id, price FROM listings WHERE property_id > 'PROP#300' ORDER BY property_id LIMIT 300",
+    "SELECT property_id, price FROM listings WHERE property_id > 'PROP#300' ORDER BY property_id LIMIT 1000",
     "listings",
 )
 _add(
@@ -643,10 +645,10 @@ _REQUESTS = """(SELECT event_id AS request_id, user_id, ts,
       CASE WHEN event_type = 'view' THEN ['PROP#' || json_extract_string(props, '$.k')]
         ELSE ['PROP#' || json_extract_string(props, '$.k'), CASE event_type WHEN 'purchase' THEN 'PROP#sold' ELSE 'PROP#' || user_id END] END AS property_ids FROM events)"""
 _ITEMS = f"""(SELECT r.request_id, r.user_id, r.pos, r.property_id,
-      CASE WHEN l.property_id IS NULL THEN 'listing missing'
+      CASE WHEN r.n < 2 THEN 'fewer than two listings' WHEN l.property_id IS NULL THEN 'listing missing'
         WHEN p.user_id IS NULL OR s.analysis_completed_at IS NULL THEN 'analysis missing' END AS problem
-    FROM (SELECT request_id, user_id, unnest(property_ids) AS property_id,
-        unnest(range(len(property_ids))) AS pos FROM {_REQUESTS} WHERE len(property_ids) >= 2) r
+    FROM (SELECT request_id, user_id, unnest(property_ids) AS property_id, len(property_ids) AS n,
+        unnest(range(len(property_ids))) AS pos FROM {_REQUESTS}) r
       LEFT JOIN listings l ON r.property_id = l.property_id
       LEFT JOIN preferences p ON r.user_id = p.user_id AND r.property_id = p.property_id
       LEFT JOIN {_STATUS} s ON r.user_id = s.user_id AND r.property_id = s.property_id)"""
@@ -669,43 +671,37 @@ _add(
     QUALIFY row_number() OVER (PARTITION BY user_id, strftime(ts, '%Y-%m-%d_%H-%M-%S') ORDER BY ts DESC) = 1""",
 )
 
-_FLOAT = "CASE WHEN {c} IS NULL THEN '0.0' ELSE CAST(CAST({c} AS DOUBLE) AS VARCHAR) END"
-_COMMA = "format('{{:,}}', CAST(coalesce({c}, 0) AS BIGINT)) || '.0'"
-_FACTS = {n: _FLOAT.format(c=n) for n in ("beds", "baths", "hoa_fee", "days_on_market")}
-_BIG = {n: _COMMA.format(c=n) for n in ("price", "size_sqft", "lot_size_sqft")}
-_YEAR = "coalesce(CAST(CAST(year_built AS DOUBLE) AS VARCHAR), 'Unknown')"
-_POSITION = """CASE WHEN pct < -10 THEN format('{:.1f}', abs(pct)) || '% BELOW city median (good value)'
-        WHEN pct > 10 THEN format('{:.1f}', pct) || '% ABOVE city median (premium priced)'
-        ELSE 'Near city median (' || format('{:+.1f}', R1(pct)) || '%)' END"""
+_WHOLE = "'{n}: ' || {c}"
+_HUNDREDTHS = "'{n}: ' || format('{{:.2f}}', {c})"
+
+
+def _facts(names: str) -> str:
+    """SQL for lines of known facts; ``*`` marks what is shown with two decimals."""
+    own = {"city_median_price_per_sqft": "med", "city_discount_pct": "pct"}
+    lines = []
+    for name in names.split():
+        n = name.rstrip("*")
+        lines.append((_HUNDREDTHS if name != n else _WHOLE).format(n=n, c="e." + own.get(n, n)))
+    return "concat_ws(chr(10), " + ", ".join(lines) + ")"
+
+
 _add(
     "q_prompt_text",
-    f"""SELECT property_id, array_to_string([
-      'Property in ' || city || ', ' || state, 'PROPERTY DETAILS:', '- Address: ' || address,
-      '- City/State/Zip: ' || city || ', ' || state || ' ' || zip_code, '- MLS ID: ' || mls_number,
-      '- Price: $' || {_BIG["price"]},
-      '- Size: ' || {_BIG["size_sqft"]} || ' sq ft = $' || format('{{:.0f}}', psf) || '/sq ft',
-      '- Bedrooms: ' || {_FACTS["beds"]}, '- Bathrooms: ' || {_FACTS["baths"]},
-      '- Property Type: ' || property_type, '- Year Built: ' || {_YEAR},
-      '- Lot Size: ' || {_BIG["lot_size_sqft"]} || ' sq ft (' || format('{{:.2f}}', coalesce(lot_size_acres, 0)) ||
-        ' acres)',
-      '- HOA Fee: $' || {_FACTS["hoa_fee"]} || '/month', 'MARKET CONTEXT:',
-      '- Days on Market: ' || {_FACTS["days_on_market"]},
-      '- City Median: $' || format('{{:.0f}}', med) || '/sq ft', '- Market Position: ' || {_POSITION},
-      '- Listing URL: ' || listing_url, '{DEFAULT_REQUEST}'], chr(10)) AS prompt
-    FROM {_ENRICHED}""",
+    f"""SELECT property_id, 'Is this listing worth its price? Give a verdict, the reasons for it and what to check.'
+      || chr(10) || chr(10) || {_facts("""property_id property_type year_built beds baths* size_sqft lot_size_sqft
+        lot_size_acres* price price_per_sqft* hoa_fee city_median_price_per_sqft* city_discount_pct* days_on_market
+        address zip_code city state mls_number listing_url""")} AS prompt
+    FROM {_ENRICHED} e""",
     "listings",
     "city_stats",
 )
 _add(
     "q_compare_prompt",
     f"""SELECT i.request_id, i.user_id, CAST(count(*) AS INTEGER) AS property_count,
-      string_agg(array_to_string(['=== PROPERTY ' || (pos + 1) || ' ===', 'Address: ' || address,
-        'City: ' || city || ', ' || state, 'Price: $' || {_BIG["price"]},
-        'Size: ' || {_BIG["size_sqft"]} || ' sq ft (' || {_FACTS["beds"]} || ' bed / ' || {_FACTS["baths"]} || ' bath)',
-        'Price/SqFt: $' || format('{{:.0f}}', psf), 'Year Built: ' || {_YEAR},
-        'Days on Market: ' || {_FACTS["days_on_market"]}, 'City Discount: ' || format('{{:.1f}}', pct) || '%',
-        'PREVIOUS ANALYSIS:', 'Verdict: buy ' || i.property_id], chr(10)), chr(10) || chr(10) ORDER BY pos)
-        || chr(10) || chr(10) || '{DEFAULT_COMPARISON_REQUEST}' AS prompt
+      'Which of these listings is the best choice, and what speaks for the others?' || chr(10) || chr(10) ||
+      string_agg(concat_ws(chr(10), 'option: ' || (pos + 1), {_facts("""property_id year_built beds baths* size_sqft
+        price price_per_sqft* city_discount_pct* days_on_market city state""")},
+        'analysis: Verdict: buy ' || i.property_id), chr(10) || chr(10) ORDER BY pos) AS prompt
     FROM {_ITEMS} i JOIN {_ENRICHED} e ON i.property_id = e.property_id
     GROUP BY i.request_id, i.user_id HAVING count(problem) = 0
       AND count(*) = (SELECT count(*) FROM {_ITEMS} j WHERE j.request_id = i.request_id)""",

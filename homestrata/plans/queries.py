@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from homestrata.functions import ids, prices, records
@@ -41,9 +41,8 @@ def query(fn: Callable[[s.Tables], DataFrame]) -> Callable[[s.Tables], DataFrame
 
 
 def _listing_table(t: s.Tables, *columns: str) -> DataFrame:
-    """The listing view as a stored table, for jobs that read listings more than once."""
-    listed = s.listings(t)
-    return stage(listed.select(*columns) if columns else listed.drop("image_urls"), "listings")
+    """Some columns of the listing view as a stored table, for what reads them more than once."""
+    return stage(s.listings(t).select(*columns), "listings")
 
 
 # --- scans, lookups, sinks ---------------------------------------------------------
@@ -193,9 +192,15 @@ def q_search_page(t):
     return page.select("property_id", "price", "image_url", "is_favorited")
 
 
+def _ranked(rows: DataFrame, sort: str) -> DataFrame:
+    """The order of a bounded result as a column, so that it can be compared."""
+    order = Window.orderBy(*search.sort_columns(rows, sort))
+    return rows.withColumn("rank", F.row_number().over(order).cast("bigint"))
+
+
 def _sorted(name: str):
     def run(t):
-        return search.top_k(s.listings(t), name, 300).select("property_id")
+        return _ranked(search.top_k(s.listings(t), name, 1000), name).select("property_id", "rank")
 
     run.__name__ = f"q_sort_{name}"
     return query(run)
@@ -215,12 +220,12 @@ def q_top_k(t):
 @query
 def q_page_sort(t):
     page = search.next_page(s.listings(t), None, 100)
-    return search.sort_page(page, "beds_desc").select("property_id", "beds")
+    return _ranked(search.sort_page(page, "beds_desc"), "beds_desc").select("property_id", "beds", "rank")
 
 
 @query
 def q_keyset_page(t):
-    return search.next_page(s.listings(t), "PROP#300", "1000").select("property_id", "price")
+    return search.next_page(s.listings(t), "PROP#300", 1000).select("property_id", "price")
 
 
 @query
@@ -329,7 +334,7 @@ def q_price_per_acre(t):
 
 @query
 def q_market_position(t):
-    enriched = stats.analyze(_listing_table(t), s.AS_OF)
+    enriched = stats.analyze(s.listings(t), s.AS_OF)
     return enriched.select(
         "property_id",
         prices.discount_bucket("city_discount_pct").alias("bucket"),
@@ -340,7 +345,7 @@ def q_market_position(t):
 
 @query
 def q_discount_class(t):
-    enriched = stats.analyze(_listing_table(t), s.AS_OF)
+    enriched = stats.analyze(s.listings(t), s.AS_OF)
     return enriched.select("property_id", prices.discount_class("city_discount_pct").alias("discount_class"))
 
 
@@ -583,12 +588,12 @@ def q_city_stats(t):
 @query
 def q_enrich(t):
     """Flagship: every listing with unit prices and its discount to the city median."""
-    return stats.analyze(_listing_table(t), s.AS_OF).drop("last_analyzed")
+    return stats.analyze(s.listings(t).drop("image_urls"), s.AS_OF).drop("last_analyzed")
 
 
 @query
 def q_analyze_limit(t):
-    enriched = stats.analyze(_listing_table(t), s.AS_OF, max_properties=500)
+    enriched = stats.analyze(s.listings(t), s.AS_OF, max_properties=500)
     return enriched.select("property_id", "city_median_price_per_sqft", "city_property_count")
 
 
@@ -740,7 +745,7 @@ def _comparison_items(t):
 
 
 def _enriched_listings(t):
-    return stats.analyze(_listing_table(t), s.AS_OF)
+    return stats.analyze(s.listings(t), s.AS_OF)
 
 
 @query
@@ -899,7 +904,5 @@ def q_stream_crawl(t):
     )
     summaries = VersionedTable(t.spark, f"{folder}/runs", runs, ["run"])
     handle = incremental.crawl_runs(tracked, listings, summaries)
-    incremental.run_available(
-        s.order_observations(source), lambda batch, epoch: handle(batch, epoch + 1), f"{folder}/checkpoint"
-    )
+    incremental.run_available(s.order_observations(source), handle, f"{folder}/checkpoint")
     return summaries.read().drop("run")

@@ -83,8 +83,8 @@ def test_price_replay_equals_loop(spark, target_rows):
     assert sorted(map(tuple, changes.collect())) == loop_replay(rows)
     if target_rows < 10_000:
         positive = df.where("price > 0")
-        segments = ordered.large_key_segments(positive, "property_id", "ts", target_rows)
-        cut = ordered.with_segments(positive, segments, "property_id", "ts")
+        segments, grain = ordered.large_key_segments(positive, "property_id", "ts", target_rows)
+        cut = ordered.with_segments(positive, segments, "property_id", "ts", grain)
         counts = cut.groupBy("property_id", "segment").count().collect()
         hot = [r[2] for r in counts if r[0] == "hot"]
         # whole days are kept together, so a segment may run over by one day
@@ -266,15 +266,21 @@ def test_comparisons(spark):
         "property_id string, city string, state string, price bigint, price_per_sqft double, beds int, baths double, lot_size_acres double, lot_size_sqft int, year_built int, hoa_fee int, days_on_market int, mls_number string, size_sqft int, zip_code string, property_type string, address string, listing_url string"), AS_OF)
     report = preferences.analysis_result(F.col("t"))
     prefs = spark.createDataFrame([(1, "P1", "good"), (1, "P2", "bad"), (2, "P1", "other")], "user_id bigint, property_id string, t string").select("user_id", "property_id", report.alias("analysis_result"))
-    requests = spark.createDataFrame([(10, 1, ["P2", "P1"]), (11, 1, ["P1", "P3", "PX"]), (12, 1, ["P1", "PX", "P3"]), (13, 1, ["P1"])], "request_id bigint, user_id bigint, property_ids array<string>")
+    requests = spark.createDataFrame([(10, 1, ["P2", "P1"]), (11, 1, ["P1", "P3", "PX"]), (12, 1, ["P1", "PX", "P3"]), (13, 1, ["P1"]), (14, 1, [])], "request_id bigint, user_id bigint, property_ids array<string>")
     items = compare.comparison_items(requests, listings, prefs)
     gate = {r.request_id: (r.valid, r.first_missing_id, r.first_problem) for r in compare.comparison_gate(items).collect()}
-    assert gate == {10: (True, None, None), 11: (False, "P3", "analysis missing"), 12: (False, "PX", "listing missing")}
+    few = "fewer than two listings"
+    assert gate == {10: (True, None, None), 11: (False, "P3", "analysis missing"), 12: (False, "PX", "listing missing"), 13: (False, "P1", few), 14: (False, None, few)}
     (prompt,) = compare.comparison_prompts(items).collect()
-    assert prompt.request_id == 10 and prompt.prompt.index("Address: 2 St") < prompt.prompt.index("Address: 1 St")
-    assert "=== PROPERTY 2 ===\nAddress: 1 St\nCity: X, CO\nPrice: $100,000.0\nSize: 1,000.0 sq ft (2.0 bed / 1.5 bath)\nPrice/SqFt: $100\nYear Built: 1990.0\nDays on Market: 0.0\nCity Discount: -50.0%\nPREVIOUS ANALYSIS:\ngood" in prompt.prompt
+    assert prompt.request_id == 10 and prompt.prompt.startswith(compare.DEFAULT_COMPARISON_REQUEST)
+    first, second = prompt.prompt.split("option: ")[1:]
+    assert first.startswith("1\nproperty_id: P2\n") and first.rstrip().endswith("analysis: bad")
+    assert second == (
+        "2\nproperty_id: P1\nyear_built: 1990\nbeds: 2\nbaths: 1.50\nsize_sqft: 1000\nprice: 100000\n"
+        "price_per_sqft: 100.00\ncity_discount_pct: -50.00\ncity: X\nstate: CO\nanalysis: good"
+    )
     text = listings.select(compare.analysis_prompt().alias("p")).where("p like '%3 St%'").first().p
-    assert "- Market Position: 50.0% ABOVE city median (premium priced)" in text and "- HOA Fee: $0.0/month" in text
+    assert text.startswith(compare.DEFAULT_REQUEST) and "\ncity_discount_pct: 50.00\n" in text
 
 
 def listing_rows(spark):
@@ -349,3 +355,54 @@ def test_comparables(spark):
     assert (of_ward("w"), of_ward("v"), of_ward("unknown")) == (["p008", "p007"], ["q"], ["p008", "p007"])
 
 
+
+
+def test_duplicates_with_null_keys(spark):
+    rows = spark.createDataFrame([(None, 1), (None, 1), (2, None), (2, None), (3, 1)], "a int, b int")
+    flagged = profile.flag_duplicates(rows, ["a", "b"]).collect()
+    assert sorted((r.a or 0, r.duplicate) for r in flagged) == [(0, "yes"), (0, "yes"), (2, "yes"), (2, "yes"), (3, "no")]
+    assert flagged[0].asDict().keys() == {"a", "b", "duplicate"}
+
+
+def test_cities_without_white_space_and_medians_without_nan(spark):
+    rows = [("p1", "X", 1.0), ("p2", "X\n", 3.0), ("p3", "\tX\u00a0", 8.0), ("p4", " ", 5.0), ("p5", "Y", float("nan")), ("p6", "Y", None)]
+    listings = spark.createDataFrame(rows, "property_id string, city string, price_per_sqft double")
+    assert [tuple(r) for r in stats.city_stats(listings).collect()] == [("X", 3.0, 3)]
+    values = spark.createDataFrame([(1, v) for v in (0.5, 2.0, 8.0, 16.0, float("nan"))], "g int, v double")
+    (middle,) = stats.exact_medians(values, "g", "v").collect()
+    assert (middle.lower, middle.upper, middle.n) == (2.0, 8.0, 4)
+
+
+def test_search_takes_current_records_and_any_limit(spark):
+    rows = [(f"p{i:04}", "META" if i % 5 else f"HIST#{i}", i) for i in range(1000)]
+    listings = spark.createDataFrame(rows, "property_id string, sort_key string, price bigint")
+    found = search.search(listings, {"min_price": 1})
+    assert found.count() == 800
+    assert search.top_k(found, "price_desc", 700).count() == 700
+    page = search.next_page(found, "p0100", 500)
+    assert page.count() == 500 and tuple(search.next_cursor(page, 500).first()) == (500, "p0724")
+    assert tuple(search.next_cursor(search.next_page(found, "p0990", 500), 500).first()) == (7, None)
+
+
+def test_cuts_are_arguments(spark):
+    rows = [("p1", None, "x" * 2000, [f"i{k}" for k in range(50)])]
+    extracted = spark.createDataFrame(rows, "property_id string, error string, description string, image_urls array<string>")
+    kept = save.listing_records(extracted, AS_OF).first()
+    assert (len(kept.description), len(kept.image_urls)) == (save.DESCRIPTION_STORED, save.IMAGES_STORED)
+    whole = save.listing_records(extracted, AS_OF, images=None, description=None).first()
+    assert (len(whole.description), len(whole.image_urls)) == (2000, 50)
+
+
+def test_replay_has_one_answer_for_every_size(spark):
+    rng = random.Random(5)
+    start = dt.datetime(2024, 1, 1)
+    rows = [("big", None, 1, 5), ("big", None, 2, 6)]
+    rows += [("big", start + dt.timedelta(minutes=rng.randint(0, 900)), i, rng.choice([100, 200, 300])) for i in range(300)]
+    rows += [("small", start, 1, 10), ("small", None, 0, 9), ("small", start, 2, 11)]
+    df = spark.createDataFrame(rows, "property_id string, ts timestamp, tie int, price bigint")
+    want = None
+    for size in (2, 25, 1000):
+        got = sorted(map(str, pricing.replay_changes(df, ["tie"], target_rows=size).collect()))
+        want = want or got
+        assert got == want
+    assert any("change_no=1, ts=None, price=6" in r for r in want)
