@@ -21,7 +21,7 @@ def _pick(rows: DataFrame, keys: list[str], order: list[Column | str], pick) ->
 
 
 def first_by(rows: DataFrame, keys: list[str], order: list[Column | str]) -> DataFrame:
-    """First row per key in ``order``; one partial aggregate, no sort, no window."""
+    """First row per key in ``order``: one aggregate, combined before the exchange, no window."""
     return _pick(rows, keys, order, F.min_by)
 
 
@@ -30,14 +30,19 @@ def latest_by(rows: DataFrame, keys: list[str], order: list[Column | str]) -> Da
     return _pick(rows, keys, order, F.max_by)
 
 
+# Units of time a large key may be cut at, tried in turn until none is too large.
+GRAINS = ("day", "hour", "minute", "second")
+
+
 def large_key_segments(
-    rows: DataFrame, key: str, ts: str, target_rows: int = 5_000_000, grain: str = "day"
-) -> DataFrame | None:
-    """Where to cut keys of more than ``target_rows`` rows: (key, unit, segment).
+    rows: DataFrame, key: str, ts: str, target_rows: int = 5_000_000
+) -> tuple[DataFrame, str] | None:
+    """Where to cut keys of more than ``target_rows`` rows: (key, unit, segment), and the grain.
 
-    ``unit`` is ``ts`` truncated to ``grain``, the finest cut there is; ``segment``
-    increases over time and holds about ``target_rows`` rows. None when no key is that
-    large, which is the rule, so that callers can plan without cuts.
+    ``unit`` is ``ts`` truncated to the grain, NULL being a unit of its own before all
+    others; ``segment`` increases over time and holds about ``target_rows`` rows. The
+    grain is the coarsest that gives such segments, a second at the finest. None when no
+    key is that large, which is the rule, so that callers can plan without cuts.
 
     Counts are exact and staged: every use sees the same cuts, on retries as well.
     """
@@ -46,20 +51,28 @@ def large_key_segments(
     if large.isEmpty():
         return None
     by_time = Window.partitionBy(key).orderBy("unit")
-    cuts = (
-        rows.join(large, key, "left_semi")
-        .groupBy(key, F.date_trunc(grain, ts).alias("unit"))
-        .agg(F.count("*").alias("_n"))
-        .withColumn("_before", F.sum("_n").over(by_time) - F.col("_n"))
-        .select(key, "unit", F.floor(F.col("_before") / target_rows).alias("segment"))
+    for grain in GRAINS:
+        units = (
+            rows.join(large, key, "left_semi")
+            .groupBy(key, F.date_trunc(grain, ts).alias("unit"))
+            .agg(F.count("*").alias("_n"))
+        )
+        units = stage(units, "units")
+        if grain == GRAINS[-1] or units.where(F.col("_n") > target_rows).isEmpty():
+            break
+    before = F.sum("_n").over(by_time) - F.col("_n")
+    cuts = units.withColumn("_before", before).select(
+        key, "unit", F.floor(F.col("_before") / target_rows).alias("segment")
     )
-    return stage(cuts, "segments")
+    return stage(cuts, "segments"), grain
 
 
-def with_segments(rows: DataFrame, segments: DataFrame, key: str, ts: str, grain: str = "day") -> DataFrame:
+def with_segments(rows: DataFrame, segments: DataFrame, key: str, ts: str, grain: str) -> DataFrame:
     """Add ``segment``: NULL for ordinary keys, increasing over time within a large one.
 
-    Joined by key and time unit, so a large key is spread over its units.
+    Joined by key and time unit, so a large key is spread over its units; NULL joins NULL.
     """
-    units = segments.withColumnRenamed("unit", "_unit")
-    return rows.withColumn("_unit", F.date_trunc(grain, ts)).join(units, [key, "_unit"], "left").drop("_unit")
+    cut = segments.select(F.col(key).alias("_cut_key"), F.col("unit").alias("_cut_unit"), "segment")
+    unit = F.date_trunc(grain, ts)
+    joined = rows.join(cut, (F.col(key) == F.col("_cut_key")) & unit.eqNullSafe(F.col("_cut_unit")), "left")
+    return joined.drop("_cut_key", "_cut_unit")

@@ -9,6 +9,7 @@ from homestrata.functions.prices import pct_change
 from homestrata.operators.mutate import update_existing
 from homestrata.operators.ordered import large_key_segments, latest_by, with_segments
 from homestrata.schemas import struct
+from homestrata.sources.staging import stage
 
 TRACKING_COLUMNS = [
     "price", "original_price", "previous_price", "last_price_change", "last_price_change_pct",
@@ -46,11 +47,11 @@ def replay_changes(
     no task replays such a listing alone.
     """
     positive = observations.select(key, ts, *ties, "price").where(F.col("price") > 0)
-    segments = large_key_segments(positive, key, ts, target_rows)
-    if segments is None:
+    found = large_key_segments(positive, key, ts, target_rows)
+    if found is None:
         runs = _price_runs(positive, [key], [ts, *ties])
         return _changes_of(runs, key, ts, F.col("_prev"), F.col("_run"), F.col("_first"))
-    cut = with_segments(positive, segments, key, ts)
+    cut = with_segments(positive, found[0], key, ts, found[1])
     runs = _price_runs(cut, [key, "segment"], [ts, *ties])
 
     # what each later segment of a large listing needs to know about the ones before
@@ -232,6 +233,7 @@ def fold_observations(
         (price - original).alias("total_price_change"),
         pct_change(price, original).alias("total_price_change_pct"),
     )
+    changes = stage(changes, "batch-changes")  # both results come from one replay
     last = tracked_state(changes).select(
         "property_id", "original_price", "price_update_count", "last_price_update"
     )

@@ -21,6 +21,10 @@ RUNTIME_CONF = {
     # partitions even when a later aggregate then needs one more exchange.
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Keyed state of streams on disk, not in the executors' heaps.
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
 }
 
 

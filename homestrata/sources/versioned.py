@@ -1,9 +1,13 @@
 """Tables that grow by versions of changed rows.
 
 Parquet files cannot be updated in place, so every change writes its rows under a new
-version and reading takes the newest row per key. A version is written by exactly one
-batch and overwritten when that batch is retried, so a lost executor or driver repeats
-work but never adds rows twice.
+version and reading takes the newest row per key. A version belongs to one batch of one
+run (a stream's query id, which its checkpoint keeps) and is overwritten only when that
+batch is retried, so a lost executor or driver repeats work but never adds rows twice,
+and a stream that starts anew goes on behind what is there.
+
+Even versions are changes. An odd version is a base: all rows as of the version before
+it. Reading starts from the last complete base, so it does not grow with history.
 """
 
 from __future__ import annotations
@@ -15,6 +19,7 @@ from pyspark.sql import types as T
 from homestrata.operators.ordered import latest_by
 
 _FIRST = -1
+COMPACT_EVERY = 16
 
 
 class VersionedTable:
@@ -23,17 +28,37 @@ class VersionedTable:
     def __init__(self, spark: SparkSession, path: str, schema: T.StructType, keys: list[str]) -> None:
         self.spark, self.path, self.keys = spark, path.rstrip("/"), keys
         self.schema = schema
-        self._stored = T.StructType([*schema.fields, T.StructField("_deleted", T.BooleanType())])
-        empty = spark.createDataFrame([], self._stored)
-        empty.write.mode("ignore").parquet(self._dir(_FIRST))
+        marks = [
+            T.StructField("_deleted", T.BooleanType()),
+            T.StructField("_run", T.StringType()),
+            T.StructField("_epoch", T.LongType()),
+        ]
+        self._stored = T.StructType([*schema.fields, *marks])
+        spark.createDataFrame([], self._stored).write.mode("ignore").parquet(self._dir(_FIRST))
 
     def _dir(self, version: int) -> str:
         return f"{self.path}/version={version}"
 
+    def _known(self) -> list[int]:
+        """Versions there are, from the names of their files."""
+        files = self.spark.read.schema(self._stored).parquet(self.path).inputFiles()
+        return sorted({int(f.rpartition("version=")[2].partition("/")[0]) for f in files})
+
+    def _complete(self, version: int) -> bool:
+        mark = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self._dir(version)}/_SUCCESS")
+        return mark.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(mark)
+
+    def _base(self, known: list[int], before: int | None) -> int:
+        for version in reversed(known):
+            if version % 2 and (before is None or version < before) and self._complete(version):
+                return version
+        return _FIRST
+
     def versions(self, before: int | None = None) -> DataFrame:
-        """All stored rows with their version; older versions only are read when asked."""
+        """Stored rows with their version, from the last base on; older ones only when asked."""
         schema = T.StructType([*self._stored.fields, T.StructField("version", T.LongType())])
         rows = self.spark.read.schema(schema).option("basePath", self.path).parquet(self.path)
+        rows = rows.where(F.col("version") >= self._base(self._known(), before))
         return rows if before is None else rows.where(F.col("version") < before)
 
     def read(self, before: int | None = None) -> DataFrame:
@@ -42,13 +67,39 @@ class VersionedTable:
         alive = newest.where(~F.coalesce("_deleted", F.lit(False)))
         return alive.select(*self.schema.fieldNames())
 
-    def write(self, rows: DataFrame, version: int, deleted: DataFrame | None = None) -> None:
-        """Store changed rows, and the keys to end, as one version."""
+    def claim(self, run: str, epoch: int) -> int:
+        """The version of a run's batch: the one it has written before, or a new one."""
+        mine = (F.col("_run") == run) & (F.col("_epoch") == epoch)
+        held = self.versions().where(mine & (F.col("version") % 2 == 0)).agg(F.max("version")).first()[0]
+        newest = self._known()[-1]
+        return held if held is not None else newest + 2 - newest % 2
+
+    def write(
+        self, rows: DataFrame, version: int, deleted: DataFrame | None = None, run: str | None = None, epoch: int = 0
+    ) -> None:
+        """Store changed rows, and the keys to end, as one (even) version."""
+        if version % 2:
+            raise ValueError(f"version {version} is odd, which is for bases")
         out = rows.select(*self.schema.fieldNames()).withColumn("_deleted", F.lit(False))
         if deleted is not None:
             gone = deleted.select(*self.keys).distinct().withColumn("_deleted", F.lit(True))
             out = out.unionByName(gone, allowMissingColumns=True)
-        out.write.mode("overwrite").parquet(self._dir(version))
+        self._write(out, version, run, epoch)
+
+    def _write(self, rows: DataFrame, version: int, run: str | None, epoch: int) -> None:
+        marked = rows.withColumn("_run", F.lit(run).cast("string")).withColumn("_epoch", F.lit(epoch).cast("bigint"))
+        marked.write.mode("overwrite").parquet(self._dir(version))
+
+    def compact(self, every: int = COMPACT_EVERY) -> None:
+        """Write a base once ``every`` versions have come since the last one.
+
+        The last version stays after the base, so a retry of its batch finds it.
+        """
+        known = self._known()
+        base = self._base(known, None)
+        if len([v for v in known if v > base and v % 2 == 0]) > every:
+            upto = known[-1] - known[-1] % 2
+            self._write(self.read(before=upto).withColumn("_deleted", F.lit(False)), upto - 1, None, 0)
 
     def compact_to(self, path: str, keep: Column | None = None) -> VersionedTable:
         """The current rows as the only version of a new table.
@@ -56,6 +107,8 @@ class VersionedTable:
         ``keep`` leaves out what has expired, such as history past its last day.
         """
         rows = self.read() if keep is None else self.read().where(keep)
-        rows = rows.withColumn("_deleted", F.lit(False))
+        rows = rows.withColumn("_deleted", F.lit(False)).select(
+            *self.schema.fieldNames(), "_deleted", F.lit(None).cast("string").alias("_run"), F.lit(0).cast("bigint").alias("_epoch")
+        )
         rows.write.mode("errorifexists").parquet(f"{path.rstrip('/')}/version={_FIRST}")
         return VersionedTable(self.spark, path, self.schema, self.keys)

@@ -7,6 +7,7 @@ operators split them.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
@@ -16,7 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 from homestrata.operators import collect, pricing
 from homestrata.operators.ordered import first_by
 from homestrata.operators.preferences import KEY, merge_status, replay_preferences, status_parts
-from homestrata.sources.staging import stage
+from homestrata.sources.staging import stage, staged_scope
 from homestrata.sources.versioned import VersionedTable
 
 
@@ -35,11 +36,24 @@ def run_available(
     return query
 
 
+class Run:
+    """Who writes: the stream's query, or this handler when it is called without one."""
+
+    def __init__(self) -> None:
+        self._own = uuid.uuid4().hex
+
+    def of(self, batch: DataFrame) -> str:
+        return batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or self._own
+
+
 def write_versions(table: VersionedTable) -> Callable[[DataFrame, int], None]:
     """Sink for streams of whole rows: each batch becomes a version."""
+    runs = Run()
 
     def handle(batch: DataFrame, epoch: int) -> None:
-        table.write(batch, epoch)
+        run = runs.of(batch)
+        table.write(batch, table.claim(run, epoch), run=run, epoch=epoch)
+        table.compact()
 
     return handle
 
@@ -52,11 +66,16 @@ def track_prices(
     Late observations count when they arrive, as in the hourly runs.
     """
 
+    runs = Run()
+
     def handle(batch: DataFrame, epoch: int) -> None:
-        before = state.read(before=epoch)
-        found, rows = pricing.fold_observations(before, batch, ties, target_rows)
-        changes.write(found, epoch)
-        state.write(rows, epoch)
+        run = runs.of(batch)
+        version = state.claim(run, epoch)
+        with staged_scope(batch.sparkSession):
+            found, rows = pricing.fold_observations(state.read(before=version), batch, ties, target_rows)
+            changes.write(found, changes.claim(run, epoch), run=run, epoch=epoch)
+            state.write(rows, version, run=run, epoch=epoch)
+        state.compact()
 
     return handle
 
@@ -66,11 +85,14 @@ def track_preferences(preferences: VersionedTable) -> Callable[[DataFrame, int],
 
     A stored preference takes part in the replay as an insert made before the batch.
     """
+    runs = Run()
 
     def handle(batch: DataFrame, epoch: int) -> None:
+        run = runs.of(batch)
+        version = preferences.claim(run, epoch)
         events = batch.select(*KEY, "action", "ts", "seq")
         touched = events.select(*KEY).distinct()
-        stored = preferences.read(before=epoch).join(touched, KEY, "left_semi")
+        stored = preferences.read(before=version).join(touched, KEY, "left_semi")
         as_events = stored.select(
             *KEY,
             F.col("preference_type").alias("action"),
@@ -87,18 +109,23 @@ def track_preferences(preferences: VersionedTable) -> Callable[[DataFrame, int],
             F.when(from_store, F.col("_seq")).otherwise(F.col("created_seq")).alias("created_seq"),
         )
         gone = stored.select(*KEY).join(result.select(*KEY), KEY, "left_anti")
-        preferences.write(rows, epoch, deleted=gone)
+        preferences.write(rows, version, deleted=gone, run=run, epoch=epoch)
+        preferences.compact()
 
     return handle
 
 
 def track_status(state: VersionedTable) -> Callable[[DataFrame, int], None]:
     """Fold status events into the stored state; all of it combines on the map side."""
+    runs = Run()
 
     def handle(batch: DataFrame, epoch: int) -> None:
+        run = runs.of(batch)
+        version = state.claim(run, epoch)
         parts = status_parts(batch)
-        stored = state.read(before=epoch).join(parts.select(*KEY).distinct(), KEY, "left_semi")
-        state.write(merge_status(parts.unionByName(stored)), epoch)
+        stored = state.read(before=version).join(parts.select(*KEY).distinct(), KEY, "left_semi")
+        state.write(merge_status(parts.unionByName(stored)), version, run=run, epoch=epoch)
+        state.compact()
 
     return handle
 
@@ -112,20 +139,27 @@ def crawl_runs(
     applies price changes to the stored listings and keeps a summary per run.
     """
 
+    runs = Run()
+
     def handle(batch: DataFrame, epoch: int) -> None:
-        seen = first_by(batch, ["url"], ["page_no", "pos"])
-        stored = listings.read(before=epoch)
-        classified = stage(
-            collect.classify(seen, tracked.read(before=epoch), stored), f"classified-{epoch}"
-        )
-        fresh = classified.where(F.col("status") == "new")
-        tracked.write(collect.tracking_rows(fresh.select("url", "price", "city")), epoch)
-        changes = collect.price_changes(classified)
-        changed = stored.join(changes.select("property_id"), "property_id", "left_semi")
-        run_at = batch.agg(F.max(F.col("ts").cast("timestamp"))).first()[0]
-        updated = pricing.apply_changes(changed, changes, F.lit(run_at).cast("timestamp"))
-        listings.write(updated, epoch)
-        summary = collect.collection_summary(classified).withColumn("run", F.lit(epoch).cast("bigint"))
-        summaries.write(summary, epoch)
+        run = runs.of(batch)
+        at = {table: table.claim(run, epoch) for table in (tracked, listings, summaries)}
+        with staged_scope(batch.sparkSession):
+            seen = first_by(batch, ["url"], ["page_no", "pos"])
+            stored = listings.read(before=at[listings])
+            known = tracked.read(before=at[tracked])
+            classified = stage(collect.classify(seen, known, stored), f"classified-{epoch}")
+            fresh = classified.where(F.col("status") == "new").select("url", "price", "city")
+            tracked.write(collect.tracking_rows(fresh), at[tracked], run=run, epoch=epoch)
+            changes = collect.price_changes(classified)
+            changed = stored.join(changes.select("property_id"), "property_id", "left_semi")
+            run_at = batch.agg(F.max(F.col("ts").cast("timestamp"))).first()[0]
+            updated = pricing.apply_changes(changed, changes, F.lit(run_at).cast("timestamp"))
+            listings.write(updated, at[listings], run=run, epoch=epoch)
+            number = F.lit(at[summaries] // 2).cast("bigint")
+            summary = collect.collection_summary(classified).withColumn("run", number)
+            summaries.write(summary, at[summaries], run=run, epoch=epoch)
+        tracked.compact()
+        listings.compact()
 
     return handle
