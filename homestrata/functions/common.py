@@ -15,6 +15,11 @@ def non_blank(c: Column | str) -> Column:
     return F.nullif(as_col(c), F.lit(""))
 
 
+def strip(c: Column | str) -> Column:
+    """Text without white space of any kind at its ends (``trim`` takes spaces only)."""
+    return F.regexp_replace(as_col(c), r"(?U)^\s+|\s+$", "")
+
+
 def non_zero(c: Column | str) -> Column:
     """Zero -> NULL; stored tables do not tell zero from absent."""
     return F.nullif(as_col(c), F.lit(0))

@@ -160,7 +160,11 @@ _LAST_WINS = (
 )
 
 
-def ld_fields(items: Column | str = "ld_items") -> dict[str, Column]:
+def _first(images: Column, count: int | None) -> Column:
+    return images if count is None else F.slice(images, 1, count)
+
+
+def ld_fields(items: Column | str = "ld_items", item_images: int | None = ITEM_IMAGES_KEPT) -> dict[str, Column]:
     """Listing fields from structured-data items; the last one that gives a value wins."""
     items = as_col(items)
 
@@ -179,7 +183,7 @@ def ld_fields(items: Column | str = "ld_items") -> dict[str, Column]:
     return {
         **{name: field(name) for name in _LAST_WINS},
         "parking": last(parking),
-        "image_urls": F.slice(images, 1, ITEM_IMAGES_KEPT),
+        "image_urls": _first(images, item_images),
         "image_count": F.size(images),
     }
 
@@ -211,16 +215,24 @@ def photo_urls(images: Column | str = "images", site: SiteRules = DEFAULT_SITE)
 
 
 def extract_listings(
-    pages: DataFrame, as_of: dt.datetime, site: SiteRules = DEFAULT_SITE
+    pages: DataFrame,
+    as_of: dt.datetime,
+    site: SiteRules = DEFAULT_SITE,
+    images: int | None = IMAGES_KEPT,
+    item_images: int | None = ITEM_IMAGES_KEPT,
+    description: int | None = DESCRIPTION_KEPT,
 ) -> DataFrame:
     """One record per fetched detail page (url, html, error); failed pages keep their error.
 
+    ``images`` (photos of the page), ``item_images`` (of its structured data) and
+    ``description`` (characters) say how much is kept; None keeps all.
+
     Narrow from end to end: no shuffle, whatever the number of pages.
     """
     read = read_pages(pages.select("url", "html", "error"), ["text", "metas", "ld_json", "images"])
     read = read.withColumn("_items", ld_items("ld_json")).withColumn("_photos", photo_urls("images", site))
     meta = meta_fields("metas")
-    ld = ld_fields("_items")
+    ld = ld_fields("_items", item_images)
     page_text = text_fields("text", as_of.year, site)
     # each source is evaluated once, then merged by precedence
     by_source = read.select(
@@ -241,11 +253,13 @@ def extract_listings(
         for name, kind in FIELDS.items()
     }
     has_photos = F.size("_photos") > 0
-    merged["image_urls"] = F.when(has_photos, F.slice("_photos", 1, IMAGES_KEPT)).otherwise(
+    merged["image_urls"] = F.when(has_photos, _first(F.col("_photos"), images)).otherwise(
         merged["image_urls"]
     )
     merged["image_count"] = F.when(has_photos, F.size("_photos")).otherwise(merged["image_count"])
-    merged["description"] = F.left(unescape_html(merged["description"]), F.lit(DESCRIPTION_KEPT))
+    merged["description"] = unescape_html(merged["description"])
+    if description is not None:
+        merged["description"] = F.left(merged["description"], F.lit(description))
     raw_id = listing_id("url")
     return by_source.select(
         build_key(raw_id, F.lit(as_of)).alias("property_id"),

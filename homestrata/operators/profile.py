@@ -18,10 +18,13 @@ def flag_duplicates(rows: DataFrame, keys: list[str]) -> DataFrame:
 
     Counting and joining back instead of a count over (partition by key): counts
     combine before the exchange and the join can split a huge key, a window cannot.
+    NULL keys are equal to each other, as they are when grouped.
     """
-    marks = duplicates(rows, keys).select(*keys, F.lit("yes").alias("_mark"))
-    joined = rows.join(marks, keys, "left")
-    return joined.withColumn("duplicate", F.coalesce("_mark", F.lit("no"))).drop("_mark")
+    own = [f"_key_{i}" for i in range(len(keys))]
+    marks = duplicates(rows, keys).select(*[F.col(k).alias(o) for k, o in zip(keys, own)], F.lit("yes").alias("_mark"))
+    same = [F.col(k).eqNullSafe(F.col(o)) for k, o in zip(keys, own)]
+    joined = rows.join(marks, same, "left")
+    return joined.withColumn("duplicate", F.coalesce("_mark", F.lit("no"))).drop("_mark", *own)
 
 
 def uniqueness(rows: DataFrame, keys: list[str]) -> DataFrame:

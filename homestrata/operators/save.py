@@ -16,6 +16,7 @@ from homestrata.operators.pricing import TRACKING_COLUMNS
 from homestrata.schemas import LISTING_SAVED
 
 IMAGES_STORED = 10
+DESCRIPTION_STORED = 500
 _CARRIED = [c for c in TRACKING_COLUMNS if c != "price"]
 
 
@@ -36,8 +37,16 @@ def saveable(extracted: DataFrame) -> DataFrame:
     return extracted.where(ok)
 
 
-def listing_records(extracted: DataFrame, as_of: dt.datetime) -> DataFrame:
-    """Stored form of extracted listings: fixed columns, absent values as NULL."""
+def listing_records(
+    extracted: DataFrame,
+    as_of: dt.datetime,
+    images: int | None = IMAGES_STORED,
+    description: int | None = DESCRIPTION_STORED,
+) -> DataFrame:
+    """Stored form of extracted listings: fixed columns, absent values as NULL.
+
+    ``images`` and ``description`` say how much of either is stored; None keeps all.
+    """
     rows = saveable(extracted)
     computed = {
         "sort_key": F.lit("META"),
@@ -53,10 +62,10 @@ def listing_records(extracted: DataFrame, as_of: dt.datetime) -> DataFrame:
             c = F.col(field.name)
         else:
             c = F.lit(None)
-        if field.name == "description":
-            c = cut(c)
-        elif field.name == "image_urls":
-            c = F.slice(c, 1, IMAGES_STORED)
+        if field.name == "description" and description is not None:
+            c = cut(c, description)
+        elif field.name == "image_urls" and images is not None:
+            c = F.slice(c, 1, images)
         columns.append(c.cast(field.dataType).alias(field.name))
     return prune(rows.select(*columns))
 

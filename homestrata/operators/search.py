@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from homestrata.schemas import SEARCH_COLUMNS
+from homestrata.sources.staging import stage
 
 MAX_PAGE = 300
 DEFAULT_PAGE = 100
@@ -68,8 +69,12 @@ def search_columns(listings: DataFrame) -> list[str]:
 
 
 def search(listings: DataFrame, params: Mapping[str, object]) -> DataFrame:
-    """All matches, with the search columns only; filters and columns reach the scan."""
-    found = listings.where(search_predicate(params))
+    """All matches among the current records, with the search columns only.
+
+    Filters and columns reach the scan; history rows of a table that holds both stay out.
+    """
+    current = listings.where(F.col("sort_key") == "META") if "sort_key" in listings.columns else listings
+    found = current.where(search_predicate(params))
     return found.select(*search_columns(listings))
 
 
@@ -90,15 +95,21 @@ def sort_columns(listings: DataFrame, sort: str | None) -> list[Column]:
     return [ordered, F.col("property_id").asc()]
 
 
-def top_k(found: DataFrame, sort: str | None = None, limit: int | str | None = None) -> DataFrame:
+def top_k(found: DataFrame, sort: str | None = None, limit: int = DEFAULT_PAGE) -> DataFrame:
     """Best ``limit`` rows of the whole result (a per-task heap, then a merge)."""
-    return found.orderBy(*sort_columns(found, sort)).limit(page_size(limit))
+    return found.orderBy(*sort_columns(found, sort)).limit(limit)
 
 
-def next_page(found: DataFrame, cursor: str | None = None, limit: int | str | None = None) -> DataFrame:
-    """Rows after ``cursor`` in id order; the next cursor is the last id returned."""
+def next_page(found: DataFrame, cursor: str | None = None, limit: int = DEFAULT_PAGE) -> DataFrame:
+    """Rows after ``cursor`` in id order; ``next_cursor`` tells where the following page begins."""
     rows = found if cursor is None else found.where(F.col("property_id") > cursor)
-    return rows.orderBy("property_id").limit(page_size(limit))
+    return rows.orderBy("property_id").limit(limit)
+
+
+def next_cursor(page: DataFrame, limit: int) -> DataFrame:
+    """One row: rows of the page, and its last id if there may be a page after it."""
+    count = F.count("*")
+    return page.agg(count.alias("total_in_page"), F.when(count >= limit, F.max("property_id")).alias("next_cursor"))
 
 
 def sort_page(page: DataFrame, sort: str | None = None) -> DataFrame:
@@ -135,15 +146,14 @@ def search_page(
     """One answer of the search API: a page with images, favorite flags and its order.
 
     With ``global_sort`` the page is the best ``limit`` of all matches; otherwise it is
-    the next ``limit`` in id order and only sorted within.
+    the next ``limit`` in id order and only sorted within. The API's bounds on ``limit``
+    hold here. The page, at most MAX_PAGE rows, is found once and written: its ids then
+    choose among the preferences and its rows are shown.
     """
     found = search(listings, params)
-    sort, limit = params.get("sort"), params.get("limit")
-    if global_sort:
-        page = top_k(found, sort, limit)
-    else:
-        page = next_page(found, params.get("cursor"), limit)
-    # at most MAX_PAGE ids are sent to the preference scan
+    sort, limit = params.get("sort"), page_size(params.get("limit"))
+    page = top_k(found, sort, limit) if global_sort else next_page(found, params.get("cursor"), limit)
+    page = stage(page, "search-page")
     favorites = favorite_ids(preferences, user_id).join(
         F.broadcast(page.select("property_id")), "property_id", "left_semi"
     )

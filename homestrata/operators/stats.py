@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from homestrata.functions.common import strip
 from homestrata.functions.prices import discount_pct, price_per_acre
 from homestrata.schemas import LISTING_ANALYSIS
 from homestrata.sources.staging import stage
@@ -65,7 +66,8 @@ def _rows_in(rows: DataFrame, group: str, per_octave: int, bins: DataFrame) -> D
 def exact_medians(rows: DataFrame, group: str, value: str, bin_rows: int = 50_000_000) -> DataFrame:
     """Exact middle values per group: (group, lower, upper, n).
 
-    ``lower`` and ``upper`` are the sorted values at (n-1)//2 and n//2. One group may
+    ``lower`` and ``upper`` are the sorted values at (n-1)//2 and n//2; NULL and NaN are no
+    values and do not count. One group may
     hold a large share of all rows, so rows are neither collected nor shuffled by group:
 
     * a first pass counts rows per bin, combined before the exchange to a few thousand
@@ -78,7 +80,7 @@ def exact_medians(rows: DataFrame, group: str, value: str, bin_rows: int = 50_00
     The bins found are staged: later passes filter by a broadcast while they are few,
     and join by (group, bin) when there are too many groups for that.
     """
-    values = rows.select(group, F.col(value).cast("double").alias("_v"))
+    values = rows.select(group, F.col(value).cast("double").alias("_v")).where(~F.isnan("_v"))
     per_octave = _BINS_PER_OCTAVE
     bins = stage(_middle_bins(values, group, per_octave, None), "median-bins")
     while per_octave < _FINEST and (bins.agg(F.max("_c")).first()[0] or 0) > bin_rows:
@@ -107,7 +109,7 @@ def exact_medians(rows: DataFrame, group: str, value: str, bin_rows: int = 50_00
 
 def city_stats(listings: DataFrame) -> DataFrame:
     """Exact median price per sqft and number of usable listings per city."""
-    usable = listings.select(F.trim("city").alias("city"), "price_per_sqft").where(
+    usable = listings.select(strip("city").alias("city"), "price_per_sqft").where(
         (F.col("city") != "") & (F.col("price_per_sqft") > 0)
     )
     return exact_medians(usable, "city", "price_per_sqft").select(
@@ -141,7 +143,7 @@ def enrich(listings: DataFrame, stats: DataFrame, as_of: dt.datetime) -> DataFra
     psf = F.coalesce(F.col("price_per_sqft"), F.lit(0.0))
     median = F.coalesce(F.col("median_price_per_sqft"), psf)
     base = [c for c in listings.columns if c not in ENRICHMENT]
-    joined = listings.withColumn("_city", F.trim("city")).join(
+    joined = listings.withColumn("_city", strip("city")).join(
         stats.withColumnRenamed("city", "_city"), "_city", "left"
     )
     return joined.select(
@@ -165,7 +167,9 @@ def first_listings(listings: DataFrame, max_properties: int = 0) -> DataFrame:
 def analyze(listings: DataFrame, as_of: dt.datetime, max_properties: int = 0) -> DataFrame:
     """City statistics, then enrichment, over the whole table or its first rows."""
     chosen = first_listings(listings, max_properties)
-    return enrich(chosen, stage(city_stats(chosen), "city-stats"), as_of)
+    # the medians read their rows more than once: two columns are written for that, not the table
+    prices = stage(chosen.select("city", "price_per_sqft"), "city-prices")
+    return enrich(chosen, stage(city_stats(prices), "city-stats"), as_of)
 
 
 def analysis_summary(listings: DataFrame, stats: DataFrame) -> DataFrame:
