@@ -36,13 +36,17 @@ def lot_sqft(text: Column | str) -> Column:
 
 
 def property_type(text: Column | str) -> Column:
-    """First of the ordered type patterns that occurs in the text."""
+    """First of the ordered type patterns that occurs in the text.
+
+    One scan for any of them comes first: most texts have none.
+    """
     lowered = F.lower(as_col(text))
+    some = "|".join(f"(?:{pattern})" for pattern, _ in PROPERTY_TYPE_PATTERNS)
     pattern, name = PROPERTY_TYPE_PATTERNS[0]
     chain = F.when(lowered.rlike(f"(?U){pattern}"), name)
     for pattern, name in PROPERTY_TYPE_PATTERNS[1:]:
         chain = chain.when(lowered.rlike(f"(?U){pattern}"), name)
-    return chain
+    return F.when(lowered.rlike(f"(?U){some}"), chain)
 
 
 def hoa_fee(text: Column | str) -> Column:

@@ -64,7 +64,7 @@ _add(
 _add(
     "q_listing_dump",
     """SELECT url, price, '$' || format('{:,}', price) AS price_text,
-      CASE WHEN count(*) OVER (PARTITION BY price) > 1 THEN 'yes' ELSE 'no' END AS duplicate
+      CASE WHEN count(*) OVER (PARTITION BY url) > 1 THEN 'yes' ELSE 'no' END AS duplicate
     FROM observations""",
     "observations",
 )

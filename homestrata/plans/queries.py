@@ -103,7 +103,7 @@ def q_track_new_urls(t):
 @query
 def q_listing_dump(t):
     rows = s.observations(t).withColumn("price_text", prices.price_display("price"))
-    return profile.flag_duplicates(rows, ["price"]).select("url", "price", "price_text", "duplicate")
+    return profile.flag_duplicates(rows, ["url"]).select("url", "price", "price_text", "duplicate")
 
 
 # --- pages -------------------------------------------------------------------------
