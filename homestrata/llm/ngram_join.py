@@ -17,7 +17,7 @@ class and only the class's first document goes on.
 
 No pair is formed inside a linked group, however large it is. Groups, and questions to one
 group, are cut into pieces by counts, so no task holds an unbounded group; the order of
-tokens comes from counts in 2**``BUCKET_BITS`` buckets, of fixed size. Texts are shuffled
+tokens comes from counts in a bounded number of buckets. Texts are shuffled
 compressed, twice to meet their questions and twice to meet their groups.
 
 Defined cases: texts that are null or without words have the empty set and no links; with
@@ -42,7 +42,8 @@ from homestrata.llm.rolling import blocks, mix, shingles
 from homestrata.llm.sums import sum_over
 from homestrata.sources.staging import stage
 
-BUCKET_BITS = 19
+TOKENS_PER_BUCKET = 64
+LEAST_BITS, MOST_BITS = 16, 22
 GROUP = 512
 GROUP_TOKENS = 300_000
 QUESTIONS = 1024
@@ -50,14 +51,21 @@ _SALT = np.uint64(0x5851F42D4C957F2D)
 
 
 def token_counts(texts: DataFrame, words: int) -> np.ndarray:
-    """How many shingles of the table fall into each bucket of hashes."""
+    """How many shingles of the table fall into each bucket of hashes.
+
+    There are about as many buckets as keep chance company small, so that a shingle of a
+    few dozen texts stands out at any size, and never more than 2**MOST_BITS.
+    """
+    size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    bits = round(math.log2(size / (6 * TOKENS_PER_BUCKET) + 1))  # a word is about six bytes
+    bits = min(MOST_BITS, max(LEAST_BITS, bits))
 
     def add(total: np.ndarray, values: list) -> None:
         for _, data, starts in blocks(range(len(values)), values):
             tokens, _ = shingles(data, starts, words)
-            total += np.bincount(tokens >> np.uint64(64 - BUCKET_BITS), minlength=len(total)).astype(np.int32)
+            np.add.at(total, tokens >> np.uint64(64 - bits), 1)
 
-    return sum_over(texts, (1 << BUCKET_BITS,), np.int32, add)
+    return sum_over(texts, (1 << bits,), np.int32, add)
 
 
 def _sets(data: np.ndarray, starts: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray]:
@@ -78,6 +86,7 @@ def _group_sums(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 def signatures(docs: DataFrame, words: int, share: tuple[int, int], counts: np.ndarray) -> DataFrame:
     """(id, n, h1, h2, like, prefix) of documents (id, text)."""
     num, den = share
+    shift = np.uint64(65 - len(counts).bit_length())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -92,7 +101,7 @@ def signatures(docs: DataFrame, words: int, share: tuple[int, int], counts: np.n
                 if len(full):
                     like[full] = np.minimum.reduceat(mix(tokens + _SALT), offsets[full])
                 # the first n - least overlap + 1 tokens, rare buckets first
-                rare = np.lexsort((tokens, counts[tokens >> np.uint64(64 - BUCKET_BITS)], owner))
+                rare = np.lexsort((tokens, counts[tokens >> shift], owner))
                 wanted = np.where(sizes > 0, sizes - -(-num * sizes // den) + 1, 0)
                 rank = np.arange(len(tokens)) - offsets[owner]
                 first = tokens[rare][rank < wanted[owner]].astype(np.int64)
