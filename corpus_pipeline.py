@@ -55,7 +55,7 @@ def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Byte-level BPE ids of every text, as packed little-endian unsigned 32-bit integers,
     decoded again to prove that nothing is lost."""
     bounded_batches(spark)
-    coded = bpe.decode(bpe.encode(docs))
+    coded = bpe.encode(docs, round_trip=True)
     return coded.select(
         "doc_id",
         (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"),

@@ -257,8 +257,13 @@ def encode(
     text_col: str = "text",
     path: str | None = None,
     pattern: str | None = None,
+    round_trip: bool = False,
 ) -> DataFrame:
-    """(id, ids): ids as packed little-endian unsigned 32-bit integers."""
+    """(id, ids): ids as packed little-endian unsigned 32-bit integers.
+
+    With ``round_trip`` also ``decoded``, the bytes that the ids decode to, from the same
+    Python worker: two Python stages in a row keep two workers a core.
+    """
     path, pattern = path or default_path(), pattern or default_pattern()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -266,14 +271,22 @@ def encode(
         for batch in batches:
             at = 0
             for block in _in_blocks(batch.column(1).to_pylist()):
-                ids = pa.array(encoder.encode(block), pa.binary())
-                yield pa.record_batch([batch.column(0).slice(at, len(block)), ids], names=[id_col, "ids"])
+                ids = encoder.encode(block)
+                columns = [batch.column(0).slice(at, len(block)), pa.array(ids, pa.binary())]
+                if round_trip:
+                    columns.append(pa.array([_decoded(encoder.vocabulary, i) for i in ids], pa.binary()))
+                yield pa.record_batch(columns, names=[id_col, "ids", "decoded"][: len(columns)])
                 at += len(block)
         encoder.forget()
         pa.default_memory_pool().release_unused()
 
     rows = docs.select(F.col(id_col), F.col(text_col).cast("string"))
-    return rows.mapInArrow(run, f"`{id_col}` {docs.schema[id_col].dataType.simpleString()}, ids binary")
+    kind = docs.schema[id_col].dataType.simpleString()
+    return rows.mapInArrow(run, f"`{id_col}` {kind}, ids binary" + ", decoded binary" * round_trip)
+
+
+def _decoded(vocabulary: Vocabulary, ids: bytes) -> bytes:
+    return b"".join(map(vocabulary.bytes_of.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
 
 def decode(encoded: DataFrame, id_col: str = "doc_id", ids_col: str = "ids", path: str | None = None) -> DataFrame:
@@ -281,12 +294,9 @@ def decode(encoded: DataFrame, id_col: str = "doc_id", ids_col: str = "ids", pat
     path, pattern = path or default_path(), default_pattern()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bytes_of = _encoder(path, pattern).vocabulary.bytes_of.__getitem__
+        vocabulary = _encoder(path, pattern).vocabulary
         for batch in batches:
-            decoded = [
-                b"".join(map(bytes_of, np.frombuffer(ids or b"", "<u4").tolist()))
-                for ids in batch.column(1).to_pylist()
-            ]
+            decoded = [_decoded(vocabulary, ids or b"") for ids in batch.column(1).to_pylist()]
             yield pa.record_batch(
                 [batch.column(0), batch.column(1), pa.array(decoded, pa.binary())], names=[id_col, ids_col, "decoded"]
             )

@@ -26,8 +26,8 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 @_query
 def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    encoded = bpe.encode(_table(spark, sf_dir, "documents"))
-    return bpe.decode(encoded).select(
+    coded = bpe.encode(_table(spark, sf_dir, "documents"), round_trip=True)
+    return coded.select(
         "doc_id",
         (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),
