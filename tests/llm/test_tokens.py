@@ -106,3 +106,10 @@ def test_store_rejects_another_dictionary(docs, spark, tmp_path):
 
 def test_empty_table(docs):
     assert bpe.decode(bpe.encode(docs([]))).count() == 0
+
+
+def test_round_trip_in_one_pass(odd):
+    rows = bpe.encode(odd, round_trip=True).collect()
+    apart = bpe.decode(bpe.encode(odd)).collect()
+    key = lambda r: (r.doc_id or -1, bytes(r.ids), bytes(r.decoded))
+    assert sorted(map(key, rows)) == sorted(map(key, apart))
