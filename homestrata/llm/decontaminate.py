@@ -3,9 +3,12 @@
 Texts are cut into passages of ``WINDOW`` words. Passages are TF-IDF vectors of hashed
 words (a word counts once); a randomised SVD over all passages of the corpus gives a latent space of ``RANK``
 dimensions, in which half-overlapping passages are compared with the benchmark items by
-cosine. Every candidate is then checked on its words: the longest common subsequence of
-item and passage, over stretches not much longer than the item, and whether the item's
-answer is there too. Copies pass by the first alone, paraphrases need both.
+cosine. A cosine alone misses short items and loose paraphrases, so there is a second way
+in that misses nothing: a stretch that shares enough of an item's words must also hold
+some of its rarest ones close together, which is counted exactly. Every candidate is then
+checked on its words: the longest common subsequence of item and passage, over all
+stretches not much longer than the item, and whether the item's answer is there too.
+Copies pass by the first alone, paraphrases need both.
 
 The SVD needs two passes over the corpus, one for document frequencies and one for the
 sketch A'A(omega); each task sums its own part and the sums are added in a tree, so no
@@ -22,8 +25,10 @@ other columns are not read by ``find_leaks`` and kept by ``leaks_column``.
 from __future__ import annotations
 
 import math
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import accumulate
 
 import numpy as np
 import pandas as pd
@@ -39,6 +44,7 @@ OVERSAMPLE = 8
 WINDOW = 32
 BLOCK_ITEMS = 10_000
 BLOCK_BYTES = 1 << 18
+GROUP_ITEMS = 1000  # items whose rare words are looked up together
 COSINE = 0.45
 COPY_SHARE = 0.8  # share of an item's words in one common subsequence that makes a copy
 PARAPHRASE_SHARE = 0.55
@@ -132,17 +138,25 @@ def latent(space: Space, dims: np.ndarray, start: np.ndarray, end: np.ndarray) -
 
 def common_subsequence(item: list[int], words: list[int]) -> int:
     """Length of the longest common subsequence, bit-parallel over the item."""
+    return _common(_masks(item), len(item), words)
+
+
+def _masks(item: list[int]) -> dict[int, int]:
     masks: dict[int, int] = {}
     for i, w in enumerate(item):
         masks[w] = masks.get(w, 0) | 1 << i
-    full = (1 << len(item)) - 1
+    return masks
+
+
+def _common(masks: dict[int, int], n: int, words: list[int]) -> int:
+    full = (1 << n) - 1
     row = full
     for w in words:
         match = masks.get(w)
         if match is not None:
             u = row & match
             row = ((row + u) | (row - u)) & full
-    return len(item) - row.bit_count()
+    return n - row.bit_count()
 
 
 def _answer(text: str) -> str:
@@ -172,24 +186,100 @@ def read_items(rows: list[tuple[int, str, str | None]]) -> list[Item]:
     return [i for i in items if i.words]
 
 
+def _need(n: int) -> int:
+    """Words of an item of ``n`` that a stretch must have in order."""
+    return math.ceil(PARAPHRASE_SHARE * n)
+
+
+def _stretch(n: int) -> int:
+    """Words of a stretch in which an item of ``n`` words is looked for."""
+    return n + max(4, n // 2)
+
+
 def check(item: Item, words: list[int], start: int, end: int) -> tuple[float, bool] | None:
-    """(share, answer found) if the words around ``start``..``end`` hold the item."""
+    """(share, answer found) of the best stretch that touches ``start``..``end`` and holds the item."""
     n = len(item.words)
-    low, high = max(0, start - n), min(len(words), end + n)
-    if common_subsequence(item.words, words[low:high]) < PARAPHRASE_SHARE * n:
-        return None
-    length = n + max(4, n // 2)
-    best, best_at = 0, low
-    for at in range(low, max(low + 1, high - length + max(1, n // 4)), max(1, n // 4)):
-        found = common_subsequence(item.words, words[at : at + length])
-        if found > best:
-            best, best_at = found, at
-    if best < PARAPHRASE_SHARE * n:
+    need, length, masks = _need(n), _stretch(n), _masks(item.words)
+    low, high = max(0, start - length), min(len(words), end + length)
+    shared = [0, *accumulate(w in masks for w in words[low:high])]
+    if shared[-1] < need or _common(masks, n, words[low:high]) < need:
         return None
-    around = words[best_at : best_at + length + len(item.answer)]
-    answered = common_subsequence(item.answer, around) >= ANSWER_SHARE * len(item.answer)
-    share = best / n
-    return (share, answered) if share >= COPY_SHARE or answered else None
+    best = None
+    for at in range(low, max(low, high - length) + 1):
+        if shared[min(at + length, high) - low] - shared[at - low] < need:
+            continue
+        share = _common(masks, n, words[at : at + length]) / n
+        if share < PARAPHRASE_SHARE or (best and (share, True) <= best):
+            continue
+        around = words[at : at + length + len(item.answer)]
+        answered = common_subsequence(item.answer, around) >= ANSWER_SHARE * len(item.answer)
+        if share >= COPY_SHARE or answered:
+            best = max(best or (0.0, False), (share, answered))
+    return best
+
+
+@dataclass
+class RareWords:
+    """The rarest words of some items, sorted, and the items of each.
+
+    ``least``: as many of them stand within ``stretch`` words wherever a stretch shares
+    ``_need`` words with the item, as the words left out cannot make up for more.
+    """
+
+    words: np.ndarray
+    first: np.ndarray  # place of each word's first item, with the end appended
+    items: np.ndarray
+    least: np.ndarray
+    stretch: np.ndarray
+
+
+def rare_words(space: Space, items: list[Item]) -> RareWords:
+    words, owner, least = [], [], []
+    for i, item in enumerate(items):
+        n, need = len(item.words), _need(len(item.words))
+        counts = Counter(item.words)
+        names = np.array(sorted(counts), np.uint64)
+        held, wanted = 0, n - need + max(1, need // 3)
+        for at in np.argsort(-space.weights[_dimension(names)], kind="stable"):
+            if held >= wanted:
+                break
+            words.append(names[at])
+            owner.append(i)
+            held += counts[int(names[at])]
+        least.append(held - (n - need))
+    order = np.argsort(np.array(words, np.uint64), kind="stable")
+    known, first = np.unique(np.array(words, np.uint64)[order], return_index=True)
+    return RareWords(
+        known,
+        np.append(first, len(order)),
+        np.array(owner, np.int16)[order],
+        np.array(least, np.int64),
+        np.array([_stretch(len(i.words)) for i in items], np.int64),
+    )
+
+
+def shared_places(rare: RareWords, hashes: np.ndarray, text_of: np.ndarray) -> Iterator[tuple[int, int, int]]:
+    """(item, first, end word) of all places that may hold an item, overlapping ones as one."""
+    at = np.minimum(np.searchsorted(rare.words, hashes), len(rare.words) - 1)
+    place = np.flatnonzero(rare.words[at] == hashes)
+    counts = (rare.first[1:] - rare.first[:-1])[at[place]]
+    begin = np.repeat(rare.first[at[place]] - (np.cumsum(counts) - counts), counts)
+    item = rare.items[begin + np.arange(len(begin))]
+    order = np.argsort(item, kind="stable")
+    item, place = item[order], np.repeat(place, counts)[order]
+    last = np.arange(len(item)) + rare.least[item] - 1
+    ok = last < len(item)
+    i, j = np.flatnonzero(ok), last[ok]
+    near = (item[i] == item[j]) & (text_of[place[i]] == text_of[place[j]])
+    near &= place[j] - place[i] < rare.stretch[item[i]]
+    i, j = i[near], j[near]
+    if not len(i):
+        return
+    start, end, item = place[i], place[j] + 1, item[i]
+    new = np.append(True, (item[1:] != item[:-1]) | (text_of[start[1:]] != text_of[start[:-1]]) | (start[1:] > end[:-1]))
+    runs = np.append(np.flatnonzero(new), len(i))
+    for a, b in zip(runs[:-1], runs[1:]):
+        yield int(item[a]), int(start[a]), int(end[b - 1])
 
 
 def leaks_column(space: Space, items: list[Item], text: Column) -> Column:
@@ -204,6 +294,8 @@ def leaks_column(space: Space, items: list[Item], text: Column) -> Column:
     ends = np.cumsum(sizes)
     asked = latent(space, _dimension(flat), ends - sizes, ends).T if pieces else np.zeros((space.basis.shape[1], 0))
     owner = np.array(owner, np.int64)
+    own = np.searchsorted(owner, np.arange(len(items) + 1))
+    rare = [(at, rare_words(space, items[at : at + GROUP_ITEMS])) for at in range(0, len(items), GROUP_ITEMS)]
 
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for series in batches:
@@ -218,13 +310,22 @@ def leaks_column(space: Space, items: list[Item], text: Column) -> Column:
                 best: dict[tuple[int, int], tuple] = {}
                 offsets = np.searchsorted(text_of, np.arange(len(keys) + 1))
                 words_of: dict[int, list[int]] = {}
-                for p, q in zip(*np.nonzero(near >= COSINE)):
-                    t, item = int(text_of[start[p]]), int(owner[q])
+
+                def look(item: int, first: int, stop: int, cosine: float) -> None:
+                    t = int(text_of[first])
                     if t not in words_of:
                         words_of[t] = hashes[offsets[t] : offsets[t + 1]].tolist()
-                    hit = check(items[item], words_of[t], int(start[p] - offsets[t]), int(end[p] - offsets[t]))
+                    hit = check(items[item], words_of[t], int(first - offsets[t]), int(stop - offsets[t]))
                     if hit:
-                        best[t, item] = max(best.get((t, item), (0.0,)), (hit[0], hit[1], float(near[p, q])))
+                        best[t, item] = max(best.get((t, item), (0.0,)), (hit[0], hit[1], cosine))
+
+                for p, q in zip(*np.nonzero(near >= COSINE)):
+                    look(int(owner[q]), int(start[p]), int(end[p]), float(near[p, q]))
+                for at, group in rare:
+                    for k, first, stop in shared_places(group, hashes, text_of):
+                        touching = slice(np.searchsorted(end, first, "right"), np.searchsorted(start, stop))
+                        item = at + k
+                        look(item, first, stop, float(near[touching, own[item] : own[item + 1]].max()))
                 for (t, item), (share, answered, cosine) in sorted(best.items()):
                     found[keys[t]].append(
                         {"item_id": items[item].key, "cosine": cosine, "share": share, "answered": answered}

@@ -143,6 +143,39 @@ def test_paraphrase_needs_its_answer(docs, spark):
     assert [(r.doc_id, r.answered) for r in found] == [(1, True)]
 
 
+def test_paraphrases_are_found_as_by_the_check_over_all_stretches(docs, spark):
+    rnd = random.Random(8)
+    common = ["".join(rnd.choice("klmno") for _ in range(3)) for _ in range(40)]
+    vocabulary = ["".join(rnd.choice("abcdefghij") for _ in range(rnd.randint(3, 8))) for _ in range(3000)]
+    word = lambda: rnd.choice(common if rnd.random() < 0.4 else vocabulary)
+    say = lambda n: " ".join(word() for _ in range(n))
+    texts = [(i, say(rnd.choice([8, 15, 17, 20, 33, 40, 59, 90]))) for i in range(40)]
+    rows = []
+    for i in range(240):
+        passage, kept = texts[i % 40][1].split(), rnd.choice([0.56, 0.6, 0.65, 0.7, 0.8])
+        n = len(passage) - len(passage) // 4
+        lost = set(rnd.sample(range(n), min(n, int((1 - kept) * len(passage)))))
+        passage = [word() if k in lost else w for k, w in enumerate(passage)]
+        rows.append((i, f"{say(rnd.randint(0, 150))} {' '.join(passage)} {say(rnd.randint(0, 150))}"))
+    items = decontaminate.read_items([(*r, None) for r in texts])
+    truth = {}
+    for key, text in rows:
+        words = decontaminate._words(text)
+        for item in items:
+            n = len(item.words)
+            length = n + max(4, n // 2)
+            for at in range(max(0, len(words) - length) + 1):
+                share = decontaminate.common_subsequence(item.words, words[at : at + length]) / n
+                around = words[at : at + length + len(item.answer)]
+                answered = decontaminate.common_subsequence(item.answer, around) >= 0.6 * len(item.answer)
+                if share >= 0.8 or (share >= 0.55 and answered):
+                    truth[key, item.key] = max(truth.get((key, item.key), (0.0, False)), (share, answered))
+    assert len(truth) > 200
+    benchmark = spark.createDataFrame(texts, "item_id bigint, text string")
+    found = decontaminate.find_leaks(docs(rows), benchmark).collect()
+    assert {(r.doc_id, r.item_id): (r.share, r.answered) for r in found} == truth
+
+
 def test_passages_cover_all_words():
     for sizes in ([0, 1, 31, 32, 33, 48, 49, 200], [5], []):
         owner = np.repeat(np.arange(len(sizes)), sizes)
