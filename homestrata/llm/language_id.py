@@ -3,8 +3,10 @@
 A text is a vector of hashed letter n-grams, weighted by log(1 + count) and inverse
 document frequency and normalised. Each language has several centroids, found by
 spherical k-means; a text takes the language of the centroid of largest cosine. It is
-rejected if it is further from that centroid than the centroid's radius, which is set
-well outside the training texts, or if it has no letters.
+rejected if it is further from that centroid than the radius of its language, or if it has
+no letters. Short texts are far from any centroid, so there is a radius per band of text
+length (distinct n-grams, by powers of two). It is learned from the distances that training
+texts, and pieces of them of a few words, keep from centroids of the other half of them.
 
 Document frequencies cover all labelled rows and are summed per task before the one
 exchange. Centroids are fitted on at most ``SAMPLE`` rows per language, those with the
@@ -13,7 +15,7 @@ smallest hashes. What reaches the driver is the model: ``DIMENSIONS`` frequencie
 
 Defined cases: texts that are null or have no letter are ``und`` with score 0 and are
 rejected; rows without a language or text do not train; one language alone is learned as
-one; without any labelled row every text is ``und``; ties go to the language first in
+one; a language of one row rejects nothing with letters; without any labelled row every text is ``und``; ties go to the language first in
 order; repeated rows get the same answer; other columns play no part.
 """
 
@@ -36,9 +38,11 @@ ROUNDS = 8
 LEAST_SHARE = 0.02
 UNKNOWN = "und"
 
-# A centroid's radius: this many times the largest cosine distance that all but one in
-# a hundred of its training texts keep, between the two bounds.
-RADIUS_FACTOR, RADIUS_LEAST, RADIUS_MOST = 1.5, 0.93, 0.98
+# A text is too far if its cosine is under this share of what all but one in a hundred
+# training texts of its language and band reach.
+NEAR_SHARE, NEAR_QUANTILE = 0.6, 0.01
+PIECES = (1, 2, 4, 8, 16, 32)  # words
+BANDS = DIMENSIONS.bit_length() + 1
 
 _BLOCK = 64
 _LETTERS = bytes(b if chr(b).isalpha() and b < 128 or b >= 128 else 32 for b in range(256))
@@ -46,7 +50,7 @@ _LETTERS = bytes(b if chr(b).isalpha() and b < 128 or b >= 128 else 32 for b in
 
 @dataclass
 class Model:
-    """``weights``: inverse document frequency; ``centroids``: one row each."""
+    """``weights``: inverse document frequency; ``centroids``: one row each; ``radii``: one row each, by band."""
 
     labels: list[str]
     weights: np.ndarray
@@ -121,8 +125,8 @@ def document_frequencies(rows: DataFrame, text_col: str) -> DataFrame:
     return parts.groupBy("gram").agg(F.sum("docs").alias("docs"))
 
 
-def _cluster(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Spherical k-means from evenly spaced rows: centroids, each row's cosine to its own, and which.
+def _cluster(rows: np.ndarray) -> np.ndarray:
+    """Centroids by spherical k-means from evenly spaced rows.
 
     Centroids that hold less than ``LEAST_SHARE`` of the rows are stray texts and go.
     """
@@ -132,9 +136,44 @@ def _cluster(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         sums = np.stack([rows[own == k].sum(0) if (own == k).any() else centroids[k] for k in range(len(centroids))])
         centroids = sums / np.maximum(np.linalg.norm(sums, axis=1, keepdims=True), 1e-12)
     held = np.bincount(np.argmax(rows @ centroids.T, 1), minlength=len(centroids))
-    centroids = centroids[held >= min(held.max(), LEAST_SHARE * len(rows))]
-    cosines = rows @ centroids.T
-    return centroids, cosines.max(1), np.argmax(cosines, 1)
+    return centroids[held >= min(held.max(), LEAST_SHARE * len(rows))]
+
+
+def _bands(rows: np.ndarray) -> np.ndarray:
+    """Band of each row by how many n-grams it has."""
+    return np.frexp(np.count_nonzero(rows, axis=1))[1]
+
+
+def _pieces(texts: list[str]) -> list[str]:
+    """A run of words of each length from every text that has more, at places that differ from text to text."""
+    out = []
+    for i, text in enumerate(texts):
+        words = text.split()
+        for n in PIECES:
+            if len(words) > n:
+                at = (i * 7919) % (len(words) - n + 1)
+                out.append(" ".join(words[at : at + n]))
+    return [t for t in out if _has_letter(t)]
+
+
+def _radii(texts: list[str], rows: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """Radius per band, from cosines of each half of the texts to the centroids of the other half."""
+    bands, cosines = [], []
+    for k in (0, 1) if len(texts) > 1 else ():
+        middle = _cluster(rows[1 - k :: 2]).T
+        bands.append(_bands(rows[k::2]))
+        cosines.append((rows[k::2] @ middle).max(1))
+        for _, block in _blocks(_pieces(texts[k::2])):
+            found = vectors(block, weights)
+            bands.append(_bands(found))
+            cosines.append((found @ middle).max(1))
+    radii, least = np.ones(BANDS), 0.0
+    band, cosine = (np.concatenate(x) if x else np.zeros(0) for x in (bands, cosines))
+    for b in range(BANDS):  # a band without texts is as the one below
+        if (band == b).any():
+            least = NEAR_SHARE * np.quantile(cosine[band == b], NEAR_QUANTILE)
+        radii[b] = 1 - least
+    return radii
 
 
 def fit(labelled: DataFrame, text_col: str, label_col: str, sample: int = SAMPLE) -> Model:
@@ -149,7 +188,7 @@ def fit(labelled: DataFrame, text_col: str, label_col: str, sample: int = SAMPLE
         weights[gram] = np.log((1 + total) / (1 + docs)) + 0.05
     sizes = {r.label: r.n for r in rows.groupBy("label").agg(F.count("*").alias("n")).collect()}
     if not total or not sizes:
-        return Model([], weights, np.zeros((0, DIMENSIONS), np.float32), np.zeros(0))
+        return Model([], weights, np.zeros((0, DIMENSIONS), np.float32), np.zeros((0, BANDS)))
     # a share of each language that is sure to hold its smallest hashes, then exactly those
     share = F.lit(0.0)
     for label, n in sizes.items():
@@ -160,29 +199,29 @@ def fit(labelled: DataFrame, text_col: str, label_col: str, sample: int = SAMPLE
 
     def centroids(part: pd.DataFrame) -> pd.DataFrame:
         texts = [t for t in part["text"] if _has_letter(t)]
-        empty = pd.DataFrame({"label": [], "radius": [], "vector": []})
+        empty = pd.DataFrame({"label": [], "radii": [], "vector": []})
         if not texts:
             return empty
-        found = np.concatenate([vectors(block, weights) for _, block in _blocks(sorted(texts))])
-        middle, cosines, own = _cluster(found)
-        radii = []
-        for k in range(len(middle)):
-            near = cosines[own == k]
-            far = 1 - np.quantile(near, 0.01) if len(near) else 1.0
-            radii.append(float(np.clip(RADIUS_FACTOR * far, RADIUS_LEAST, RADIUS_MOST)))
+        texts.sort()
+        found = np.concatenate([vectors(block, weights) for _, block in _blocks(texts)])
+        middle, radii = _cluster(found), _radii(texts, found, weights)
         return pd.DataFrame(
-            {"label": part["label"].iloc[0], "radius": radii, "vector": [m.astype(np.float32) for m in middle]}
+            {
+                "label": part["label"].iloc[0],
+                "radii": [radii] * len(middle),
+                "vector": [m.astype(np.float32) for m in middle],
+            }
         )
 
-    learned = few.groupBy("label").applyInPandas(centroids, "label string, radius double, vector array<float>")
+    learned = few.groupBy("label").applyInPandas(centroids, "label string, radii array<double>, vector array<float>")
     model = sorted(learned.collect(), key=lambda r: r.label)
     if not model:
-        return Model([], weights, np.zeros((0, DIMENSIONS), np.float32), np.zeros(0))
+        return Model([], weights, np.zeros((0, DIMENSIONS), np.float32), np.zeros((0, BANDS)))
     return Model(
         [r.label for r in model],
         weights,
         np.array([r.vector for r in model], np.float32),
-        np.array([r.radius for r in model]),
+        np.array([r.radii for r in model]),
     )
 
 
@@ -198,10 +237,11 @@ def predict(model: Model, text: Column) -> Column:
             use = [i for i, t in enumerate(series) if t is not None and _has_letter(t)] if len(labels) > 1 else []
             for at, block in _blocks([series.iloc[i] for i in use]):
                 place = np.array(use[at : at + len(block)])
-                cosine = vectors(block, model.weights) @ middle
+                found = vectors(block, model.weights)
+                cosine = found @ middle
                 best[place] = np.argmax(cosine, 1)
                 score[place] = np.clip(cosine.max(1), 0, 1)
-                rejected[place] = 1 - cosine.max(1) > model.radii[best[place]]
+                rejected[place] = 1 - cosine.max(1) > model.radii[best[place], _bands(found)]
             yield pd.DataFrame({"lang": labels[best], "score": score, "rejected": rejected})
         pa.default_memory_pool().release_unused()
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import base64
 import itertools
 import math
 import random
@@ -39,6 +40,27 @@ def test_language_held_out_accuracy_and_rejection(docs):
     assert got[5].lang == "aa" and not got[5].rejected
 
 
+def test_language_rejects_unknown_languages_and_gibberish_but_no_short_texts(docs):
+    rnd = random.Random(5)
+    lengths = [1, 2, 4, 9, 20, 60, 150]
+    rows = [(i, speech(rnd, lang, lengths[i // 3 % 7]), lang) for i, lang in enumerate(itertools.islice(itertools.cycle(SYLLABLES), 420))]
+    model = language_id.fit(docs(rows), "text", "lang")
+    letters = "".join(map(chr, range(97, 123)))
+    ask = {}
+    for n in (20, 60, 200):
+        ask[f"letters {n}"] = " ".join("".join(rnd.choice(letters) for _ in range(rnd.randint(2, 9))) for _ in range(n))
+        ask[f"base64 {n}"] = base64.b64encode(rnd.randbytes(4 * n)).decode()
+        ask[f"unknown {n}"] = " ".join("".join(rnd.choice("bal kri schi tub ung lan eit".split()) for _ in range(3)) for _ in range(n))
+    ask["Turkish"] = "Bu kitap benim için çok önemli, çünkü onu bana dedem uzun yıllar önce bir bayram sabahı vermişti."
+    ask["Polish"] = "Wczoraj wieczorem poszliśmy nad rzekę, żeby zobaczyć, jak słońce zachodzi za starym młynem."
+    ask["Finnish"] = "Kesällä me menemme usein järven rannalle, jossa lapset uivat ja vanhemmat istuvat auringossa."
+    clean = {f"short {i}": speech(rnd, lang, n) for i, (lang, n) in enumerate(itertools.product(SYLLABLES, (1, 1, 2, 3, 5)))}
+    names = [*ask, *clean]
+    table = docs([(i, (ask | clean)[name]) for i, name in enumerate(names)])
+    out = {names[r.doc_id]: r.p.rejected for r in table.select("doc_id", language_id.predict(model, F.col("text")).alias("p")).collect()}
+    assert out == {name: name in ask for name in names}
+
+
 def test_language_document_frequencies_cover_all_rows(docs):
     rows = [(i, "ab" if i % 3 else "ac x") for i in range(50)] + [(99, None)]
     seen = {r.gram: r.docs for r in language_id.document_frequencies(docs(rows).select("text"), "text").collect()}
