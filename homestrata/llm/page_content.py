@@ -22,6 +22,7 @@ neither dropped nor merged; other columns are not read.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -40,6 +41,15 @@ RATE = 0.1
 RIDGE = 0.1
 
 _HIDDEN = frozenset("script style head title noscript template iframe svg object canvas audio video".split())
+_RAW = frozenset("script style title noscript iframe".split())  # only their own end tag ends them
+_WALLS = frozenset("template object".split())  # end tags inside do not reach what is outside
+_IN_HEAD = frozenset("base basefont bgsound link meta title noscript noframes style script template html head".split())
+# what ends an svg that was left open, unless it stands in one of the elements that hold HTML
+_NOT_IN_SVG = frozenset(
+    "b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu meta nobr "
+    "ol p pre ruby s small span strong strike sub sup table tt u ul var".split()
+)
+_HTML_IN_SVG = frozenset("foreignobject desc title".split())
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _BLOCK = frozenset(
     "html body article main section div p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table thead tbody tfoot tr td th caption "
@@ -99,10 +109,11 @@ class _Reader(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.parents, self.tags, self.names, self.depths, self.labels = [-1], ["body"], [""], [0], [None]
         self.texts: list[tuple[int, str, int]] = []  # node, text, linked characters
-        self._open: list[tuple[str, int]] = [("", 0)]  # tag and the block node it is in
+        # tag, the block node it is in, whether it hides, whether it is a block that is not inside a hidden element
+        self._open: list[tuple[str, int, bool, bool]] = [("", 0, False, False)]
+        self._opened: Counter[str] = Counter()
         self._run: list[str] = []
-        self._linked = self._links = 0
-        self._hidden: list[str] = []
+        self._linked = self._links = self._hidden = 0
 
     def _end_run(self) -> None:
         if self._run:
@@ -112,37 +123,41 @@ class _Reader(HTMLParser):
             self._run, self._linked = [], 0
 
     def _pop_to(self, at: int) -> None:
-        if any(tag in _BLOCK for tag, _ in self._open[at:]):
+        if any(breaks for *_, breaks in self._open[at:]):
             self._end_run()
-        for tag, _ in self._open[at:]:
+        for tag, _, hidden, _ in self._open[at:]:
             self._links -= tag == "a"
+            self._hidden -= hidden
+            self._opened[tag] -= 1
         del self._open[at:]
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
-        if self._hidden:
-            if tag == self._hidden[-1] and tag not in _VOID:
-                self._hidden.append(tag)
+        if self._open[-1][0] in _RAW:
             return
+        if self._opened["head"] and tag not in _IN_HEAD:
+            self._close_open(("head",), ())
+        if self._opened["svg"] and tag in _NOT_IN_SVG:
+            self._close_open(("svg",), _HTML_IN_SVG)
         given = dict(attrs)
         if tag in _VOID:
-            if tag in ("hr",):
+            if self._hidden:
+                pass
+            elif tag in ("hr",):
                 self._end_run()
             elif tag == "br":
                 self._run.append(" ")
             return
-        style = (given.get("style") or "").replace(" ", "").lower()
-        if tag in _HIDDEN or "hidden" in given or "display:none" in style:
-            self._hidden.append(tag)
-            if tag in _BLOCK:
-                self._end_run()
-            return
         if tag in _P_CLOSERS:
             self._close_open(("p",), _SCOPE)
         elif tag in _SAME:
             self._close_open(*_SAME[tag])
         node = self._open[-1][1]
-        if tag in _BLOCK:
+        style = (given.get("style") or "").replace(" ", "").lower()
+        hidden = tag in _HIDDEN or "hidden" in given or "display:none" in style
+        breaks = tag in _BLOCK and not self._hidden
+        if breaks:
             self._end_run()
+        if breaks and not hidden:
             if self.depths[node] < DEPTH:
                 self.parents.append(node)
                 self.tags.append(tag)
@@ -151,35 +166,47 @@ class _Reader(HTMLParser):
                 self.labels.append(given.get("data-label", self.labels[node]))
                 node = len(self.parents) - 1
         self._links += tag == "a"
-        self._open.append((tag, node))
+        self._hidden += hidden
+        self._opened[tag] += 1
+        self._open.append((tag, node, hidden, breaks))
 
     def _close_open(self, tags: tuple, stops) -> None:
+        if not any(self._opened[tag] for tag in tags):
+            return
         for at in range(len(self._open) - 1, 0, -1):
             if self._open[at][0] in tags:
                 self._pop_to(at)
                 return
-            if self._open[at][0] in stops:
+            if self._open[at][0] in stops or self._open[at][0] in _WALLS:
                 return
 
     def handle_startendtag(self, tag: str, attrs: list) -> None:
+        depth = len(self._open)
         self.handle_starttag(tag, attrs)
+        # only in svg does the slash close; elsewhere a browser ignores it
+        if self._opened["svg"] and len(self._open) > depth:
+            self._pop_to(depth)
 
     def handle_endtag(self, tag: str) -> None:
-        if self._hidden:
-            if tag == self._hidden[-1]:
-                self._hidden.pop()
+        if self._open[-1][0] in _RAW and tag != self._open[-1][0]:
+            return
+        if tag in ("body", "html"):
+            self._close_open(("head",), ())
+        if not self._opened[tag]:
             return
-        block = tag in _BLOCK
+        block = tag in _BLOCK or tag in _HIDDEN
         for at in range(len(self._open) - 1, 0, -1):
             if self._open[at][0] == tag:
                 self._pop_to(at)
                 return
             if not block and self._open[at][0] in _BLOCK:
                 return  # an inline end tag does not reach past its block
-            if tag == "p" and self._open[at][0] in _SCOPE:
+            if tag == "p" and self._open[at][0] in _SCOPE or self._open[at][0] in _WALLS:
                 return
 
     def handle_data(self, data: str) -> None:
+        if self._open[-1][0] == "head" and not data.isspace():
+            self._close_open(("head",), ())
         if not self._hidden:
             self._run.append(data)
             if self._links > 0:

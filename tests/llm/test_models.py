@@ -268,6 +268,30 @@ def test_pages_by_hand(spark):
     assert page_content.extract(table.where("false"), ["page_id"]).count() == 0
 
 
+@pytest.mark.parametrize(
+    "page,texts",
+    [
+        ("<html><head><title>x</title><body><p>one</p></body></html>", ["one"]),
+        ("<head><meta charset=utf-8><script>s()</script><p>one<p>two", ["one", "two"]),
+        ("<head><title>x</title>one</html>", ["one"]),
+        ("<p>one <svg class=i /> two</p><div>three</div>", ["one two", "three"]),
+        ("<div><svg><path d=x /><title>t</title><text>s</text></svg>one</div>", ["one"]),
+        ("<div><svg><path d=x></div><p>one", ["one"]),
+        ("<p hidden>a<p>one</p>two", ["one", "two"]),
+        ("<p hidden>a<p hidden>b<div>one</div>", ["one"]),
+        ("<ul><li style='display: none'>a<li>one</ul>two", ["one", "two"]),
+        ("<ul><li hidden>a</ul><p>one", ["one"]),
+        ("<div>one<span hidden>a</div>two", ["one", "two"]),
+        ("<div hidden>a<div>b</div>c<p>d</div>one", ["one"]),
+        ("<div>one<template><p>a</div>b</template> two</div>three", ["one two", "three"]),
+        ("<noscript><p>a</noscript><iframe><p>b</iframe><p>one", ["one"]),
+        ("<p>one<br><span hidden>a<br></span>two", ["one two"]),
+    ],
+)
+def test_hidden_elements_end_where_a_browser_ends_them(page, texts):
+    assert [text for _, text in page_content.read_pages([page]).texts[0]] == texts
+
+
 # 7: secrets
 
 
