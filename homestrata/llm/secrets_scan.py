@@ -1,13 +1,13 @@
 """Secret scan: known shapes, and values in credential context by the cost of guessing them.
 
 Three shapes are found by pattern (``assign``, ``access``, ``hex``). In addition every
-value that follows a credential word is priced as a password guesser would: the cheapest
+value given to an identifier with a credential word in it is priced as a password guesser would: the cheapest
 way to cut it into common words, dates, repeated stretches, keyboard walks and brute
 force, by dynamic programming over positions, gives the bits a guesser needs. Values of
 at least ``LEAST_BITS`` are spans of kind ``guess``: real-looking secrets, while
 ``changeme2024`` or ``aaaaaaaaaaaa`` are not.
 
-One narrow stage; the programme runs for values behind credential words only, in time
+One narrow stage; the programme runs for values in credential context only, in time
 linear in the value's length (words, dates and walks are of bounded length). Places are
 code points, ends exclusive.
 
@@ -36,10 +36,13 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{16,}")
 ASSIGN_LEAST, ACCESS_LEAST = 12, 18
 
-# words before a value that make it a credential
+# an identifier and the value given to it, which is only looked at, as it may hold identifiers again
+GIVEN = re.compile(r"""(?<![A-Za-z0-9_.-])([A-Za-z0-9_.-]++)["']?[\x20\t]*[:=][\x20\t]*["']?(?=([^\s"',;<>]+))""", re.A)
+# words in an identifier that make its value a credential: none that goes on, such as author
 CONTEXT = re.compile(
-    r"""(?:password|passwd|pwd|passphrase|secret|token|credential|api[_-]?key|access[_-]?key|auth)"""
-    r"""["']?\x20*[:=]\x20*["']?([^\s"',;<>]{8,})""",
+    r"(?:password|passwd|pwd|passphrase|secret|token|credential|auth"
+    r"|(?:api|access|secret|private|encryption|signing)[_.-]?key)s?"
+    r"(?=$|[_.0-9-]|(?-i:(?<=[a-z])[A-Z]))",
     re.I | re.A,
 )
 _HINTS = ("passw", "pwd", "passphrase", "secret", "token", "credential", "key", "auth")
@@ -151,10 +154,14 @@ def find(text: str, least_bits: float = LEAST_BITS) -> list[tuple[str, int, int,
         for m in ASSIGN.finditer(text):
             if len(m[2]) >= ASSIGN_LEAST:
                 out.append(("assign", m.start(), m.end(), 0.0))
-        for m in CONTEXT.finditer(text):
-            bits, _ = guess_bits(m[1])
+        done = 0
+        for m in GIVEN.finditer(text):
+            if m.start() < done or not CONTEXT.search(m[1]):
+                continue
+            done = m.end(2)
+            bits, _ = guess_bits(m[2])
             if bits >= least_bits:
-                out.append(("guess", *m.span(1), bits))
+                out.append(("guess", *m.span(2), bits))
     out += [("access", *m.span(), 0.0) for m in ACCESS.finditer(text) if m.end() - m.start() >= ACCESS_LEAST]
     out += [("hex", *m.span(), 0.0) for m in HEX.finditer(text)]
     out.sort(key=lambda s: (s[1], KINDS.index(s[0])))

@@ -353,6 +353,21 @@ def test_base_spans_against_the_rules():
         assert [s[:3] for s in secrets_scan.find(text) if s[0] != "guess"] == base_spans(text)
 
 
+@pytest.mark.parametrize(
+    "before",
+    [
+        "SECRET_KEY = '", "private_key: ", "encryption_key=", "signingKey: ", "DB_PASSWORD_PROD=", "credentials: ", "password:\t",
+        "api.key\t=\t", "authToken=", '{"access_keys": "', "url=https://a.b/?q=1&token=", "my-pwd2: ", "x = auth:",
+    ],
+)
+def test_values_of_identifiers_with_a_credential_word(before):
+    value = "x7Kq9zLm2PwTb4Rc"
+    guessed = lambda text: [s[1:3] for s in secrets_scan.find(text) if s[0] == "guess"]
+    assert guessed(f"some {before}{value}' end") == [(len(before) + 5, len(before) + 21)]
+    assert guessed(f"some {before}tR7!kq9 end") == [(len(before) + 5, len(before) + 12)]
+    assert guessed(f"some {before}changeme2024 end") == guessed(f"author: {value} AUTHORS={value} secretary={value}") == []
+
+
 def test_scan_odd_rows(odd, docs):
     assert {len(r.spans) for r in secrets_scan.scan(odd).collect()} == {0}
     assert secrets_scan.scan(odd).count() == odd.count()
