@@ -14,9 +14,9 @@ Messages of many pages are computed together, one array operation per depth.
 Defined cases: a null or empty page and one without content give an empty text; broken
 markup is closed where a browser would close it; text that stands in no element counts to
 the page's root; what is never shown (scripts, styles, head, templates, hidden elements)
-is no text; line breaks and all white space inside a block become one space; very deep
-pages are read to ``DEPTH`` levels, below which elements count to the last one; rows are
-neither dropped nor merged; other columns are not read.
+is no text; line breaks and all white space inside a block become one space; pages of any depth are
+read whole, as messages go level by level without recursion; rows are neither dropped nor
+merged; other columns are not read.
 """
 
 from __future__ import annotations
@@ -35,7 +35,6 @@ from pyspark.sql import functions as F
 
 from homestrata.llm.page_samples import labelled_pages
 
-DEPTH = 200
 ROUNDS = 150
 RATE = 0.1
 RIDGE = 0.1
@@ -158,13 +157,12 @@ class _Reader(HTMLParser):
         if breaks:
             self._end_run()
         if breaks and not hidden:
-            if self.depths[node] < DEPTH:
-                self.parents.append(node)
-                self.tags.append(tag)
-                self.names.append(f"{given.get('class') or ''} {given.get('id') or ''} {given.get('role') or ''}".lower())
-                self.depths.append(self.depths[node] + 1)
-                self.labels.append(given.get("data-label", self.labels[node]))
-                node = len(self.parents) - 1
+            self.parents.append(node)
+            self.tags.append(tag)
+            self.names.append(f"{given.get('class') or ''} {given.get('id') or ''} {given.get('role') or ''}".lower())
+            self.depths.append(self.depths[node] + 1)
+            self.labels.append(given.get("data-label", self.labels[node]))
+            node = len(self.parents) - 1
         self._links += tag == "a"
         self._hidden += hidden
         self._opened[tag] += 1

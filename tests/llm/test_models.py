@@ -292,6 +292,16 @@ def test_hidden_elements_end_where_a_browser_ends_them(page, texts):
     assert [text for _, text in page_content.read_pages([page]).texts[0]] == texts
 
 
+def test_an_article_and_a_footer_at_level_300():
+    words = "This is a rather long paragraph of an article, which goes on for some time and says what there is to say. "
+    inner = f"<article class=post><p>{words * 3}</p><p>{words * 2}</p></article><footer class=footer><p>&copy; Site. All rights.</p></footer>"
+    page = "<body>" + "<div>" * 300 + inner
+    forest = page_content.read_pages([page])
+    assert len(forest.parent) == 302 + 5 and forest.depth.max() == 303
+    article = f"{(words * 3).strip()}\n{(words * 2).strip()}"
+    assert page_content.main_texts([page, inner], page_content.default_potentials()) == [article, article]
+
+
 # 7: secrets
 
 
