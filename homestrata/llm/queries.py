@@ -7,8 +7,23 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from homestrata.llm import bpe, decontaminate, language_id, line_dedup, maxscore, ngram_join, page_content, repeats, secrets_scan, token_store
+from homestrata.llm import (
+    bpe,
+    cross_tokens,
+    decontaminate,
+    importance,
+    language_id,
+    line_dedup,
+    maxscore,
+    ngram_join,
+    page_content,
+    repeats,
+    secrets_scan,
+    super_minhash,
+    token_store,
+)
 from homestrata.llm.batches import bounded_batches
+from homestrata.sources.staging import stage
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -144,3 +159,78 @@ def op10_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"),
         F.crc32("ids").alias("ids_crc32"),
     )
+
+
+@_query
+def op11_super_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = super_minhash.near_copies(_table(spark, sf_dir, "documents"))
+    return found.withColumnRenamed("component", "component_id")
+
+
+@_query
+def op12_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = importance.resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+ORACLES["op12_importance"] = """
+WITH crc_table AS (
+    SELECT list(list_reduce(list_concat([i], range(8)),
+                            lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)
+                ORDER BY i) AS t
+    FROM range(256) AS r(i)),
+folded AS (
+    SELECT 0 AS side, doc_id,
+           regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                              '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+    FROM documents
+    UNION ALL
+    SELECT 1, NULL,
+           regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                              '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')
+    FROM benchmark),
+vocabulary AS (SELECT DISTINCT unnest(words) AS word FROM folded),
+bytes AS (SELECT word, hex(encode(word)) AS h FROM vocabulary),
+bucketed AS (
+    SELECT word, xor(list_reduce(
+        list_concat([CAST(4294967295 AS BIGINT)],
+                    list_transform(range(CAST(len(h) / 2 AS BIGINT)),
+                                   lambda i: CAST('0x' || substr(h, 2 * i + 1, 2) AS BIGINT))),
+        lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) % 10000 AS bucket
+    FROM bytes, crc_table),
+occurrences AS (SELECT side, unnest(words) AS word FROM folded),
+counted AS (
+    SELECT bucket, count(*) FILTER (side = 0) AS s, count(*) FILTER (side = 1) AS t
+    FROM occurrences JOIN bucketed USING (word) GROUP BY bucket),
+totals AS (SELECT coalesce(sum(s), 0) AS all_s, coalesce(sum(t), 0) AS all_t FROM counted),
+gains AS (
+    SELECT bucket, CAST(floor(1000 * ln(CAST(t + 1 AS DOUBLE) * CAST(all_s + 10000 AS DOUBLE)
+                                        / (CAST(s + 1 AS DOUBLE) * CAST(all_t + 10000 AS DOUBLE)))) AS BIGINT) AS gain
+    FROM counted, totals),
+numbered AS (SELECT row_number() OVER () AS k, doc_id, words FROM folded WHERE side = 0),
+spread AS (SELECT k, unnest(words) AS word FROM numbered),
+summed AS (SELECT k, CAST(sum(gain) AS BIGINT) AS weight
+           FROM spread JOIN bucketed USING (word) JOIN gains USING (bucket) GROUP BY k),
+scored AS (
+    SELECT k, doc_id, CAST(len(words) AS BIGINT) AS n_features, coalesce(weight, 0) AS weight,
+           coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln(
+               (CAST('0x' || substr(sha256('2024:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8) AS BIGINT) + 0.5::DOUBLE)
+               / 4294967296::DOUBLE))) AS BIGINT) AS score
+    FROM numbered LEFT JOIN summed USING (k)),
+placed AS (SELECT k, row_number() OVER (ORDER BY score DESC, doc_id NULLS LAST) AS place,
+                  count(*) OVER () AS n FROM scored WHERE n_features >= 20)
+SELECT doc_id, n_features, weight, score,
+       CASE WHEN place <= n * 10 // 100 THEN place END AS rank
+FROM scored LEFT JOIN placed USING (k)
+"""
+
+
+@_query
+def op13_cross_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = cross_tokens.align(_table(spark, sf_dir, "documents"))
+    digest = F.when(F.col("groups") == "", F.lit("")).otherwise(F.sha2(F.col("groups").cast("binary"), 256))
+    found = stage(found.withColumn("groups_sha256", digest).drop("groups"), "aligned")
+    scored = cross_tokens.score_links(found, cross_tokens.link_counts(found))
+    return scored.select(
+        F.col("id").alias("doc_id"), "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"
+    )
