@@ -6,6 +6,7 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.window import WindowSpec
 
 from homestrata.functions.common import strip
 from homestrata.functions.prices import discount_pct, price_per_acre
@@ -47,13 +48,17 @@ def _middle_bins(rows: DataFrame, group: str, per_octave: int, within: DataFrame
             group, F.col("_bin").alias("_outer"), "_n", "_before", _bin(F.col("_v"), per_octave).alias("_bin")
         ).agg(F.count("*").alias("_c"))
         ordered = Window.partitionBy(group, "_outer").orderBy("_bin")
+    return _holding_middle(counts, ordered).select(group, "_bin", "_n", F.col("_start").alias("_before"), "_c")
+
+
+def _holding_middle(counts: DataFrame, ordered: WindowSpec) -> DataFrame:
+    """Of counts ``_c`` in order, behind ``_before`` others, those that hold a middle rank of ``_n``."""
     up_to = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     low, high = F.floor((F.col("_n") - 1) / 2), F.floor(F.col("_n") / 2)
     return (
         counts.withColumn("_end", F.col("_before") + F.sum("_c").over(up_to))
         .withColumn("_start", F.col("_end") - F.col("_c"))
         .where(_holds(low) | _holds(high))
-        .select(group, "_bin", "_n", F.col("_start").alias("_before"), "_c")
     )
 
 
@@ -86,18 +91,15 @@ def exact_medians(rows: DataFrame, group: str, value: str, bin_rows: int = 50_00
     while per_octave < _FINEST and (bins.agg(F.max("_c")).first()[0] or 0) > bin_rows:
         per_octave *= _REFINE
         bins = stage(_middle_bins(values, group, per_octave, bins), "median-bins")
-    in_bin = (
-        Window.partitionBy(group, "_bin")
-        .orderBy("_v")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
+    counted = _rows_in(values, group, per_octave, bins).groupBy(group, "_bin", "_v", "_n", "_before")
+    return _middle_values(counted.agg(F.count("*").alias("_c")), group)
+
+
+def _middle_values(counted: DataFrame, group: str) -> DataFrame:
+    """(group, lower, upper, n) from the counted values of the bins that hold the middle ranks."""
     low, high = F.floor((F.col("_n") - 1) / 2), F.floor(F.col("_n") / 2)
     return (
-        _rows_in(values, group, per_octave, bins)
-        .groupBy(group, "_bin", "_v", "_n", "_before")
-        .agg(F.count("*").alias("_c"))
-        .withColumn("_end", F.col("_before") + F.sum("_c").over(in_bin))
-        .withColumn("_start", F.col("_end") - F.col("_c"))
+        _holding_middle(counted, Window.partitionBy(group, "_bin").orderBy("_v"))
         .groupBy(group)
         .agg(
             F.max(F.when(_holds(low), F.col("_v"))).alias("lower"),
@@ -107,18 +109,50 @@ def exact_medians(rows: DataFrame, group: str, value: str, bin_rows: int = 50_00
     )
 
 
-def city_stats(listings: DataFrame) -> DataFrame:
-    """Exact median price per sqft and number of usable listings per city."""
-    usable = listings.select(strip("city").alias("city"), "price_per_sqft").where(
-        (F.col("city") != "") & (F.col("price_per_sqft") > 0)
+def value_bin(value: Column) -> Column:
+    """The bin that ``exact_medians`` and ``counted_medians`` count a number in."""
+    return _bin(value, _BINS_PER_OCTAVE)
+
+
+def bins_of_medians(counts: DataFrame, group: str) -> DataFrame:
+    """Bins that hold the middle ranks, from counts (group, bin, n) per bin."""
+    whole = Window.partitionBy(group)
+    counts = counts.select(group, F.col("bin").alias("_bin"), F.col("n").alias("_c"))
+    counts = counts.withColumn("_n", F.sum("_c").over(whole)).withColumn("_before", F.lit(0))
+    held = _holding_middle(counts, Window.partitionBy(group).orderBy("_bin"))
+    return held.select(group, F.col("_bin").alias("bin"), "_n", F.col("_start").alias("_before"))
+
+
+def counted_medians(values: DataFrame, bins: DataFrame, group: str) -> DataFrame:
+    """(group, lower, upper, n) from counted values (group, bin, value, n) and ``bins_of_medians``.
+
+    A bin's distinct values meet in one task, so values are to be of limited precision.
+    """
+    inside = values.join(bins, [group, "bin"])
+    counted = inside.select(group, F.col("bin").alias("_bin"), F.col("value").alias("_v"), "_n", "_before", F.col("n").alias("_c"))
+    return _middle_values(counted, group)
+
+
+def usable_prices(listings: DataFrame) -> DataFrame:
+    """Cities and prices per sqft that count in a city's statistics."""
+    return listings.select(strip("city").alias("city"), "price_per_sqft").where(
+        (F.col("city") != "") & (F.col("price_per_sqft") > 0) & ~F.isnan("price_per_sqft")
     )
-    return exact_medians(usable, "city", "price_per_sqft").select(
+
+
+def as_city_stats(medians: DataFrame) -> DataFrame:
+    return medians.select(
         "city",
         ((F.col("lower") + F.col("upper")) / 2).alias("median_price_per_sqft"),
         F.col("n").alias("property_count"),
     )
 
 
+def city_stats(listings: DataFrame) -> DataFrame:
+    """Exact median price per sqft and number of usable listings per city."""
+    return as_city_stats(exact_medians(usable_prices(listings), "city", "price_per_sqft"))
+
+
 def ward_stats(listings: DataFrame, min_count: int = 3) -> DataFrame:
     """Upper median price per sqm of wards with at least ``min_count`` listings."""
     usable = listings.where(

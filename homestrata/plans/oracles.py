@@ -757,7 +757,17 @@ ORACLES["q_stream_url_dedup"] = "SELECT DISTINCT '/home/' || l_partkey AS url FR
 ORACLES["q_stream_status"] = ORACLES["q_status_replay"]
 ORACLES["q_stream_status_keyed"] = ORACLES["q_status_replay"]
 ORACLES["q_stream_price_tracking"] = ORACLES["q_price_tracking"]
+ORACLES["q_stream_price_keyed"] = ORACLES["q_price_tracking"]
+ORACLES["q_stream_expiry"] = ORACLES["q_history_expiry"]
 ORACLES["q_stream_pref_state"] = ORACLES["q_pref_state"]
+ORACLES["q_stream_pref_late"] = ORACLES["q_pref_state"]
+_add(
+    "q_stream_enrich",
+    f"""SELECT property_id, city, med AS city_median_price_per_sqft, pct AS city_discount_pct,
+      n AS city_property_count, price_per_acre FROM {_ENRICHED}""",
+    "listings",
+    "city_stats",
+)
 _add(
     "q_stream_crawl",
     """SELECT count(*) AS total_urls_found, count(*) FILTER (fresh) AS new_urls_tracked,

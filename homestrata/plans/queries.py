@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from homestrata.functions import ids, prices, records
@@ -27,12 +29,15 @@ from homestrata.operators import (
 from homestrata.plans import standins as s
 from homestrata.schemas import TRACKED_URLS, struct
 from homestrata.sources import html, tables
+from homestrata.sources.epochs import BucketTable, EpochLog
 from homestrata.sources.staging import stage, staging_root
-from homestrata.sources.versioned import VersionedTable
-from homestrata.streaming import dedup, incremental, status
+from homestrata.streaming import dedup, incremental, keyed, medians
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
+# Buckets of the tables that the stream queries keep; the library's default suits larger ones.
+_BUCKETS = 16
+
 
 def query(fn: Callable[[s.Tables], DataFrame]) -> Callable[[s.Tables], DataFrame]:
     """Register ``fn(tables)`` under its own name."""
@@ -827,82 +832,174 @@ def q_mark_processed(t):
 # --- streams -----------------------------------------------------------------------
 
 
-def _stream(t) -> tuple[s.StreamTables, str]:
-    """The same tables as streams, and a new folder for one stream's state and output."""
-    return s.StreamTables(t.spark, t.dir), f"{staging_root(t.spark)}/stream-{uuid.uuid4().hex}"
+def _folder(t) -> str:
+    """A new folder for one stream's state and output."""
+    return f"{staging_root(t.spark)}/stream-{uuid.uuid4().hex}"
+
+
+def _in_runs(t, rows: DataFrame, order: Column, folder: str, run: Callable[[DataFrame], None], runs: int = 2) -> None:
+    """``rows`` as files that come run by run, in order; ``run`` processes what is there each time."""
+    held = stage(rows, "source")
+    marks = [k / runs for k in range(1, runs)]
+    cuts = held.agg(F.percentile_approx(order, marks)).first()[0] or []
+    run_no = sum((F.when(order > cut, 1).otherwise(0) for cut in cuts), F.lit(0))
+    for k in range(runs):
+        held.where(run_no == k).write.mode("append").parquet(f"{folder}/source")
+        run(t.spark.readStream.schema(held.schema).parquet(f"{folder}/source"))
+
+
+def _time(column: str) -> Column:
+    return F.coalesce(F.unix_micros(column), F.lit(0))
 
 
 @query
 def q_stream_url_dedup(t):
     """URLs of all lines as they stream by, each once."""
-    source, folder = _stream(t)
-    seen = source.lineitem.select(
+    folder = _folder(t)
+    seen = s.StreamTables(t.spark, t.dir).lineitem.select(
         F.concat(F.lit("/home/"), F.col("l_partkey").cast("string")).alias("url"),
         F.col("l_shipdate").alias("ts"),
     )
-    schema = struct("url string, ts timestamp")
-    table = VersionedTable(t.spark, f"{folder}/urls", schema, ["url"])
+    log = EpochLog(t.spark, f"{folder}/urls", struct("url string, ts timestamp"))
     stream = dedup.first_seen_stream(seen, within="3650 days")
-    incremental.run_available(stream, incremental.write_versions(table), f"{folder}/checkpoint")
-    return table.read().select("url")
+    incremental.run_available(stream, incremental.write_log(log), f"{folder}/checkpoint")
+    return log.read().select("url")
 
 
 @query
 def q_stream_status(t):
-    source, folder = _stream(t)
-    table = VersionedTable(t.spark, f"{folder}/status", preferences.STATUS_STATE, preferences.KEY)
-    handle = incremental.track_status(table)
-    incremental.run_available(s.status_events(source), handle, f"{folder}/checkpoint")
+    """Status events of all pairs, in two runs against the stored state."""
+    folder = _folder(t)
+    table = BucketTable(t.spark, f"{folder}/status", preferences.STATUS_STATE, preferences.KEY, _BUCKETS)
+    run = lambda stream: incremental.run_available(stream, incremental.track_status(table), f"{folder}/checkpoint")
+    _in_runs(t, s.status_events(t), _time("ts"), folder, run)
     return preferences.status_view(table.read())
 
 
 @query
 def q_stream_status_keyed(t):
-    source, folder = _stream(t)
-    table = VersionedTable(t.spark, f"{folder}/status", status.OUTPUT, preferences.KEY)
-    stream = status.status_stream(s.status_events(source))
-    incremental.run_available(stream, incremental.write_versions(table), f"{folder}/checkpoint", "update")
-    return table.read()
+    """The same as keyed state, events in no order."""
+    folder = _folder(t)
+    shown = preferences.status_view(preferences.merge_status(preferences.status_parts(s.status_events(t)))).schema
+    log = EpochLog(t.spark, f"{folder}/status", shown)
+
+    def run(stream: DataFrame) -> None:
+        incremental.run_available(keyed.status_stream(stream), incremental.write_log(log), f"{folder}/checkpoint", "update")
+
+    _in_runs(t, s.status_events(t), F.xxhash64("seq"), folder, run)
+    return incremental.newest(log, preferences.KEY)
 
 
 @query
 def q_stream_price_tracking(t):
-    source, folder = _stream(t)
-    state = VersionedTable(t.spark, f"{folder}/state", pricing.STATE_SCHEMA, ["property_id"])
-    changes = VersionedTable(
-        t.spark, f"{folder}/changes", pricing.CHANGES_SCHEMA, ["property_id", "change_no"]
-    )
-    handle = incremental.track_prices(state, changes, s.PRICE_TIES)
-    incremental.run_available(s.price_observations(source), handle, f"{folder}/checkpoint")
+    folder = _folder(t)
+    state = BucketTable(t.spark, f"{folder}/state", pricing.STATE_SCHEMA, ["property_id"], _BUCKETS)
+    changes = EpochLog(t.spark, f"{folder}/changes", pricing.CHANGES_SCHEMA)
+
+    def run(stream: DataFrame) -> None:
+        handle = incremental.track_prices(state, changes, s.PRICE_TIES)
+        incremental.run_available(stream, handle, f"{folder}/checkpoint")
+
+    _in_runs(t, s.price_observations(t), _time("ts"), folder, run)
     return pricing.tracked_state(changes.read())
 
 
+@query
+def q_stream_price_keyed(t):
+    """Price changes from keyed state, three runs."""
+    folder = _folder(t)
+    log = EpochLog(t.spark, f"{folder}/changes", pricing.CHANGES_SCHEMA)
+
+    def run(stream: DataFrame) -> None:
+        changes = keyed.price_changes_stream(stream, s.PRICE_TIES)
+        incremental.run_available(changes, incremental.write_log(log), f"{folder}/checkpoint")
+
+    _in_runs(t, s.price_observations(t), _time("ts"), folder, run, runs=3)
+    return pricing.tracked_state(log.read())
+
+
+@query
+def q_stream_expiry(t):
+    """History that has come and not expired, as event time passes."""
+    folder = _folder(t)
+    log = EpochLog(t.spark, f"{folder}/events", keyed.EXPIRY)
+    history = pricing.history_rows(_changes(t)).select("property_id", "change_no", "ts", "expires_at")
+    clock = [(None, None, s.AS_OF + dt.timedelta(days=1), None), (None, None, s.AS_OF + dt.timedelta(days=2), None)]
+    ticks = t.spark.createDataFrame(clock, struct("property_id string, change_no bigint, ts timestamp, expires_at timestamp"))
+
+    def run(stream: DataFrame) -> None:
+        events = keyed.expiring_history(stream)
+        incremental.run_available(events, incremental.write_log(log), f"{folder}/checkpoint")
+
+    _in_runs(t, history.unionByName(ticks), _time("ts"), folder, run, runs=3)
+    return keyed.unexpired_rows(log.read())
+
+
 @query
 def q_stream_pref_state(t):
-    source, folder = _stream(t)
-    table = VersionedTable(t.spark, f"{folder}/preferences", preferences.STATE_SCHEMA, preferences.KEY)
-    handle = incremental.track_preferences(table)
-    incremental.run_available(s.preference_events(source), handle, f"{folder}/checkpoint")
+    folder = _folder(t)
+    table = BucketTable(t.spark, f"{folder}/preferences", preferences.STATE_SCHEMA, preferences.KEY, _BUCKETS)
+    run = lambda stream: incremental.run_available(stream, incremental.track_preferences(table), f"{folder}/checkpoint")
+    _in_runs(t, s.preference_events(t), _time("ts"), folder, run)
     return table.read().drop("created_seq")
 
 
+@query
+def q_stream_pref_late(t):
+    """Preferences from keyed state, events in no order at all."""
+    folder = _folder(t)
+    log = EpochLog(t.spark, f"{folder}/preferences", keyed.PREFERENCE_EVENTS)
+
+    def run(stream: DataFrame) -> None:
+        found = keyed.preference_stream(stream, late="36500 days")
+        incremental.run_available(found, incremental.write_log(log), f"{folder}/checkpoint", "update")
+
+    _in_runs(t, s.preference_events(t), F.xxhash64("seq"), folder, run)
+    found = incremental.newest(log, preferences.KEY).where(F.col("preference_type").isNotNull())
+    return found.drop("created_seq")
+
+
+@query
+def q_stream_enrich(t):
+    """All listings analyzed in three runs; the first two bring some of them with other prices and cities."""
+    folder = _folder(t)
+    listed = stage(s.listings(t).drop("image_urls"), "listings")
+    odd = F.pmod(F.xxhash64("property_id"), F.lit(3))
+    other = listed.where(odd == 0).withColumn("price_per_sqft", F.col("price_per_sqft") * 2)
+    moved = listed.where(odd == 1).withColumn("city", F.lit("ELSEWHERE"))
+    arriving = [(other, 0), (moved, 1), (listed, 2)]
+    rows = reduce(DataFrame.unionByName, [r.withColumn("seq", F.lit(k)) for r, k in arriving])
+    tables_ = medians.CityTables(t.spark, f"{folder}/analysis", listed.schema, _BUCKETS)
+
+    def run(stream: DataFrame) -> None:
+        handle = medians.analyze_batches(tables_, ["seq"], s.AS_OF)
+        incremental.run_available(stream, handle, f"{folder}/checkpoint")
+
+    for k in range(3):
+        rows.where(F.col("seq") == k).write.mode("append").parquet(f"{folder}/source")
+        run(t.spark.readStream.schema(rows.schema).parquet(f"{folder}/source"))
+    columns = ["city_median_price_per_sqft", "city_discount_pct", "city_property_count", "price_per_acre"]
+    return tables_.read().select("property_id", "city", *columns)
+
+
 @query
 def q_stream_crawl(t):
     """Summary of collector runs over a stream of result-page observations."""
-    source, folder = _stream(t)
+    folder = _folder(t)
     known = s.known(t).select("property_id", "sort_key", "listing_url", "price", "analysis_date")
     for name, kind in zip(pricing.TRACKING_COLUMNS[1:], pricing.TRACKING_TYPES[1:]):
         known = known.withColumn(name, F.lit(None).cast(kind))
-    listings = VersionedTable(t.spark, f"{folder}/listings", known.schema, ["property_id"])
-    listings.write(known, 0)
-    tracked = VersionedTable(t.spark, f"{folder}/tracked", TRACKED_URLS, ["url"])
+    listings = BucketTable(t.spark, f"{folder}/listings", known.schema, ["property_id"], _BUCKETS)
+    listings.write(known)
+    tracked = BucketTable(t.spark, f"{folder}/tracked", TRACKED_URLS, ["url"], _BUCKETS)
     before = s.order_observations(t).where(F.col("ts") < F.lit(s.TRACKED_UNTIL))
-    tracked.write(collect.tracking_rows(before), 0)
+    tracked.write(collect.tracking_rows(before))
     runs = struct(
         "total_urls_found bigint, new_urls_tracked bigint, existing_listings bigint, "
-        "price_changed_listings bigint, run bigint"
+        "price_changed_listings bigint, run_at timestamp"
     )
-    summaries = VersionedTable(t.spark, f"{folder}/runs", runs, ["run"])
+    summaries = EpochLog(t.spark, f"{folder}/runs", runs)
     handle = incremental.crawl_runs(tracked, listings, summaries)
-    incremental.run_available(s.order_observations(source), handle, f"{folder}/checkpoint")
-    return summaries.read().drop("run")
+    source = s.order_observations(s.StreamTables(t.spark, t.dir))
+    incremental.run_available(source, handle, f"{folder}/checkpoint")
+    return summaries.read().drop("run_at")

@@ -1,8 +1,8 @@
-"""Incremental runs: micro-batches through the batch operators, state in versioned tables.
+"""Incremental runs: micro-batches through the batch operators, state in bucketed tables.
 
 The order-dependent replays run inside ``foreachBatch`` rather than as keyed state:
 a keyed operator would hand all of a busy listing's rows to one task, the batch
-operators split them.
+operators split them. A batch reads the buckets that its keys fall into, and writes those.
 """
 
 from __future__ import annotations
@@ -15,10 +15,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from homestrata.operators import collect, pricing
-from homestrata.operators.ordered import first_by
+from homestrata.operators.ordered import first_by, latest_by
 from homestrata.operators.preferences import KEY, merge_status, replay_preferences, status_parts
+from homestrata.sources.epochs import BucketTable, EpochLog
 from homestrata.sources.staging import stage, staged_scope
-from homestrata.sources.versioned import VersionedTable
 
 
 def run_available(
@@ -40,26 +40,32 @@ class Run:
     """Who writes: the stream's query, or this handler when it is called without one."""
 
     def __init__(self) -> None:
-        self._own = uuid.uuid4().hex
+        self._own, self._names = uuid.uuid4().hex, {}
 
-    def of(self, batch: DataFrame) -> str:
-        return batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or self._own
+    def of(self, batch: DataFrame, table: EpochLog) -> str:
+        query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or self._own
+        if query not in self._names:
+            self._names[query] = table.run_of(query)
+        return self._names[query]
 
 
-def write_versions(table: VersionedTable) -> Callable[[DataFrame, int], None]:
-    """Sink for streams of whole rows: each batch becomes a version."""
+def write_log(log: EpochLog) -> Callable[[DataFrame, int], None]:
+    """Sink for streams of whole rows: each batch becomes a partition."""
     runs = Run()
 
     def handle(batch: DataFrame, epoch: int) -> None:
-        run = runs.of(batch)
-        table.write(batch, table.claim(run, epoch), run=run, epoch=epoch)
-        table.compact()
+        log.write(batch, runs.of(batch, log), epoch)
 
     return handle
 
 
+def newest(log: EpochLog, keys: list[str]) -> DataFrame:
+    """The last row that an updating stream wrote for every key."""
+    return latest_by(log.stored(), keys, ["run", "epoch"]).select(*log.schema.fieldNames())
+
+
 def track_prices(
-    state: VersionedTable, changes: VersionedTable, ties: list[str], target_rows: int = 5_000_000
+    state: BucketTable, changes: EpochLog, ties: list[str], target_rows: int = 5_000_000
 ) -> Callable[[DataFrame, int], None]:
     """Fold price observations into the tracked state and append their changes.
 
@@ -69,18 +75,16 @@ def track_prices(
     runs = Run()
 
     def handle(batch: DataFrame, epoch: int) -> None:
-        run = runs.of(batch)
-        version = state.claim(run, epoch)
+        run = runs.of(batch, state)
         with staged_scope(batch.sparkSession):
-            found, rows = pricing.fold_observations(state.read(before=version), batch, ties, target_rows)
-            changes.write(found, changes.claim(run, epoch), run=run, epoch=epoch)
-            state.write(rows, version, run=run, epoch=epoch)
-        state.compact()
+            found, rows = pricing.fold_observations(state.of(batch, run, epoch), batch, ties, target_rows)
+            changes.write(found, run, epoch)
+            state.write(rows, run, epoch)
 
     return handle
 
 
-def track_preferences(preferences: VersionedTable) -> Callable[[DataFrame, int], None]:
+def track_preferences(preferences: BucketTable) -> Callable[[DataFrame, int], None]:
     """Fold preference events into the preference table.
 
     A stored preference takes part in the replay as an insert made before the batch.
@@ -88,50 +92,50 @@ def track_preferences(preferences: VersionedTable) -> Callable[[DataFrame, int],
     runs = Run()
 
     def handle(batch: DataFrame, epoch: int) -> None:
-        run = runs.of(batch)
-        version = preferences.claim(run, epoch)
-        events = batch.select(*KEY, "action", "ts", "seq")
-        touched = events.select(*KEY).distinct()
-        stored = preferences.read(before=version).join(touched, KEY, "left_semi")
-        as_events = stored.select(
-            *KEY,
-            F.col("preference_type").alias("action"),
-            F.lit("0001-01-01").cast("timestamp").alias("ts"),
-            F.lit(-1).cast("bigint").alias("seq"),
-        )
-        result = replay_preferences(events.unionByName(as_events))
-        kept = stored.select(*KEY, F.col("created_at").alias("_at"), F.col("created_seq").alias("_seq"))
-        from_store = F.col("created_seq") == -1
-        rows = result.join(kept, KEY, "left").select(
-            *KEY,
-            "preference_type",
-            F.when(from_store, F.col("_at")).otherwise(F.col("created_at")).alias("created_at"),
-            F.when(from_store, F.col("_seq")).otherwise(F.col("created_seq")).alias("created_seq"),
-        )
-        gone = stored.select(*KEY).join(result.select(*KEY), KEY, "left_anti")
-        preferences.write(rows, version, deleted=gone, run=run, epoch=epoch)
-        preferences.compact()
+        run = runs.of(batch, preferences)
+        with staged_scope(batch.sparkSession):
+            events = batch.select(*KEY, "action", "ts", "seq")
+            touched = events.select(*KEY).distinct()
+            stored = preferences.of(touched, run, epoch).join(touched, KEY, "left_semi")
+            as_events = stored.select(
+                *KEY,
+                F.col("preference_type").alias("action"),
+                F.lit("0001-01-01").cast("timestamp").alias("ts"),
+                F.lit(-1).cast("bigint").alias("seq"),
+            )
+            result = replay_preferences(events.unionByName(as_events))
+            kept = stored.select(*KEY, F.col("created_at").alias("_at"), F.col("created_seq").alias("_seq"))
+            from_store = F.col("created_seq") == -1
+            rows = result.join(kept, KEY, "left").select(
+                *KEY,
+                "preference_type",
+                F.when(from_store, F.col("_at")).otherwise(F.col("created_at")).alias("created_at"),
+                F.when(from_store, F.col("_seq")).otherwise(F.col("created_seq")).alias("created_seq"),
+            )
+            rows = stage(rows, "preferences")
+            gone = stored.select(*KEY).join(rows.select(*KEY), KEY, "left_anti")
+            preferences.write(rows, run, epoch, deleted=gone)
 
     return handle
 
 
-def track_status(state: VersionedTable) -> Callable[[DataFrame, int], None]:
+def track_status(state: BucketTable) -> Callable[[DataFrame, int], None]:
     """Fold status events into the stored state; all of it combines on the map side."""
     runs = Run()
 
     def handle(batch: DataFrame, epoch: int) -> None:
-        run = runs.of(batch)
-        version = state.claim(run, epoch)
-        parts = status_parts(batch)
-        stored = state.read(before=version).join(parts.select(*KEY).distinct(), KEY, "left_semi")
-        state.write(merge_status(parts.unionByName(stored)), version, run=run, epoch=epoch)
-        state.compact()
+        run = runs.of(batch, state)
+        with staged_scope(batch.sparkSession):
+            parts = status_parts(batch)
+            touched = parts.select(*KEY).distinct()
+            stored = state.of(touched, run, epoch).join(touched, KEY, "left_semi")
+            state.write(merge_status(parts.unionByName(stored)), run, epoch)
 
     return handle
 
 
 def crawl_runs(
-    tracked: VersionedTable, listings: VersionedTable, summaries: VersionedTable
+    tracked: BucketTable, listings: BucketTable, summaries: EpochLog
 ) -> Callable[[DataFrame, int], None]:
     """One collector run per batch of observations (crawl_id, page_no, pos, url, price, city, ts).
 
@@ -142,24 +146,20 @@ def crawl_runs(
     runs = Run()
 
     def handle(batch: DataFrame, epoch: int) -> None:
-        run = runs.of(batch)
-        at = {table: table.claim(run, epoch) for table in (tracked, listings, summaries)}
+        run = runs.of(batch, summaries)
         with staged_scope(batch.sparkSession):
-            seen = first_by(batch, ["url"], ["page_no", "pos"])
-            stored = listings.read(before=at[listings])
-            known = tracked.read(before=at[tracked])
+            seen = stage(first_by(batch, ["url"], ["page_no", "pos"]), f"seen-{epoch}")
+            stored = listings.current((run, epoch))
+            known = tracked.of(seen, run, epoch)
             classified = stage(collect.classify(seen, known, stored), f"classified-{epoch}")
             fresh = classified.where(F.col("status") == "new").select("url", "price", "city")
-            tracked.write(collect.tracking_rows(fresh), at[tracked], run=run, epoch=epoch)
+            tracked.write(collect.tracking_rows(fresh), run, epoch)
             changes = collect.price_changes(classified)
             changed = stored.join(changes.select("property_id"), "property_id", "left_semi")
             run_at = batch.agg(F.max(F.col("ts").cast("timestamp"))).first()[0]
             updated = pricing.apply_changes(changed, changes, F.lit(run_at).cast("timestamp"))
-            listings.write(updated, at[listings], run=run, epoch=epoch)
-            number = F.lit(at[summaries] // 2).cast("bigint")
-            summary = collect.collection_summary(classified).withColumn("run", number)
-            summaries.write(summary, at[summaries], run=run, epoch=epoch)
-        tracked.compact()
-        listings.compact()
+            listings.write(updated, run, epoch)
+            summary = collect.collection_summary(classified).withColumn("run_at", F.lit(run_at).cast("timestamp"))
+            summaries.write(summary, run, epoch)
 
     return handle
