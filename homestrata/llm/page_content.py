@@ -161,7 +161,9 @@ class _Reader(HTMLParser):
             self.tags.append(tag)
             self.names.append(f"{given.get('class') or ''} {given.get('id') or ''} {given.get('role') or ''}".lower())
             self.depths.append(self.depths[node] + 1)
-            self.labels.append(given.get("data-label", self.labels[node]))
+            # given pages have the attribute for their own ends, with other values
+            own = given.get("data-label")
+            self.labels.append(own if own in ("0", "1") else self.labels[node])
             node = len(self.parents) - 1
         self._links += tag == "a"
         self._hidden += hidden
@@ -227,7 +229,8 @@ class Forest:
     texts: list[list[tuple[int, str]]]  # per page: node, text of a block
 
 
-def read_pages(pages: list[str | None]) -> Forest:
+def read_pages(pages: list[str | None], labelled: bool = False) -> Forest:
+    """Nodes and texts of pages; what labels say is read only where they are ``labelled``."""
     parent, depth, edge, label, texts = [], [], [], [], []
     stems: list[tuple[int, int]] = []
     chars, linked, runs = [], [], []
@@ -240,7 +243,7 @@ def read_pages(pages: list[str | None]) -> Forest:
         parent += [p + base if p >= 0 else -1 for p in reader.parents]
         depth += reader.depths
         edge += [_TAG_AT.get(t, len(_TAGS)) for t in reader.tags]
-        label += [-1 if x is None else int(x) for x in reader.labels]
+        label += [int(x) if labelled and x else -1 for x in reader.labels]
         for i, name in enumerate(reader.names):
             if name and not name.isspace():
                 stems += [(base + i, at) for at in map(_stem, _NAME.findall(name)) if at is not None]
@@ -326,7 +329,7 @@ def train(pages: list[str]) -> Potentials:
     The gradient is what the labels show less what the model expects, and the messages give
     the model's expectations exactly: of a node's label, and of a parent and child agreeing.
     """
-    forest = read_pages(pages)
+    forest = read_pages(pages, labelled=True)
     label = np.where(forest.label >= 0, forest.label, 1)  # what holds the page is content
     child = np.flatnonzero(forest.parent >= 0)
     agree = np.where(label[child] == label[forest.parent[child]], 1.0, -1.0)

@@ -7,6 +7,8 @@ force, by dynamic programming over positions, gives the bits a guesser needs. Va
 at least ``LEAST_BITS`` are spans of kind ``guess``: real-looking secrets, while
 ``changeme2024`` or ``aaaaaaaaaaaa`` are not.
 
+Values that only name a variable or a place of settings are no secrets and are not priced.
+
 One narrow stage; the programme runs for values in credential context only, in time
 linear in the value's length (words, dates and walks are of bounded length). Places are
 code points, ends exclusive.
@@ -17,9 +19,11 @@ same text gives the same spans, whatever its row; other columns are not read.
 
 from __future__ import annotations
 
+import json
 import math
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -36,8 +40,16 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{16,}")
 ASSIGN_LEAST, ACCESS_LEAST = 12, 18
 
-# an identifier and the value given to it, which is only looked at, as it may hold identifiers again
-GIVEN = re.compile(r"""(?<![A-Za-z0-9_.-])([A-Za-z0-9_.-]++)["']?[\x20\t]*[:=][\x20\t]*["']?(?=([^\s"',;<>]+))""", re.A)
+# an identifier that is given a value; the value is read only behind a credential's identifier,
+# as it may hold identifiers again
+GIVEN = re.compile(r"""(?<![A-Za-z0-9_.-])([A-Za-z0-9_.-]++)["']?[\x20\t]*+[:=][\x20\t]*+["']?""", re.A)
+VALUE = re.compile(r"""[^\s"',;<>]+""", re.A)
+# a value that only says where the secret is kept
+REFERENCE = re.compile(
+    r"\$\{?[A-Za-z_][\w.]*\}?|\$\(.*|\{\{.*|%[A-Za-z_]\w*%"
+    r"|(?:process\.env|os\.environ|os\.getenv|getenv|System\.getenv|ENV|env|config|settings|vault)(?:[.(\[].*)?",
+    re.A,
+)
 # words in an identifier that make its value a credential: none that goes on, such as author
 CONTEXT = re.compile(
     r"(?:password|passwd|pwd|passphrase|secret|token|credential|auth"
@@ -47,7 +59,8 @@ CONTEXT = re.compile(
 )
 _HINTS = ("passw", "pwd", "passphrase", "secret", "token", "credential", "key", "auth")
 
-# common words in passwords, most common first; a word's place is its price
+# common words in passwords, most common first; a word's place is its price. The words of a
+# vocabulary come behind them.
 WORDS = (
     "password admin welcome letmein login master secret changeme default user test guest root dragon monkey "
     "sunshine princess football baseball shadow superman batman hello love charlie michael jordan ashley "
@@ -60,8 +73,33 @@ WORDS = (
     "hannah amanda jennifer michelle house money dollar happy lucky crystal diamond google github amazon "
     "client api data null none empty placeholder redacted insert here value string text"
 ).split()
-_RANK = {w: i + 1 for i, w in reversed(list(enumerate(WORDS)))}
-_LONGEST = max(map(len, WORDS))
+LEAST_LETTERS, MOST_LETTERS = 4, 16
+_WORD_END = "</w>"
+
+
+def default_vocabulary() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+@lru_cache(maxsize=2)
+def word_ranks(path: str) -> dict[str, int]:
+    """Places of words: those above, then the whole words of a vocabulary in its order.
+
+    Its entries that end a word and are all letters are words; of ``LEAST_LETTERS`` to
+    ``MOST_LETTERS`` letters, as shorter ones are in any random text.
+    """
+    ranks = {w: i + 1 for i, w in reversed(list(enumerate(WORDS)))}
+    with open(path, encoding="utf-8") as held:
+        entries = json.load(held)["model"]["vocab"]
+    for entry in sorted(entries, key=entries.__getitem__):
+        word = entry.removesuffix(_WORD_END)
+        if word != entry and LEAST_LETTERS <= len(word) <= MOST_LETTERS and word.isascii() and word.isalpha():
+            ranks.setdefault(word, len(ranks) + 1)
+    return ranks
+
+
 _LEET = str.maketrans("@4831!0$57", "aaebiiosst")
 
 # rows of keys; a walk goes along a row, either way
@@ -90,8 +128,9 @@ def _alphabet(value: str) -> float:
     return math.log2(max(size, 2))
 
 
-def guess_bits(value: str) -> tuple[float, list[tuple[str, int, int]]]:
+def guess_bits(value: str, ranks: dict[str, int] | None = None) -> tuple[float, list[tuple[str, int, int]]]:
     """Bits of the cheapest segmentation, and its pieces (kind, start, end)."""
+    ranks = ranks or word_ranks(default_vocabulary())
     n = len(value)
     low = value.lower()
     low = low if len(low) == n else value
@@ -118,9 +157,9 @@ def guess_bits(value: str) -> tuple[float, list[tuple[str, int, int]]]:
         brute += per_char
         if brute < best[i + 1] - 1e-9:
             best[i + 1], back[i + 1] = brute, ("brute", brute_from)
-        for length in range(3, min(_LONGEST, n - i) + 1):
+        for length in range(3, min(MOST_LETTERS, n - i) + 1):
             for text, leet in ((low, 0.0), (plain, 1.0)):
-                rank = _RANK.get(text[i : i + length])
+                rank = ranks.get(text[i : i + length])
                 if rank:
                     cased = 0.0 if value[i : i + length].islower() else 1.0
                     offer("word", i, i + length, math.log2(rank) + cased + leet + _PIECE_BITS)
@@ -146,8 +185,11 @@ def guess_bits(value: str) -> tuple[float, list[tuple[str, int, int]]]:
     return best[n], pieces[::-1]
 
 
-def find(text: str, least_bits: float = LEAST_BITS) -> list[tuple[str, int, int, float]]:
+def find(
+    text: str, least_bits: float = LEAST_BITS, ranks: dict[str, int] | None = None
+) -> list[tuple[str, int, int, float]]:
     """(kind, start, end, bits) in order of start, then kind; bits 0 for the shapes."""
+    ranks = ranks or word_ranks(default_vocabulary())
     out = []
     low = text.lower()
     if any(hint in low for hint in _HINTS):
@@ -158,24 +200,37 @@ def find(text: str, least_bits: float = LEAST_BITS) -> list[tuple[str, int, int,
         for m in GIVEN.finditer(text):
             if m.start() < done or not CONTEXT.search(m[1]):
                 continue
-            done = m.end(2)
-            bits, _ = guess_bits(m[2])
+            value = VALUE.match(text, m.end())
+            if not value:
+                continue
+            done = value.end()
+            if REFERENCE.fullmatch(value[0]):
+                continue
+            bits, _ = guess_bits(value[0], ranks)
             if bits >= least_bits:
-                out.append(("guess", *m.span(2), bits))
+                out.append(("guess", *value.span(), bits))
     out += [("access", *m.span(), 0.0) for m in ACCESS.finditer(text) if m.end() - m.start() >= ACCESS_LEAST]
     out += [("hex", *m.span(), 0.0) for m in HEX.finditer(text)]
     out.sort(key=lambda s: (s[1], KINDS.index(s[0])))
     return out
 
 
-def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_bits: float = LEAST_BITS) -> DataFrame:
-    """(id, spans): array of struct(kind, start, end, bits) per row."""
+def scan(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    least_bits: float = LEAST_BITS,
+    vocabulary: str | None = None,
+) -> DataFrame:
+    """(id, spans): array of struct(kind, start, end, bits) per row; ``vocabulary`` is a tokenizer's file with word ends."""
+    vocabulary = vocabulary or default_vocabulary()
     span = pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("bits", pa.float64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ranks = word_ranks(vocabulary)
         for batch in batches:
             found = [
-                [dict(zip(("kind", "start", "end", "bits"), s)) for s in find(t or "", least_bits)]
+                [dict(zip(("kind", "start", "end", "bits"), s)) for s in find(t or "", least_bits, ranks)]
                 for t in batch.column(1).to_pylist()
             ]
             yield pa.record_batch([batch.column(0), pa.array(found, pa.list_(span))], names=[id_col, "spans"])

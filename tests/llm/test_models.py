@@ -6,6 +6,7 @@ import base64
 import itertools
 import math
 import random
+import time
 
 import numpy as np
 import pytest
@@ -223,12 +224,21 @@ def test_leaks_of_odd_and_empty_tables(odd, docs, spark):
 def test_held_out_pages():
     learned = page_content.default_potentials()
     pages = labelled_pages(150, seed=4242)
-    forest = page_content.read_pages(pages)
+    forest = page_content.read_pages(pages, labelled=True)
     content = page_content.marginals(forest, learned) >= 0.5
     right = [content[node] == (forest.label[node] == 1) for blocks in forest.texts for node, _ in blocks]
     assert np.mean(right) >= 0.98
 
 
+def test_given_pages_may_have_labels_of_their_own(spark):
+    page = "<html><body><nav><a href=x>Home</a></nav><table><tr><td data-label='Price'>1 2 3</td></tr></table></body></html>"
+    plain = page.replace(" data-label='Price'", "")
+    rows = spark.createDataFrame([(1, page), (2, plain), (3, page.replace("Price", "1"))], "page_id bigint, html string")
+    got = {r.page_id: r.text for r in page_content.extract(rows, ["page_id"]).collect()}
+    assert got[1] == got[2] == got[3]
+    assert set(page_content.read_pages([page, page.replace("Price", "1")]).label) == {-1}
+
+
 def test_marginals_brute_force():
     page = "<body><nav><a>x</a></nav><div><p>one two</p><p>three</p></div><footer>f</footer></body>"
     forest = page_content.read_pages([page])
@@ -317,7 +327,7 @@ def brute_bits(value):
 def _piece_bits(value, a, b):
     piece, per = value[a:b], secrets_scan._alphabet(value)
     out = len(piece) * per + secrets_scan._PIECE_BITS
-    rank = secrets_scan._RANK.get(piece.lower())
+    rank = secrets_scan.word_ranks(secrets_scan.default_vocabulary()).get(piece.lower())
     if rank and len(piece) >= 3:
         out = min(out, math.log2(rank) + (0 if piece.islower() else 1) + secrets_scan._PIECE_BITS)
     return out
@@ -378,6 +388,24 @@ def test_values_of_identifiers_with_a_credential_word(before):
     assert guessed(f"some {before}changeme2024 end") == guessed(f"author: {value} AUTHORS={value} secretary={value}") == []
 
 
+@pytest.mark.parametrize(
+    "text",
+    [
+        "token: international", "password=Elephantgiraffe", "x_token = process.env.GITHUB_TOKEN_VALUE",
+        "api_key: ${API_KEY_FROM_ENV}", 'secret = os.environ["ABCDEFGHQWZX"]', "pwd: {{ vault_password }}", "auth_token=$TOKEN_OF_CI",
+    ],
+)
+def test_words_and_references_are_no_secrets(text):
+    assert not [s for s in secrets_scan.find(text) if s[0] == "guess"]
+
+
+def test_long_unbroken_texts_take_linear_time():
+    for text in ("secret " + "a=b&" * 250_000, "password" + " " * 1_000_000, "x" * 1_000_000 + " token"):
+        began = time.process_time()
+        assert secrets_scan.find(text) == []
+        assert time.process_time() - began < 2
+
+
 def test_scan_odd_rows(odd, docs):
     assert {len(r.spans) for r in secrets_scan.scan(odd).collect()} == {0}
     assert secrets_scan.scan(odd).count() == odd.count()
