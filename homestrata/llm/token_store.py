@@ -3,9 +3,10 @@
 A store is a folder of three Parquet tables, so any store Spark can write will do and the
 committer deals with lost executors:
 
-``dictionary``  one row: the zstandard dictionary and its SHA-256. It is trained on the
-                serialized id arrays of at most ``DICTIONARY_DOCS`` documents, each at most
-                ``DICTIONARY_BYTES`` long, those with the smallest hashes of their ids.
+``dictionary``  one row: the zstandard dictionary, its SHA-256 and its origin. It is trained
+                on the serialized id arrays of pieces of ``DICTIONARY_CHARS`` characters at
+                most, of the ``DICTIONARY_DOCS`` documents with the smallest hashes of their
+                ids; ``origin`` says on how many, or why there is none.
 ``chunks``      ``payload`` holds the frames of consecutive documents one after the other,
                 ``index`` one fixed-size record per document (id, offset, size, tokens), so
                 a short document is read by seeking in one chunk. ``dict_hash`` names the
@@ -25,6 +26,7 @@ an empty store that reads back as an empty table; other columns are not read.
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 import struct
 import uuid
@@ -42,7 +44,7 @@ from homestrata.sources.staging import stage, staging_root
 
 END_ID = 1
 DICTIONARY_DOCS = 512
-DICTIONARY_BYTES = 8192
+DICTIONARY_CHARS = 8192
 DICTIONARY_SIZE = 65536
 CHUNK_BYTES = 4 << 20
 CACHE_WORDS = 300_000
@@ -142,26 +144,32 @@ def _arrays(texts: list[str | None], path: str, block: int = 1 << 18) -> Iterato
         yield [a + end for a in _encoder(path).encode(held)]
 
 
-def train_dictionary(docs: DataFrame, id_col: str, text_col: str, path: str) -> bytes:
-    """A dictionary from a bounded sample; empty if there is too little to learn from."""
-    few = (
-        docs.where(F.octet_length(F.coalesce(text_col, F.lit(""))) <= DICTIONARY_BYTES)
-        .select(F.col(text_col).cast("string").alias("text"), F.xxhash64(id_col).alias("h"))
-        .orderBy("h", "text")
-        .limit(DICTIONARY_DOCS)
-        .select("text")
-    )
+def train_dictionary(docs: DataFrame, id_col: str, text_col: str, path: str) -> tuple[bytes, str]:
+    """A dictionary from a bounded sample, and how it came about; empty if nothing can be learned.
+
+    The sample is one piece of each of ``DICTIONARY_DOCS`` documents, at a place that the
+    id's hash gives; where there are fewer documents, more pieces of each.
+    """
+    few = docs.select(F.col(text_col).cast("string").alias("text"), F.xxhash64(id_col).alias("h"))
+    few = few.where(F.length("text") > 0).orderBy("h", "text").limit(DICTIONARY_DOCS)
+    few = stage(few, "dictionary-sample")
+    each = math.ceil(DICTIONARY_DOCS / max(1, few.count()))
+    room = F.greatest(F.length("text") - DICTIONARY_CHARS, F.lit(0)) + 1
+    at = F.pmod(F.xxhash64("h", "k"), room.cast("bigint")).cast("int") + 1
+    pieces = few.select("text", "h", F.explode(F.sequence(F.lit(1), F.lit(each))).alias("k"))
+    pieces = pieces.select(F.substring("text", at, F.lit(DICTIONARY_CHARS)).alias("text")).distinct()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for arrays in _arrays(batch.column(0).to_pylist(), path):
                 yield pa.record_batch([pa.array(arrays, pa.binary())], names=["ids"])
 
-    samples = [r.ids for r in few.mapInArrow(run, "ids binary").collect()]
+    samples = sorted(bytes(r.ids) for r in pieces.mapInArrow(run, "ids binary").collect())
     try:
-        return zstandard.train_dictionary(DICTIONARY_SIZE, [bytes(s) for s in samples]).as_bytes()
-    except (zstandard.ZstdError, ValueError):  # too few or too short samples
-        return b""
+        raw = zstandard.train_dictionary(DICTIONARY_SIZE, samples).as_bytes()
+        return raw, f"trained on {len(samples)} pieces"
+    except (zstandard.ZstdError, ValueError) as why:  # the library refuses too small samples
+        return b"", f"none: {len(samples)} pieces of {sum(map(len, samples))} bytes are too little ({why})"
 
 
 def _dict(raw: bytes) -> zstandard.ZstdCompressionDict | None:
@@ -175,11 +183,11 @@ def write_store(
     spark = docs.sparkSession
     path = path or default_path()
     folder = folder or f"{staging_root(spark)}/tokens-{uuid.uuid4().hex}"
-    raw = train_dictionary(docs, id_col, text_col, path)
+    raw, origin = train_dictionary(docs, id_col, text_col, path)
     dict_hash = hashlib.sha256(raw).hexdigest()
-    spark.createDataFrame([(dict_hash, bytearray(raw))], "dict_hash string, dictionary binary").coalesce(
-        1
-    ).write.mode("errorifexists").parquet(f"{folder}/dictionary")
+    row = (dict_hash, bytearray(raw), origin)
+    held = spark.createDataFrame([row], "dict_hash string, dictionary binary, origin string").coalesce(1)
+    held.write.mode("errorifexists").parquet(f"{folder}/dictionary")
 
     def frames(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         compress = zstandard.ZstdCompressor(level=LEVEL, dict_data=_dict(raw)).compress

@@ -113,3 +113,18 @@ def test_round_trip_in_one_pass(odd):
     apart = bpe.decode(bpe.encode(odd)).collect()
     key = lambda r: (r.doc_id or -1, bytes(r.ids), bytes(r.decoded))
     assert sorted(map(key, rows)) == sorted(map(key, apart))
+
+
+def test_dictionary_of_documents_that_are_all_long(docs, spark, tmp_path):
+    rnd = random.Random(4)
+    words = [f"{a}{b}" for a in ("house", "tree", "river", "mill", "stone") for b in ("s", "ing", "ed", "", "er")]
+    rows = [(k, " ".join(rnd.choice(words) for _ in range(2000))) for k in range(20)]
+    folder = token_store.write_store(docs(rows), folder=str(tmp_path / "long"))
+    row = spark.read.parquet(f"{folder}/dictionary").first()
+    assert len(row.dictionary) > 1000 and row.origin.startswith("trained on")
+    assert {r.id: ids(r.ids)[:-1] for r in token_store.read_store(spark, folder).collect()} == {
+        k: e.ids for (k, _), e in zip(rows, TOKENIZER.encode_batch([t for _, t in rows], add_special_tokens=False))
+    }
+    few = token_store.write_store(docs([(1, "a")]), folder=str(tmp_path / "few"))
+    row = spark.read.parquet(f"{few}/dictionary").first()
+    assert len(row.dictionary) == 0 and row.origin.startswith("none: ")
