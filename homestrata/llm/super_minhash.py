@@ -137,6 +137,27 @@ def signed(docs: DataFrame, words: int) -> DataFrame:
     return docs.mapInArrow(run, schema)
 
 
+class UnionFind:
+    """Disjoint sets of numbers; the least number of a set is its root."""
+
+    def __init__(self) -> None:
+        self.parent: dict[int, int] = {}
+
+    def root(self, x: int) -> int:
+        up = self.parent
+        top = x
+        while (above := up.setdefault(top, top)) != top:
+            top = above
+        while up[x] != top:
+            up[x], x = top, up[x]
+        return top
+
+    def join(self, x: int, y: int) -> None:
+        x, y = self.root(x), self.root(y)
+        if x != y:
+            self.parent[max(x, y)] = min(x, y)
+
+
 class _Texts:
     """Sets of packed texts, made when first asked for."""
 
@@ -157,18 +178,19 @@ def linked(a: np.ndarray, b: np.ndarray, share: tuple[int, int]) -> bool:
 def verified(rows: DataFrame, words: int, share: tuple[int, int], parts: int) -> DataFrame:
     """(a, b) links from rows (piece, asks, node, group, look, packed).
 
-    A piece's members come before those that ask. Members of the asking row's own group are
-    passed over, and of every other group the first that is linked is enough.
+    A piece's members come before those that ask. What the piece has connected so far is kept
+    by union-find, so members of a group that the asking row is connected with are passed
+    over, the likeliest are looked at first, and a piece gives fewer links than it has rows.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         texts = _Texts(words)
-        now, members, looks, sets = None, [], None, {}
+        now, members, looks, sets, joined = None, [], None, {}, UnionFind()
         for batch in batches:
             a, b = [], []
             for piece, asks, node, group, look, packed in zip(*(batch.column(k).to_pylist() for k in range(6))):
                 if piece != now:
-                    now, members, looks, sets = piece, [], None, {}
+                    now, members, looks, sets, joined = piece, [], None, {}, UnionFind()
                 if not asks:
                     members.append((node, group, look, packed))
                     continue
@@ -177,17 +199,17 @@ def verified(rows: DataFrame, words: int, share: tuple[int, int], parts: int) ->
                 if looks is None:
                     looks = np.frombuffer(b"".join(m[2] for m in members), np.uint8).reshape(len(members), REGISTERS)
                 alike = (looks == np.frombuffer(look, np.uint8)).sum(axis=1)
-                own, done = None, {group}
-                for k in np.flatnonzero(alike >= SCREEN * REGISTERS).tolist():
+                own, near = None, np.flatnonzero(alike >= SCREEN * REGISTERS)
+                for k in near[np.argsort(-alike[near], kind="stable")].tolist():
                     other, of, _, kept = members[k]
-                    if of in done or other == node:
+                    if joined.root(of) == joined.root(group):
                         continue
                     if own is None:
                         own = texts.set_of(packed)
                     if k not in sets:
                         sets[k] = texts.set_of(kept)
                     if linked(own, sets[k], share):
-                        done.add(of)
+                        joined.join(of, group)
                         a.append(node)
                         b.append(other)
             yield pa.record_batch([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
@@ -196,27 +218,6 @@ def verified(rows: DataFrame, words: int, share: tuple[int, int], parts: int) ->
     return dealt.sortWithinPartitions("piece", "asks", "node").mapInArrow(run, "a bigint, b bigint")
 
 
-class UnionFind:
-    """Disjoint sets of numbers; the least number of a set is its root."""
-
-    def __init__(self) -> None:
-        self.parent: dict[int, int] = {}
-
-    def root(self, x: int) -> int:
-        up = self.parent
-        top = x
-        while (above := up.setdefault(top, top)) != top:
-            top = above
-        while up[x] != top:
-            up[x], x = top, up[x]
-        return top
-
-    def join(self, x: int, y: int) -> None:
-        x, y = self.root(x), self.root(y)
-        if x != y:
-            self.parent[max(x, y)] = min(x, y)
-
-
 def forest(links: DataFrame) -> DataFrame:
     """(a, b): as few links per task as keep what the task's links connect.
 
