@@ -150,8 +150,11 @@ def train_dictionary(docs: DataFrame, id_col: str, text_col: str, path: str) ->
     The sample is one piece of each of ``DICTIONARY_DOCS`` documents, at a place that the
     id's hash gives; where there are fewer documents, more pieces of each.
     """
-    few = docs.select(F.col(text_col).cast("string").alias("text"), F.xxhash64(id_col).alias("h"))
-    few = few.where(F.length("text") > 0).orderBy("h", "text").limit(DICTIONARY_DOCS)
+    known = docs.select(F.col(text_col).cast("string").alias("text"), F.xxhash64(id_col).alias("h"))
+    known = known.where(F.length("text") > 0)
+    # the hashes alone say where the sample ends, so that only its own texts are moved
+    last = known.select("h").orderBy("h").limit(DICTIONARY_DOCS).agg(F.max("h")).first()[0]
+    few = known.where(F.col("h") <= F.lit(last)).orderBy("h", "text").limit(DICTIONARY_DOCS)
     few = stage(few, "dictionary-sample")
     each = math.ceil(DICTIONARY_DOCS / max(1, few.count()))
     room = F.greatest(F.length("text") - DICTIONARY_CHARS, F.lit(0)) + 1
