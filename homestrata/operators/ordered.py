@@ -7,7 +7,7 @@ large key into runs of time first.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from homestrata.sources.staging import stage
@@ -76,3 +76,62 @@ def with_segments(rows: DataFrame, segments: DataFrame, key: str, ts: str, grain
     unit = F.date_trunc(grain, ts)
     joined = rows.join(cut, (F.col(key) == F.col("_cut_key")) & unit.eqNullSafe(F.col("_cut_unit")), "left")
     return joined.drop("_cut_key", "_cut_unit")
+
+
+def placed(rows: DataFrame, order: list[Column | str], name: str = "rank") -> DataFrame:
+    """``rows`` with their place from 1 on in ``order``, which is to be total.
+
+    Spark deals the rows into ranges; a row's place in its range comes with the write, and
+    one count per range says where the range begins, so no task orders all rows.
+    """
+    lying = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+    held = stage(lying.withColumn("_at", F.monotonically_increasing_id()), "ranges")
+    part, inside = F.shiftright("_at", 33), F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
+    sizes = held.groupBy(part.alias("_part")).agg(F.count("*").alias("_size"))
+    # as many rows as there are ranges
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select("_part", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start"))
+    joined = held.withColumn("_part", part).join(starts, "_part")
+    return joined.select(*rows.columns, (F.col("_start") + inside + 1).alias(name))
+
+
+# Rows that one task merges from all tasks' first ones; more are found by their last key.
+HEAP_ROWS = 10_000
+
+Keys = list[tuple[Column, bool]]  # expression, descending; NULL is before all values
+
+
+def _up_to(keys: Keys, last: Row, inclusive: bool) -> Column:
+    """Rows whose keys are at most, or before, those of ``last``."""
+    within, same = F.lit(False), F.lit(True)
+    for (key, descending), value in zip(keys, last):
+        if value is None:
+            before = key.isNotNull() if descending else F.lit(False)
+        elif descending:
+            before = key > F.lit(value)
+        else:
+            before = key.isNull() | (key < F.lit(value))
+        within = within | (same & before)
+        same = same & key.eqNullSafe(F.lit(value))
+    return within | same if inclusive else within
+
+
+def first_rows(rows: DataFrame, keys: Keys, n: int) -> DataFrame:
+    """The first ``n`` rows in the order of ``keys``, which tell rows apart; in no order.
+
+    For few rows every task sends its first ones. For more only the keys are dealt into
+    ranges, which finds the ``n``-th key, and a filter keeps the rows up to it.
+    """
+    order = [k.desc_nulls_last() if descending else k.asc_nulls_first() for k, descending in keys]
+    if n <= HEAP_ROWS:
+        return rows.orderBy(*order).limit(n)
+    names = [f"_k{i}" for i in range(len(keys))]
+    bare = rows.select(*[k.alias(c) for (k, _), c in zip(keys, names)])
+    in_order = [F.col(c).desc_nulls_last() if d else F.col(c).asc_nulls_first() for c, (_, d) in zip(names, keys)]
+    last = placed(bare, in_order, "_rank").where(F.col("_rank") == n).select(*names).first()
+    if last is None:
+        return rows
+    # of rows that repeat the last key as many as are wanted
+    before = rows.where(_up_to(keys, last, False))
+    more = rows.where(_up_to(keys, last, True) & ~_up_to(keys, last, False)).limit(n - before.count())
+    return before.unionByName(more)

@@ -50,7 +50,3 @@ def zero_price_profile(rows: DataFrame, low: int = 40, high: int = 120) -> DataF
         F.when(total > 0, round_exact(zero / total * 100, 1)).alias("zero_price_pct"),
         total.between(low, high).alias("count_in_range"),
     )
-
-
-def page_summary(page: DataFrame) -> DataFrame:
-    return page.agg(F.count("*").alias("total_in_page"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from homestrata.functions.common import non_blank
@@ -74,16 +74,18 @@ def save_listings(listings: DataFrame, records: DataFrame, replace: bool = False
     """Listing table with ``records`` put in.
 
     By default a listing keeps the date it was first seen and its price tracking;
-    ``replace`` stores the new record as it is, forgetting both.
+    ``replace`` stores the new record as it is, forgetting both. Records are put by
+    property_id and sort_key, so history rows in the same table stay as they are.
     """
-    records = latest_by(records, ["property_id"], ["extraction_timestamp", "listing_url"])
-    row = F.struct(*[c for c in records.columns if c != "property_id"]).alias("_new")
-    joined = listings.join(records.select("property_id", row), "property_id", "full_outer")
+    keys = [k for k in ("property_id", "sort_key") if k in listings.columns and k in records.columns]
+    records = latest_by(records, keys, ["extraction_timestamp", "listing_url"])
+    row = F.struct(*[c for c in records.columns if c not in keys]).alias("_new")
+    joined = listings.join(records.select(*keys, row), keys, "full_outer")
     saved = F.col("_new").isNotNull()
     out = listings.columns + [c for c in records.columns if c not in listings.columns]
     columns = []
     for name in out:
-        if name == "property_id":
+        if name in keys:
             columns.append(F.col(name))
             continue
         old = F.col(name) if name in listings.columns else F.lit(None)
@@ -96,15 +98,19 @@ def save_listings(listings: DataFrame, records: DataFrame, replace: bool = False
     return joined.select(*columns)
 
 
-def processing_summary(results: DataFrame) -> DataFrame:
-    """One row of counts over processed URLs (url, error); 403 is a kind of its own."""
-    error = F.col("error")
-    return results.agg(
-        F.count("*").alias("processed"),
+def processing_metrics(error: Column) -> list[Column]:
+    """Counts over processed URLs by their error; 403 is a kind of its own."""
+    return [
+        F.count(F.lit(1)).alias("processed"),
         F.count_if(error.isNull()).alias("success"),
         F.count_if(error.isNotNull()).alias("failed"),
         F.count_if(F.coalesce(error.contains("403"), F.lit(False))).alias("blocked"),
-    )
+    ]
+
+
+def processing_summary(results: DataFrame) -> DataFrame:
+    """One row of counts over processed URLs (url, error)."""
+    return results.agg(*processing_metrics(F.col("error")))
 
 
 def processing_errors(results: DataFrame) -> DataFrame:
@@ -119,6 +125,8 @@ def reuse_keys(raw_ids: DataFrame, listings: DataFrame, as_of: dt.date) -> DataF
     smallest is taken.
     """
     dated = F.regexp_extract("property_id", "#([^#]*)", 1).contains("_")
+    if "sort_key" in listings.columns:
+        dated &= F.col("sort_key") == "META"  # history rows are no listings
     stored = (
         listings.where(dated)
         .groupBy(parse_key("property_id", second_token_only=True).alias("raw_id"))

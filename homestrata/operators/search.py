@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from homestrata.operators.ordered import Keys, first_rows, placed
 from homestrata.schemas import SEARCH_COLUMNS
 from homestrata.sources.staging import stage
 
@@ -78,8 +79,8 @@ def search(listings: DataFrame, params: Mapping[str, object]) -> DataFrame:
     return found.select(*search_columns(listings))
 
 
-def sort_columns(listings: DataFrame, sort: str | None) -> list[Column]:
-    """Ordering for a sort name; unknown names mean newest first.
+def sort_keys(listings: DataFrame, sort: str | None) -> Keys:
+    """Keys for a sort name; unknown names mean newest first.
 
     A missing value sorts as zero (dates: before all others); ties go by id.
     """
@@ -87,23 +88,25 @@ def sort_columns(listings: DataFrame, sort: str | None) -> list[Column]:
     if base not in SORTS or direction not in ("asc", "desc"):
         base, direction = "date", "desc"
     column = SORTS[base]
-    if dict(listings.dtypes)[column] in ("date", "timestamp", "timestamp_ntz", "string"):
-        key = F.col(column)
-    else:
-        key = F.coalesce(F.col(column), F.lit(0))
-    ordered = key.asc_nulls_first() if direction == "asc" else key.desc_nulls_last()
-    return [ordered, F.col("property_id").asc()]
+    dated = dict(listings.dtypes)[column] in ("date", "timestamp", "timestamp_ntz", "string")
+    key = F.col(column) if dated else F.coalesce(F.col(column), F.lit(0))
+    return [(key, direction == "desc"), (F.col("property_id"), False)]
+
+
+def sort_columns(listings: DataFrame, sort: str | None) -> list[Column]:
+    """``sort_keys`` as Spark orders by them."""
+    return [k.desc_nulls_last() if descending else k.asc_nulls_first() for k, descending in sort_keys(listings, sort)]
 
 
 def top_k(found: DataFrame, sort: str | None = None, limit: int = DEFAULT_PAGE) -> DataFrame:
-    """Best ``limit`` rows of the whole result (a per-task heap, then a merge)."""
-    return found.orderBy(*sort_columns(found, sort)).limit(limit)
+    """Best ``limit`` rows of the whole result, however many that is."""
+    return first_rows(found, sort_keys(found, sort), limit)
 
 
 def next_page(found: DataFrame, cursor: str | None = None, limit: int = DEFAULT_PAGE) -> DataFrame:
     """Rows after ``cursor`` in id order; ``next_cursor`` tells where the following page begins."""
     rows = found if cursor is None else found.where(F.col("property_id") > cursor)
-    return rows.orderBy("property_id").limit(limit)
+    return first_rows(rows, [(F.col("property_id"), False)], limit)
 
 
 def next_cursor(page: DataFrame, limit: int) -> DataFrame:
@@ -112,6 +115,21 @@ def next_cursor(page: DataFrame, limit: int) -> DataFrame:
     return page.agg(count.alias("total_in_page"), F.when(count >= limit, F.max("property_id")).alias("next_cursor"))
 
 
+def all_pages(found: DataFrame, limit: int = DEFAULT_PAGE) -> DataFrame:
+    """Every page that following the cursors would give, from one ordering of the ids.
+
+    ``page_no`` counts from 0; ``total_in_page`` and ``next_cursor`` are those of the row's
+    page. A full page has a cursor even if none comes after it.
+    """
+    numbered = placed(found, [F.col("property_id")], "_place")
+    rows = stage(numbered.withColumn("page_no", F.floor((F.col("_place") - 1) / limit)).drop("_place"), "pages")
+    count = F.count("*")
+    pages = rows.groupBy("page_no").agg(
+        count.alias("total_in_page"), F.when(count >= limit, F.max("property_id")).alias("next_cursor")
+    )
+    return rows.join(pages, "page_no")
+
+
 def sort_page(page: DataFrame, sort: str | None = None) -> DataFrame:
     """Order within one page only, whatever the other pages hold."""
     return page.orderBy(*sort_columns(page, sort))
@@ -161,8 +179,8 @@ def search_page(
 
 
 def user_preferences(preferences: DataFrame, user_id: object, preference_type: str) -> DataFrame:
-    """A user's favorites or hidden listings, most recent first."""
+    """A user's favorites or hidden listings; ``rank`` 1 is the most recent."""
     rows = preferences.where(
         (F.col("user_id") == F.lit(user_id)) & (F.col("preference_type") == preference_type)
     )
-    return rows.orderBy(F.col("created_at").desc(), "property_id")
+    return placed(rows, [F.col("created_at").desc(), F.col("property_id")])

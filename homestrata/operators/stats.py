@@ -10,6 +10,7 @@ from pyspark.sql.window import WindowSpec
 
 from homestrata.functions.common import strip
 from homestrata.functions.prices import discount_pct, price_per_acre
+from homestrata.operators.ordered import first_rows
 from homestrata.schemas import LISTING_ANALYSIS
 from homestrata.sources.staging import stage
 
@@ -195,7 +196,7 @@ def first_listings(listings: DataFrame, max_properties: int = 0) -> DataFrame:
     """Optional cap of an analysis run; statistics are then over the capped set."""
     if max_properties <= 0:
         return listings
-    return listings.orderBy("property_id").limit(max_properties)
+    return first_rows(listings, [(F.col("property_id"), False)], max_properties)
 
 
 def analyze(listings: DataFrame, as_of: dt.datetime, max_properties: int = 0) -> DataFrame:
@@ -206,18 +207,25 @@ def analyze(listings: DataFrame, as_of: dt.datetime, max_properties: int = 0) ->
     return enrich(chosen, stage(city_stats(prices), "city-stats"), as_of)
 
 
-def analysis_summary(listings: DataFrame, stats: DataFrame) -> DataFrame:
-    """One row: listings analyzed, rows that cannot be keyed, cities with statistics."""
+def analysis_metrics() -> list[Column]:
+    """Counts over analyzed listings: those done, and rows that cannot be keyed."""
     has_key = F.col("property_id").isNotNull()
-    counted = listings.agg(
-        F.count_if(has_key).alias("properties_analyzed"), F.count_if(~has_key).alias("errors")
-    )
+    return [F.count_if(has_key).alias("properties_analyzed"), F.count_if(~has_key).alias("errors")]
+
+
+def with_cities(counted: DataFrame, stats: DataFrame) -> DataFrame:
+    """One row: the counts of ``analysis_metrics`` and the number of cities with statistics."""
     cities = stats.agg(F.count("*").alias("cities_analyzed"))
     return counted.unionByName(cities, allowMissingColumns=True).agg(
         *[F.max(c).alias(c) for c in ("properties_analyzed", "errors", "cities_analyzed")]
     )
 
 
+def analysis_summary(listings: DataFrame, stats: DataFrame) -> DataFrame:
+    """One row: listings analyzed, rows that cannot be keyed, cities with statistics."""
+    return with_cities(listings.agg(*analysis_metrics()), stats)
+
+
 def _as_comparables(rows: DataFrame) -> DataFrame:
     """Rows that can serve as comparables; unknown texts are blank."""
     usable = rows.where((F.col("price_per_sqm") != 0) & (F.col("size_sqm") != 0))
@@ -243,5 +251,5 @@ def ward_comparables(listings: DataFrame, ward: str | None = None, limit: int =
     """Comparables of one ward; of any ward when it is unknown. Newest first."""
     known = bool(ward) and ward != "unknown"
     rows = listings.where(F.col("ward") == ward) if known else listings
-    newest = rows.orderBy(F.col("analysis_date").desc_nulls_last(), "property_id").limit(limit)
-    return _as_comparables(newest)
+    newest = [(F.col("analysis_date"), True), (F.col("property_id"), False)]
+    return _as_comparables(first_rows(rows, newest, limit))

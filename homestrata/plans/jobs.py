@@ -14,10 +14,14 @@ from pyspark.sql import functions as F
 from homestrata.operators import collect, extract, mutate, pricing, save, stats
 from homestrata.site import DEFAULT_SITE, SiteRules
 from homestrata.sources.staging import stage
-from homestrata.sources.tables import current_listings, unprocessed_batch, unprocessed_urls, write_summary
-
-# URLs that are broadcast at most; some ten megabytes.
-BROADCAST_URLS = 100_000
+from homestrata.sources.tables import (
+    current_listings,
+    unprocessed_batch,
+    unprocessed_urls,
+    write_listings,
+    write_observed,
+    write_summary,
+)
 
 
 def _write(df: DataFrame, path: str) -> None:
@@ -45,7 +49,7 @@ def collect_job(
     _write(collect.track_urls(tracked, fresh), f"{out}/tracked_urls")
     changes = collect.price_changes(classified)
     updated = pricing.apply_changes(listings, changes, F.lit(as_of).cast("timestamp"))
-    _write(updated, f"{out}/listings")
+    write_listings(updated, f"{out}/listings")
     summary = collect.collection_summary(classified)
     write_summary(summary.withColumn("end_time", F.lit(as_of).cast("timestamp")), f"{out}/summary")
     return classified
@@ -65,27 +69,22 @@ def process_job(
     ``batch_size`` takes that many URLs, all of them by default. Writes ``listings``,
     ``tracked_urls``, ``summary`` and ``errors``; returns one row per processed URL.
 
-    Page HTML is never shuffled: a batch is small enough to broadcast, and otherwise
-    pages are read where they are and the records, a small part of their size, joined.
+    Page HTML is never shuffled: pages are read where they are, and the records, a small
+    part of their size, joined with the URLs that are due. The summary is counted by the
+    write of the results.
     """
-    if batch_size is not None and batch_size <= BROADCAST_URLS:
-        due = unprocessed_batch(tracked, batch_size).select("url")
-        wanted = pages.join(F.broadcast(due), "url", "left_semi")
-        extracted = extract.extract_listings(wanted, as_of, site)
-    else:
-        due = unprocessed_urls(tracked) if batch_size is None else unprocessed_batch(tracked, batch_size)
-        due = due.select(F.col("url").alias("listing_url"))
-        extracted = extract.extract_listings(pages, as_of, site).join(due, "listing_url", "left_semi")
+    due = unprocessed_urls(tracked) if batch_size is None else unprocessed_batch(tracked, batch_size)
+    due = due.select(F.col("url").alias("listing_url"))
+    extracted = extract.extract_listings(pages, as_of, site).join(due, "listing_url", "left_semi")
     extracted = stage(save.fill_city(extracted, tracked), "extracted")
     records = save.listing_records(extracted, as_of)
-    _write(save.save_listings(listings, records), f"{out}/listings")
-    results = extracted.select(
-        F.col("listing_url").alias("url"),
-        F.coalesce("error", F.when(F.col("property_id").isNull(), "Failed to save")).alias("error"),
-    )
-    done = results.where(F.col("error").isNull())
-    _write(mutate.mark_processed(tracked, done), f"{out}/tracked_urls")
-    write_summary(save.processing_summary(results), f"{out}/summary")
+    write_listings(save.save_listings(listings, records), f"{out}/listings")
+    failed = F.coalesce("error", F.when(F.col("property_id").isNull(), "Failed to save"))
+    results = extracted.select(F.col("listing_url").alias("url"), failed.alias("error"))
+    counted = write_observed(results, f"{out}/results", save.processing_metrics(F.col("error")))
+    write_summary(counted, f"{out}/summary")
+    results = extracted.sparkSession.read.schema(results.schema).parquet(f"{out}/results")
+    _write(mutate.mark_processed(tracked, results.where(F.col("error").isNull())), f"{out}/tracked_urls")
     _write(save.processing_errors(results), f"{out}/errors")
     return results
 
@@ -94,18 +93,20 @@ def analyze_job(listings: DataFrame, out: str, as_of: dt.datetime, max_propertie
     """City statistics and enrichment of current listings.
 
     Without a cap every listing is enriched in place; a capped run updates only the
-    listings it looked at. Writes ``listings`` and ``summary``.
+    listings it looked at. Writes ``enriched``, ``listings`` and ``summary``, whose counts
+    come from the write of ``enriched``.
     """
     chosen = stats.first_listings(current_listings(listings), max_properties)
     medians = stage(stats.city_stats(chosen), "city-stats")
     enriched = stats.enrich(chosen, medians, as_of)
+    counted = write_observed(enriched, f"{out}/enriched", stats.analysis_metrics())
+    enriched = listings.sparkSession.read.schema(enriched.schema).parquet(f"{out}/enriched")
     if max_properties > 0:
-        result = mutate.upsert_partial(
-            listings, enriched.select("property_id", *stats.ENRICHMENT), ["property_id"], stats.ENRICHMENT
-        )
+        keys = ["property_id", "sort_key"]
+        result = mutate.upsert_partial(listings, enriched.select(*keys, *stats.ENRICHMENT), keys, stats.ENRICHMENT)
     else:
         others = listings.where(~F.col("sort_key").eqNullSafe("META"))
         result = enriched.unionByName(others, allowMissingColumns=True)
-    _write(result, f"{out}/listings")
-    write_summary(stats.analysis_summary(chosen, medians), f"{out}/summary")
+    write_listings(result, f"{out}/listings")
+    write_summary(stats.with_cities(counted, medians), f"{out}/summary")
     return enriched

@@ -44,12 +44,14 @@ _add(
 _add(
     "q_city_by_psf",
     """SELECT city, price_per_sqft, property_id, listing_url, price, size_sqft, beds, baths, year_built,
-      property_type FROM listings WHERE city = 'NATION_3' AND price_per_sqft IS NOT NULL""",
+      property_type, row_number() OVER (ORDER BY price_per_sqft, property_id) AS rank
+    FROM listings WHERE city = 'NATION_3' AND price_per_sqft IS NOT NULL""",
     "listings",
 )
 _add(
     "q_city_newest",
-    """SELECT city, property_id, analysis_date FROM listings
+    """SELECT city, property_id, analysis_date,
+      row_number() OVER (ORDER BY analysis_date DESC, property_id) AS rank FROM listings
     WHERE city = 'NATION_3' AND analysis_date IS NOT NULL""",
     "listings",
 )
@@ -215,6 +217,32 @@ _add(
     "SELECT property_id, price FROM listings WHERE property_id > 'PROP#300' ORDER BY property_id LIMIT 1000",
     "listings",
 )
+_add(
+    "q_keyset_pages",
+    """SELECT page_no, property_id, price, count(*) OVER w AS total_in_page,
+      CASE WHEN count(*) OVER w >= 1000 THEN max(property_id) OVER w END AS next_cursor
+    FROM (SELECT property_id, price, CAST((row_number() OVER (ORDER BY property_id) - 1) // 1000 AS BIGINT) AS page_no
+      FROM listings) WINDOW w AS (PARTITION BY page_no)""",
+    "listings",
+)
+_add(
+    "q_known_second_token",
+    """SELECT CAST(o_orderkey AS VARCHAR) AS raw_id,
+      'PROP#' || strftime(o_orderdate, '%Y%m%d') || '_' || o_orderkey || '_' || o_custkey AS property_id,
+      CAST(floor(o_totalprice) AS BIGINT) AS price, '' AS listing_url, CAST(o_orderdate AS DATE) AS analysis_date
+    FROM orders""",
+)
+_add(
+    "q_track_ward_urls",
+    """SELECT url, FALSE AS processed, nullif(coalesce(city, 'unknown'), '') AS ward,
+      CAST(coalesce(price, 0) AS BIGINT) AS price FROM observations""",
+    "observations",
+)
+_add(
+    "q_saveable",
+    """SELECT CAST(o_orderkey AS VARCHAR) AS property_id FROM orders
+    WHERE o_orderpriority <> '1-URGENT' AND o_totalprice >= 5000 AND o_orderstatus <> 'P'""",
+)
 _add(
     "q_is_favorited",
     """SELECT property_id, property_id IN (SELECT property_id FROM preferences WHERE user_id = 8
@@ -224,7 +252,8 @@ _add(
 )
 _add(
     "q_user_prefs",
-    """SELECT property_id, preference_type, created_at FROM preferences
+    """SELECT property_id, preference_type, created_at,
+      row_number() OVER (ORDER BY created_at DESC, property_id) AS rank FROM preferences
     WHERE user_id = 8 AND preference_type = 'hidden'""",
     "preferences",
 )
@@ -753,6 +782,7 @@ _add(
 
 # --- streams -----------------------------------------------------------------------
 
+ORACLES["q_summary_sink"] = ORACLES["q_process_summary"]
 ORACLES["q_stream_url_dedup"] = "SELECT DISTINCT '/home/' || l_partkey AS url FROM lineitem"
 ORACLES["q_stream_status"] = ORACLES["q_status_replay"]
 ORACLES["q_stream_status_keyed"] = ORACLES["q_status_replay"]

@@ -63,6 +63,20 @@ def q_known_listings(t):
     return tables.known_listings(s.known(t))
 
 
+@query
+def q_known_second_token(t):
+    """Orders under keys of several tokens, read up to the second as older keys were."""
+    key = F.concat(ids.build_key(F.col("o_orderkey").cast("string"), "o_orderdate"), F.lit("_"), F.col("o_custkey"))
+    rows = t.orders.select(
+        key.alias("property_id"),
+        F.lit("META").alias("sort_key"),
+        F.floor("o_totalprice").alias("price"),
+        F.lit("").alias("listing_url"),
+        F.to_date("o_orderdate").alias("analysis_date"),
+    )
+    return tables.known_listings(rows, url_id=None, second_token_only=True)
+
+
 @query
 def q_tracked_urls(t):
     """All but one city, rows without a city included; and that city alone."""
@@ -96,7 +110,7 @@ def q_city_by_psf(t):
 @query
 def q_city_newest(t):
     rows = tables.by_city(s.listings(t), "NATION_3", order="analysis_date")
-    return rows.select("city", "property_id", "analysis_date")
+    return rows.select("city", "property_id", "analysis_date", "rank")
 
 
 @query
@@ -105,6 +119,22 @@ def q_track_new_urls(t):
     return collect.track_urls(s.tracked(t), fresh, default_city="Unknown")
 
 
+@query
+def q_track_ward_urls(t):
+    """Tracking rows of the older tables, which call a URL's place its ward."""
+    seen = s.observations(t).select("url", F.col("city").alias("ward"), "price")
+    return collect.tracking_rows(seen, default_city="unknown", place="ward")
+
+
+@query
+def q_summary_sink(t):
+    """The summary of processed URLs, counted by the write of its rows, written and read again."""
+    folder = _folder(t)
+    counted = tables.write_observed(_processed(t), f"{folder}/results", save.processing_metrics(F.col("error")))
+    tables.write_summary(counted, f"{folder}/summary")
+    return tables.read_summary(t.spark, f"{folder}/summary", counted.schema)
+
+
 @query
 def q_listing_dump(t):
     rows = s.observations(t).withColumn("price_text", prices.price_display("price"))
@@ -233,6 +263,13 @@ def q_keyset_page(t):
     return search.next_page(s.listings(t), "PROP#300", 1000).select("property_id", "price")
 
 
+@query
+def q_keyset_pages(t):
+    """All pages of 1000 listings in id order, with the size and the cursor of each."""
+    pages = search.all_pages(s.listings(t).select("property_id", "price"), 1000)
+    return pages.select("page_no", "property_id", "price", "total_in_page", "next_cursor")
+
+
 @query
 def q_is_favorited(t):
     prefs = preferences.replay_preferences(s.preference_events(t))
@@ -243,7 +280,8 @@ def q_is_favorited(t):
 @query
 def q_user_prefs(t):
     prefs = preferences.replay_preferences(s.preference_events(t))
-    return search.user_preferences(prefs, 8, "hidden").select("property_id", "preference_type", "created_at")
+    listed = search.user_preferences(prefs, 8, "hidden")
+    return listed.select("property_id", "preference_type", "created_at", "rank")
 
 
 # --- scalar functions --------------------------------------------------------------
@@ -472,6 +510,18 @@ def q_save_listings(t):
     return saved.select(*shown, "first_seen_date", "analysis_date", "beds")
 
 
+@query
+def q_saveable(t):
+    """Extracted orders without those that failed, have no id or are to be skipped."""
+    kind = F.col("o_orderpriority")
+    extracted = t.orders.select(
+        F.when(kind != "1-URGENT", F.col("o_orderkey").cast("string")).otherwise("").alias("property_id"),
+        F.when(F.col("o_totalprice") < 5000, "500 Server Error").alias("error"),
+        F.when(F.col("o_orderstatus") == "P", "pending").alias("skip_reason"),
+    )
+    return save.saveable(extracted).select("property_id")
+
+
 @query
 def q_city_fallback(t):
     extracted = s.listings(t).select(

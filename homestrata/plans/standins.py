@@ -102,24 +102,27 @@ def listings(t: Tables) -> DataFrame:
 
 
 def tracked(t: Tables) -> DataFrame:
+    """A tracked URL per listing; those first seen later are of another site, so not observed."""
     kind = F.col("property_type")
-    return (
-        listings(t)
-        .where(F.col("first_seen_date") < F.lit(TRACKED_UNTIL))
-        .select(
-            F.col("listing_url").alias("url"),
-            F.when(kind == "1-URGENT", F.lit(True))
-            .when(kind == "2-HIGH", F.lit(None).cast("boolean"))
-            .otherwise(F.lit(False))
-            .alias("processed"),
-            F.when(kind != "5-LOW", F.col("city")).alias("city"),
-            "price",
-        )
+    elsewhere = F.concat(F.lit("https://elsewhere.example/home/"), F.col("mls_number"))
+    return listings(t).select(
+        F.when(F.col("first_seen_date") < F.lit(TRACKED_UNTIL), F.col("listing_url")).otherwise(elsewhere).alias("url"),
+        F.when(kind == "1-URGENT", F.lit(True))
+        .when(kind == "2-HIGH", F.lit(None).cast("boolean"))
+        .otherwise(F.lit(False))
+        .alias("processed"),
+        F.when(kind != "5-LOW", F.col("city")).alias("city"),
+        "price",
     )
 
 
 def known(t: Tables) -> DataFrame:
-    return listings(t).where(F.col("property_type") != "3-MEDIUM")
+    """A known listing per order; those of one kind have other ids and URLs, so are not observed."""
+    other = F.col("property_type") == "3-MEDIUM"
+    number = F.col("mls_number")
+    key = F.when(other, F.concat(F.lit("PROP#M"), number)).otherwise(F.col("property_id"))
+    url = F.when(other, F.concat(F.lit("https://elsewhere.example/"), number)).otherwise(F.col("listing_url"))
+    return listings(t).withColumn("property_id", key).withColumn("listing_url", url)
 
 
 def observations(t: Tables) -> DataFrame:
@@ -186,21 +189,20 @@ def _event_key() -> Column:
 
 def preference_events(t: Tables) -> DataFrame:
     kind = F.col("event_type")
-    action = F.when(kind == "view", "favorite").when(kind == "click", "hidden").when(kind == "error", "remove")
-    rows = t.events.select(
+    action = F.when(kind.isin("view", "signup"), "favorite").when(kind == "click", "hidden").otherwise("remove")
+    return t.events.select(
         "user_id",
         _event_key().alias("property_id"),
         action.alias("action"),
         _utc("ts").alias("ts"),
         F.col("event_id").alias("seq"),
     )
-    return rows.where(F.col("action").isNotNull())
 
 
 def status_events(t: Tables) -> DataFrame:
     kind = F.col("event_type")
-    status = F.when(kind == "signup", "processing").when(kind == "purchase", "completed").when(kind == "error", "failed")
-    rows = t.events.select(
+    status = F.when(kind.isin("signup", "view"), "processing").when(kind == "error", "failed").otherwise("completed")
+    return t.events.select(
         "user_id",
         _event_key().alias("property_id"),
         status.alias("status"),
@@ -208,7 +210,6 @@ def status_events(t: Tables) -> DataFrame:
         _utc("ts").alias("ts"),
         F.col("event_id").alias("seq"),
     )
-    return rows.where(F.col("status").isNotNull())
 
 
 def texts(t: Tables) -> DataFrame:
@@ -361,11 +362,17 @@ VIEWS = {
         FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
           JOIN region ON n_regionkey = r_regionkey LEFT JOIN li ON o_orderkey = l_orderkey""",
     "tracked": """
-        SELECT listing_url AS url,
+        SELECT CASE WHEN first_seen_date < TIMESTAMP '1998-01-01' THEN listing_url
+            ELSE 'https://elsewhere.example/home/' || mls_number END AS url,
           CASE property_type WHEN '1-URGENT' THEN TRUE WHEN '2-HIGH' THEN NULL ELSE FALSE END AS processed,
           CASE WHEN property_type <> '5-LOW' THEN city END AS city, price
-        FROM listings WHERE first_seen_date < TIMESTAMP '1998-01-01'""",
-    "known": "SELECT * FROM listings WHERE property_type <> '3-MEDIUM'",
+        FROM listings""",
+    "known": """
+        SELECT * REPLACE (
+          CASE WHEN property_type = '3-MEDIUM' THEN 'PROP#M' || mls_number ELSE property_id END AS property_id,
+          CASE WHEN property_type = '3-MEDIUM' THEN 'https://elsewhere.example/' || mls_number
+            ELSE listing_url END AS listing_url)
+        FROM listings""",
     "observations": """
         SELECT listing_url AS url,
           CASE WHEN property_type = '4-NOT SPECIFIED' THEN price + 1000 ELSE price END AS price, city
@@ -385,14 +392,16 @@ VIEWS = {
         FROM lineitem""",
     "pref_events": """
         SELECT user_id, 'PROP#' || json_extract_string(props, '$.k') AS property_id,
-          CASE event_type WHEN 'view' THEN 'favorite' WHEN 'click' THEN 'hidden' ELSE 'remove' END AS action,
+          CASE WHEN event_type IN ('view', 'signup') THEN 'favorite' WHEN event_type = 'click' THEN 'hidden'
+            ELSE 'remove' END AS action,
           ts, event_id AS seq
-        FROM events WHERE event_type IN ('view', 'click', 'error')""",
+        FROM events""",
     "status_events": """
         SELECT user_id, 'PROP#' || json_extract_string(props, '$.k') AS property_id,
-          CASE event_type WHEN 'signup' THEN 'processing' WHEN 'purchase' THEN 'completed' ELSE 'failed' END AS status,
+          CASE WHEN event_type IN ('signup', 'view') THEN 'processing' WHEN event_type = 'error' THEN 'failed'
+            ELSE 'completed' END AS status,
           CASE WHEN event_type = 'error' THEN 'error ' || value END AS error, ts, event_id AS seq
-        FROM events WHERE event_type IN ('signup', 'purchase', 'error')""",
+        FROM events""",
     "texts": """
         SELECT doc_id, lang, price_text, price_text || CASE lang
             WHEN 'en' THEN '. Year Built: ' || yr || '. Lot ' || n_chars || '.5 acre, HOA $' || n_chars ||

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from homestrata.functions.ids import listing_id, parse_key
 from homestrata.schemas import struct
-from homestrata.operators.ordered import latest_by
+from homestrata.operators.ordered import first_rows, latest_by, placed
 
 DUMP_SCHEMA = struct("url string, price bigint, price_text string, duplicate string")
 
@@ -19,12 +19,27 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | None = Non
 
 
 def write_listings(listings: DataFrame, path: str) -> None:
-    """Listings laid out by city, which is what they are looked up by.
+    """Listings laid out by city and price per sqft, which is what they are looked up by.
 
-    Ranges of (city, id) give every task few cities, and a large city several tasks.
+    ``place`` names the folder a city's rows are in, so looking one up lists no others.
+    Ranges of (place, price, id) give every task few cities, and a large city several
+    tasks, each with its own range of prices: Parquet's statistics tell them apart.
     """
-    ranged = listings.repartitionByRange("city", "property_id")
-    ranged.write.mode("errorifexists").partitionBy("city").parquet(path)
+    laid = listings.withColumn("place", _place(F.col("city")))
+    keys = [c for c in ("place", "price_per_sqft", "property_id") if c in laid.columns]
+    ranged = laid.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    ranged.write.mode("errorifexists").partitionBy("place").parquet(path)
+
+
+def read_listings(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """Listings as ``write_listings`` has laid them out; ``place`` is kept for ``by_city``."""
+    laid = T.StructType([*[f for f in schema.fields if f.name != "place"], T.StructField("place", T.StringType())])
+    return spark.read.schema(laid).parquet(path)
+
+
+def _place(city: Column) -> Column:
+    # no city and a blank one share a folder; the city itself is stored as it is
+    return F.concat(F.lit("c-"), F.coalesce(city, F.lit("")))
 
 
 def current_listings(listings: DataFrame) -> DataFrame:
@@ -82,7 +97,7 @@ def unprocessed_urls(tracked: DataFrame, with_details: bool = False, place: str
 
 def unprocessed_batch(tracked: DataFrame, batch_size: int = 100, place: str = "city") -> DataFrame:
     """The next ``batch_size`` unprocessed URLs, always the same ones for the same table."""
-    return unprocessed_urls(tracked, True, place).orderBy("url").limit(batch_size)
+    return first_rows(unprocessed_urls(tracked, True, place), [(F.col("url"), False)], batch_size)
 
 
 def lookup(table: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:
@@ -91,22 +106,43 @@ def lookup(table: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:
 
 
 def by_city(listings: DataFrame, city: str, order: str = "price_per_sqft") -> DataFrame:
-    """One city's listings in index order: cheapest per sqft first, or newest first."""
+    """One city's listings in index order: cheapest per sqft first, or newest first.
+
+    ``rank`` is a row's place in that order. Of listings laid out by ``write_listings`` only
+    the city's files are read.
+    """
     columns = ["city", "price_per_sqft", "property_id", "listing_url", "price", "size_sqft"]
     columns += ["beds", "baths", "year_built", "property_type"]
     rows = listings.where(F.col("city") == city)
+    if "place" in listings.columns:
+        rows = rows.where(F.col("place") == _place(F.lit(city))).drop("place")
     if order == "price_per_sqft":
         # rows without the ordering attribute are not in that index
         rows = rows.where(F.col("price_per_sqft").isNotNull()).select(*columns)
-        return rows.orderBy("price_per_sqft", "property_id")
-    return rows.where(F.col("analysis_date").isNotNull()).orderBy(
-        F.col("analysis_date").desc(), "property_id"
-    )
+        return placed(rows, [F.col("price_per_sqft"), F.col("property_id")])
+    return placed(rows.where(F.col("analysis_date").isNotNull()), [F.col("analysis_date").desc(), F.col("property_id")])
 
 
 def write_summary(summary: DataFrame, path: str) -> None:
-    """A one-row job summary as one JSON file."""
-    summary.coalesce(1).write.mode("overwrite").json(path)
+    """A one-row job summary as one JSON file, in a folder of its own."""
+    summary.coalesce(1).write.mode("errorifexists").json(path)
+
+
+def read_summary(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    return spark.read.schema(schema).json(path)
+
+
+def write_observed(rows: DataFrame, path: str, metrics: list[Column]) -> DataFrame:
+    """Write ``rows`` and return one row of ``metrics`` over them, counted by the write itself.
+
+    They are counted in the stage that writes, whose tasks count once each, lost executors
+    or not.
+    """
+    seen = Observation()
+    rows.observe(seen, *metrics).write.mode("errorifexists").parquet(path)
+    found = seen.get
+    fields = [T.StructField(name, T.LongType()) for name in found]
+    return rows.sparkSession.createDataFrame([tuple(found.values())], T.StructType(fields))
 
 
 def write_dump(rows: DataFrame, path: str) -> None:

@@ -176,6 +176,82 @@ def test_known_listings_by_older_keys(spark, tmp_path):
     assert [r.property_id for r in back.where("city = 'B'").collect()] == ["odd"]
 
 
+def test_looking_up_a_city_reads_its_files_only(spark, tmp_path):
+    cities = ["Big"] * 300 + ["Small"] * 20 + ["", None, "12", "a/b=c"]
+    rows = [(f"p{i:03d}", c, float(i % 7) if i % 5 else None, i) for i, c in enumerate(cities)]
+    df = spark.createDataFrame(rows, "property_id string, city string, price_per_sqft double, price bigint")
+    for name in ("listing_url", "size_sqft", "beds", "baths", "year_built", "property_type"):
+        df = df.withColumn(name, F.lit(None).cast("string"))
+    tables.write_listings(df, str(tmp_path / "laid"))
+    laid = tables.read_listings(spark, str(tmp_path / "laid"), df.schema)
+    assert sorted(map(str, laid.select("property_id", "city").collect())) == sorted(map(str, df.select("property_id", "city").collect()))
+    for city in ("Small", "12", "a/b=c"):
+        want = sorted((r[2], r[0]) for r in rows if r[1] == city and r[2] is not None)
+        got = tables.by_city(laid, city)
+        assert [(r.price_per_sqft, r.property_id) for r in sorted(got.collect(), key=lambda r: r["rank"])] == want
+    found = laid.where((F.col("city") == "Small") & (F.col("place") == "c-Small"))
+    assert found.count() == 20 and found.collect()
+    leaf = found._jdf.queryExecution().executedPlan().collectLeaves().head()
+    read, all_files = leaf.metrics().apply("numFiles").value(), len(laid.inputFiles())
+    held = laid.select(F.input_file_name().alias("f"), "place").where("place = 'c-Small'").distinct().count()
+    assert read == held < all_files
+
+
+def test_first_rows_beyond_what_one_task_merges(spark, monkeypatch):
+    rng = random.Random(8)
+    rows = [(f"p{i:04d}", rng.choice([None, 1, 2, 3, 4]), None if i % 9 == 0 else rng.random()) for i in range(600)]
+    df = spark.createDataFrame(rows, "id string, k int, x double").repartition(5)
+    monkeypatch.setattr(ordered, "HEAP_ROWS", 10)
+    key = lambda r: (r[1] is not None, r[1] or 0)
+    for n in (11, 77, 599, 600, 2000):
+        for down in (False, True):
+            want = sorted(sorted(rows), key=key, reverse=down)[:n]
+            got = ordered.first_rows(df, [(F.col("k"), down), (F.col("id"), False)], n)
+            assert sorted(map(tuple, got.collect()), key=str) == sorted(want, key=str)
+    same = spark.createDataFrame([(1,)] * 50 + [(2,)] * 50, "k int")
+    assert sorted(r.k for r in ordered.first_rows(same, [(F.col("k"), False)], 60).collect()) == [1] * 50 + [2] * 10
+    assert sorted(r.k for r in ordered.first_rows(same, [(F.col("k"), True)], 20).collect()) == [2] * 20
+
+
+def test_all_pages_follow_the_cursors(spark):
+    ids = [f"p{i:03d}" for i in range(53)]
+    df = spark.createDataFrame([(i,) for i in ids], "property_id string").repartition(3)
+    pages = {}
+    for r in search.all_pages(df, 10).collect():
+        pages.setdefault(r.page_no, []).append(r)
+    cursor, seen = None, []
+    for number in range(6):
+        page = [r.property_id for r in search.next_page(df, cursor, 10).collect()]
+        assert sorted(r.property_id for r in pages[number]) == page
+        assert {(r.total_in_page, r.next_cursor) for r in pages[number]} == {(len(page), page[-1] if len(page) == 10 else None)}
+        seen, cursor = seen + page, page[-1]
+    assert seen == ids and len(pages) == 6
+    assert search.all_pages(df.where("false"), 10).count() == 0
+
+
+def test_history_rows_are_left_alone(spark):
+    rows = [("PROP#20240101_7", "META", 5, None), ("PROP#20240101_7", "HISTORY#1", 4, None), ("PROP#20230101_8", "HISTORY#1", 3, None)]
+    table = spark.createDataFrame(rows, "property_id string, sort_key string, price bigint, first_seen_date timestamp")
+    record = spark.createDataFrame([("PROP#20240101_7", "META", 9, AS_OF, AS_OF, "u")],
+        "property_id string, sort_key string, price bigint, first_seen_date timestamp, extraction_timestamp timestamp, listing_url string")
+    got = {(r.property_id, r.sort_key): r.price for r in save.save_listings(table, record).collect()}
+    assert got == {("PROP#20240101_7", "META"): 9, ("PROP#20240101_7", "HISTORY#1"): 4, ("PROP#20230101_8", "HISTORY#1"): 3}
+    wanted = spark.createDataFrame([("7",), ("8",)], "raw_id string")
+    reused = {r.raw_id: (r.property_id, r.reused) for r in save.reuse_keys(wanted, table, dt.date(2024, 5, 6)).collect()}
+    assert reused == {"7": ("PROP#20240101_7", True), "8": ("PROP#20240506_8", False)}
+
+
+def test_counts_come_from_the_write(spark, tmp_path):
+    rows = spark.createDataFrame([("a", None), ("b", "403 Forbidden"), ("c", "timeout")], "url string, error string")
+    counted = tables.write_observed(rows, str(tmp_path / "r"), save.processing_metrics(F.col("error")))
+    assert counted.collect() == save.processing_summary(rows).collect()
+    assert spark.read.parquet(str(tmp_path / "r")).count() == 3
+    tables.write_summary(counted, str(tmp_path / "s"))
+    assert tables.read_summary(spark, str(tmp_path / "s"), counted.schema).collect() == counted.collect()
+    with pytest.raises(Exception, match="ALREADY_EXISTS"):
+        tables.write_summary(counted, str(tmp_path / "s"))
+
+
 def test_dump_and_summary_files(spark, tmp_path):
     rows = spark.createDataFrame([("u1", 4499, "4,499"), ("u2", 0, None), ("u1", 4499, "4,499 万円")], "url string, price bigint, price_text string")
     flagged = profile.flag_duplicates(rows, ["url"])
