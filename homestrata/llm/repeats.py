@@ -42,6 +42,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from homestrata.llm.batches import let_go
 from homestrata.llm.rolling import BLOCK_BYTES, Prefix, mix, slide
 from homestrata.sources.staging import stage
 
@@ -49,6 +50,8 @@ LENGTH = 50
 GRAM = 24
 LEFT = LENGTH - GRAM
 COMMON = 64
+GROUP_BYTES = 24 << 20  # of text that one group of documents holds, about
+BUCKET_BYTES = 6 << 20  # of text whose anchors meet in one bucket, about
 _CONTEXT = LEFT + LENGTH
 _BLOB = "tag bigint, bucket bigint, kind int, blob binary"
 _NAMES = ["tag", "bucket", "kind", "blob"]
@@ -264,6 +267,7 @@ def _anchor_hashes(batches: Iterator[pa.RecordBatch], bits: int, buckets: int) -
         if now != tag:
             if tag is not None:
                 yield close()
+                let_go()
             group, tag, held = _Group(), now, []
         if group.add(key, blob):
             read()
@@ -302,6 +306,7 @@ def _found_twice(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if now != bucket:
             if held:
                 yield close()
+                let_go()
             bucket, held = now, []
         held.append((tag, np.cumsum(np.frombuffer(_expand(blob), np.uint64))))
     if held:
@@ -351,6 +356,7 @@ def _suffixes(batches: Iterator[pa.RecordBatch], bits: int, buckets: int) -> Ite
         if group.ids:
             read()
         suffixes = np.concatenate(held) if held else np.zeros(0, _SUFFIX)
+        held.clear()
         if not len(suffixes):
             return _blobs([])
         # of equal surroundings only the smallest document's go on, the others are covered by it
@@ -368,7 +374,8 @@ def _suffixes(batches: Iterator[pa.RecordBatch], bits: int, buckets: int) -> Ite
             fits = (suffixes["left"][later][:, None] >= o) & (suffixes["right"][later][:, None].astype(int) >= LENGTH - o)
             done["mask"] = (fits.astype(np.uint32) << o.astype(np.uint32)).sum(1, dtype=np.uint32)
             rows.append((tag, tag % buckets, 1, _squeeze(done.tobytes())))
-        go = suffixes[~later]
+        go = suffixes[~later] if later.any() else suffixes
+        del suffixes, same, order, first, least
         bucket = (go["key"] % np.uint64(buckets)).astype(np.int64)
         order = np.argsort(bucket, kind="stable")
         for part in np.split(order, np.flatnonzero(np.diff(bucket[order])) + 1):
@@ -380,6 +387,7 @@ def _suffixes(batches: Iterator[pa.RecordBatch], bits: int, buckets: int) -> Ite
         if now != tag:
             if tag is not None:
                 yield close()
+                let_go()
             group, tag, known_keys, held, wanted = _Group(), now, [], [], np.zeros(0, np.uint64)
         if kind == 0:
             known_keys.append(np.cumsum(np.frombuffer(_expand(blob), np.uint64)))
@@ -423,9 +431,11 @@ def _cover(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     bucket, held, done = None, [], []
 
     def close() -> pa.RecordBatch:
+        nonlocal held
         rows = [(tag, bucket, 0, blob) for tag, blob in done]
         if held:
             parts = [_from_columns(_expand(blob)) for _, blob in held]
+            held = [(tag, None) for tag, _ in held]
             mask = covered(np.concatenate(parts))
             at = 0
             for (tag, _), part in zip(held, parts):
@@ -441,6 +451,7 @@ def _cover(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if now != bucket:
             if bucket is not None:
                 yield close()
+                let_go()
             bucket, held, done = now, [], []
         (done if kind else held).append((tag, blob))
     if bucket is not None:
@@ -499,20 +510,22 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     total = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     # short hashes: about one anchor in a hundred meets another by chance, which costs but does no harm
     bits = min(60, max(24, math.ceil(math.log2(total / 14 + 2)) + 7))
+    # what a task holds at once follows from bytes, not from how many tasks there are
+    groups, buckets = max(parts, math.ceil(total / GROUP_BYTES)), max(parts, math.ceil(total / BUCKET_BYTES))
 
     def dealt(rows: DataFrame) -> DataFrame:
         return rows.repartition(parts, "tag").sortWithinPartitions("tag", "kind", "id", "blob")
 
     def with_documents(blobs: DataFrame) -> DataFrame:
         back = blobs.select("tag", "kind", F.lit(None).cast("bigint").alias("id"), "blob")
-        return dealt(back.unionByName(_documents(texts, parts)))
+        return dealt(back.unionByName(_documents(texts, groups)))
 
     def met(rows: DataFrame) -> DataFrame:
         return rows.repartition(parts, "bucket").sortWithinPartitions("bucket", "kind", "tag", "blob")
 
-    hashes = dealt(_documents(texts, parts)).mapInArrow(lambda b: _anchor_hashes(b, bits, parts), _BLOB)
+    hashes = dealt(_documents(texts, groups)).mapInArrow(lambda b: _anchor_hashes(b, bits, buckets), _BLOB)
     twice = stage(met(hashes).mapInArrow(lambda b: _found_twice(b), _BLOB), "repeat-hashes")
-    suffixes = with_documents(twice).mapInArrow(lambda b: _suffixes(b, bits, parts), _BLOB)
+    suffixes = with_documents(twice).mapInArrow(lambda b: _suffixes(b, bits, buckets), _BLOB)
     places = stage(met(suffixes).mapInArrow(lambda b: _cover(b), _BLOB), "repeat-places")
     schema = "id bigint, n_bytes bigint, starts array<bigint>, ends array<bigint>, kept binary"
     return with_documents(places).mapInArrow(_cut_documents, schema).withColumnRenamed("id", id_col)
