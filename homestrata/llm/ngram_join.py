@@ -17,8 +17,10 @@ class and only the class's first document goes on.
 
 No pair is formed inside a linked group, however large it is. Groups, and questions to one
 group, are cut into pieces by counts, so no task holds an unbounded group; the order of
-tokens comes from counts in a bounded number of buckets. Texts are shuffled
-compressed, twice to meet their questions and twice to meet their groups.
+tokens comes from counts in a bounded number of buckets. Texts are kept compressed with
+what is computed from them, and those of classes' first rows are shuffled, twice to meet
+their questions and twice to meet their groups. Equal sets are told by their number and two
+64-bit sums of hashes, shingles by 64-bit hashes.
 
 Defined cases: texts that are null or without words have the empty set and no links; with
 fewer words than a shingle the whole sequence is one; a row with a null id gets its size
@@ -84,14 +86,16 @@ def _group_sums(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, words: int, share: tuple[int, int], counts: np.ndarray) -> DataFrame:
-    """(id, n, h1, h2, like, prefix) of documents (id, text)."""
+    """(id, mark, n, h1, h2, like, prefix, packed) of documents (id, mark, text); ``packed`` is
+    the text compressed for the way to its comparisons."""
     num, den = share
     shift = np.uint64(65 - len(counts).bit_length())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        compress = zstandard.ZstdCompressor(level=1).compress
         for batch in batches:
-            ids, at = batch.column(0), 0
-            for held, data, starts in blocks(range(batch.num_rows), batch.column(1).to_pylist()):
+            at = 0
+            for held, data, starts in blocks(range(batch.num_rows), batch.column(2).to_pylist()):
                 tokens, owner = _sets(data, starts, words)
                 sizes = np.bincount(owner, minlength=len(held))
                 offsets = np.concatenate([[0], np.cumsum(sizes)])
@@ -108,24 +112,15 @@ def signatures(docs: DataFrame, words: int, share: tuple[int, int], counts: np.n
                 lists = pa.ListArray.from_arrays(
                     pa.array(np.concatenate([[0], np.cumsum(wanted)]), pa.int32()), pa.array(first, pa.int64())
                 )
-                columns = [ids.slice(at, len(held)), pa.array(sizes, pa.int64())]
+                columns = [batch.column(k).slice(at, len(held)) for k in (0, 1)] + [pa.array(sizes, pa.int64())]
                 columns += [pa.array(x.astype(np.int64), pa.int64()) for x in (h1, h2, like)]
-                yield pa.record_batch([*columns, lists], names=["id", "n", "h1", "h2", "like", "prefix"])
+                packed = pa.array([compress(data[s:e].tobytes()) for s, e in zip(starts, starts[1:])], pa.binary())
+                names = ["id", "mark", "n", "h1", "h2", "like", "prefix", "packed"]
+                yield pa.record_batch([*columns, lists, packed], names=names)
                 at += len(held)
 
-    return docs.mapInArrow(run, "id bigint, n bigint, h1 bigint, h2 bigint, like bigint, prefix array<bigint>")
-
-
-def _packed(docs: DataFrame) -> DataFrame:
-    """(id, packed): texts compressed for the way to their comparisons."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        compress = zstandard.ZstdCompressor(level=1).compress
-        for batch in batches:
-            packed = [compress((t or "").encode("utf-8", "surrogatepass")) for t in batch.column(1).to_pylist()]
-            yield pa.record_batch([batch.column(0), pa.array(packed, pa.binary())], names=["id", "packed"])
-
-    return docs.where(F.col("id").isNotNull()).mapInArrow(run, "id bigint, packed binary")
+    numbers = "id bigint, mark bigint, n bigint, h1 bigint, h2 bigint, like bigint"
+    return docs.mapInArrow(run, f"{numbers}, prefix array<bigint>, packed binary")
 
 
 def _linked(overlap: np.ndarray, n: int, sizes: np.ndarray, share: tuple[int, int]) -> np.ndarray:
@@ -222,25 +217,34 @@ def _pieces(needed: DataFrame, asked: DataFrame, texts: DataFrame) -> DataFrame:
 def join(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3, share: tuple[int, int] = (90, 100)
 ) -> DataFrame:
-    """(id, n_shingles, component): per row of ``docs``; ``share`` is the least similarity."""
+    """(id, n_shingles, component, text_hash) per row of ``docs``; ``share`` is the least similarity.
+
+    ``text_hash`` is the hash of the row's text by ``xxhash64``, to find the row again where
+    an id is repeated.
+    """
     spark = docs.sparkSession
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
-    texts = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("text"))
+    text = F.col(text_col).cast("string")
+    texts = docs.select(F.col(id_col).cast("bigint").alias("id"), F.xxhash64(text).alias("mark"), text.alias("text"))
     counts = token_counts(texts.select("text"), words)
-    signed = stage(signatures(texts, words, share, counts), "signatures")
+    # rows are told apart by a number of their own, as ids may repeat with other texts
+    numbered = signatures(texts, words, share, counts).withColumn("row", F.monotonically_increasing_id())
+    signed = stage(numbered, "signatures")
     known = signed.where("id IS NOT NULL AND n > 0")
 
-    # classes of equal sets
-    classes = stage(known.groupBy("h1", "h2", "n").agg(F.min("id").alias("rep")), "classes")
-    reps = known.join(classes.select(F.col("rep").alias("id"), "h1", "h2", "n"), ["id", "h1", "h2", "n"])
-    reps = stage(reps.select("id", "n", "like", "prefix"), "representatives")
+    # classes of equal sets, each held by its first row
+    classes = known.groupBy("h1", "h2", "n").agg(F.min("row").alias("rep"), F.min("id").alias("least"))
+    classes = stage(classes, "classes")
+    reps = known.select(F.col("row").alias("id"), "n", "like", "prefix", "packed")
+    reps = stage(reps.join(classes.select(F.col("rep").alias("id")), "id"), "representatives")
+    packed = reps.select("id", "packed")
 
     # 1: each against the first of its kind
     kinds = reps.groupBy("like").agg(F.min("id").alias("hub"), F.max("id").alias("last")).where("hub <> last")
     kinds = stage(kinds.select("like", "hub"), "kinds")
     asked = reps.join(kinds, "like").where("id <> hub").select(F.col("hub").alias("piece_of"), "id", F.col("id").alias("kind"))
     hubs = kinds.select("hub").distinct().select(F.col("hub").alias("piece_of"), F.col("hub").alias("id"), F.col("hub").alias("kind"))
-    links = stage(_compare(_pieces(hubs, asked, _packed(texts)), words, share, parts), "hub-links")
+    links = stage(_compare(_pieces(hubs, asked, packed), words, share, parts), "hub-links")
     near = links.select(F.col("a").alias("id"), F.col("b").alias("star")).distinct()
     starred = reps.join(near.groupBy("id").agg(F.min("star").alias("star")), "id", "left").join(kinds, "like", "left")
     starred = starred.select("id", "n", "prefix", F.coalesce("star", "id").alias("kind"), "hub")
@@ -276,18 +280,22 @@ def join(
     asked = in_group.join(matrix, "token").where(fits & turn).select("piece_of", "id", "kind").distinct()
     asked = stage(asked, "group-questions")
     members = placed.select("piece_of", "id", "kind")
-    links = links.unionByName(_compare(_pieces(members, asked, _packed(texts)), words, share, parts))
+    links = links.unionByName(_compare(_pieces(members, asked, packed), words, share, parts))
 
     # 3: components of classes
     reached = components(links.select("a", "b"))
     of_class = classes.join(reached, classes["rep"] == reached["node"], "left").select(
-        "h1", "h2", "n", F.coalesce("component", "rep").alias("c")
+        "h1", "h2", "n", "least", F.coalesce("component", "rep").alias("c")
     )
-    found = signed.select("id", "n", "h1", "h2").join(stage(of_class, "class-components"), ["h1", "h2", "n"], "left")
+    of_class = stage(of_class, "class-components")
+    least = stage(of_class.groupBy("c").agg(F.min("least").alias("component")), "least-ids")
+    named = stage(of_class.join(least, "c").select("h1", "h2", "n", "component"), "named-classes")
+    found = signed.select("id", "mark", "n", "h1", "h2").join(named, ["h1", "h2", "n"], "left")
     return found.select(
         F.col("id").alias(id_col),
         F.col("n").alias("n_shingles"),
-        F.when(F.col("id").isNotNull(), F.coalesce("c", "id")).alias("component"),
+        F.when(F.col("id").isNotNull(), F.coalesce("component", "id")).alias("component"),
+        F.col("mark").alias("text_hash"),
     )
 
 

@@ -147,7 +147,8 @@ FROM d LEFT JOIN k ON k.doc_id = d.doc_id
 
 @_query
 def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ngram_join.join(_table(spark, sf_dir, "documents")).withColumnRenamed("component", "component_id")
+    found = ngram_join.join(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_shingles", F.col("component").alias("component_id"))
 
 
 @_query

@@ -69,5 +69,13 @@ def test_stages_on_odd_and_empty_tables(odd, docs, spark, corpus):
     assert pipeline.drop_near_copies(spark, odd, folder).where("doc_id IS NULL").count() == 2
 
 
-def test_ten_queries_are_registered():
-    assert [n.split("_")[0] for n in queries.REGISTRY] == [f"op{i}" for i in range(1, 11)]
+def test_no_text_is_lost_with_a_repeated_id(spark, docs, corpus):
+    words = lambda c: [f"{c}{k}" for k in range(80)]
+    a, b = " ".join(words("a")), " ".join(words("b"))
+    rows = [(3, a + " near"), (5, a), (5, b), (9, b + " near")]
+    kept = pipeline.drop_near_copies(spark, docs(rows), corpus[1]).collect()
+    assert sorted((r.doc_id, r.text) for r in kept) == [(3, a + " near"), (5, b)]
+
+
+def test_all_queries_are_registered():
+    assert [n.split("_")[0] for n in queries.REGISTRY] == [f"op{i}" for i in range(1, 14)]

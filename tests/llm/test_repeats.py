@@ -197,6 +197,13 @@ def test_join_odd_rows(odd, docs):
     assert ngram_join.join(docs([])).count() == 0
 
 
+def test_join_of_repeated_ids_with_other_texts(docs):
+    a, b = " ".join(f"a{k}" for k in range(60)), " ".join(f"b{k}" for k in range(60))
+    rows = [(3, a + " end"), (5, a), (5, b), (9, b + " end"), (5, b)]
+    got = sorted((r.doc_id, r.component) for r in ngram_join.join(docs(rows)).collect())
+    assert got == [(3, 3), (5, 3), (5, 5), (5, 5), (9, 5)]
+
+
 def test_group_bound_never_hides_a_link():
     rnd = random.Random(5)
     for _ in range(200):
