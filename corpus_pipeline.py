@@ -37,8 +37,11 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     """Of documents linked by similar shingle sets the one with the smallest id stays."""
     bounded_batches(spark)
     groups = ngram_join.join(docs, words=NEAR_WORDS, share=NEAR_SHARE)
-    copies = stage(groups.where("component <> doc_id").select("doc_id").distinct(), "near-copies")
-    return docs.join(copies, "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    # by id and text: another text under the same id is another document
+    copies = groups.where("component <> doc_id").select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"))
+    copies = stage(copies.distinct(), "near-copies")
+    same = (docs["doc_id"] == copies["_id"]) & (F.xxhash64(docs["text"]) == copies["_hash"])
+    return docs.join(copies, same, "left_anti")
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
