@@ -1,14 +1,15 @@
 """Benchmark decontamination by latent semantic retrieval.
 
-Texts are cut into passages of ``WINDOW`` words. Passages are TF-IDF vectors of hashed
-words (a word counts once); a randomised SVD over all passages of the corpus gives a latent space of ``RANK``
-dimensions, in which half-overlapping passages are compared with the benchmark items by
-cosine. A cosine alone misses short items and loose paraphrases, so there is a second way
-in that misses nothing: a stretch that shares enough of an item's words must also hold
-some of its rarest ones close together, which is counted exactly. Every candidate is then
-checked on its words: the longest common subsequence of item and passage, over all
-stretches not much longer than the item, and whether the item's answer is there too.
-Copies pass by the first alone, paraphrases need both.
+Texts are cut into passages of ``WINDOW`` words, which are TF-IDF vectors of hashed words; a
+randomised SVD over all passages of the corpus gives a latent space of ``RANK`` dimensions.
+In it items are searched by cosine: items of about equal length are a class, and every text
+is seen through windows of a class's length, a quarter of it apart. A word has a place in
+the latent space and a window is the sum of its words', so all windows of all lengths are
+differences of one running sum. Every candidate is then checked on its words: the longest
+common subsequence of item and passage, over all stretches not much longer than the item,
+and whether the item's answer is there too. Copies pass by the first alone, paraphrases need
+both. Nothing comes in but by its cosine; how many paraphrases that finds is tested and
+stated in the README.
 
 The SVD needs two passes over the corpus, one for document frequencies and one for the
 sketch A'A(omega); each task sums its own part and the sums are added in a tree, so no
@@ -25,7 +26,6 @@ other columns are not read by ``find_leaks`` and kept by ``leaks_column``.
 from __future__ import annotations
 
 import math
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import accumulate
@@ -39,13 +39,15 @@ from homestrata.llm.rolling import blocks, word_hashes
 from homestrata.llm.sums import sum_over
 
 DIMENSIONS = 512
-RANK = 64
+RANK = 96
 OVERSAMPLE = 8
 WINDOW = 32
 BLOCK_ITEMS = 10_000
 BLOCK_BYTES = 1 << 18
-GROUP_ITEMS = 1000  # items whose rare words are looked up together
-COSINE = 0.45
+CLASS_RATIO = 1.4  # of the longest to the shortest item that share windows, about
+STRIDE = 4  # windows begin a fourth of their length apart
+CHUNK = 2048  # windows compared with a class of items at once
+COSINE = 0.48
 COPY_SHARE = 0.8  # share of an item's words in one common subsequence that makes a copy
 PARAPHRASE_SHARE = 0.55
 ANSWER_SHARE = 0.6
@@ -130,9 +132,12 @@ def fit_space(docs: DataFrame, text_col: str, seed: int = 5) -> Space:
     return Space(weights, (left[:, :RANK] / np.sqrt(power + power.mean())).astype(np.float32))
 
 
-def latent(space: Space, dims: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """Unit vectors of passages in the latent space."""
-    rows = _matrix(dims, start, end, space.weights) @ space.basis
+def word_vectors(space: Space) -> np.ndarray:
+    """What a word of every dimension adds to a passage's place in the latent space."""
+    return (space.weights[:, None] * space.basis).astype(np.float32)
+
+
+def _unit(rows: np.ndarray) -> np.ndarray:
     return rows / np.maximum(np.linalg.norm(rows, axis=1, keepdims=True), 1e-9)
 
 
@@ -219,83 +224,69 @@ def check(item: Item, words: list[int], start: int, end: int) -> tuple[float, bo
 
 
 @dataclass
-class RareWords:
-    """The rarest words of some items, sorted, and the items of each.
-
-    ``least``: as many of them stand within ``stretch`` words wherever a stretch shares
-    ``_need`` words with the item, as the words left out cannot make up for more.
-    """
+class ItemClass:
+    """Items of about equal length: their places among all, their unit vectors, their windows' length."""
 
-    words: np.ndarray
-    first: np.ndarray  # place of each word's first item, with the end appended
     items: np.ndarray
-    least: np.ndarray
-    stretch: np.ndarray
+    vectors: np.ndarray
+    length: int
 
 
-def rare_words(space: Space, items: list[Item]) -> RareWords:
-    words, owner, least = [], [], []
+def item_classes(space: Space, items: list[Item]) -> list[ItemClass]:
+    words = word_vectors(space)
+    kinds: dict[int, list[int]] = {}
     for i, item in enumerate(items):
-        n, need = len(item.words), _need(len(item.words))
-        counts = Counter(item.words)
-        names = np.array(sorted(counts), np.uint64)
-        held, wanted = 0, n - need + max(1, need // 3)
-        for at in np.argsort(-space.weights[_dimension(names)], kind="stable"):
-            if held >= wanted:
-                break
-            words.append(names[at])
-            owner.append(i)
-            held += counts[int(names[at])]
-        least.append(held - (n - need))
-    order = np.argsort(np.array(words, np.uint64), kind="stable")
-    known, first = np.unique(np.array(words, np.uint64)[order], return_index=True)
-    return RareWords(
-        known,
-        np.append(first, len(order)),
-        np.array(owner, np.int16)[order],
-        np.array(least, np.int64),
-        np.array([_stretch(len(i.words)) for i in items], np.int64),
-    )
+        kinds.setdefault(math.floor(math.log(len(item.words)) / math.log(CLASS_RATIO)), []).append(i)
+    out = []
+    for _, held in sorted(kinds.items()):
+        sums = [words[_dimension(np.array(items[i].words, np.uint64))].sum(0) for i in held]
+        length = round(sum(len(items[i].words) for i in held) / len(held))
+        out.append(ItemClass(np.array(held), _unit(np.array(sums)), length))
+    return out
 
 
-def shared_places(rare: RareWords, hashes: np.ndarray, text_of: np.ndarray) -> Iterator[tuple[int, int, int]]:
-    """(item, first, end word) of all places that may hold an item, overlapping ones as one."""
-    at = np.minimum(np.searchsorted(rare.words, hashes), len(rare.words) - 1)
-    place = np.flatnonzero(rare.words[at] == hashes)
-    counts = (rare.first[1:] - rare.first[:-1])[at[place]]
-    begin = np.repeat(rare.first[at[place]] - (np.cumsum(counts) - counts), counts)
-    item = rare.items[begin + np.arange(len(begin))]
-    order = np.argsort(item, kind="stable")
-    item, place = item[order], np.repeat(place, counts)[order]
-    last = np.arange(len(item)) + rare.least[item] - 1
-    ok = last < len(item)
-    i, j = np.flatnonzero(ok), last[ok]
-    near = (item[i] == item[j]) & (text_of[place[i]] == text_of[place[j]])
-    near &= place[j] - place[i] < rare.stretch[item[i]]
-    i, j = i[near], j[near]
-    if not len(i):
-        return
-    start, end, item = place[i], place[j] + 1, item[i]
-    new = np.append(True, (item[1:] != item[:-1]) | (text_of[start[1:]] != text_of[start[:-1]]) | (start[1:] > end[:-1]))
-    runs = np.append(np.flatnonzero(new), len(i))
-    for a, b in zip(runs[:-1], runs[1:]):
-        yield int(item[a]), int(start[a]), int(end[b - 1])
+def _windows(offsets: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """First and end word of all windows of texts whose words begin at ``offsets``."""
+    stride = max(1, length // STRIDE)
+    first, sizes = offsets[:-1], np.diff(offsets)
+    counts = np.where(sizes > 0, np.maximum(1, -(-(sizes - length) // stride) + 1), 0)
+    text = np.repeat(np.arange(len(first)), counts)
+    start = first[text] + (np.arange(len(text)) - np.repeat(np.cumsum(counts) - counts, counts)) * stride
+    return start, np.minimum(start + length, offsets[1:][text])
+
+
+def candidates(
+    words: np.ndarray, classes: list[ItemClass], hashes: np.ndarray, offsets: np.ndarray, cosine: float
+) -> Iterator[tuple[int, int, int, float]]:
+    """(item, first, end word, cosine) of all stretches near an item; overlapping windows are one."""
+    sums = np.zeros((len(hashes) + 1, words.shape[1]), np.float32)
+    np.cumsum(words[_dimension(hashes)], axis=0, out=sums[1:])
+    text_end = offsets[1:]
+    for kind in classes:
+        start, end = _windows(offsets, kind.length)
+        found = []
+        for at in range(0, len(start), CHUNK):
+            part = slice(at, at + CHUNK)
+            near = _unit(sums[end[part]] - sums[start[part]]) @ kind.vectors.T
+            p, q = np.nonzero(near >= cosine)
+            found.append((p + at, q, near[p, q]))
+        p, q, near = (np.concatenate(x) for x in zip(*found)) if found else (np.zeros(0, np.int64),) * 3
+        order = np.lexsort((p, q))
+        p, q, near = p[order], q[order], near[order]
+        if not len(p):
+            continue
+        text = np.searchsorted(text_end, start[p], side="right")
+        new = np.append(True, (q[1:] != q[:-1]) | (text[1:] != text[:-1]) | (start[p[1:]] > end[p[:-1]]))
+        runs = np.flatnonzero(new)
+        best = np.maximum.reduceat(near, runs)
+        for a, b, cos in zip(runs.tolist(), [*runs[1:].tolist(), len(p)], best.tolist()):
+            yield int(kind.items[q[a]]), int(start[p[a]]), int(end[p[b - 1]]), cos
 
 
 def leaks_column(space: Space, items: list[Item], text: Column) -> Column:
     """array of struct(item_id, cosine, share, answered) of a text column; at most one per item."""
-    pieces, owner = [], []
-    for i, item in enumerate(items):
-        for at in range(0, len(item.words), WINDOW):
-            pieces.append(item.words[at : at + WINDOW])
-            owner.append(i)
-    sizes = np.array([len(p) for p in pieces], np.int64)
-    flat = np.array([w for p in pieces for w in p], np.uint64)
-    ends = np.cumsum(sizes)
-    asked = latent(space, _dimension(flat), ends - sizes, ends).T if pieces else np.zeros((space.basis.shape[1], 0))
-    owner = np.array(owner, np.int64)
-    own = np.searchsorted(owner, np.arange(len(items) + 1))
-    rare = [(at, rare_words(space, items[at : at + GROUP_ITEMS])) for at in range(0, len(items), GROUP_ITEMS)]
+    classes, words_at = item_classes(space, items), word_vectors(space)
+    threshold = COSINE
 
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for series in batches:
@@ -303,29 +294,18 @@ def leaks_column(space: Space, items: list[Item], text: Column) -> Column:
             texts = series.tolist()
             for keys, data, starts in blocks(range(len(texts)), texts, BLOCK_BYTES):
                 hashes, text_of = word_hashes(data, starts)
-                start, end = _passages(text_of, WINDOW // 2)
-                if not len(start) or not len(owner):
+                if not len(hashes):
                     continue
-                near = latent(space, _dimension(hashes), start, end) @ asked
                 best: dict[tuple[int, int], tuple] = {}
                 offsets = np.searchsorted(text_of, np.arange(len(keys) + 1))
                 words_of: dict[int, list[int]] = {}
-
-                def look(item: int, first: int, stop: int, cosine: float) -> None:
+                for item, first, stop, cosine in candidates(words_at, classes, hashes, offsets, threshold):
                     t = int(text_of[first])
                     if t not in words_of:
                         words_of[t] = hashes[offsets[t] : offsets[t + 1]].tolist()
                     hit = check(items[item], words_of[t], int(first - offsets[t]), int(stop - offsets[t]))
                     if hit:
                         best[t, item] = max(best.get((t, item), (0.0,)), (hit[0], hit[1], cosine))
-
-                for p, q in zip(*np.nonzero(near >= COSINE)):
-                    look(int(owner[q]), int(start[p]), int(end[p]), float(near[p, q]))
-                for at, group in rare:
-                    for k, first, stop in shared_places(group, hashes, text_of):
-                        touching = slice(np.searchsorted(end, first, "right"), np.searchsorted(start, stop))
-                        item = at + k
-                        look(item, first, stop, float(near[touching, own[item] : own[item + 1]].max()))
                 for (t, item), (share, answered, cosine) in sorted(best.items()):
                     found[keys[t]].append(
                         {"item_id": items[item].key, "cosine": cosine, "share": share, "answered": answered}

@@ -166,7 +166,8 @@ def test_paraphrase_needs_its_answer(docs, spark):
     assert [(r.doc_id, r.answered) for r in found] == [(1, True)]
 
 
-def test_paraphrases_are_found_as_by_the_check_over_all_stretches(docs, spark):
+def test_paraphrases_are_found_by_their_cosine(docs, spark, monkeypatch):
+    """Against the check over all stretches: at least nine in ten, nothing else, none without the cosine."""
     rnd = random.Random(8)
     common = ["".join(rnd.choice("klmno") for _ in range(3)) for _ in range(40)]
     vocabulary = ["".join(rnd.choice("abcdefghij") for _ in range(rnd.randint(3, 8))) for _ in range(3000)]
@@ -196,7 +197,13 @@ def test_paraphrases_are_found_as_by_the_check_over_all_stretches(docs, spark):
     assert len(truth) > 200
     benchmark = spark.createDataFrame(texts, "item_id bigint, text string")
     found = decontaminate.find_leaks(docs(rows), benchmark).collect()
-    assert {(r.doc_id, r.item_id): (r.share, r.answered) for r in found} == truth
+    got = {(r.doc_id, r.item_id): (r.share, r.answered) for r in found}
+    assert set(got) <= set(truth) and all(got[k] <= truth[k] for k in got)
+    assert len(got) >= 0.9 * len(truth)
+    assert sum(got[k] == truth[k] for k in got) >= 0.98 * len(got)
+    assert all(r.cosine >= decontaminate.COSINE - 1e-6 for r in found)
+    monkeypatch.setattr(decontaminate, "COSINE", 2.0)
+    assert decontaminate.find_leaks(docs(rows), benchmark).count() == 0
 
 
 def test_passages_cover_all_words():
@@ -211,6 +218,19 @@ def test_passages_cover_all_words():
             assert seen.all()
 
 
+def test_windows_cover_all_words():
+    for sizes in ([0, 1, 31, 32, 33, 48, 0, 49, 200], [5], [0]):
+        offsets = np.concatenate([[0], np.cumsum(sizes)])
+        for length in (3, 8, 30, 100):
+            start, end = decontaminate._windows(offsets, length)
+            seen = np.zeros(offsets[-1], bool)
+            for a, b in zip(start, end):
+                assert 0 < b - a <= length
+                assert np.searchsorted(offsets, a, "right") == np.searchsorted(offsets, b - 1, "right")
+                seen[a:b] = True
+            assert seen.all()
+
+
 def test_leaks_of_odd_and_empty_tables(odd, docs, spark):
     benchmark = spark.createDataFrame([(1, "nothing of this is anywhere in there")], "item_id bigint, text string")
     assert decontaminate.find_leaks(odd, benchmark).count() == 0
