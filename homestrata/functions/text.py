@@ -10,27 +10,34 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from homestrata.functions.common import as_col, digits_to_long, extract
-from homestrata.site import DEFAULT_SITE, PROPERTY_TYPE_PATTERNS, SQFT_PER_ACRE
+from homestrata.site import (
+    DAYS_ON_PATTERN,
+    DEFAULT_SITE,
+    HOA_FEE_PATTERN,
+    LOT_ACRES_PATTERN,
+    LOT_SQFT_PATTERN,
+    MLS_NUMBER_PATTERN,
+    PROPERTY_TYPE_PATTERNS,
+    SQFT_PER_ACRE,
+    YEAR_BUILT_PATTERN,
+)
 
 
 def year_built(text: Column | str, as_of_year: Column | int) -> Column:
     """First year after 'built', if between 1800 and the current year."""
-    year = extract(F.lower(as_col(text)), r"(?U)(?:built|year built)[\s:]*([0-9]{4})").try_cast("int")
+    year = extract(F.lower(as_col(text)), YEAR_BUILT_PATTERN).try_cast("int")
     return F.when((year >= 1800) & (year <= as_of_year), year)
 
 
 def lot_acres(text: Column | str) -> Column:
-    number = extract(F.lower(as_col(text)), r"(?U)([0-9,.]+)\s*(?:acre|ac)\b")
+    number = extract(F.lower(as_col(text)), LOT_ACRES_PATTERN)
     acres = F.regexp_replace(number, ",", "").try_cast("double")
     return F.when((acres > 0) & (acres < 10000), acres)
 
 
 def lot_sqft(text: Column | str) -> Column:
     """Square feet of the lot: from acres when given, else as written."""
-    written = extract(
-        F.lower(as_col(text)),
-        r"(?U)lot[\s:]*size[\s:]*[^0-9]*([0-9,]+)\s*(?:sq\s*ft|sqft)",
-    )
+    written = extract(F.lower(as_col(text)), LOT_SQFT_PATTERN)
     from_acres = F.floor(lot_acres(text) * SQFT_PER_ACRE)
     return F.coalesce(from_acres, digits_to_long(written)).cast("bigint")
 
@@ -38,29 +45,33 @@ def lot_sqft(text: Column | str) -> Column:
 def property_type(text: Column | str) -> Column:
     """First of the ordered type patterns that occurs in the text.
 
-    One scan for any of them comes first: most texts have none.
+    The text is scanned once for the words of all types; what is found, words never
+    overlapping, says which types occur.
     """
-    lowered = F.lower(as_col(text))
-    some = "|".join(f"(?:{pattern})" for pattern, _ in PROPERTY_TYPE_PATTERNS)
-    pattern, name = PROPERTY_TYPE_PATTERNS[0]
-    chain = F.when(lowered.rlike(f"(?U){pattern}"), name)
-    for pattern, name in PROPERTY_TYPE_PATTERNS[1:]:
-        chain = chain.when(lowered.rlike(f"(?U){pattern}"), name)
-    return F.when(lowered.rlike(f"(?U){some}"), chain)
+    bare = [pattern.removeprefix(r"\b(").removesuffix(r")\b") for pattern, _ in PROPERTY_TYPE_PATTERNS]
+    found = F.regexp_extract_all(F.lower(as_col(text)), F.lit(rf"(?U)\b({'|'.join(bare)})\b"), F.lit(1))
+
+    def place(word: Column) -> Column:
+        which = F.when(word.rlike(f"^({bare[0]})$"), 1)
+        for k, words in enumerate(bare[1:], 2):
+            which = which.when(word.rlike(f"^({words})$"), k)
+        return which
+
+    first = F.array_min(F.transform(F.array_distinct(found), place))
+    return F.get(F.array(*[F.lit(name) for _, name in PROPERTY_TYPE_PATTERNS]), first - 1)
 
 
 def hoa_fee(text: Column | str) -> Column:
-    return digits_to_long(extract(F.lower(as_col(text)), r"(?U)hoa[\s:]*\$?([0-9,]+)"))
+    return digits_to_long(extract(F.lower(as_col(text)), HOA_FEE_PATTERN))
 
 
 def days_on_market(text: Column | str, label: str = DEFAULT_SITE.days_on_label) -> Column:
-    pattern = rf"(?U)([0-9]+)\s*days?\s*on\s*{label}"
-    return extract(F.lower(as_col(text)), pattern).try_cast("int")
+    return extract(F.lower(as_col(text)), DAYS_ON_PATTERN + label).try_cast("int")
 
 
 def mls_number(text: Column | str) -> Column:
     """Case-sensitive, unlike the other fields."""
-    return extract(as_col(text), r"(?U)MLS#?\s*[:\s]?([0-9]+)")
+    return extract(as_col(text), MLS_NUMBER_PATTERN)
 
 
 def verdict(text: Column | str) -> Column:

@@ -784,6 +784,9 @@ _add(
 
 ORACLES["q_summary_sink"] = ORACLES["q_process_summary"]
 ORACLES["q_stream_url_dedup"] = "SELECT DISTINCT '/home/' || l_partkey AS url FROM lineitem"
+ORACLES["q_stream_first_seen"] = (
+    "SELECT '/home/' || l_partkey AS url, min(l_shipdate) AS ts FROM lineitem GROUP BY l_partkey"
+)
 ORACLES["q_stream_status"] = ORACLES["q_status_replay"]
 ORACLES["q_stream_status_keyed"] = ORACLES["q_status_replay"]
 ORACLES["q_stream_price_tracking"] = ORACLES["q_price_tracking"]

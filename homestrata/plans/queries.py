@@ -916,6 +916,24 @@ def q_stream_url_dedup(t):
     return log.read().select("url")
 
 
+@query
+def q_stream_first_seen(t):
+    """First observation of every URL, without a horizon, in two runs."""
+    folder = _folder(t)
+    seen = t.lineitem.select(
+        F.concat(F.lit("/home/"), F.col("l_partkey").cast("string")).alias("url"),
+        F.col("l_shipdate").cast("timestamp").alias("ts"),
+    )
+    urls = BucketTable(t.spark, f"{folder}/urls", struct("url string, ts timestamp"), ["url"], _BUCKETS)
+    filters = BucketTable(t.spark, f"{folder}/filters", dedup.FILTER, ["part"], _BUCKETS)
+
+    def run(stream: DataFrame) -> None:
+        incremental.run_available(stream, dedup.track_first_seen(urls, filters), f"{folder}/checkpoint")
+
+    _in_runs(t, seen, _time("ts"), folder, run)
+    return urls.read()
+
+
 @query
 def q_stream_status(t):
     """Status events of all pairs, in two runs against the stored state."""

@@ -60,6 +60,16 @@ PROPERTY_TYPE_PATTERNS = (
     (r"\b(mobile|manufactured)\b", "Mobile"),
 )
 
+# Patterns of page texts, lower-cased but for the MLS number. Digits are written
+# [0-9] here and below, as (?U) would let the digit class take those of other scripts, which no
+# number column can hold.
+YEAR_BUILT_PATTERN = r"(?U)(?:built|year built)[\s:]*([0-9]{4})"
+LOT_ACRES_PATTERN = r"(?U)([0-9,.]+)\s*(?:acre|ac)\b"
+LOT_SQFT_PATTERN = r"(?U)lot[\s:]*size[\s:]*[^0-9]*([0-9,]+)\s*(?:sq\s*ft|sqft)"
+HOA_FEE_PATTERN = r"(?U)hoa[\s:]*\$?([0-9,]+)"
+DAYS_ON_PATTERN = r"(?U)([0-9]+)\s*days?\s*on\s*"
+MLS_NUMBER_PATTERN = r"(?U)MLS#?\s*[:\s]?([0-9]+)"
+
 # Ordered URL patterns of two older portals.
 PORTAL_ID_PATTERNS = (
     r"(?i)_M([0-9]+-[0-9]+)$",
