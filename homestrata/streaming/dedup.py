@@ -6,7 +6,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -17,7 +17,7 @@ from homestrata.streaming.incremental import Run
 
 FILTER = T.StructType([T.StructField("part", T.IntegerType()), T.StructField("bits", T.BinaryType())])
 PARTS = 64
-BITS = 1 << 23  # per part: one megabyte
+BITS = 1 << 20  # of one part, 128 KB
 HASHES = 7
 
 
@@ -41,8 +41,8 @@ def _places(hashes: np.ndarray) -> np.ndarray:
     return ((low[:, None] + high[:, None] * np.arange(HASHES, dtype=np.uint64)) % np.uint64(BITS)).astype(np.int64)
 
 
-def _part(url: str = "url"):
-    return F.pmod(F.xxhash64(F.lit(1), F.col(url)), F.lit(PARTS)).cast("int")
+def _part(parts: int) -> Column:
+    return F.pmod(F.xxhash64(F.lit(1), F.col("url")), F.lit(parts)).cast("int")
 
 
 def _with_filter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -81,13 +81,16 @@ def _with_filter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield close()
 
 
-def track_first_seen(urls: BucketTable, filters: BucketTable) -> Callable[[DataFrame, int], None]:
+def track_first_seen(
+    urls: BucketTable, filters: BucketTable, parts: int = PARTS
+) -> Callable[[DataFrame, int], None]:
     """Fold batches of observations (url, ts, ...) into ``urls``, each URL once, without a horizon.
 
     ``filters`` (``FILTER``, keyed by part) keeps a Bloom filter of all stored URLs in
-    ``PARTS`` parts of one megabyte. A URL that its filter does not know is new; only the others, which
-    are possible hits, are joined with the stored URLs. The filters' size is fixed; at some
-    50 million URLs one in a hundred new ones is joined in vain, which costs but changes nothing.
+    ``parts`` parts of ``BITS``. A URL that its filter does not know is new; only the others,
+    which are possible hits, are joined with the stored URLs. The filters' size is fixed: with
+    100,000 URLs a part one in a hundred new ones is joined in vain, which costs but changes
+    nothing. ``parts`` cannot change while the filters are kept.
     """
     runs = Run()
 
@@ -96,11 +99,11 @@ def track_first_seen(urls: BucketTable, filters: BucketTable) -> Callable[[DataF
         with staged_scope(batch.sparkSession):
             rows = batch.where(F.col("url").isNotNull()).select(*urls.schema.fieldNames())
             seen = stage(first_by(rows, ["url"], [c for c in rows.columns if c != "url"]), "seen")
-            keyed = seen.select("url", _part().alias("part"), F.xxhash64("url").alias("h"))
+            keyed = seen.select("url", _part(parts).alias("part"), F.xxhash64("url").alias("h"))
             asked = keyed.select("part", F.lit(1).alias("kind"), F.lit(None).cast("binary").alias("bits"), "h").distinct()
-            parts = filters.of(keyed.select("part").distinct(), run, epoch)
-            parts = parts.join(keyed.select("part").distinct(), "part", "left_semi")
-            held = parts.select("part", F.lit(0).alias("kind"), "bits", F.lit(None).cast("bigint").alias("h"))
+            stored = filters.of(keyed.select("part").distinct(), run, epoch)
+            stored = stored.join(keyed.select("part").distinct(), "part", "left_semi")
+            held = stored.select("part", F.lit(0).alias("kind"), "bits", F.lit(None).cast("bigint").alias("h"))
             dealt = held.unionByName(asked).repartition("part").sortWithinPartitions("part", "kind")
             found = dealt.mapInArrow(_with_filter, "part int, h bigint, may_be_known boolean, bits binary")
             found = stage(found, "filtered")

@@ -222,16 +222,15 @@ def test_dedup_stream(spark, tmp_path, as_stream):
     assert sorted(r.url for r in log.read().collect()) == sorted({r[0] for r in rows})
 
 
-def test_first_seen_for_all_time(spark, tmp_path, as_stream, monkeypatch):
-    """URLs come back after years; a filter so small that it errs changes nothing."""
-    monkeypatch.setattr(dedup, "PARTS", 3)
+def test_first_seen_for_all_time(spark, tmp_path, as_stream):
+    """URLs come back after years."""
     rng = random.Random(5)
     start = dt.datetime(2000, 1, 1)
     rows = [(f"u{rng.randint(0, 300)}" if rng.random() < 0.98 else None, start + dt.timedelta(days=10 * i)) for i in range(900)]
     df = spark.createDataFrame(rows, "url string, ts timestamp")
     urls = BucketTable(spark, str(tmp_path / "u"), df.schema, ["url"], buckets=4)
     filters = BucketTable(spark, str(tmp_path / "f"), dedup.FILTER, ["part"], buckets=3)
-    query = incremental.run_available(as_stream(df, 3, ["ts"]), dedup.track_first_seen(urls, filters), str(tmp_path / "cp"))
+    query = incremental.run_available(as_stream(df, 3, ["ts"]), dedup.track_first_seen(urls, filters, parts=3), str(tmp_path / "cp"))
     assert len([p for p in query.recentProgress if p["numInputRows"]]) == 3
     want = df.where("url IS NOT NULL").groupBy("url").agg(F.min("ts").alias("ts"))
     same(urls.read(), want)
