@@ -17,19 +17,27 @@ from homestrata.site import (
 _URL_PATH = r"^(?:[^:/?#]+:)?(?://[^/?#]*)?([^?#]*)"
 
 
-def listing_id(url: Column | str) -> Column:
+# Characters of an id made of words; None, where it is an argument, for all of them.
+SLUG_CHARS = 100
+
+
+def _slug(words: Column, chars: int | None) -> Column:
+    return words if chars is None else F.left(words, F.lit(chars))
+
+
+def listing_id(url: Column | str, slug_chars: int | None = SLUG_CHARS) -> Column:
     """Digits after ``/home/``, else the last three path segments joined by ``_``."""
     url = as_col(url)
     segments = F.filter(F.split(F.regexp_extract(url, _URL_PATH, 1), "/"), lambda s: s != "")
     tail = F.slice(segments, F.greatest(F.size(segments) - 2, F.lit(1)), F.lit(3))
-    slug = F.left(non_blank(F.array_join(tail, "_")), F.lit(100))
+    slug = _slug(non_blank(F.array_join(tail, "_")), slug_chars)
     return F.coalesce(extract(url, "/home/([0-9]+)"), slug)
 
 
-def portal_listing_id(url: Column | str) -> Column:
+def portal_listing_id(url: Column | str, slug_chars: int | None = SLUG_CHARS) -> Column:
     """Id by the ordered patterns of the older portal, else its URL slug."""
     url = as_col(url)
-    slug = F.left(F.replace(extract(url, PORTAL_SLUG_PATTERN), F.lit("/"), F.lit("_")), F.lit(100))
+    slug = _slug(F.replace(extract(url, PORTAL_SLUG_PATTERN), F.lit("/"), F.lit("_")), slug_chars)
     return F.coalesce(first_match(url, PORTAL_ID_PATTERNS), slug)
 
 

@@ -151,15 +151,21 @@ def add_preferences(preferences: DataFrame, requests: DataFrame, listings: DataF
     return insert_if_absent(preferences, new_preferences(first, listings), KEY)
 
 
-def analysis_view(requested: DataFrame, preferences: DataFrame, listings: DataFrame) -> DataFrame:
-    """Analysis details of requested pairs; ``found`` is false where there is no preference."""
+def analysis_view(
+    requested: DataFrame, preferences: DataFrame, listings: DataFrame, images: int | None = IMAGES_SHOWN
+) -> DataFrame:
+    """Analysis details of requested pairs; ``found`` is false where there is no preference.
+
+    ``images`` says how many are shown; None shows all.
+    """
     prefs = preferences.select(
         *KEY,
         F.lit(True).alias("_found"),
         *[c for c in ("analysis_status", "analysis_result", "property_summary") if c in preferences.columns],
     )
-    images = listings.select("property_id", F.slice("image_urls", 1, IMAGES_SHOWN).alias("_images"))
-    joined = requested.select(*KEY).join(prefs, KEY, "left").join(images, "property_id", "left")
+    some = F.col("image_urls") if images is None else F.slice("image_urls", 1, images)
+    shown = listings.select("property_id", some.alias("_images"))
+    joined = requested.select(*KEY).join(prefs, KEY, "left").join(shown, "property_id", "left")
     found = F.coalesce("_found", F.lit(False))
     columns = [c for c in prefs.columns if c not in (*KEY, "_found", "analysis_status")]
     return joined.select(
