@@ -242,9 +242,10 @@ def brute_alignment(texts):
             out.append(("", [], 0, 0))
             continue
         ends = lambda side: np.cumsum([len(t) for t in side]).tolist()
-        e_a, e_b, i, j, groups, links = ends(in_a), ends(in_b), 0, 0, [], []
-        for end in sorted(set(e_a) & set(e_b)):
-            p, q = e_a.index(end) + 1, e_b.index(end) + 1
+        e_a, e_b = ({end: k + 1 for k, end in enumerate(ends(side))} for side in (in_a, in_b))
+        i, j, groups, links = 0, 0, [], []
+        for end in sorted(e_a.keys() & e_b.keys()):
+            p, q = e_a[end], e_b[end]
             groups.append(",".join(map(str, a[i:p])) + "|" + ",".join(map(str, b[j:q])))
             links.append((a[p - 1], b[q - 1]))
             i, j = p, q
