@@ -992,11 +992,11 @@ def q_stream_expiry(t):
     folder = _folder(t)
     log = EpochLog(t.spark, f"{folder}/events", keyed.EXPIRY)
     history = pricing.history_rows(_changes(t)).select("property_id", "change_no", "ts", "expires_at")
-    clock = [(None, None, s.AS_OF + dt.timedelta(days=1), None), (None, None, s.AS_OF + dt.timedelta(days=2), None)]
+    clock = [(None, None, s.AS_OF + dt.timedelta(days=1, milliseconds=1), None)]  # what is a day late is still awaited
     ticks = t.spark.createDataFrame(clock, struct("property_id string, change_no bigint, ts timestamp, expires_at timestamp"))
 
     def run(stream: DataFrame) -> None:
-        events = keyed.expiring_history(stream)
+        events = keyed.expiring_history(stream, late="1 day", parts=16)
         incremental.run_available(events, incremental.write_log(log), f"{folder}/checkpoint")
 
     _in_runs(t, history.unionByName(ticks), _time("ts"), folder, run, runs=3)

@@ -141,18 +141,18 @@ EXPIRY = struct("property_id string, change_no bigint, expires_at timestamp, exp
 
 
 class Expiry(StatefulProcessor):
-    """History rows of a listing's month until their last day has come."""
+    """History rows of some listings that expire in one month, until their last day has come."""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self._handle = handle
-        self._open = handle.getListState("open", "change_no bigint, at bigint")
+        self._open = handle.getListState("open", "property_id string, change_no bigint, at bigint")
 
-    def _rows(self, key: tuple, held: list[tuple[int, int]], expired: bool) -> pd.DataFrame:
+    def _rows(self, held: list[tuple], expired: bool) -> pd.DataFrame:
         return pd.DataFrame(
             {
-                "property_id": [key[0]] * len(held),
-                "change_no": [n for n, _ in held],
-                "expires_at": pd.to_datetime([at for _, at in held], unit="us"),
+                "property_id": [x[0] for x in held],
+                "change_no": [x[1] for x in held],
+                "expires_at": pd.to_datetime([x[2] for x in held], unit="us"),
                 "expired": [expired] * len(held),
             }
         )
@@ -160,45 +160,47 @@ class Expiry(StatefulProcessor):
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         for chunk in rows:
             chunk = chunk[chunk["change_no"].notna()]  # others only move the clock on
-            held = list(zip(chunk["change_no"].astype("int64").tolist(), chunk["at"].astype("int64").tolist()))
+            numbers, times = (chunk[c].astype("int64").tolist() for c in ("change_no", "at"))
+            held = list(zip(chunk["property_id"].tolist(), numbers, times))
             if held:
                 self._open.appendList(held)
-                for due in sorted({-(-at // 1000) for _, at in held}):
+                for due in sorted({-(-at // 1000) for at in times}):
                     self._handle.registerTimer(due)
-                yield self._rows(key, held, False)
+                yield self._rows(held, False)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         due = expiredTimerInfo.getExpiryTimeInMs() * 1000
-        held = list(self._open.get())
-        left = [x for x in held if x[1] > due]
+        held = [tuple(x) for x in self._open.get()]
+        left = [x for x in held if x[2] > due]
         if len(left) == len(held):
             return
         if left:
             self._open.put(left)
         else:
             self._open.clear()
-        yield self._rows(key, [x for x in held if x[1] <= due], True)
+        yield self._rows([x for x in held if x[2] <= due], True)
 
     def close(self) -> None:
         pass
 
 
-def expiring_history(history: DataFrame, late: str = "1 day") -> DataFrame:
+def expiring_history(history: DataFrame, late: str = "1 day", parts: int = 64) -> DataFrame:
     """(property_id, change_no, expires_at, expired): rows of history as they come and as they expire.
 
     ``history`` has property_id, change_no, ts and expires_at. The clock is event time: a row
     expires once times ``late`` beyond its last day have been seen; rows without a change_no
-    only tell the time. State is kept per listing and month of expiry, so it stays small for
-    busy listings, and none outlives its rows.
+    only tell the time. State is kept by month of expiry in ``parts`` parts, over which a busy
+    listing's changes are spread like all others, and none outlives its rows.
     """
     rows = history.withWatermark("ts", late).select(
-        "property_id",
+        F.pmod(F.xxhash64("property_id", "change_no"), F.lit(parts)).alias("part"),
         F.coalesce(F.date_format("expires_at", "yyyy-MM"), F.lit("")).alias("month"),
+        "property_id",
         "change_no",
         F.unix_micros("expires_at").alias("at"),
         "ts",
     )
-    return rows.groupBy("property_id", "month").transformWithStateInPandas(Expiry(), EXPIRY, "Append", "EventTime")
+    return rows.groupBy("part", "month").transformWithStateInPandas(Expiry(), EXPIRY, "Append", "EventTime")
 
 
 def unexpired_rows(events: DataFrame) -> DataFrame:
