@@ -35,6 +35,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from homestrata.llm.batches import let_go
 from homestrata.llm.rolling import blocks, word_hashes
 from homestrata.llm.sums import sum_over
 
@@ -311,6 +312,7 @@ def leaks_column(space: Space, items: list[Item], text: Column) -> Column:
                         {"item_id": items[item].key, "cosine": cosine, "share": share, "answered": answered}
                     )
             yield pd.Series(found)
+        let_go()
 
     kind = "array<struct<item_id:bigint,cosine:double,share:double,answered:boolean>>"
     return F.pandas_udf(run, kind, F.PandasUDFType.SCALAR_ITER)(text.cast("string"))

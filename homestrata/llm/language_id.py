@@ -30,6 +30,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from homestrata.llm.batches import let_go
+
 DIMENSIONS = 8192
 GRAMS = (1, 2, 3)
 CLUSTERS = 4
@@ -119,6 +121,7 @@ def document_frequencies(rows: DataFrame, text_col: str) -> DataFrame:
                 n += len(block)
         at = np.flatnonzero(seen)
         grams, docs = np.append(at, -1), np.append(seen[at], n)
+        let_go()
         yield pa.record_batch([pa.array(grams, pa.int64()), pa.array(docs, pa.int64())], names=["gram", "docs"])
 
     parts = rows.select(F.col(text_col).cast("string")).mapInArrow(run, "gram bigint, docs bigint")
@@ -243,6 +246,6 @@ def predict(model: Model, text: Column) -> Column:
                 score[place] = np.clip(cosine.max(1), 0, 1)
                 rejected[place] = 1 - cosine.max(1) > model.radii[best[place], _bands(found)]
             yield pd.DataFrame({"lang": labels[best], "score": score, "rejected": rejected})
-        pa.default_memory_pool().release_unused()
+        let_go()
 
     return run(text.cast("string"))

@@ -39,6 +39,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from homestrata.llm.batches import let_go
 from homestrata.llm.components import components
 from homestrata.llm.rolling import blocks, mix, shingles
 from homestrata.llm.sums import sum_over
@@ -118,6 +119,7 @@ def signatures(docs: DataFrame, words: int, share: tuple[int, int], counts: np.n
                 names = ["id", "mark", "n", "h1", "h2", "like", "prefix", "packed"]
                 yield pa.record_batch([*columns, lists, packed], names=names)
                 at += len(held)
+        let_go()
 
     numbers = "id bigint, mark bigint, n bigint, h1 bigint, h2 bigint, like bigint"
     return docs.mapInArrow(run, f"{numbers}, prefix array<bigint>, packed binary")
@@ -191,6 +193,8 @@ def _compare(rows: DataFrame, words: int, share: tuple[int, int], parts: int) ->
                                 column.append(value)
                 at += len(held)
             yield pa.record_batch([pa.array(c, pa.int64()) for c in out], names=["a", "b", "kind_a", "kind_b"])
+        group, members = None, []
+        let_go()
 
     dealt = rows.select("piece", "asks", "id", "kind", "packed").repartition(parts, "piece")
     dealt = dealt.sortWithinPartitions("piece", "asks", "id")
