@@ -26,10 +26,11 @@ an empty store that reads back as an empty table; other columns are not read.
 from __future__ import annotations
 
 import hashlib
+import json
 import math
 import re
-import struct
 import uuid
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -47,15 +48,25 @@ DICTIONARY_DOCS = 512
 DICTIONARY_CHARS = 8192
 DICTIONARY_SIZE = 65536
 CHUNK_BYTES = 4 << 20
-CACHE_WORDS = 300_000
 LEVEL = 3
-_LONG = 64
-_MARKS = frozenset(".,;:!?")
-# letters whose lower case and composition do not depend on what stands around them
-_LATIN = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017e]+[.,;:!?]?").fullmatch
-# the letters that byte-level vocabularies write for bytes beyond ASCII
+LIBRARY_CHARS = 1 << 16
+_WORD_END = "</w>"
+_END = "\x01"
+# letters, in lower case, and numbers among the characters of _PLAIN
+_LETTERS = "a-z\xaa\xb5\xba\xdf-\xf6\xf8-\u02af\u0400-\u0481\u048a-\u052f\u3041-\u3096\u30a1-\u30fa\u4e00-\u9fef"
+_NUMBERS = "0-9\xb2\xb3\xb9\xbc-\xbe"
+# characters whose composition and lower case depend on nothing around them, alike in all versions of Unicode
+_PLAIN = (
+    "\t\n\r\x20-\x7e\xa1-\xac\xae-\u012f\u0131-\u02af\u0400-\u0481\u048a-\u052f\u2010-\u2027\u2030-\u203a\u20ac"
+    "\u3041-\u3096\u30a1-\u30fa\u4e00-\u9fef"
+)
+# The endings that the vocabulary's pattern splits off first.
+_ENDINGS = "'s|'t|'re|'ve|'m|'ll|'d"
+_not_plain = re.compile(f"[^{_PLAIN}]|<\\|").search
+_words = re.compile(f"{_ENDINGS}|[{_LETTERS}]+|[{_NUMBERS}]|[^\\s{_LETTERS}{_NUMBERS}]+").findall
+# the letters that byte-level vocabularies write for bytes
 _SHOWN = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255]
-_BYTE_CHARS = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _SHOWN)}
+_BYTES = {chr(b): b for b in _SHOWN} | {chr(256 + i): b for i, b in enumerate(sorted({*range(256)} - {*_SHOWN}))}
 
 INDEX = np.dtype([("null", "u1"), ("id", "<i8"), ("offset", "<u8"), ("size", "<u4"), ("tokens", "<u4")])
 
@@ -67,59 +78,52 @@ def default_path() -> str:
 
 
 class WordEncoder:
-    """The library's ids, word by word: text between blanks, a bounded number of them kept.
+    """The library's ids of whole texts.
 
-    The tokenizer drops white space and splits at it, so a text's ids are those of its
-    words one after the other. It lower-cases and splits letters from marks, so a word of
-    Latin letters with one mark behind it has the ids of the lower-case word, then the
-    mark's, and both go to the library's model without its normalizers and splitters.
+    The vocabulary merges bytes within words whose last byte is marked, and every merge's
+    rank is the id it makes. So with a byte of its own behind each word, which the lowest
+    ranks merge into the word's last byte, tiktoken makes the same merges from the same
+    ranks. Texts with other characters than those of ``_PLAIN`` or with what may be a
+    special token go to the library itself, in blocks of words, as it drops white space.
     """
 
-    def __init__(self, path: str, cache_words: int = CACHE_WORDS) -> None:
+    def __init__(self, path: str) -> None:
+        import tiktoken
         from tokenizers import Tokenizer
 
-        self._tokenizer = Tokenizer.from_file(path)
-        self._model = self._tokenizer.model
-        self._young: dict[str, bytes] = {}
-        self._old: dict[str, bytes] = {}
-        self._limit = cache_words
+        self._library = Tokenizer.from_file(path)
+        model = json.loads(self._library.to_str())["model"]
+        made = [model["vocab"]["".join(m.split(" ") if isinstance(m, str) else m)] for m in model["merges"]]
+        least = len(model["vocab"]) - len(made)
+        self._ranked = made == [*range(least, least + len(made))] and model["end_of_word_suffix"] == _WORD_END
+        if not self._ranked:  # another vocabulary, whose ranks are not its ids
+            return
+        ranks = {}
+        for token, number in model["vocab"].items():
+            ends = token.endswith(_WORD_END)
+            shown = token[: -len(_WORD_END)] if ends else token
+            ranks[bytes(_BYTES[c] for c in shown) + _END.encode() * ends] = number
+        own = tiktoken.Encoding("words", pat_str=f"[^{_END}]+{_END}", mergeable_ranks=ranks, special_tokens={})
+        self._encode = own.encode_ordinary
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        split = [t.replace("\n", " ").split(" ") for t in texts]
-        young, old = self._young, self._old
-        found: dict[str, bytes] = {}  # small enough to stay in the processor's caches
-        for word in set().union(*split):
-            ids = young.get(word)
-            if ids is None:
-                ids = old.get(word)
-                if ids is None:
-                    ids = self._new(word)
-                if len(word) <= _LONG:
-                    young[word] = ids
-            found[word] = ids
-        if len(young) > self._limit:
-            self._old, self._young = young, {}
-        return [b"".join(map(found.__getitem__, words)) for words in split]
-
-    def _new(self, word: str) -> bytes:
-        if not _LATIN(word):
-            ids = self._tokenizer.encode(word, add_special_tokens=False).ids
-            return struct.pack(f"<{len(ids)}I", *ids)
-        low = word.lower()
-        if low[-1] in _MARKS:
-            return self._core(low[:-1]) + self._core(low[-1])
-        return self._core(low)
-
-    def _core(self, word: str) -> bytes:
-        """Ids of one lower-case word or mark."""
-        got = self._young.get(word)
-        if got is None:
-            seen = word if word.isascii() else word.encode().decode("latin-1").translate(_BYTE_CHARS)
-            ids = [token.id for token in self._model.tokenize(seen)]
-            got = struct.pack(f"<{len(ids)}I", *ids)
-            if len(word) <= _LONG:
-                self._young[word] = got
-        return got
+        return [self._one(t) if self._ranked and not _not_plain(t) else self._by_library(t) for t in texts]
+
+    def _one(self, text: str) -> bytes:
+        words = _words(text.lower())
+        return array("I", self._encode(_END.join(words) + _END) if words else []).tobytes()
+
+    def _by_library(self, text: str) -> bytes:
+        out = array("I")
+        held, size = [], 0
+        for word in text.replace("\n", " ").split(" "):
+            held.append(word)
+            size += len(word) + 1
+            if size >= LIBRARY_CHARS:
+                out.extend(self._library.encode(" ".join(held), add_special_tokens=False).ids)
+                held, size = [], 0
+        out.extend(self._library.encode(" ".join(held), add_special_tokens=False).ids)
+        return out.tobytes()
 
 
 @lru_cache(maxsize=1)

@@ -18,7 +18,7 @@ ENCODER = bpe.Encoder(bpe.default_path(), bpe.default_pattern(), cache_pieces=50
 LIBRARY = tiktoken.Encoding(
     "own", pat_str=bpe.default_pattern(), mergeable_ranks=ENCODER.vocabulary.ranks, special_tokens={}
 )
-WORDS = token_store.WordEncoder(token_store.default_path(), cache_words=50)
+WORDS = token_store.WordEncoder(token_store.default_path())
 TOKENIZER = Tokenizer.from_file(token_store.default_path())
 
 
@@ -54,6 +54,32 @@ def test_words_with_letters_that_change(spark):
     assert [ids(r) for r in WORDS.encode(texts)] == want
 
 
+def test_words_of_every_plain_character():
+    """Each character alone, in a word, at its end and beside marks, and long runs."""
+    plain = [chr(c) for c in range(0x10000) if not 0xD800 <= c < 0xE000 and not token_store._not_plain(chr(c))]
+    assert len(plain) > 20_000
+    texts = [f"{c} a{c} {c}b x{c}y .{c} {c}' 7{c}'s" for c in plain]
+    rnd = random.Random(1)
+    texts += ["".join(rnd.choices(plain[:400] if k % 2 else plain, k=300)) for k in range(300)]
+    texts += ["".join(rnd.choices("abcdet '.,-s", k=400)) for _ in range(300)]
+    want = [e.ids for e in TOKENIZER.encode_batch(texts, add_special_tokens=False)]
+    assert [ids(r) for r in WORDS.encode(texts)] == want
+
+
+def test_words_of_the_whole_vocabulary():
+    """Every entry, as a word, inside one, and behind another."""
+    vocab = [v.removesuffix("</w>") for v in TOKENIZER.get_vocab()]
+    raw = [bytes(token_store._BYTES[c] for c in v).decode(errors="ignore") for v in vocab]
+    texts = [f"{v} {v}x x{v} {v}{w}" for v, w in zip(raw, raw[1:] + raw[:1])]
+    want = [e.ids for e in TOKENIZER.encode_batch(texts, add_special_tokens=False)]
+    assert [ids(r) for r in WORDS.encode(texts)] == want
+
+
+@pytest.mark.parametrize("text", ["a" * 200_000, "ab" * 50_000 + "é.", "x " * 70_000 + "Σ", "漢字" * 40_000, "\x01 \x01a\x01"])
+def test_words_of_long_and_marked_texts(text):
+    assert ids(WORDS.encode([text])[0]) == TOKENIZER.encode(text, add_special_tokens=False).ids
+
+
 def test_encode_and_decode_rows(odd):
     rows = bpe.decode(bpe.encode(odd)).collect()
     texts = {(r.doc_id, r.text) for r in odd.collect()}
