@@ -53,7 +53,7 @@ LIBRARY_CHARS = 1 << 16
 _WORD_END = "</w>"
 _END = "\x01"
 # letters, in lower case, and numbers among the characters of _PLAIN
-_LETTERS = "a-z\xaa\xb5\xba\xdf-\xf6\xf8-\u02af\u0400-\u0481\u048a-\u052f\u3041-\u3096\u30a1-\u30fa\u4e00-\u9fef"
+_LETTERS = "a-z\xaa\xb5\xba\xdf-\xf6\xf8-\u02af\u0400-\u0481\u048a-\u052f\u2c65\u2c66\u3041-\u3096\u30a1-\u30fa\u4e00-\u9fef"
 _NUMBERS = "0-9\xb2\xb3\xb9\xbc-\xbe"
 # characters whose composition and lower case depend on nothing around them, alike in all versions of Unicode
 _PLAIN = (
