@@ -1,7 +1,8 @@
 """Headline queries over $BENCH_SF_DIR on local[$BENCH_CPUS]; prints one JSON line.
 
 Every query is run to its end (all rows, all columns, no result kept). One short query
-first starts the engine and its Python workers; each query is then timed once.
+first starts the engine and its Python workers; each query is then timed, three times
+where its first run takes less than ``REPEAT_BELOW`` seconds, and the median counts.
 """
 
 from __future__ import annotations
@@ -11,6 +12,7 @@ import os
 import sys
 import time
 from pathlib import Path
+from statistics import median
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
@@ -48,19 +50,29 @@ HEADLINE = [
 ]
 
 
+REPEAT_BELOW = 8.0
+
+
 def run(spark, name: str, sf_dir: str) -> float:
     started = time.perf_counter()
     REGISTRY[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
     return round(time.perf_counter() - started, 3)
 
 
+def timed(spark, name: str, sf_dir: str) -> float:
+    times = [run(spark, name, sf_dir)]
+    if times[0] < REPEAT_BELOW:
+        times += [run(spark, name, sf_dir) for _ in range(2)]
+    return median(times)
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     spark = build_session("bench", cores=cpus, **{"spark.sql.shuffle.partitions": cpus})
     run(spark, "q_pages_scan", sf_dir)
     run(spark, "q_page_links", sf_dir)
-    times = {name: run(spark, name, sf_dir) for name in HEADLINE}
+    times = {name: timed(spark, name, sf_dir) for name in HEADLINE}
     print(
         json.dumps(
             {
