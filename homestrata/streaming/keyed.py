@@ -1,8 +1,11 @@
 """Keyed stateful operators for results that must be there as events arrive.
 
-State is Spark's own (RocksDB, kept with the stream's checkpoint). Where one key may hold
-much of a batch, its rows are folded before they meet: prices into one row per listing and
-unit of time, status events by Spark's partial aggregates.
+State is Spark's own (RocksDB, kept with the stream's checkpoint). A processor's group is a
+part of the keys, not a single one: a call and a state access per key cost far more than
+the work on it. A part's state is one Arrow table, read and written once per batch, and its
+keys are worked on together. Where one key may hold much of a batch, its rows are folded
+before they meet: prices by listing and unit of time, status events by Spark's partial
+aggregates.
 """
 
 from __future__ import annotations
@@ -15,7 +18,7 @@ import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
@@ -29,71 +32,123 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 _NEVER = -(2**62)  # a NULL time, before all others
 
+# Parts of the keys; a part's state of a batch is handled in a worker's memory.
+PARTS = 256
+# Rows handed back at once.
+_OUT = 20_000
+
+
+def _part(parts: int, *keys: str) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(parts)).alias("part")
+
+
+def _from_pandas(chunks: Iterator[pd.DataFrame], schema: pa.Schema) -> pa.Table:
+    """Chunks of a group as one table."""
+    found = [pa.Table.from_pandas(c[schema.names], schema, preserve_index=False) for c in chunks]
+    return pa.concat_tables([schema.empty_table(), *found])
+
+
+def _packed(rows: pa.Table) -> tuple[bytes]:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, rows.schema) as writer:
+        writer.write_table(rows)
+    return (sink.getvalue().to_pybytes(),)
+
+
+def _unpacked(value: tuple[bytes]) -> pa.Table:
+    return pa.ipc.open_stream(bytes(value[0])).read_all()
+
+
+def _numbers(column: pa.ChunkedArray) -> np.ndarray:
+    return column.to_numpy()
+
+
+def _codes(*columns: pa.ChunkedArray) -> np.ndarray:
+    """A number per row, the same where all columns are; NULLs are equal."""
+    codes = np.zeros(len(columns[0]), np.int64)
+    for column in columns:
+        found = column.combine_chunks().dictionary_encode(null_encoding="encode")
+        codes = codes * len(found.dictionary) + found.indices.to_numpy()
+    return codes
+
+
+def _begins(*sorted_columns: np.ndarray) -> np.ndarray:
+    """Where a row differs from the one before."""
+    begins = np.ones(len(sorted_columns[0]), bool)
+    begins[1:] = np.logical_or.reduce([c[1:] != c[:-1] for c in sorted_columns])
+    return begins
+
 
 # -- prices -----------------------------------------------------------------------------------
 
 
+_RUN = pa.schema([("property_id", pa.string()), *((c, pa.int64()) for c in ("unit", "pos", "at", "price"))])
+_LISTING = pa.schema([("property_id", pa.string()), *((c, pa.int64()) for c in ("last", "original", "changes"))])
+
+
 def _price_runs(batches: Iterator[pa.RecordBatch], schema: pa.Schema, ties: list[str]) -> Iterator[pa.RecordBatch]:
-    """One row per listing and unit: first observations of its runs of equal prices, in order."""
+    """First observations of the runs of equal prices of every listing and unit, numbered in order."""
     rows = pa.Table.from_batches([b for b in batches if b.num_rows], schema)
     if not rows.num_rows:
         return
     by = [(c, "ascending") for c in ("property_id", "unit", "at", *ties)]
     rows = rows.take(pc.sort_indices(rows, sort_keys=by, null_placement="at_start")).combine_chunks()
-    keys = rows["property_id"].combine_chunks().dictionary_encode(null_encoding="encode").indices.to_numpy()
-    units, price = rows["unit"].to_numpy(), rows["price"].to_numpy()
-    begins = np.ones(len(keys), bool)
-    begins[1:] = (keys[1:] != keys[:-1]) | (units[1:] != units[:-1])
-    runs = begins.copy()
-    runs[1:] |= price[1:] != price[:-1]
-    heads = np.flatnonzero(begins)
-    offsets = np.append(np.cumsum(runs)[heads] - 1, runs.sum())
-    lists = [pa.LargeListArray.from_arrays(offsets, rows[c].to_numpy()[runs]).cast(pa.list_(pa.int64())) for c in ("at", "price")]
-    firsts = rows.take(heads)
-    yield pa.record_batch(
-        [firsts["property_id"].combine_chunks(), firsts["unit"].combine_chunks(), *lists],
-        names=["property_id", "unit", "ats", "prices"],
-    )
+    runs = _begins(_codes(rows["property_id"]), rows["unit"].to_numpy(), rows["price"].to_numpy())
+    rows = rows.append_column("pos", pa.array(np.arange(rows.num_rows))).filter(pa.array(runs))
+    yield from rows.select(["part", *_RUN.names]).to_batches(max_chunksize=_OUT)
 
 
 class PriceReplay(StatefulProcessor):
-    """Last price, first price and number of changes of a listing."""
+    """Last price, first price and number of changes of the listings of a part."""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self._state = handle.getValueState("price", "last bigint, original bigint, changes bigint")
+        self._state = handle.getValueState("prices", "listings binary")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        segments = []
-        for chunk in rows:
-            segments.extend(zip(chunk["unit"].tolist(), chunk["ats"], chunk["prices"]))
-        segments.sort(key=lambda s: s[0])
-        last, original, changes = self._state.get() if self._state.exists() else (None, None, 0)
-        for _, ats, prices in segments:
-            if last is None:
-                original = last = int(prices[0])
-            skip = int(prices[0]) == last
-            ats, prices = ats[skip:], prices[skip:]
-            if not len(prices):
-                continue
+        new = _from_pandas(rows, _RUN)
+        held = _unpacked(self._state.get()) if self._state.exists() else _LISTING.empty_table()
+        ids = pa.chunked_array([*held["property_id"].chunks, *new["property_id"].chunks], pa.string())
+
+        def joined(old: np.ndarray | int, column: str) -> np.ndarray:
+            return np.concatenate([np.broadcast_to(old, held.num_rows), _numbers(new[column])])
+
+        # what is known of a listing comes before its new rows
+        code = _codes(ids)
+        order = np.lexsort((joined(0, "pos"), joined(_NEVER - 1, "unit"), code))
+        code, at, price = code[order], joined(0, "at")[order], joined(_numbers(held["last"]), "price")[order]
+        original = joined(_numbers(held["original"]), "price")[order]
+        before = np.concatenate([_numbers(held["changes"]), np.zeros(new.num_rows, np.int64)])[order]
+        firsts = _begins(code)
+        changed = _begins(price) & ~firsts
+        starts, listing = np.flatnonzero(firsts), np.cumsum(firsts) - 1
+        number = np.cumsum(changed)
+        number += (before[starts] - number[starts])[listing]
+        original = original[starts][listing]
+        ends = np.append(starts[1:], len(code)) - 1
+        kept = [ids.take(pa.array(order[ends])), *(pa.array(c[ends]) for c in (price, original, number))]
+        self._state.update(_packed(pa.Table.from_arrays(kept, schema=_LISTING)))
+        found = np.flatnonzero(changed)
+        for i in range(0, len(found), _OUT):
+            some = found[i : i + _OUT]
             yield pd.DataFrame(
                 {
-                    "property_id": [key[0]], "first_no": [changes + 1], "ats": [ats], "prices": [prices],
-                    "before": [last], "original_price": [original],
+                    "property_id": ids.take(pa.array(order[some])).to_pandas(), "change_no": number[some], "at": at[some],
+                    "price": price[some], "previous": price[some - 1], "original_price": original[some],
                 }
             )
-            changes, last = changes + len(prices), int(prices[-1])
-        self._state.update((last, original, changes))
 
     def close(self) -> None:
         pass
 
 
-def price_changes_stream(observations: DataFrame, ties: list[str], unit: str = "day") -> DataFrame:
+def price_changes_stream(
+    observations: DataFrame, ties: list[str], unit: str = "day", parts: int = PARTS
+) -> DataFrame:
     """Price changes (``CHANGES_SCHEMA``) as observations (property_id, ts, price, ties) arrive.
 
     Observations of one batch are replayed in order; late ones count when they arrive. A
     batch's observations of one listing and ``unit`` meet in one task, of which only runs
-    of equal prices go on to the listing's state.
+    of equal prices go on to the listing's state, which is kept in ``parts`` parts.
     """
     spark = observations.sparkSession
     rows = observations.where(F.col("price") > 0).select(
@@ -101,29 +156,27 @@ def price_changes_stream(observations: DataFrame, ties: list[str], unit: str = "
         F.coalesce(F.unix_micros(F.date_trunc(unit, "ts")), F.lit(_NEVER)).alias("unit"),
         F.coalesce(F.unix_micros("ts"), F.lit(_NEVER)).alias("at"),
         F.col("price").cast("bigint").alias("price"),
+        _part(parts, "property_id"),
         *ties,
     )
     from pyspark.sql.pandas.types import to_arrow_schema
 
     arrow = to_arrow_schema(rows.schema)
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    runs = rows.repartition(parts, "property_id", "unit").mapInArrow(
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    runs = rows.repartition(tasks, "property_id", "unit").mapInArrow(
         lambda batches: _price_runs(batches, arrow, ties),
-        "property_id string, unit bigint, ats array<bigint>, prices array<bigint>",
+        "part bigint, property_id string, unit bigint, pos bigint, at bigint, price bigint",
     )
-    found = runs.groupBy("property_id").transformWithStateInPandas(
+    found = runs.groupBy("part").transformWithStateInPandas(
         PriceReplay(),
-        "property_id string, first_no bigint, ats array<bigint>, prices array<bigint>, before bigint, original_price bigint",
+        "property_id string, change_no bigint, at bigint, price bigint, previous bigint, original_price bigint",
         "Append",
         "None",
     )
-    each = found.select("*", F.posexplode("prices").alias("i", "price"))
-    at, price = F.element_at("ats", F.col("i") + 1), F.col("price")
-    previous = F.when(F.col("i") == 0, F.col("before")).otherwise(F.element_at("prices", F.greatest("i", F.lit(1))))
-    original = F.col("original_price")
-    return each.select(
+    at, price, previous, original = (F.col(c) for c in ("at", "price", "previous", "original_price"))
+    return found.select(
         "property_id",
-        (F.col("first_no") + F.col("i")).alias("change_no"),
+        "change_no",
         F.when(at != _NEVER, F.timestamp_micros(at)).alias("ts"),
         "price",
         previous.alias("previous_price"),

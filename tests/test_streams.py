@@ -147,6 +147,23 @@ def test_keyed_prices_equal_batch(spark, tmp_path, as_stream):
     same(log.read(), pricing.replay_changes(df, ["tie"]))
 
 
+def state_rows(query):
+    """The most rows that the stream's state has held."""
+    return max(o["numRowsTotal"] for p in query.recentProgress for o in p["stateOperators"])
+
+
+def test_keyed_prices_are_kept_by_part(spark, tmp_path, as_stream):
+    """Calls and state rows follow the parts, not the listings; so do those of one call that come again."""
+    start = dt.datetime(2024, 1, 1)
+    rows = [(f"P{i % 300}", start + dt.timedelta(days=i // 300), i, 100 + 10 * (i * i % 7)) for i in range(1200)]
+    df = spark.createDataFrame(rows, "property_id string, ts timestamp, tie bigint, price bigint")
+    log = EpochLog(spark, str(tmp_path / "c"), pricing.CHANGES_SCHEMA)
+    changes = keyed.price_changes_stream(as_stream(df, 2, ["ts", "tie"]), ["tie"], parts=8)
+    query = incremental.run_available(changes, incremental.write_log(log), str(tmp_path / "cp"))
+    assert 0 < state_rows(query) <= 8
+    same(log.read(), pricing.replay_changes(df, ["tie"]))
+
+
 def test_expiry_stream_equals_batch(spark, tmp_path, as_stream):
     _, df = observations(spark, seed=14)
     history = pricing.history_rows(pricing.replay_changes(df, ["tie"]), keep_days=20)
