@@ -267,76 +267,97 @@ def unexpired_rows(events: DataFrame) -> DataFrame:
 PREFERENCE_EVENTS = struct(
     "user_id bigint, property_id string, preference_type string, created_at timestamp, created_seq bigint"
 )
-_INSERT = {"favorite": 0, "hidden": 1}
-_TYPES = list(_INSERT)
+_TYPES = ["favorite", "hidden"]
+
+
+_REMOVED = 2
+_EVENT = pa.schema([("user", pa.string()), ("property_id", pa.string()), *((c, pa.int64()) for c in ("at", "seq", "kind"))])
 
 
 class Preferences(StatefulProcessor):
-    """The last removal of a pair, and the inserts after it that late removals may reach."""
+    """By pair the last removal, and the inserts after it that late removals may reach; the pairs of a part."""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self._handle = handle
-        self._removed = handle.getValueState("removed", "at bigint, seq bigint")
-        self._inserts = handle.getListState("inserts", "at bigint, seq bigint, kind int")
-
-    def _kept(self, inserts: list[tuple], removed: tuple[int, int], closed: int) -> list[tuple]:
-        """Inserts after the last removal: the first one, and those that a removal may still come before."""
-        after = sorted(x for x in inserts if x[:2] > removed)
-        return after[:1] + [x for x in after[1:] if x[0] > closed]
+        self._state = handle.getValueState("pairs", "events binary")
+
+    def _sorted(self, events: pa.Table) -> tuple[pa.Table, np.ndarray, np.ndarray]:
+        """Events by pair and time with where pairs begin, and the order they came from."""
+        pair = _codes(events["user"], events["property_id"])
+        # a removal comes after the inserts of its time
+        order = np.lexsort((*(_numbers(events[c]) for c in ("kind", "seq", "at")), pair))
+        return events.take(pa.array(order)), np.flatnonzero(_begins(pair[order])), order
+
+    def _keep(self, events: pa.Table, starts: np.ndarray, closed: int) -> np.ndarray:
+        """Store what is still needed of sorted events; the place of each pair's first insert, or their number."""
+        n = events.num_rows
+        places, kind, at = np.arange(n), _numbers(events["kind"]), _numbers(events["at"])
+        sizes = np.diff(np.append(starts, n))
+        removed = np.repeat(np.maximum.reduceat(np.where(kind == _REMOVED, places, -1), starts), sizes)
+        heads = np.minimum.reduceat(np.where(places > removed, places, n), starts)
+        head = places == np.repeat(heads, sizes)
+        waiting = (places > removed) & ~head & (at > closed)
+        self._state.update(_packed(events.filter(pa.array(head | waiting | (places == removed)))))
+        if waiting.any():  # when no removal can come in between any more
+            self._handle.registerTimer(int(at[waiting].max()) // 1000 + 1)
+        return heads
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        removed = tuple(self._removed.get()) if self._removed.exists() else (_NEVER - 1, 0)
-        held = [tuple(x) for x in self._inserts.get()]
-        shown = held[:1]
-        was_removed, closed = removed, timerValues.getCurrentWatermarkInMs() * 1000
-        for chunk in rows:
-            events = list(zip(chunk["at"].tolist(), chunk["seq"].tolist(), chunk["action"]))
-            removed = max([removed, *[e[:2] for e in events if e[2] == "remove"]])
-            held += [(at, seq, _INSERT[action]) for at, seq, action in events if action in _INSERT]
-            held = self._kept(held, removed, closed)
-        if removed != was_removed:
-            self._removed.update(removed)
-        if held:
-            self._inserts.put(held)
-            if len(held) > 1:  # when no removal can come in between any more
-                self._handle.registerTimer(held[-1][0] // 1000 + 1)
-        elif self._inserts.exists():
-            self._inserts.clear()
-        if held[:1] != shown:
-            yield self._row(key, held)
+        held = _unpacked(self._state.get()) if self._state.exists() else _EVENT.empty_table()
+        events, starts, order = self._sorted(pa.concat_tables([held, _from_pandas(rows, _EVENT)]))
+        n = events.num_rows
+        inserts = (order < held.num_rows) & (_numbers(events["kind"]) != _REMOVED)
+        shown = np.minimum.reduceat(np.where(inserts, np.arange(n), n), starts)
+        heads = self._keep(events, starts, timerValues.getCurrentWatermarkInMs() * 1000)
+        # an event may come twice: what is shown is compared by value; nothing is of no kind
+        at, seq, kind = (np.append(_numbers(events[c]), -1) for c in ("at", "seq", "kind"))
+        new = np.flatnonzero(np.logical_or.reduce([c[heads] != c[shown] for c in (at, seq, kind)]))
+        for i in range(0, len(new), _OUT):
+            some = new[i : i + _OUT]
+            pairs = events.select(["user", "property_id"]).take(pa.array(starts[some])).to_pandas()
+            yield pairs.assign(at=at[heads[some]], seq=seq[heads[some]], kind=kind[heads[some]])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        held = [tuple(x) for x in self._inserts.get()]
-        closed = expiredTimerInfo.getExpiryTimeInMs() * 1000
-        left = held[:1] + [x for x in held[1:] if x[0] > closed]
-        if len(left) < len(held):
-            self._inserts.put(left)
+        events = _unpacked(self._state.get())
+        pair = _codes(events["user"], events["property_id"])
+        self._keep(events, np.flatnonzero(_begins(pair)), expiredTimerInfo.getExpiryTimeInMs() * 1000)
         return iter(())
 
-    def _row(self, key: tuple, held: list[tuple]) -> pd.DataFrame:
-        at, seq, kind = held[0] if held else (None, None, None)
-        return pd.DataFrame(
-            {
-                "user_id": [key[0]],
-                "property_id": [key[1]],
-                "preference_type": [None if kind is None else _TYPES[kind]],
-                "created_at": [pd.NaT if at is None else pd.Timestamp(at, unit="us")],
-                "created_seq": pd.array([seq], "Int64"),
-            }
-        )
-
     def close(self) -> None:
         pass
 
 
-def preference_stream(events: DataFrame, late: str = "30 days") -> DataFrame:
+def preference_stream(events: DataFrame, late: str = "30 days", parts: int = PARTS) -> DataFrame:
     """Preferences as events (user_id, property_id, action, ts, seq) arrive, in any order within ``late``.
 
-    A row is written when a pair's preference changes; without a type it is gone.
+    A row is written when a pair's preference changes; without a type it is gone. State is kept
+    in ``parts`` parts of the pairs. Inserts that no removal can reach any more are dropped
+    when their part sees events, and when its last insert is out of reach.
     """
-    rows = events.where(F.col("action").isin("remove", *_TYPES)).withWatermark("ts", late)
-    rows = rows.select(*KEY, F.unix_micros("ts").alias("at"), "seq", "action", "ts")
-    return rows.groupBy(*KEY).transformWithStateInPandas(Preferences(), PREFERENCE_EVENTS, "Update", "EventTime")
+    removal = F.col("action") == "remove"
+    # a removal without a user or id finds no pair, as in ``replay_preferences``
+    some = F.col("action").isin(_TYPES) | (removal & F.col("user_id").isNotNull() & F.col("property_id").isNotNull())
+    rows = events.where(some).withWatermark("ts", late)
+    kind = F.when(removal, _REMOVED).when(F.col("action") == "hidden", 1).otherwise(0)
+    found = rows.select(
+        _part(parts, *KEY),
+        F.col("user_id").cast("string").alias("user"),
+        "property_id",
+        F.coalesce(F.unix_micros("ts"), F.lit(_NEVER)).alias("at"),
+        F.coalesce(F.col("seq"), F.lit(_NEVER)).cast("bigint").alias("seq"),
+        kind.cast("bigint").alias("kind"),
+        "ts",
+    ).groupBy("part").transformWithStateInPandas(
+        Preferences(), "user string, property_id string, at bigint, seq bigint, kind bigint", "Update", "EventTime"
+    )
+    there = F.col("kind") >= 0
+    return found.select(
+        F.col("user").cast("bigint").alias("user_id"),
+        "property_id",
+        F.when(F.col("kind") == 0, _TYPES[0]).when(F.col("kind") == 1, _TYPES[1]).alias("preference_type"),
+        F.when(there & (F.col("at") != _NEVER), F.timestamp_micros("at")).alias("created_at"),
+        F.when(there & (F.col("seq") != _NEVER), F.col("seq")).alias("created_seq"),
+    )
 
 
 # -- status -----------------------------------------------------------------------------------

@@ -207,6 +207,21 @@ def test_late_preference_events_fold_in_order(spark, tmp_path, as_stream, late):
     same(found, preferences.replay_preferences(df))
 
 
+def test_preferences_are_kept_by_part(spark, tmp_path, as_stream):
+    """State rows follow the parts, not the pairs; users, ids and times may be NULL, events come twice."""
+    rng = random.Random(10)
+    start = dt.datetime(2024, 1, 1)
+    rows = [(rng.choice([None, 2**60 + rng.randint(1, 9)]), rng.choice([None, *"ABCDEFGH"]), rng.choice(["favorite", "hidden", "remove", "odd"]),
+             start + dt.timedelta(seconds=i) if rng.random() < 0.95 else None, i) for i in range(900)]
+    df = spark.createDataFrame(rows + rows[::7], EVENTS)
+    log = EpochLog(spark, str(tmp_path / "p"), keyed.PREFERENCE_EVENTS)
+    stream = keyed.preference_stream(as_stream(df, 3, [F.hash("seq")]), "3650 days", parts=4)
+    query = incremental.run_available(stream, incremental.write_log(log), str(tmp_path / "cp"), "update")
+    assert 0 < state_rows(query) <= 3 * 4  # a row a part, and its timer in two indexes
+    found = incremental.newest(log, preferences.KEY).where(F.col("preference_type").isNotNull())
+    same(found, preferences.replay_preferences(df))
+
+
 def test_status_stream_equals_batch(spark, tmp_path, as_stream):
     rng = random.Random(4)
     start = dt.datetime(2024, 1, 1)
