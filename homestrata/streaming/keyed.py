@@ -193,45 +193,46 @@ def price_changes_stream(
 EXPIRY = struct("property_id string, change_no bigint, expires_at timestamp, expired boolean")
 
 
+_OPEN = pa.schema([("property_id", pa.string()), ("change_no", pa.int64()), ("at", pa.int64())])
+
+
 class Expiry(StatefulProcessor):
     """History rows of some listings that expire in one month, until their last day has come."""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self._handle = handle
-        self._open = handle.getListState("open", "property_id string, change_no bigint, at bigint")
-
-    def _rows(self, held: list[tuple], expired: bool) -> pd.DataFrame:
-        return pd.DataFrame(
-            {
-                "property_id": [x[0] for x in held],
-                "change_no": [x[1] for x in held],
-                "expires_at": pd.to_datetime([x[2] for x in held], unit="us"),
-                "expired": [expired] * len(held),
-            }
-        )
+        self._open = handle.getListState("open", "rows binary")
+
+    def _wake(self, held: pa.Table) -> None:
+        """One timer, for what expires first."""
+        self._handle.registerTimer(-(-int(_numbers(held["at"]).min()) // 1000))
+
+    def _rows(self, held: pa.Table, expired: bool) -> Iterator[pd.DataFrame]:
+        for i in range(0, held.num_rows, _OUT):
+            yield held.slice(i, _OUT).to_pandas().assign(expired=expired)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        for chunk in rows:
-            chunk = chunk[chunk["change_no"].notna()]  # others only move the clock on
-            numbers, times = (chunk[c].astype("int64").tolist() for c in ("change_no", "at"))
-            held = list(zip(chunk["property_id"].tolist(), numbers, times))
-            if held:
-                self._open.appendList(held)
-                for due in sorted({-(-at // 1000) for at in times}):
-                    self._handle.registerTimer(due)
-                yield self._rows(held, False)
+        new = _from_pandas(rows, pa.schema([*_OPEN, ("held", pa.bool_())]))
+        held = new.filter(new["held"]).select(_OPEN.names)  # others only move the clock on
+        if held.num_rows:
+            self._open.appendValue(_packed(held))
+            self._wake(held)
+            yield from self._rows(held, False)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        due = expiredTimerInfo.getExpiryTimeInMs() * 1000
-        held = [tuple(x) for x in self._open.get()]
-        left = [x for x in held if x[2] > due]
-        if len(left) == len(held):
+        # all that is due by now at once, not a day at a time
+        due = max(expiredTimerInfo.getExpiryTimeInMs(), timerValues.getCurrentWatermarkInMs() - 1) * 1000
+        held = pa.concat_tables([_OPEN.empty_table(), *map(_unpacked, self._open.get())])
+        gone = _numbers(held["at"]) <= due
+        if not gone.any():
             return
-        if left:
-            self._open.put(left)
+        left = held.filter(pa.array(~gone))
+        if left.num_rows:
+            self._open.put([_packed(left)])
+            self._wake(left)
         else:
             self._open.clear()
-        yield self._rows([x for x in held if x[2] <= due], True)
+        yield from self._rows(held.filter(pa.array(gone)), True)
 
     def close(self) -> None:
         pass
@@ -242,18 +243,24 @@ def expiring_history(history: DataFrame, late: str = "1 day", parts: int = 64) -
 
     ``history`` has property_id, change_no, ts and expires_at. The clock is event time: a row
     expires once times ``late`` beyond its last day have been seen; rows without a change_no
-    only tell the time. State is kept by month of expiry in ``parts`` parts, over which a busy
-    listing's changes are spread like all others, and none outlives its rows.
+    only tell the time, and so do rows without a last day, which ``unexpired`` leaves out too.
+    State is kept by month of expiry in ``parts`` parts, over which a busy listing's changes
+    are spread like all others, and none outlives its rows.
     """
+    held = F.col("change_no").isNotNull() & F.col("expires_at").isNotNull()
     rows = history.withWatermark("ts", late).select(
         F.pmod(F.xxhash64("property_id", "change_no"), F.lit(parts)).alias("part"),
         F.coalesce(F.date_format("expires_at", "yyyy-MM"), F.lit("")).alias("month"),
         "property_id",
-        "change_no",
-        F.unix_micros("expires_at").alias("at"),
+        F.coalesce("change_no", F.lit(0)).cast("bigint").alias("change_no"),
+        F.coalesce(F.unix_micros("expires_at"), F.lit(0)).alias("at"),
+        held.alias("held"),
         "ts",
     )
-    return rows.groupBy("part", "month").transformWithStateInPandas(Expiry(), EXPIRY, "Append", "EventTime")
+    found = rows.groupBy("part", "month").transformWithStateInPandas(
+        Expiry(), "property_id string, change_no bigint, at bigint, expired boolean", "Append", "EventTime"
+    )
+    return found.select("property_id", "change_no", F.timestamp_micros("at").alias("expires_at"), "expired")
 
 
 def unexpired_rows(events: DataFrame) -> DataFrame:

@@ -183,6 +183,22 @@ def test_expiry_stream_equals_batch(spark, tmp_path, as_stream):
     assert keyed.unexpired_rows(log.read()).count() == 0
 
 
+def test_expiry_reads_a_month_once_a_batch(spark, tmp_path, as_stream):
+    """Days that pass together expire together; a row without a last day is neither held nor expires."""
+    start = dt.datetime(2024, 1, 1)
+    rows = [(f"P{i % 50}", i, start + dt.timedelta(minutes=i), start + dt.timedelta(days=40, hours=i)) for i in range(600)]
+    rows += [("NONE", 1, None, None), (None, None, start + dt.timedelta(days=55), None)]
+    df = spark.createDataFrame(rows, "property_id string, change_no bigint, ts timestamp, expires_at timestamp")
+    log = EpochLog(spark, str(tmp_path / "e"), keyed.EXPIRY)
+    events = keyed.expiring_history(as_stream(df, 1, ["ts"]), parts=2)
+    query = incremental.run_available(events, incremental.write_log(log), str(tmp_path / "cp"))
+    # four groups, each with one packed list, its size and one timer in two indexes; not a row or timer per hour
+    assert 0 < state_rows(query) <= 4 * 5
+    at = start + dt.timedelta(days=54)
+    assert log.read().where("expired").count() == df.where(F.col("expires_at") < F.lit(at)).count()
+    same(keyed.unexpired_rows(log.read()), df.where(F.col("expires_at") >= F.lit(at)).select("property_id", "change_no", "expires_at"))
+
+
 # -- preferences and status --------------------------------------------------------------------
 
 
