@@ -21,6 +21,8 @@ RUNTIME_CONF = {
     # partitions even when a later aggregate then needs one more exchange.
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Pages differ in size: what a Python worker is handed at once is bounded by bytes, not rows alone.
+    "spark.sql.execution.arrow.maxBytesPerBatch": "8388608",
     # Keyed state of streams on disk, not in the executors' heaps.
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"

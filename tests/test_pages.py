@@ -3,6 +3,7 @@ from __future__ import annotations
 import datetime as dt
 import json
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from homestrata.operators import collect, extract
@@ -138,3 +139,15 @@ def test_page_text_and_broken_html(spark):
     df = spark.createDataFrame([(i, p) for i, p in enumerate(pages)], "i int, html string")
     got = [r.text for r in html.read_pages(df, ["text"]).orderBy("i").collect()]
     assert got == ["a b c&d", "open", "", "plain < text"]
+
+
+def test_a_worker_holds_few_pages(spark):
+    """A large batch is read in pieces, each handed on before the next is read."""
+    n = 3 * html.PAGES_AT_ONCE + 1
+    pages = pa.table({"page_id": list(range(n)), "html": [f"<p>a{i}</p>" if i % 5 else None for i in range(n)]})
+    batch = pages.combine_chunks().to_batches()[0]
+    read = list(html._read_batches(iter([batch, batch.slice(0, 0)]), "html", ["page_id"], ["text"]))
+    assert [b.num_rows for b in read] == [html.PAGES_AT_ONCE] * 3 + [1]
+    rows = pa.Table.from_batches(read).to_pylist()
+    assert rows == [{"page_id": i, "text": f"a{i}" if i % 5 else ""} for i in range(n)]
+    assert int(spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")) <= 8 << 20
