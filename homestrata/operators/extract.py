@@ -114,25 +114,34 @@ def ld_items(scripts: Column | str = "ld_json") -> Column:
             _object(item["mainEntity"], _ENTITY).alias("entity"),
         )
 
-    def present_names(names: Column) -> Column:
-        kept = F.filter(names, lambda n: non_blank(n).isNotNull())
-        return F.when(F.size(kept) > 0, kept)
-
-    def fields(item: Column) -> Column:
-        top, address, entity = item["top"], item["address"], item["entity"]
+    def open_parts(item: Column) -> Column:
+        entity = item["entity"]
+        # only objects have a name; what is no JSON at all would cost an exception each
         amenities = F.transform(
-            _strings(entity["amenityFeature"]), lambda e: F.get_json_object(e, "$.name")
+            _strings(entity["amenityFeature"]),
+            lambda e: F.when(F.ltrim(e, F.lit(" \t\r\n")).startswith("{"), F.get_json_object(e, "$.name")),
         )
         images = F.transform(
             _strings(entity["image"]),
             lambda e: F.when(F.ltrim(e).startswith("{"), F.get_json_object(e, "$.url")).otherwise(e),
         )
+        return F.struct(
+            item["top"].alias("top"),
+            item["address"].alias("address"),
+            entity.alias("entity"),
+            F.get_json_object(item["top"]["offers"], "$.price").alias("price"),
+            F.get_json_object(entity["geo"], "$.latitude").try_cast("double").alias("latitude"),
+            F.get_json_object(entity["geo"], "$.longitude").try_cast("double").alias("longitude"),
+            *[
+                F.filter(names, lambda n: non_blank(n).isNotNull()).alias(name)
+                for name, names in (("amenities", amenities), ("images", images))
+            ],
+        )
 
-        def degrees(name: str) -> Column:
-            return F.nullif(F.get_json_object(entity["geo"], f"$.{name}").try_cast("double"), F.lit(0.0))
-
+    def fields(item: Column) -> Column:
+        top, address, entity = item["top"], item["address"], item["entity"]
         values = {
-            "price": parse_price(F.get_json_object(top["offers"], "$.price")),
+            "price": parse_price(item["price"]),
             "address": non_blank(address["streetAddress"]),
             "city": non_blank(address["addressLocality"]),
             "state": non_blank(address["addressRegion"]),
@@ -143,15 +152,15 @@ def ld_items(scripts: Column | str = "ld_json") -> Column:
             "date_updated": non_blank(top["lastReviewed"]),
             "year_built": F.nullif(entity["yearBuilt"].try_cast("double").try_cast("int"), F.lit(0)),
             "property_type": non_blank(entity["accommodationCategory"]),
-            "latitude": degrees("latitude"),
-            "longitude": degrees("longitude"),
-            "amenities": present_names(amenities),
-            "image_urls": present_names(images),
+            "latitude": F.nullif(item["latitude"], F.lit(0.0)),
+            "longitude": F.nullif(item["longitude"], F.lit(0.0)),
+            "amenities": F.when(F.size(item["amenities"]) > 0, item["amenities"]),
+            "image_urls": F.when(F.size(item["images"]) > 0, item["images"]),
         }
         return F.struct(*[c.alias(n) for n, c in values.items()])
 
     listed = F.filter(F.transform(texts, lambda t: _object(t, _ITEM)), is_listing)
-    return F.transform(F.transform(listed, open_nested), fields)
+    return F.transform(F.transform(F.transform(listed, open_nested), open_parts), fields)
 
 
 _LAST_WINS = (
