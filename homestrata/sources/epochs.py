@@ -116,15 +116,25 @@ class BucketTable(EpochLog):
             gone = deleted.select(*self.keys).distinct().withColumn("_deleted", F.lit(True))
             changed = changed.unionByName(gone, allowMissingColumns=True)
         changed = stage(changed, "changed")
-        stored = self.of(changed, run, epoch).alias("s")
-        touched = changed.select(*self.keys).alias("c")
+        kept = self.without(self.of(changed, run, epoch), changed)
+        self._put(changed.unionByName(kept.withColumn("_deleted", F.lit(False))), run, epoch)
+
+    def without(self, stored: DataFrame, touched: DataFrame) -> DataFrame:
+        """Rows of ``stored`` whose keys are not among ``touched``."""
         same = F.lit(True)
         for key in self.keys:
             same &= F.col(f"s.{key}").eqNullSafe(F.col(f"c.{key}"))
-        kept = stored.join(touched, same, "left_anti").withColumn("_deleted", F.lit(False))
-        whole = changed.unionByName(kept).withColumn("bucket", self._bucket())
+        return stored.alias("s").join(touched.select(*self.keys).alias("c"), same, "left_anti")
+
+    def replace(self, rows: DataFrame, run: str, epoch: int, deleted: DataFrame) -> None:
+        """Write buckets whose rows are all given; whichever loses its last row has a key among ``deleted``."""
+        gone = deleted.select(*self.keys).withColumn("_deleted", F.lit(True))
+        whole = rows.select(*self.schema.fieldNames()).withColumn("_deleted", F.lit(False))
+        self._put(whole.unionByName(gone, allowMissingColumns=True), run, epoch)
+
+    def _put(self, whole: DataFrame, run: str, epoch: int) -> None:
         # a bucket's rows together, and split where they are many
-        dealt = whole.hint("rebalance", "bucket")
+        dealt = whole.withColumn("bucket", self._bucket()).hint("rebalance", "bucket")
         dealt.write.mode("overwrite").partitionBy("bucket").parquet(self._partition(run, epoch))
 
     def compact_to(self, path: str, keep: Column | None = None, buckets: int | None = None) -> BucketTable:

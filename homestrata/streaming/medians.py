@@ -106,17 +106,23 @@ def analyze_batches(tables: CityTables, order: list[str], as_of: dt.datetime) ->
             found = stage(stats.as_city_stats(stats.counted_medians(values, bins, "city")), "city-stats")
             tables.stats.write(found, *at, deleted=cities.join(found, "city", "left_anti"))
 
-            # the listings of those cities, as they were or as they are now
+            # the listings of those cities, as they were or as they are now: their buckets' other rows
+            # stay, so all is written in one pass and only what may have come or gone is compared by key
             place = [F.coalesce(strip("city"), F.lit("")).alias("_city"), _part().alias("_part")]
-            moved = before.select("property_id", *place).join(now.select("property_id", *place), _PLACE, "left_anti")
+            put = now.select("property_id", *place)
+            moved = stage(before.select("property_id", *place).join(put, _PLACE, "left_anti"), "moved")
             parts = F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))).alias("_part")
             lying = cities.select(F.col("city").alias("_city"), parts)
-            same = tables.enriched.of(lying, *at).join(cities.withColumnRenamed("city", "_city"), "_city", "left_semi")
-            same = same.join(now.select("property_id"), "property_id", "left_anti")
+            touched = put.unionByName(moved)
+            stored = tables.enriched.of(touched.select(*_PLACE[:2]).unionByName(lying), *at)
+            named = cities.withColumnRenamed("city", "_city")
+            same = stored.join(named, "_city", "left_semi").join(now.select("property_id"), "property_id", "left_anti")
             listed = same.select(*tables.columns).unionByName(now)
-            known = tables.stats.current(among=tables.stats.buckets_of(listed.select(strip("city").alias("city"))))
+            cities_now = now.select(strip("city").alias("city")).unionByName(cities)
+            known = tables.stats.current(among=tables.stats.buckets_of(cities_now))
+            others = tables.enriched.without(stored.join(named, "_city", "left_anti"), touched)
             enriched = stats.enrich(listed, known, as_of).select("*", *place)
-            tables.enriched.write(enriched, *at, deleted=moved)
+            tables.enriched.replace(enriched.unionByName(others), *at, deleted=moved)
             tables.placed.write(slim, *at)
 
     return handle

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from homestrata.operators import preferences, pricing, stats
 from homestrata.schemas import TRACKED_URLS, struct
+from homestrata.sources import epochs
 from homestrata.sources.epochs import BucketTable, EpochLog
 from homestrata.streaming import dedup, incremental, keyed, medians
 
@@ -352,3 +353,23 @@ def test_only_touched_cities_are_enriched(spark, tmp_path):
     anew = tables.read().where(F.col("analysis_date") == dt.date(2024, 5, 2))
     assert {r.city for r in anew.collect()} == {"C3"} and anew.count() == 10
     assert tables.stats.read().count() == 10
+
+
+def test_enriched_listings_are_written_once_a_batch(spark, tmp_path, monkeypatch):
+    """Whole listings go to disk as they come and as they are then, never as a third copy between."""
+    tables = medians.CityTables(spark, str(tmp_path / "a"), LISTED, buckets=4)
+    handle = medians.analyze_batches(tables, ["seq"], dt.datetime(2024, 5, 1))
+    staged = []
+    for module in (epochs, medians):
+        real = module.stage
+        monkeypatch.setattr(module, "stage", lambda df, name, real=real: staged.append(df.columns) or real(df, name))
+    first = [("p0", "a ", 10.0), ("p1", "a", 30.0), (None, "a", 5.0), ("p2", None, 7.0), ("p3", "b", None)]
+    later = [("p1", "c", 40.0), ("p3", "b", None), ("p2", "", None)]
+    for epoch, rows in enumerate((first, later)):
+        handle(spark.createDataFrame([(*row, 1, None, None, epoch) for row in rows], LISTED), epoch)
+    assert not [columns for columns in staged if "city_discount_pct" in columns]
+    rows = tables.read().select("property_id", "city", "price_per_sqft", "city_median_price_per_sqft").collect()
+    assert sorted(map(str, map(tuple, rows))) == sorted(map(str, [
+        ("p0", "a ", 10.0, 7.5), (None, "a", 5.0, 7.5), ("p1", "c", 40.0, 40.0),
+        ("p2", "", None, 0.0), ("p3", "b", None, 0.0),
+    ]))
