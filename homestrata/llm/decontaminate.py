@@ -5,10 +5,10 @@ randomised SVD over all passages of the corpus gives a latent space of ``RANK``
 In it items are searched by cosine: items of about equal length are a class, and every text
 is seen through windows of a class's length, a quarter of it apart. A word has a place in
 the latent space and a window is the sum of its words', so all windows of all lengths are
-differences of one running sum. Every candidate is then checked on its words: the longest
-common subsequence of item and passage, over all stretches not much longer than the item,
-and whether the item's answer is there too. Copies pass by the first alone, paraphrases need
-both. Nothing comes in but by its cosine; how many paraphrases that finds is tested and
+differences of one running sum. Every candidate that shares enough dimensions with its item
+is then checked on its words: the longest common subsequence of item and passage, over all
+stretches not much longer than the item, and whether the item's answer is there too. Copies
+pass by the first alone, paraphrases need both. Nothing comes in but by its cosine; how many paraphrases that finds is tested and
 stated in the README.
 
 The SVD needs two passes over the corpus, one for document frequencies and one for the
@@ -26,9 +26,10 @@ other columns are not read by ``find_leaks`` and kept by ``leaks_column``.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
-from itertools import accumulate
+from functools import cached_property
+from itertools import accumulate, batched
 
 import numpy as np
 import pandas as pd
@@ -48,6 +49,8 @@ BLOCK_BYTES = 1 << 18
 CLASS_RATIO = 1.4  # of the longest to the shortest item that share windows, about
 STRIDE = 4  # windows begin a fourth of their length apart
 CHUNK = 2048  # windows compared with a class of items at once
+SUM_CHUNK = 256  # words summed up at once
+PLACES = 1 << 17  # words and dimensions of candidates looked at at once
 COSINE = 0.48
 COPY_SHARE = 0.8  # share of an item's words in one common subsequence that makes a copy
 PARAPHRASE_SHARE = 0.55
@@ -80,11 +83,17 @@ def _passages(owner: np.ndarray, stride: int) -> tuple[np.ndarray, np.ndarray]:
     return start, np.minimum(start + WINDOW, end[text])
 
 
-def _matrix(dims: np.ndarray, start: np.ndarray, end: np.ndarray, weights: np.ndarray) -> np.ndarray:
-    """A row per passage: the weight of every dimension that one of its words falls on."""
+def _ranges(start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Number of the range and place of every word of the ranges."""
     sizes = end - start
     row = np.repeat(np.arange(len(start)), sizes)
-    at = dims[np.repeat(start - (np.cumsum(sizes) - sizes), sizes) + np.arange(len(row))]
+    return row, np.repeat(start - (np.cumsum(sizes) - sizes), sizes) + np.arange(len(row))
+
+
+def _matrix(dims: np.ndarray, start: np.ndarray, end: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """A row per passage: the weight of every dimension that one of its words falls on."""
+    row, word = _ranges(start, end)
+    at = dims[word]
     out = np.zeros(len(start) * DIMENSIONS, weights.dtype)
     out[row * DIMENSIONS + at] = weights[at]
     return out.reshape(len(start), DIMENSIONS)
@@ -138,13 +147,34 @@ def word_vectors(space: Space) -> np.ndarray:
     return (space.weights[:, None] * space.basis).astype(np.float32)
 
 
+def running_sums(words: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Row i is the sum of the vectors of the first i words, added one after the other.
+
+    Some rows at a time, as numpy goes down a column after the other, and with two coordinates
+    in one complex number, which is half as many additions of the same values.
+    """
+    rank = words.shape[1]
+    pairs = np.pad(words, ((0, 0), (0, rank % 2))).view(np.complex64)
+    dims = _dimension(hashes)
+    out = np.empty((len(dims) + 1, pairs.shape[1]), np.complex64)
+    out[0] = 0
+    for at in range(0, len(dims), SUM_CHUNK):
+        part = dims[at : at + SUM_CHUNK]
+        rows = out[at : at + 1 + len(part)]
+        np.take(pairs, part, axis=0, out=rows[1:], mode="clip")
+        np.cumsum(rows, axis=0, out=rows)
+    return np.ascontiguousarray(out.view(np.float32)[:, :rank])
+
+
 def _unit(rows: np.ndarray) -> np.ndarray:
-    return rows / np.maximum(np.linalg.norm(rows, axis=1, keepdims=True), 1e-9)
+    """The rows, which are overwritten, at length one."""
+    rows /= np.maximum(np.sqrt(np.add.reduce(rows * rows, axis=1, keepdims=True)), 1e-9)
+    return rows
 
 
 def common_subsequence(item: list[int], words: list[int]) -> int:
     """Length of the longest common subsequence, bit-parallel over the item."""
-    return _common(_masks(item), len(item), words)
+    return _common(len(item), map(_masks(item).get, words))
 
 
 def _masks(item: list[int]) -> dict[int, int]:
@@ -154,11 +184,11 @@ def _masks(item: list[int]) -> dict[int, int]:
     return masks
 
 
-def _common(masks: dict[int, int], n: int, words: list[int]) -> int:
+def _common(n: int, matches: Iterable[int | None]) -> int:
+    """``matches``: for every word its places in the item of ``n`` words as a mask, None without any."""
     full = (1 << n) - 1
     row = full
-    for w in words:
-        match = masks.get(w)
+    for match in matches:
         if match is not None:
             u = row & match
             row = ((row + u) | (row - u)) & full
@@ -181,6 +211,14 @@ class Item:
     words: list[int]
     answer: list[int]
 
+    @cached_property
+    def masks(self) -> dict[int, int]:
+        return _masks(self.words)
+
+    @cached_property
+    def dims(self) -> np.ndarray:
+        return _dimension(np.array(self.words, np.uint64))
+
 
 def _words(text: str) -> list[int]:
     _, data, starts = next(blocks([0], [text]))
@@ -205,16 +243,17 @@ def _stretch(n: int) -> int:
 def check(item: Item, words: list[int], start: int, end: int) -> tuple[float, bool] | None:
     """(share, answer found) of the best stretch that touches ``start``..``end`` and holds the item."""
     n = len(item.words)
-    need, length, masks = _need(n), _stretch(n), _masks(item.words)
+    need, length = _need(n), _stretch(n)
     low, high = max(0, start - length), min(len(words), end + length)
-    shared = [0, *accumulate(w in masks for w in words[low:high])]
-    if shared[-1] < need or _common(masks, n, words[low:high]) < need:
+    places = list(map(item.masks.get, words[low:high]))
+    if _common(n, places) < need:
         return None
+    shared = [0, *accumulate(place is not None for place in places)]
     best = None
     for at in range(low, max(low, high - length) + 1):
         if shared[min(at + length, high) - low] - shared[at - low] < need:
             continue
-        share = _common(masks, n, words[at : at + length]) / n
+        share = _common(n, places[at - low : at - low + length]) / n
         if share < PARAPHRASE_SHARE or (best and (share, True) <= best):
             continue
         around = words[at : at + length + len(item.answer)]
@@ -240,7 +279,7 @@ def item_classes(space: Space, items: list[Item]) -> list[ItemClass]:
         kinds.setdefault(math.floor(math.log(len(item.words)) / math.log(CLASS_RATIO)), []).append(i)
     out = []
     for _, held in sorted(kinds.items()):
-        sums = [words[_dimension(np.array(items[i].words, np.uint64))].sum(0) for i in held]
+        sums = [words[items[i].dims].sum(0) for i in held]
         length = round(sum(len(items[i].words) for i in held) / len(held))
         out.append(ItemClass(np.array(held), _unit(np.array(sums)), length))
     return out
@@ -260,17 +299,19 @@ def candidates(
     words: np.ndarray, classes: list[ItemClass], hashes: np.ndarray, offsets: np.ndarray, cosine: float
 ) -> Iterator[tuple[int, int, int, float]]:
     """(item, first, end word, cosine) of all stretches near an item; overlapping windows are one."""
-    sums = np.zeros((len(hashes) + 1, words.shape[1]), np.float32)
-    np.cumsum(words[_dimension(hashes)], axis=0, out=sums[1:])
+    sums = running_sums(words, hashes)
     text_end = offsets[1:]
     for kind in classes:
         start, end = _windows(offsets, kind.length)
         found = []
         for at in range(0, len(start), CHUNK):
-            part = slice(at, at + CHUNK)
-            near = _unit(sums[end[part]] - sums[start[part]]) @ kind.vectors.T
-            p, q = np.nonzero(near >= cosine)
-            found.append((p + at, q, near[p, q]))
+            places = sums.take(end[at : at + CHUNK], axis=0)
+            places -= sums.take(start[at : at + CHUNK], axis=0)
+            near = (_unit(places) @ kind.vectors.T).ravel()
+            pairs = np.flatnonzero(near >= cosine)
+            if len(pairs):
+                p, q = np.divmod(pairs, len(kind.items))
+                found.append((p + at, q, near[pairs]))
         p, q, near = (np.concatenate(x) for x in zip(*found)) if found else (np.zeros(0, np.int64),) * 3
         order = np.lexsort((p, q))
         p, q, near = p[order], q[order], near[order]
@@ -284,6 +325,33 @@ def candidates(
             yield int(kind.items[q[a]]), int(start[p[a]]), int(end[p[b - 1]]), cos
 
 
+def may_hold(
+    items: list[Item], dims: np.ndarray, offsets: np.ndarray, found: Iterable[tuple[int, int, int, float]]
+) -> Iterator[tuple[int, int, int, float]]:
+    """The candidates that ``check`` can accept at all.
+
+    No common subsequence has more words than the item has places whose word, or one of the
+    same dimension, is in the stretch that ``check`` looks at.
+    """
+    for part in batched(found, CHUNK):
+        asked = [items[item] for item, *_ in part]
+        sizes = np.array([len(item.words) for item in asked])
+        need, reach = (np.array([f(len(item.words)) for item in asked]) for f in (_need, _stretch))
+        first, stop = (np.array([c[i] for c in part]) for i in (1, 2))
+        text = np.searchsorted(offsets, first, side="right")
+        low, high = np.maximum(first - reach, offsets[text - 1]), np.minimum(stop + reach, offsets[text])
+        cost = np.cumsum(high - low + DIMENSIONS)
+        for some in np.split(np.arange(len(part)), np.flatnonzero(np.diff(cost // PLACES)) + 1):
+            there = np.zeros((len(some), DIMENSIONS), bool)
+            row, word = _ranges(low[some], high[some])
+            there[row, dims[word]] = True
+            wanted = np.concatenate([asked[i].dims for i in some.tolist()])
+            shared = there[np.repeat(np.arange(len(some)), sizes[some]), wanted]
+            begins = np.cumsum(sizes[some]) - sizes[some]
+            for i in some[np.add.reduceat(shared, begins, dtype=np.int64) >= need[some]].tolist():
+                yield part[i]
+
+
 def leaks_column(space: Space, items: list[Item], text: Column) -> Column:
     """array of struct(item_id, cosine, share, answered) of a text column; at most one per item."""
     classes, words_at = item_classes(space, items), word_vectors(space)
@@ -300,7 +368,8 @@ def leaks_column(space: Space, items: list[Item], text: Column) -> Column:
                 best: dict[tuple[int, int], tuple] = {}
                 offsets = np.searchsorted(text_of, np.arange(len(keys) + 1))
                 words_of: dict[int, list[int]] = {}
-                for item, first, stop, cosine in candidates(words_at, classes, hashes, offsets, threshold):
+                near = candidates(words_at, classes, hashes, offsets, threshold)
+                for item, first, stop, cosine in may_hold(items, _dimension(hashes), offsets, near):
                     t = int(text_of[first])
                     if t not in words_of:
                         words_of[t] = hashes[offsets[t] : offsets[t + 1]].tolist()

@@ -7,6 +7,7 @@ import itertools
 import math
 import random
 import time
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -231,6 +232,59 @@ def test_windows_cover_all_words():
             assert seen.all()
 
 
+def test_running_sums_add_one_word_after_the_other():
+    rnd = np.random.default_rng(4)
+    for rank in (1, 7, 96):
+        words = rnd.normal(size=(decontaminate.DIMENSIONS, rank)).astype(np.float32)
+        for n in (0, 1, decontaminate.SUM_CHUNK, 3 * decontaminate.SUM_CHUNK + 5):
+            hashes = rnd.integers(0, 1 << 63, n, dtype=np.uint64) * np.uint64(2)
+            plain = np.cumsum(words[decontaminate._dimension(hashes)], axis=0)
+            assert np.array_equal(decontaminate.running_sums(words, hashes), np.concatenate([np.zeros((1, rank)), plain]))
+
+
+def test_running_sums_are_held_once():
+    rnd = np.random.default_rng(5)
+    words = rnd.normal(size=(decontaminate.DIMENSIONS, 96)).astype(np.float32)
+    hashes = rnd.integers(0, 1 << 63, 40_000, dtype=np.uint64) * np.uint64(2)
+    tracemalloc.start()
+    assert not list(decontaminate.candidates(words, [], hashes, np.array([0, len(hashes)]), 0.5))
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 1.3 * len(hashes) * words[0].nbytes
+
+
+def test_only_candidates_that_the_check_refuses_are_left_out(monkeypatch):
+    rnd = random.Random(6)
+    vocabulary = ["".join(rnd.choice("abcdefghij") for _ in range(rnd.randint(2, 8))) for _ in range(400)]
+    say = lambda n: " ".join(rnd.choice(vocabulary) for _ in range(n))
+    items = decontaminate.read_items([(i, say(n), None) for i, n in enumerate([1, 2, 8, 15, 30, 60] * 4)])
+    texts = [" ".join([say(rnd.randint(0, 90)), *[w for w in rnd.choice([say(40), say(9)]).split() if rnd.random() < 0.7]]) for _ in range(20)]
+    texts += [say(rnd.randint(0, 30)) + f" {vocabulary[7]}" * 300 for _ in range(4)] + ["", "x"]
+    words = [decontaminate._words(t) if t else [] for t in texts]
+    words += [item.words[: len(item.words) * 2 // 3] + item.answer for item in items]
+    offsets = np.concatenate([[0], np.cumsum([len(w) for w in words])])
+    found = []
+    for t, held in enumerate(words):
+        for item in range(len(items)):
+            if held:
+                first = rnd.randrange(len(held))
+                stop = rnd.randint(first + 1, len(held))
+                found.append((item, int(offsets[t]) + first, int(offsets[t]) + stop, 0.5))
+    dims = decontaminate._dimension(np.array([w for held in words for w in held], np.uint64))
+
+    def accepted(candidate):
+        item, first, stop, _ = candidate
+        t = int(np.searchsorted(offsets, first, side="right")) - 1
+        return decontaminate.check(items[item], words[t], first - int(offsets[t]), stop - int(offsets[t])) is not None
+
+    for places in (1, 2000, decontaminate.PLACES):
+        monkeypatch.setattr(decontaminate, "PLACES", places)
+        kept = list(decontaminate.may_hold(items, dims, offsets, iter(found)))
+        assert [c for c in found if accepted(c)] == [c for c in kept if accepted(c)]
+        assert len(kept) < len(found) / 2
+    assert any(map(accepted, found)) and not list(decontaminate.may_hold(items, dims, offsets, []))
+
+
 def test_leaks_of_odd_and_empty_tables(odd, docs, spark):
     benchmark = spark.createDataFrame([(1, "nothing of this is anywhere in there")], "item_id bigint, text string")
     assert decontaminate.find_leaks(odd, benchmark).count() == 0
