@@ -6,6 +6,7 @@ import base64
 import itertools
 import math
 import random
+import re
 import time
 import tracemalloc
 
@@ -13,7 +14,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from homestrata.llm import decontaminate, language_id, maxscore, page_content, secrets_scan
+from homestrata.llm import decontaminate, language_id, maxscore, page_content, rolling, secrets_scan
 from homestrata.llm.page_samples import labelled_pages
 
 SYLLABLES = {"aa": "ba be bi bo bu".split(), "bb": "kra kre kri ñot ñat".split(), "cc": "schu scha ung keit lich".split()}
@@ -232,6 +233,19 @@ def test_windows_cover_all_words():
             assert seen.all()
 
 
+def test_word_hashes_brute_force():
+    rnd = random.Random(9)
+    for size in range(40):
+        texts = ["".join(rnd.choice("aB9é -.\n\x00") for _ in range(rnd.randint(0, size))) for _ in range(rnd.randint(1, 9))]
+        for gaps, shape in ((rolling._NO_WORD, rb"[0-9a-z\x80-\xff]+"), (rolling._SPACE, rb"[^\x20\x09-\x0d]+")):
+            _, data, starts = next(rolling.blocks(range(len(texts)), texts))
+            hashes, owner = rolling.word_hashes(data, starts, gaps)
+            plain = [(w, t) for t, text in enumerate(texts) for w in re.findall(shape, text.encode().lower())]
+            assert owner.tolist() == [t for _, t in plain]
+            names = {w: rolling.word_hashes(np.frombuffer(w, np.uint8), np.array([0, len(w)]), gaps)[0][0] for w, _ in plain}
+            assert hashes.tolist() == [names[w] for w, _ in plain] and len(set(names.values())) == len(names)
+
+
 def test_running_sums_add_one_word_after_the_other():
     rnd = np.random.default_rng(4)
     for rank in (1, 7, 96):
