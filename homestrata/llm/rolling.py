@@ -49,9 +49,7 @@ class Prefix:
     def __init__(self, data: np.ndarray) -> None:
         up, self._down = _power_table(len(data))
         self._sums = np.zeros(len(data) + 1, np.uint64)
-        terms = _BYTE.take(data)
-        terms *= up[: len(data)]
-        np.cumsum(terms, out=self._sums[1:])
+        np.cumsum(_BYTE[data] * up[: len(data)], out=self._sums[1:])
 
     def span(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         return mix((self._sums[end] - self._sums[start]) * self._down[start])
@@ -119,8 +117,7 @@ def word_hashes(
     """
     if not len(data):
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    raw = data.tobytes()  # a table per byte is read far faster by bytes than by arrays
-    word = np.frombuffer(raw.translate(bytes(~gaps)), bool)
+    word = ~gaps[data]
     begins = word.copy()
     begins[1:] &= ~word[:-1]
     edges = starts[:-1][starts[:-1] < len(data)]
@@ -130,8 +127,7 @@ def word_hashes(
     cuts = starts[1:][starts[1:] > 0] - 1
     ends[cuts] = word[cuts]
     s, e = np.flatnonzero(begins), np.flatnonzero(ends) + 1
-    lower = np.frombuffer(raw.translate(bytes(_LOWER)), np.uint8)
-    return Prefix(lower).span(s, e), np.repeat(np.arange(len(starts) - 1), np.diff(np.searchsorted(s, starts)))
+    return Prefix(_LOWER[data]).span(s, e), np.searchsorted(starts, s, side="right") - 1
 
 
 def shingles(data: np.ndarray, starts: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray]:
